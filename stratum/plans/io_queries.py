@@ -1,11 +1,203 @@
-"""Registered queries that go through files: landing scans, writers, streams."""
+"""Registered queries that go through files: landing scans, writers, streams.
+
+Landing copies of the derived entities are written once per input folder
+below the shared checkpoint folder and reused; outputs of writes and streams
+go to fresh folders (one per call) so that no run depends on, or deletes,
+another run's files.
+"""
 
 from __future__ import annotations
 
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from stratum.operators.silver import clean_orders
+from stratum.plans import layers as L
+from stratum.plans import oracle as O
+from stratum.plans.catalog import SILVER_LINE_COLS
+from stratum.plans.rules import order_rules
+from stratum.schemas import ADDRESSES_RAW, CUSTOMERS_RAW, EVENTS, ORDERS_RAW
+from stratum.session import work_path
+from stratum.sinks import writer
+from stratum.sources import derive
+from stratum.sources.landing import landing_copy, read_landing, with_lineage
+from stratum.streaming import batches
+from stratum.streaming.ingest import run_available_now, stream_landing
+
+LANDING_FILES = 8
+
+
+def _customers_json(spark, base) -> str:
+    return landing_copy(spark, base, "customers", derive.bronze_customers(spark, base), "json",
+                        LANDING_FILES)
+
+
+def _addresses_csv(spark, base) -> str:
+    return landing_copy(spark, base, "addresses", derive.bronze_addresses(spark, base), "csv",
+                        LANDING_FILES)
+
+
+def _orders_json(spark, base) -> str:
+    return landing_copy(spark, base, "orders", derive.bronze_orders(spark, base), "json",
+                        LANDING_FILES)
+
+
+def _events_json(spark, base) -> str:
+    ev = derive.events(spark, base)
+    # One file per day of events: the stream sees the days as separate files.
+    return landing_copy(spark, base, "events", ev.repartition(F.to_date("ts")), "json")
+
+
+# ------------------------------------------------------------- batch scans
+def bronze_json(spark: SparkSession, base: str) -> DataFrame:
+    return read_landing(spark, _customers_json(spark, base), "json", CUSTOMERS_RAW)
+
+
+def bronze_csv(spark: SparkSession, base: str) -> DataFrame:
+    return read_landing(spark, _addresses_csv(spark, base), "csv", ADDRESSES_RAW)
+
+
+def bronze_orders_json(spark: SparkSession, base: str) -> DataFrame:
+    """Nested JSON orders read back and flattened into silver lines."""
+    raw = read_landing(spark, _orders_json(spark, base), "json", ORDERS_RAW)
+    return clean_orders(raw).select(*SILVER_LINE_COLS)
+
+
+def bronze_lineage(spark: SparkSession, base: str) -> DataFrame:
+    raw = with_lineage(read_landing(spark, _customers_json(spark, base), "json", CUSTOMERS_RAW))
+    return raw.agg(
+        F.count(F.lit(1)).alias("n_rows"),
+        F.count("_source_file").alias("n_tagged"),
+        F.count("_ingested_at").alias("n_stamped"),
+        F.count_if(F.col("_source_file").startswith("part-")).alias("n_part_files"),
+    )
+
+
+# ------------------------------------------------------------------ writes
+def write_evolve(spark: SparkSession, base: str) -> DataFrame:
+    """Append a batch that has one more column; read both back by name."""
+    first, second = derive.event_halves(spark, base)
+    path = work_path(spark, "evolve", unique=True)
+    first.drop("props").write.mode("append").parquet(path)
+    second.write.mode("append").parquet(path)
+    return writer.read_evolving(spark, path).select(*EVENTS.fieldNames())
+
+
+def write_metrics(spark: SparkSession, base: str) -> DataFrame:
+    """Row counts observed on the writes themselves (no extra count job)."""
+    root = work_path(spark, "silver", unique=True)
+    records = [
+        writer.write_table(L.silver_customers(spark, base), f"{root}/customers", "overwrite",
+                           layer="silver", table_name="silver_customers", run_time=L.RUN_TIME),
+        writer.write_table(L.silver_addresses(spark, base), f"{root}/addresses", "overwrite",
+                           layer="silver", table_name="silver_addresses", run_time=L.RUN_TIME),
+    ]
+    return writer.metrics_frame(spark, records).select("table_name", "mode", "status", "rows")
+
+
+def write_merge(spark: SparkSession, base: str) -> DataFrame:
+    """Two merges into a versioned type-1 table (first half, then second)."""
+    first, second = L.user_profiles(spark, base)
+    path = work_path(spark, "dim_users_scd1", unique=True)
+    writer.write_table(first, path, "merge", merge_keys=L.USER_KEY, order_by=L.EVENT_ORDER)
+    writer.write_table(second, path, "merge", merge_keys=L.USER_KEY, order_by=L.EVENT_ORDER)
+    return writer.read_versioned(spark, path).drop("ts")
+
+
+# ----------------------------------------------------------------- streams
+def stream_ingest(spark: SparkSession, base: str) -> DataFrame:
+    """Events landing files -> availableNow stream -> parquet sink."""
+    src = stream_landing(spark, _events_json(spark, base), "json", EVENTS, max_files_per_trigger=4)
+    root = work_path(spark, "stream_ingest", unique=True)
+    run_available_now(with_lineage(src), f"{root}/_checkpoint", f"{root}/data")
+    return spark.read.parquet(f"{root}/data").select(*EVENTS.fieldNames())
+
+
+def _orders_dq_stream(spark: SparkSession, base: str) -> str:
+    src = stream_landing(spark, _orders_json(spark, base), "json", ORDERS_RAW,
+                         max_files_per_trigger=2)
+    root = work_path(spark, "stream_dq", unique=True)
+    sink = batches.dq_sink(order_rules(), "silver_orders", f"{root}/clean", f"{root}/report",
+                           transform=clean_orders, run_time=L.RUN_TIME)
+    run_available_now(src, f"{root}/_checkpoint", foreach_batch=sink)
+    return root
+
+
+def stream_dq(spark: SparkSession, base: str) -> DataFrame:
+    """Nested orders stream -> silver lines -> drop rules, per micro-batch."""
+    root = _orders_dq_stream(spark, base)
+    return batches.read_batches(spark, f"{root}/clean").select(*SILVER_LINE_COLS)
+
+
+def stream_dq_report(spark: SparkSession, base: str) -> DataFrame:
+    """Per-batch reports summed per rule (counts are additive over batches)."""
+    root = _orders_dq_stream(spark, base)
+    rep = batches.read_batches(spark, f"{root}/report")
+    from stratum.operators.quality import _rate
+
+    agg = rep.groupBy("table_name", "rule_name", "action").agg(
+        F.sum("pass_count").alias("pass_count"), F.sum("fail_count").alias("fail_count"),
+        F.sum("null_count").alias("null_count"))
+    return agg.withColumn("pass_rate", _rate(F.col("pass_count"), F.col("fail_count")))
+
+
+def stream_scd1(spark: SparkSession, base: str) -> DataFrame:
+    src = stream_landing(spark, _events_json(spark, base), "json", EVENTS, max_files_per_trigger=4)
+    root = work_path(spark, "stream_scd1", unique=True)
+    sink = batches.scd1_sink(f"{root}/dim", L.USER_KEY, L.EVENT_ORDER, L.PROFILE_COLS)
+    run_available_now(src, f"{root}/_checkpoint", foreach_batch=sink)
+    return writer.read_versioned(spark, f"{root}/dim").drop("ts")
+
+
+def stream_scd2(spark: SparkSession, base: str) -> DataFrame:
+    src = stream_landing(spark, _events_json(spark, base), "json", EVENTS, max_files_per_trigger=4)
+    root = work_path(spark, "stream_scd2", unique=True)
+    sink = batches.snapshot_sink(f"{root}/snapshots", L.USER_KEY, "snapshot_date", L.EVENT_ORDER,
+                                 L.PROFILE_COLS, F.to_date("ts"))
+    run_available_now(src, f"{root}/_checkpoint", foreach_batch=sink)
+    hist = batches.history_from_snapshots(spark, f"{root}/snapshots", L.USER_KEY, L.USER_TRACK,
+                                          "snapshot_date", L.EVENT_ORDER)
+    return hist.drop("ts")
+
 
 def queries() -> dict:
-    return {}
+    return {
+        "bronze_json": bronze_json,
+        "bronze_csv": bronze_csv,
+        "bronze_orders_json": bronze_orders_json,
+        "bronze_lineage": bronze_lineage,
+        "write_evolve": write_evolve,
+        "write_metrics": write_metrics,
+        "write_merge": write_merge,
+        "stream_ingest": stream_ingest,
+        "stream_dq": stream_dq,
+        "stream_dq_report": stream_dq_report,
+        "stream_scd1": stream_scd1,
+        "stream_scd2": stream_scd2,
+    }
 
 
 def oracle_sql() -> dict:
-    return {}
+    core = O.oracle_sql()
+    split = derive.EVENT_SPLIT
+    return {
+        "bronze_json": f"with {O.CUSTOMERS}\nselect * from bronze_customers",
+        "bronze_csv": f"with {O.ADDRESSES}\nselect * from bronze_addresses",
+        "bronze_orders_json": core["silver_order_lines"],
+        "bronze_lineage": """select count(*) as n_rows, count(*) as n_tagged, count(*) as n_stamped,
+  count(*) as n_part_files from customer""",
+        "write_evolve": f"""select event_id, ts, user_id, event_type, value,
+  case when ts >= timestamp '{split}' then props end as props from events""",
+        "write_metrics": """select 'silver_customers' as table_name, 'overwrite' as mode, 'PASS' as status,
+  count(*) as rows from customer
+union all
+select 'silver_addresses', 'overwrite', 'PASS', count(*) from customer""",
+        "write_merge": core["scd1_upsert"],
+        "stream_ingest": "select event_id, ts, user_id, event_type, value, props from events",
+        "stream_dq": core["dq_clean"],
+        "stream_dq_report": O.dq_orders_totals_sql(),
+        "stream_scd1": """select user_id, event_id, event_type, value from (
+  select *, row_number() over (partition by user_id order by ts desc, event_id desc) as rn
+  from events) where rn = 1""",
+        "stream_scd2": core["scd2_history"],
+    }

@@ -169,14 +169,16 @@ classified as (
   from initial_dim t full join second_latest s on t.user_id = s.user_id)"""
 
 
-def _dq_sql(cte: str, source: str, table: str, rules: list[tuple[str, str, str]]) -> str:
+def _dq_sql(cte: str, source: str, table: str, rules: list[tuple[str, str, str]],
+            with_run_time: bool = True) -> str:
     parts = []
+    stamp = f"'{L.RUN_TIME}' as run_time, " if with_run_time else ""
     for name, action, cond in rules:
         p = f"count(*) filter (where ({cond}))"
         f = f"count(*) filter (where not ({cond}))"
         n = f"count(*) filter (where ({cond}) is null)"
         parts.append(
-            f"select '{L.RUN_TIME}' as run_time, '{table}' as table_name, '{name}' as rule_name, "
+            f"select {stamp}'{table}' as table_name, '{name}' as rule_name, "
             f"'{action}' as action, cast({p} as bigint) as pass_count, cast({f} as bigint) as fail_count, "
             f"cast({n} as bigint) as null_count, "
             f"case when {p} + {f} = 0 then cast(100.0 as double) else {_pct(p, f'({p} + {f})')} end "
@@ -212,6 +214,10 @@ SILVER_LINE_COLS = ("order_id, customer_id, order_timestamp, payment_method, ord
                     "order_date, order_hour, order_month, order_year")
 
 
+def dq_orders_totals_sql() -> str:
+    return _dq_sql(LINES, "silver", "silver_orders", ORDER_RULES_SQL, with_run_time=False)
+
+
 def oracle_sql() -> dict[str, str]:
     q: dict[str, str] = {}
     q["silver_order_lines"] = f"with {LINES}\nselect {SILVER_LINE_COLS} from silver"

@@ -20,6 +20,12 @@ from stratum.sources.tables import table_exists
 CSV_WRITE_OPTIONS = {"header": "true", "ignoreLeadingWhiteSpace": "false",
                      "ignoreTrailingWhiteSpace": "false"}
 CSV_READ_OPTIONS = {"header": "true", "mode": "PERMISSIVE"}
+# Full microsecond precision for timestamps in text files (the default keeps
+# milliseconds only).
+TEXT_TIME_OPTIONS = {"timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS",
+                     "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"}
+# Bumped when the layout of landing copies changes (old copies are ignored).
+LANDING_LAYOUT = "v2"
 
 
 def read_landing(spark: SparkSession, path: str, fmt: str,
@@ -33,6 +39,8 @@ def read_landing(spark: SparkSession, path: str, fmt: str,
         reader = reader.option("inferSchema", "true")
     else:
         raise ValueError("declare a schema, or pass infer=True explicitly")
+    if fmt in ("json", "csv"):
+        reader = reader.options(**TEXT_TIME_OPTIONS)
     if fmt == "json":
         reader = reader.option("multiLine", str(multiline).lower())
     if fmt == "csv":
@@ -58,6 +66,8 @@ def write_landing(df: DataFrame, path: str, fmt: str, files: int | None = None)
     if files:
         df = df.repartition(files)
     w = df.write.mode("overwrite").format(fmt)
+    if fmt in ("json", "csv"):
+        w = w.options(**TEXT_TIME_OPTIONS)
     if fmt == "csv":
         w = w.options(**CSV_WRITE_OPTIONS)
     w.save(path)
@@ -72,7 +82,7 @@ def landing_copy(spark: SparkSession, base: str, entity: str, df: DataFrame, fmt
     input folder, so repeated queries reuse it.
     """
     key = hashlib.sha1(base.rstrip("/").encode()).hexdigest()[:12]
-    path = work_path(spark, "landing", key, f"{entity}.{fmt}")
+    path = work_path(spark, "landing", LANDING_LAYOUT, key, f"{entity}.{fmt}")
     if not table_exists(spark, f"{path}/_SUCCESS"):
         write_landing(df, path, fmt, files)
     return path

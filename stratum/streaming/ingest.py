@@ -14,12 +14,14 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-from stratum.sources.landing import CSV_READ_OPTIONS
+from stratum.sources.landing import CSV_READ_OPTIONS, TEXT_TIME_OPTIONS
 
 
 def stream_landing(spark: SparkSession, path: str, fmt: str, schema: T.StructType,
                    max_files_per_trigger: int | None = None) -> DataFrame:
     reader = spark.readStream.format(fmt).schema(schema)
+    if fmt in ("json", "csv"):
+        reader = reader.options(**TEXT_TIME_OPTIONS)
     if fmt == "csv":
         reader = reader.options(**CSV_READ_OPTIONS)
     if max_files_per_trigger:
