@@ -65,8 +65,8 @@ def _now() -> str:
     return _dt.datetime.now().strftime("%Y-%m-%d %H:%M:%S")
 
 
-def expect_all(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
-    """One row: ``{i}_pass``, ``{i}_fail``, ``{i}_null`` for every rule i."""
+def rule_aggregates(rules: Sequence[Rule]) -> list[Column]:
+    """``r{i}_pass``, ``r{i}_fail``, ``r{i}_null`` count columns of every rule."""
     aggs = []
     for i, r in enumerate(rules):
         c = r.column()
@@ -75,7 +75,28 @@ def expect_all(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
             F.count_if(~c).alias(f"r{i}_fail"),
             F.count_if(c.isNull()).alias(f"r{i}_null"),
         ]
-    return df.agg(*aggs)
+    return aggs
+
+
+def expect_all(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
+    """One row holding the counts of every rule (one aggregate job)."""
+    return df.agg(*rule_aggregates(rules))
+
+
+def counts_of(row, rules: Sequence[Rule]) -> dict[str, tuple[int, int, int]]:
+    """Rule name -> (pass, fail, null) from an ``expect_all`` row or the
+    metrics of an ``Observation`` over ``rule_aggregates``."""
+    get = row.__getitem__
+    return {r.name: (int(get(f"r{i}_pass")), int(get(f"r{i}_fail")), int(get(f"r{i}_null")))
+            for i, r in enumerate(rules)}
+
+
+def first_failure(rules: Sequence[Rule], counts: dict) -> int | None:
+    """Index of the first ``fail`` rule with failing rows, else None."""
+    for i, r in enumerate(rules):
+        if r.action == "fail" and counts[r.name][1] > 0:
+            return i
+    return None
 
 
 def _rate(p: Column, f: Column) -> Column:
@@ -133,7 +154,7 @@ def apply_expectations(df: DataFrame, rules: Sequence[Rule], on_null: str = "dro
     return df if cond is None else df.filter(cond)
 
 
-def _report_rows(rules: Sequence[Rule], counts: dict, table_name: str, run_time: str) -> list[dict]:
+def report_rows(rules: Sequence[Rule], counts: dict, table_name: str, run_time: str) -> list[dict]:
     out = []
     for i, r in enumerate(rules):
         p, f, n = counts[r.name]
@@ -163,18 +184,16 @@ def run_quality_checks(df: DataFrame, rules: Sequence[Rule], table_name: str,
             report_sink(report)
         return DQResult(report=report, clean=apply_expectations(df, rules, on_null))
 
-    row = expect_all(df, rules).first()
-    counts = {r.name: (int(row[f"r{i}_pass"]), int(row[f"r{i}_fail"]), int(row[f"r{i}_null"]))
-              for i, r in enumerate(rules)}
-    rows = _report_rows(rules, counts, table_name, run_time)
+    counts = counts_of(expect_all(df, rules).first(), rules)
+    rows = report_rows(rules, counts, table_name, run_time)
     spark = df.sparkSession
-    for i, r in enumerate(rules):
-        if r.action == "fail" and counts[r.name][1] > 0:
-            partial = rows[: i + 1]
-            if report_sink is not None:
-                report_sink(_rows_frame(spark, partial))
-            raise DQFailure(table_name, r, counts[r.name][1], partial)
-    report_df = _rows_frame(spark, rows)
+    bad = first_failure(rules, counts)
+    if bad is not None:
+        partial = rows[: bad + 1]
+        if report_sink is not None:
+            report_sink(rows_frame(spark, partial))
+        raise DQFailure(table_name, rules[bad], counts[rules[bad].name][1], partial)
+    report_df = rows_frame(spark, rows)
     if report_sink is not None:
         report_sink(report_df)
     failing = {name for name, (_, f, _) in counts.items() if f > 0}
@@ -182,7 +201,7 @@ def run_quality_checks(df: DataFrame, rules: Sequence[Rule], table_name: str,
     return DQResult(report=report_df, clean=clean, counts=counts)
 
 
-def _rows_frame(spark, rows: list[dict]) -> DataFrame:
+def rows_frame(spark, rows: list[dict]) -> DataFrame:
     """Report rows (one per rule, a handful) as a DataFrame."""
     from stratum.schemas import DQ_REPORT
 

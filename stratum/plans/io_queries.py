@@ -25,6 +25,11 @@ from stratum.streaming import batches
 from stratum.streaming.ingest import run_available_now, stream_landing
 
 LANDING_FILES = 8
+# Landing files of the order stream, and files per micro-batch: a batch
+# should hold at least as many files as there are cores to fill.
+ORDER_STREAM_FILES = 32
+ORDER_FILES_PER_BATCH = 16
+EVENT_FILES_PER_BATCH = 8
 
 
 def _customers_json(spark, base) -> str:
@@ -38,8 +43,8 @@ def _addresses_csv(spark, base) -> str:
 
 
 def _orders_json(spark, base) -> str:
-    return landing_copy(spark, base, "orders", derive.bronze_orders(spark, base), "json",
-                        LANDING_FILES)
+    return landing_copy(spark, base, "orders", derive.bronze_orders_table(spark, base), "json",
+                        ORDER_STREAM_FILES)
 
 
 def _events_json(spark, base) -> str:
@@ -107,7 +112,8 @@ def write_merge(spark: SparkSession, base: str) -> DataFrame:
 # ----------------------------------------------------------------- streams
 def stream_ingest(spark: SparkSession, base: str) -> DataFrame:
     """Events landing files -> availableNow stream -> parquet sink."""
-    src = stream_landing(spark, _events_json(spark, base), "json", EVENTS, max_files_per_trigger=4)
+    src = stream_landing(spark, _events_json(spark, base), "json", EVENTS,
+                         max_files_per_trigger=EVENT_FILES_PER_BATCH)
     root = work_path(spark, "stream_ingest", unique=True)
     run_available_now(with_lineage(src), f"{root}/_checkpoint", f"{root}/data")
     return spark.read.parquet(f"{root}/data").select(*EVENTS.fieldNames())
@@ -115,7 +121,7 @@ def stream_ingest(spark: SparkSession, base: str) -> DataFrame:
 
 def _orders_dq_stream(spark: SparkSession, base: str) -> str:
     src = stream_landing(spark, _orders_json(spark, base), "json", ORDERS_RAW,
-                         max_files_per_trigger=2)
+                         max_files_per_trigger=ORDER_FILES_PER_BATCH)
     root = work_path(spark, "stream_dq", unique=True)
     sink = batches.dq_sink(order_rules(), "silver_orders", f"{root}/clean", f"{root}/report",
                            transform=clean_orders, run_time=L.RUN_TIME)
@@ -142,7 +148,8 @@ def stream_dq_report(spark: SparkSession, base: str) -> DataFrame:
 
 
 def stream_scd1(spark: SparkSession, base: str) -> DataFrame:
-    src = stream_landing(spark, _events_json(spark, base), "json", EVENTS, max_files_per_trigger=4)
+    src = stream_landing(spark, _events_json(spark, base), "json", EVENTS,
+                         max_files_per_trigger=EVENT_FILES_PER_BATCH)
     root = work_path(spark, "stream_scd1", unique=True)
     sink = batches.scd1_sink(f"{root}/dim", L.USER_KEY, L.EVENT_ORDER, L.PROFILE_COLS)
     run_available_now(src, f"{root}/_checkpoint", foreach_batch=sink)
@@ -150,7 +157,8 @@ def stream_scd1(spark: SparkSession, base: str) -> DataFrame:
 
 
 def stream_scd2(spark: SparkSession, base: str) -> DataFrame:
-    src = stream_landing(spark, _events_json(spark, base), "json", EVENTS, max_files_per_trigger=4)
+    src = stream_landing(spark, _events_json(spark, base), "json", EVENTS,
+                         max_files_per_trigger=EVENT_FILES_PER_BATCH)
     root = work_path(spark, "stream_scd2", unique=True)
     sink = batches.snapshot_sink(f"{root}/snapshots", L.USER_KEY, "snapshot_date", L.EVENT_ORDER,
                                  L.PROFILE_COLS, F.to_date("ts"))

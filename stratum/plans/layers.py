@@ -33,7 +33,7 @@ PROFILE_COLS = ["user_id", "event_id", "ts", "event_type", "value"]
 
 # ----------------------------------------------------------------- silver
 def silver_order_lines(spark: SparkSession, base: str) -> DataFrame:
-    return clean_orders(derive.bronze_orders(spark, base))
+    return clean_orders(derive.bronze_orders_table(spark, base))
 
 
 def silver_orders_clean(spark: SparkSession, base: str) -> DataFrame:

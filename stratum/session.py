@@ -21,9 +21,11 @@ RECOMMENDED_CONF: dict[str, str] = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    # A side is broadcast only when its measured size is below this bound;
-    # beyond it the join stays a shuffle join.
-    "spark.sql.autoBroadcastJoinThreshold": str(32 * 1024 * 1024),
+    # A side is broadcast only when its size is below these bounds; beyond
+    # them the join stays a shuffle join.  The static bound applies to the
+    # planner's file-size estimate, the adaptive one to the bytes a finished
+    # shuffle stage actually measured.
+    "spark.sql.autoBroadcastJoinThreshold": str(10 * 1024 * 1024),
     "spark.sql.adaptive.autoBroadcastJoinThreshold": str(32 * 1024 * 1024),
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.ansi.enabled": "true",

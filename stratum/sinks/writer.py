@@ -47,6 +47,21 @@ def versions(spark: SparkSession, path: str) -> list[int]:
     return sorted(out)
 
 
+def publish(spark: SparkSession, staged: str, final: str) -> None:
+    """Move a fully written folder into place (replacing an earlier attempt).
+
+    Staging folders start with ``_`` so readers of the parent never list
+    them; the move is a rename (atomic on HDFS-like file systems).
+    """
+    fs, src = _fs(spark, staged)
+    _, dst = _fs(spark, final)
+    if fs.exists(dst):
+        fs.delete(dst, True)
+    fs.mkdirs(dst.getParent())
+    if not fs.rename(src, dst):
+        raise OSError(f"could not publish {staged} -> {final}")
+
+
 def version_path(path: str, n: int) -> str:
     return f"{path.rstrip('/')}/v{n:06d}"
 

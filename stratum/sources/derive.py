@@ -85,16 +85,20 @@ def bronze_orders(spark: SparkSession, base: str,
                   items_per_record: int = ITEMS_PER_RECORD) -> DataFrame:
     """Nested orders: order columns + ``items`` array<struct>.
 
-    Arrays are bounded: an order's lines are split into
-    ``ceil(lines / items_per_record)`` records by a hash of the line, so even
-    an order holding a third of all lines yields many small records spread
-    over many tasks (the per-order line count is a map-side partial
-    aggregate).  Orders without lines get an empty ``items`` array, which the
-    inner explode of the silver layer removes.
+    Arrays are bounded: every order is cut into ``c = ceil(m / items_per_record)``
+    records by a hash of the line, where ``m`` is the largest number of lines of
+    any order (a scalar subquery over a map-side partial count).  The grouping
+    shuffles on (order, chunk), so even an order holding a third of all lines
+    is spread over many tasks in records of about ``items_per_record`` items;
+    with ordinary data ``c`` is 1 and each order is one record.  Orders without
+    lines get an empty ``items`` array, which the inner explode of the silver
+    layer removes.
     """
     lines = order_item_lines(spark, base)
     per_order = lines.groupBy("l_orderkey").agg(F.count(F.lit(1)).alias("n_lines"))
-    n_chunks = F.ceil(F.col("n_lines") / F.lit(items_per_record)).cast("bigint")
+    max_lines = per_order.select(F.max("n_lines")).scalar()
+    n_chunks = F.greatest(F.lit(1).cast("bigint"),
+                          F.ceil(max_lines / F.lit(items_per_record)).cast("bigint"))
     chunk = F.pmod(
         F.xxhash64("l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice"),
         n_chunks,
@@ -107,8 +111,7 @@ def bronze_orders(spark: SparkSession, base: str,
         F.col("l_quantity").cast("int").alias("quantity"),
     )
     items = (
-        lines.join(per_order, "l_orderkey")
-        .groupBy("l_orderkey", chunk.alias("chunk"))
+        lines.groupBy("l_orderkey", chunk.alias("chunk"))
         .agg(F.collect_list(item).alias("items"))
     )
     header = order_header(spark, base)
@@ -124,6 +127,20 @@ def bronze_orders(spark: SparkSession, base: str,
     return with_items.unionByName(without)
 
 
+def bronze_orders_table(spark: SparkSession, base: str) -> DataFrame:
+    """The nested orders stored once per input as a bronze parquet table.
+
+    Layers exchange data through stored tables: every order query scans this
+    table (nested column pruning reaches the scan) instead of re-nesting the
+    driver tables.
+    """
+    from stratum.schemas import ORDERS_RAW
+    from stratum.sources.landing import landing_copy
+
+    path = landing_copy(spark, base, "bronze_orders", bronze_orders(spark, base), "parquet")
+    return spark.read.schema(ORDERS_RAW).parquet(path)
+
+
 def bronze_customers(spark: SparkSession, base: str) -> DataFrame:
     """Customer landing rows (all strings, like JSON text)."""
     c = read_table(spark, base, "customer",

@@ -8,14 +8,25 @@ failure therefore produces the same result exactly once.
 
 from __future__ import annotations
 
+import datetime as _dt
+import uuid
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
-from stratum.operators.quality import Rule, apply_expectations, dq_report
+from stratum.operators.quality import (
+    DQFailure,
+    Rule,
+    apply_expectations,
+    counts_of,
+    first_failure,
+    report_rows,
+    rows_frame,
+    rule_aggregates,
+)
 from stratum.operators.scd import latest_per_key, scd1_apply, scd2_history
-from stratum.sinks.writer import read_versioned, versions, write_version
+from stratum.sinks.writer import publish, read_versioned, versions, write_version
 
 BatchFn = Callable[[DataFrame, int], None]
 
@@ -29,20 +40,31 @@ def dq_sink(rules: Sequence[Rule], table_name: str, clean_path: str, report_path
             run_time: str | None = None, on_null: str = "drop") -> BatchFn:
     """Per micro-batch: transform, evaluate rules, write clean rows + report.
 
-    The batch is persisted once (memory and disk, so a lost executor only
-    recomputes its own blocks) because it feeds two writes.
+    One pass over the batch: the rule counts are an ``Observation`` on the
+    clean write itself (placed before the drop filter, so every rule sees all
+    rows).  The clean rows are written to a hidden staging folder and
+    published only when no ``fail`` rule fired; on a failure the report rows
+    up to that rule are written and ``DQFailure`` stops the stream.
     """
 
     def run(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
         df = transform(batch) if transform else batch
-        df = df.persist()
-        try:
-            report = dq_report(df, rules, table_name, run_time).withColumn("batch_id", F.lit(batch_id))
-            report.write.mode("overwrite").parquet(batch_folder(report_path, batch_id))
-            clean = apply_expectations(df, rules, on_null)
-            clean.write.mode("overwrite").parquet(batch_folder(clean_path, batch_id))
-        finally:
-            df.unpersist()
+        obs = Observation(f"dq_{table_name}_{batch_id}_{uuid.uuid4().hex[:8]}")
+        observed = df.observe(obs, *rule_aggregates(rules))
+        staged = f"{clean_path.rstrip('/')}/_staging/batch_id={batch_id}"
+        apply_expectations(observed, rules, on_null).write.mode("overwrite").parquet(staged)
+        counts = counts_of(obs.get, rules)
+        stamp = run_time or _dt.datetime.now().strftime("%Y-%m-%d %H:%M:%S")
+        rows = report_rows(rules, counts, table_name, stamp)
+        bad = first_failure(rules, counts)
+        if bad is not None:
+            rows = rows[: bad + 1]
+        report = rows_frame(spark, rows).withColumn("batch_id", F.lit(batch_id))
+        report.write.mode("overwrite").parquet(batch_folder(report_path, batch_id))
+        if bad is not None:
+            raise DQFailure(table_name, rules[bad], counts[rules[bad].name][1], rows)
+        publish(spark, staged, batch_folder(clean_path, batch_id))
 
     return run
 

@@ -108,3 +108,32 @@ def test_stream_scd1_matches_batch(spark, samples, tmp_dir):
     both = samples["customers_day1"].unionByName(samples["customers_day2"])
     batch = sorted(tuple(r) for r in scd1_apply(None, both, ["customer_id"], ["created_date"]).collect())
     assert streamed == batch  # batch order does not matter with compete=True
+
+
+def test_stream_dq_sink_one_pass_and_fail(spark, tmp_dir):
+    from stratum.operators.quality import DQFailure, Rule
+
+    land = os.path.join(tmp_dir, "landing")
+    spark.createDataFrame([(1, "a"), (2, None), (3, "c")], "id long, s string") \
+        .coalesce(1).write.json(os.path.join(land, "f1"))
+    rules = [Rule("s_not_null", F.col("s").isNotNull(), "drop"), Rule("id_pos", "id > 0", "warn")]
+    clean, report = os.path.join(tmp_dir, "clean"), os.path.join(tmp_dir, "report")
+    src = stream_landing(spark, os.path.join(land, "*"), "json",
+                         spark.createDataFrame([], "id long, s string").schema)
+    run_available_now(src, os.path.join(tmp_dir, "ck"),
+                      foreach_batch=batches.dq_sink(rules, "t", clean, report))
+    assert sorted(r.id for r in spark.read.parquet(clean).collect()) == [1, 3]
+    rep = {r.rule_name: (r.pass_count, r.fail_count) for r in spark.read.parquet(report).collect()}
+    assert rep == {"s_not_null": (2, 1), "id_pos": (3, 0)}
+
+    # a failing "fail" rule publishes nothing and stops the stream
+    fail_rules = [Rule("id_small", F.col("id") < 3, "fail")]
+    clean2 = os.path.join(tmp_dir, "clean2")
+    src = stream_landing(spark, os.path.join(land, "*"), "json",
+                         spark.createDataFrame([], "id long, s string").schema)
+    with pytest.raises(Exception) as ei:
+        run_available_now(src, os.path.join(tmp_dir, "ck2"),
+                          foreach_batch=batches.dq_sink(fail_rules, "t", clean2,
+                                                        os.path.join(tmp_dir, "report2")))
+    assert "id_small" in str(ei.value)
+    assert not any(n.startswith("batch_id=") for n in os.listdir(clean2))
