@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from stratum.operators.scd import scd1_apply
-from stratum.schemas import WRITE_METRICS
+from stratum.schemas import SCD2_CURRENT, WRITE_METRICS
 from stratum.sources.tables import table_exists
 
 MODES = ("append", "overwrite", "merge")
@@ -71,7 +71,12 @@ def read_versioned(spark: SparkSession, path: str, version: int | None = None) -
     if not vs:
         return None
     n = vs[-1] if version is None else version
-    return spark.read.parquet(version_path(path, n))
+    df = spark.read.parquet(version_path(path, n))
+    # Partition discovery types a boolean partition value as text; restore it
+    # (a filter on the cast column still prunes partitions).
+    if SCD2_CURRENT in df.columns and dict(df.dtypes)[SCD2_CURRENT] == "string":
+        df = df.withColumn(SCD2_CURRENT, F.col(SCD2_CURRENT).cast("boolean"))
+    return df
 
 
 def write_version(df: DataFrame, path: str, n: int | None = None,
@@ -82,7 +87,9 @@ def write_version(df: DataFrame, path: str, n: int | None = None,
     if n is None:
         vs = versions(spark, path)
         n = (vs[-1] + 1) if vs else 1
-    w = df.write.mode("overwrite")
+    # A version folder is always written whole: static overwrite, which also
+    # leaves the ``_SUCCESS`` marker that readers wait for.
+    w = df.write.mode("overwrite").option("partitionOverwriteMode", "static")
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.parquet(version_path(path, n))

@@ -25,14 +25,15 @@ CSV_READ_OPTIONS = {"header": "true", "mode": "PERMISSIVE"}
 TEXT_TIME_OPTIONS = {"timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS",
                      "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"}
 # Bumped when the layout of landing copies changes (old copies are ignored).
-LANDING_LAYOUT = "v2"
+LANDING_LAYOUT = "v3"
 
 
 def read_landing(spark: SparkSession, path: str, fmt: str,
                  schema: T.StructType | None = None, infer: bool = False,
-                 multiline: bool = False) -> DataFrame:
-    """Batch scan of a landing folder (every file in it)."""
-    reader = spark.read.format(fmt)
+                 multiline: bool = False, recursive: bool = True) -> DataFrame:
+    """Batch scan of a landing folder: every file in it, at any depth (one
+    sub-folder per delivery is common)."""
+    reader = spark.read.format(fmt).option("recursiveFileLookup", str(recursive).lower())
     if schema is not None:
         reader = reader.schema(schema)
     elif infer:
