@@ -111,6 +111,9 @@ def segment(lifetime_cents) -> F.Column:
 CUSTOMER_COLS = ["customer_id", "customer_name", "age", "age_group", "email_domain",
                  "contact_completeness"]
 ADDRESS_COLS = ["customer_id", "city", "state", "full_address"]
+SUMMARY_COLS = ["customer_id", "total_orders", "lifetime_value", "avg_order_value",
+                "last_order_date", "first_order_date", "days_since_last_order",
+                "customer_segment"] + CUSTOMER_COLS[1:] + ADDRESS_COLS[1:]
 
 
 def customer_summary(lines: DataFrame, customers: DataFrame | None = None,

@@ -55,6 +55,12 @@ def dq_addresses(spark, base):
     return dq_report(L.silver_addresses(spark, base), address_rules(), "silver_addresses", L.RUN_TIME)
 
 
+def dq_all(spark, base):
+    """The report of all three silver tables (one aggregate per table)."""
+    return dq_orders(spark, base).unionByName(dq_customers(spark, base)).unionByName(
+        dq_addresses(spark, base))
+
+
 def dq_clean(spark, base):
     return L.silver_orders_clean(spark, base).select(*SILVER_LINE_COLS)
 
@@ -108,6 +114,7 @@ def queries() -> dict[str, Query]:
         "dq_orders": dq_orders,
         "dq_customers": dq_customers,
         "dq_addresses": dq_addresses,
+        "dq_report": dq_all,
         "dq_clean": dq_clean,
         "gold_revenue_by_day": L.gold_revenue_by_day,
         "gold_product_performance": L.gold_product_performance,

@@ -230,6 +230,8 @@ from silver group by all"""
     q["dq_orders"] = _dq_sql(LINES, "silver", "silver_orders", ORDER_RULES_SQL)
     q["dq_customers"] = _dq_sql(CUSTOMERS, "silver_customers", "silver_customers", CUSTOMER_RULES_SQL)
     q["dq_addresses"] = _dq_sql(ADDRESSES, "silver_addresses", "silver_addresses", ADDRESS_RULES_SQL)
+    q["dq_report"] = "\nunion all\n".join(
+        f"select * from ({q[k]})" for k in ("dq_orders", "dq_customers", "dq_addresses"))
     q["dq_clean"] = f"with {LINES}\nselect {SILVER_LINE_COLS} from clean"
     q["gold_revenue_by_day"] = f"""with {LINES}
 select order_date, order_month, order_year,

@@ -47,6 +47,7 @@ class Refresh:
     as_of: str | None = None          # effective date; default: today
     run_time: str | None = None       # stamp of report / metrics rows
     on_null: str = "drop"             # DQ drop policy for NULL conditions
+    sources: dict[str, str] = field(default_factory=dict)  # entity -> landing folder
     metrics: list[dict] = field(default_factory=list)
 
     def __post_init__(self):
@@ -66,7 +67,8 @@ def _write(cfg: Refresh, df: DataFrame, layer: str, name: str, mode: str = "over
 
 def run_bronze(spark: SparkSession, cfg: Refresh) -> None:
     for name, (fmt, schema) in ENTITIES.items():
-        raw = read_landing(spark, f"{cfg.landing.rstrip('/')}/{name}", fmt, schema)
+        folder = cfg.sources.get(name, f"{cfg.landing.rstrip('/')}/{name}")
+        raw = read_landing(spark, folder, fmt, schema)
         _write(cfg, with_lineage(raw), "bronze", name)
 
 

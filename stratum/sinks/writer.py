@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 
 from stratum.operators.scd import scd1_apply
 from stratum.schemas import SCD2_CURRENT, WRITE_METRICS
+from stratum.sources.catalog import ensure_namespaces, is_table_name
 from stratum.sources.tables import table_exists
 
 MODES = ("append", "overwrite", "merge")
@@ -116,6 +117,8 @@ def write_table(df: DataFrame, path: str, mode: str = "append",
       columns (read back with ``read_evolving``).
     * ``merge``: type-1 upsert on ``merge_keys`` into a versioned table; a
       missing table is created.
+    ``path`` may also be a catalog name ``schema.table`` (append / overwrite,
+    stored as a parquet table; the schema is created when missing).
     Unknown modes, and ``merge`` without keys, raise ``ValueError``.
     """
     if mode not in MODES:
@@ -127,7 +130,14 @@ def write_table(df: DataFrame, path: str, mode: str = "append",
     obs = Observation(f"write_{abs(hash((path, _dt.datetime.now().isoformat())))}")
     run_time = run_time or _dt.datetime.now().strftime("%Y-%m-%d %H:%M:%S")
     try:
-        if mode == "merge":
+        if is_table_name(path):
+            if mode == "merge":
+                raise ValueError("merge writes need a folder path (versioned table)")
+            if "." in path:
+                ensure_namespaces(spark, [path.rsplit(".", 1)[0]])
+            (df.observe(obs, F.count(F.lit(1)).alias("rows")).write.mode(mode)
+             .format("parquet").partitionBy(*partition_by).saveAsTable(path))
+        elif mode == "merge":
             target = read_versioned(spark, path)
             merged = scd1_apply(target, df.observe(obs, F.count(F.lit(1)).alias("rows")),
                                 merge_keys, order_by=order_by)
@@ -140,6 +150,8 @@ def write_table(df: DataFrame, path: str, mode: str = "append",
         rows = int(obs.get.get("rows", 0))
         return dict(run_time=run_time, layer=layer, table_name=name, mode=mode,
                     status="PASS", rows=rows, message=f"Written {rows} rows -> {path} (mode={mode})")
+    except ValueError:
+        raise
     except Exception as e:  # record, then re-raise
         record = dict(run_time=run_time, layer=layer, table_name=name, mode=mode,
                       status="FAIL", rows=0, message=str(e)[:500])

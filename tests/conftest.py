@@ -11,7 +11,9 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 def spark():
     from stratum.session import local_session
 
-    s = local_session("*", shuffle_partitions=8, app="stratum-tests")
+    wh = tempfile.mkdtemp(prefix="stratum-warehouse-")
+    s = local_session("*", shuffle_partitions=8, app="stratum-tests",
+                      extra={"spark.sql.warehouse.dir": wh})
     yield s
     s.stop()
 

@@ -137,3 +137,16 @@ def test_stream_dq_sink_one_pass_and_fail(spark, tmp_dir):
                                                         os.path.join(tmp_dir, "report2")))
     assert "id_small" in str(ei.value)
     assert not any(n.startswith("batch_id=") for n in os.listdir(clean2))
+
+
+def test_catalog_tables(spark, samples):
+    from stratum.sources.catalog import list_tables, table_exists
+
+    rec = writer.write_table(samples["customers_day1"], "bronze_t.customers", "overwrite")
+    assert rec["rows"] == 10
+    assert table_exists(spark, "bronze_t.customers")
+    assert "customers" in list_tables(spark, "bronze_t")
+    writer.write_table(samples["customers_day2"], "bronze_t.customers", "append")
+    assert spark.table("bronze_t.customers").count() == 17
+    with pytest.raises(ValueError):
+        writer.write_table(samples["customers_day2"], "bronze_t.customers", "merge", merge_keys=["customer_id"])
