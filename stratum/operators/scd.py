@@ -138,38 +138,41 @@ def scd2_apply(target: DataFrame, source: DataFrame, keys: Sequence[str], track:
 
 
 def _emit(target: DataFrame, classified: DataFrame, keys: list[str], effective_date) -> DataFrame:
+    """History rows + ONE pass over the classified join emitting, per key, the
+    old image (every key with a current row; expired when changed) and/or the
+    new image (new and changed keys)."""
     day = F.lit(str(effective_date)).cast("date")
-    dim_cols = [c for c in target.columns if c not in keys]
-    data_cols = [c for c in dim_cols if c not in (SCD2_START, SCD2_END, SCD2_CURRENT)]
-    s_fields = classified.schema["s"].dataType.fieldNames()
+    bookkeeping = (SCD2_START, SCD2_END, SCD2_CURRENT)
+    t_type = classified.schema["t"].dataType
+    s_type = classified.schema["s"].dataType
+    t_fields = {f.name: f.dataType for f in t_type.fields}
+    s_fields = {f.name: f.dataType for f in s_type.fields}
+    data_cols = [c for c in t_fields if c not in bookkeeping]
+    extra_cols = [c for c in s_fields if c not in t_fields and c not in bookkeeping]
     cls = F.col(CLASS_COL)
 
-    def image(old: bool) -> Column:
-        fields = []
-        for c in data_cols:
-            if old:
-                fields.append(F.col(f"t.{c}").alias(c))
-            else:
-                fields.append((F.col(f"s.{c}") if c in s_fields else F.lit(None)).alias(c))
-        extra = [] if old else [F.col(f"s.{c}").alias(c) for c in s_fields
-                                if c not in data_cols and c not in (SCD2_START, SCD2_END, SCD2_CURRENT)]
-        if old:
-            fields += [
-                F.col(f"t.{SCD2_START}").alias(SCD2_START),
-                F.when(cls == CHANGED, day).otherwise(F.col(f"t.{SCD2_END}")).alias(SCD2_END),
-                F.when(cls == CHANGED, F.lit(False)).otherwise(F.col(f"t.{SCD2_CURRENT}")).alias(SCD2_CURRENT),
-            ]
-        else:
-            fields += [day.alias(SCD2_START), F.lit(None).cast("date").alias(SCD2_END),
-                       F.lit(True).alias(SCD2_CURRENT)]
-        return F.struct(*(fields + extra))
-
-    out_old = classified.filter(cls != NEW).select(*keys, image(True).alias("__r")).select(*keys, "__r.*")
-    out_new = (classified.filter(cls.isin(NEW, CHANGED))
-               .select(*keys, image(False).alias("__r")).select(*keys, "__r.*"))
+    old = F.struct(
+        *[F.col(f"t.{c}").alias(c) for c in data_cols],
+        *[F.lit(None).cast(s_fields[c]).alias(c) for c in extra_cols],
+        F.col(f"t.{SCD2_START}").alias(SCD2_START),
+        F.when(cls == CHANGED, day).otherwise(F.col(f"t.{SCD2_END}")).alias(SCD2_END),
+        F.when(cls == CHANGED, F.lit(False)).otherwise(F.col(f"t.{SCD2_CURRENT}")).alias(SCD2_CURRENT),
+    )
+    new = F.struct(
+        *[(F.col(f"s.{c}").cast(t_fields[c]) if c in s_fields else F.lit(None).cast(t_fields[c])).alias(c)
+          for c in data_cols],
+        *[F.col(f"s.{c}").alias(c) for c in extra_cols],
+        day.alias(SCD2_START),
+        F.lit(None).cast("date").alias(SCD2_END),
+        F.lit(True).alias(SCD2_CURRENT),
+    )
+    images = F.filter(
+        F.array(F.when(cls != NEW, old), F.when(cls.isin(NEW, CHANGED), new)),
+        lambda x: x.isNotNull(),
+    )
+    out = classified.select(*keys, F.explode(images).alias("__r")).select(*keys, "__r.*")
     history = target.filter(~F.col(SCD2_CURRENT))
-    return (history.unionByName(out_old, allowMissingColumns=True)
-            .unionByName(out_new, allowMissingColumns=True))
+    return history.unionByName(out, allowMissingColumns=True)
 
 
 def scd2_metrics(classified: DataFrame) -> DataFrame:
