@@ -134,10 +134,10 @@ def scd2_apply(target: DataFrame, source: DataFrame, keys: Sequence[str], track:
     """
     keys = list(keys)
     classified = scd2_classify(target, source, keys, track, order_by, null_safe)
-    return _emit(target, classified, keys, effective_date)
+    return emit_changes(target, classified, keys, effective_date)
 
 
-def _emit(target: DataFrame, classified: DataFrame, keys: list[str], effective_date) -> DataFrame:
+def emit_changes(target: DataFrame, classified: DataFrame, keys: list[str], effective_date) -> DataFrame:
     """History rows + ONE pass over the classified join emitting, per key, the
     old image (every key with a current row; expired when changed) and/or the
     new image (new and changed keys)."""

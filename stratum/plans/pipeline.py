@@ -3,8 +3,8 @@
 landing (JSON orders / customers, CSV addresses)
   -> bronze (all landing files + lineage columns, overwrite)
   -> silver (cleaned; rules evaluated in one aggregate each; report appended)
-  -> dimensions (type-1 customers merged, type-2 addresses applied; versioned,
-     the type-2 table partitioned by ``is_current``)
+  -> dimensions (type-1 customers merged into a versioned table; type-2
+     addresses applied to current rows + append-only history)
   -> gold (five marts, overwrite)
 
 Every step is a Spark job over whole tables; the functions only call each
@@ -20,12 +20,11 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from stratum.operators import marts, scd
-from stratum.operators.quality import run_quality_checks
+from stratum.operators import marts
 from stratum.operators.silver import clean_addresses, clean_customers, clean_orders
 from stratum.plans.rules import address_rules, customer_rules, order_rules
-from stratum.schemas import ADDRESSES_RAW, CUSTOMERS_RAW, ORDERS_RAW, SCD2_CURRENT
-from stratum.sinks import writer
+from stratum.schemas import ADDRESSES_RAW, CUSTOMERS_RAW, ORDERS_RAW
+from stratum.sinks import scd2_table, writer
 from stratum.sources.landing import read_landing, with_lineage
 
 CUSTOMER_KEY = ["customer_id"]
@@ -88,8 +87,11 @@ def run_silver(spark: SparkSession, cfg: Refresh) -> None:
     ]
     for name, df, rules, label in steps:
         df = df.withColumn("_processed_at", F.current_timestamp())
-        res = run_quality_checks(df, rules, label, cfg.run_time, cfg.on_null, _report_sink(cfg))
-        _write(cfg, res.clean, "silver", name)
+        # one pass: rule counts observed on the write, published only if no
+        # ``fail`` rule fired
+        cfg.metrics.append(writer.write_checked(
+            df, rules, label, cfg.table("silver", name), run_time=cfg.run_time,
+            on_null=cfg.on_null, report_sink=_report_sink(cfg), layer="silver"))
 
 
 def run_dimensions(spark: SparkSession, cfg: Refresh) -> None:
@@ -99,15 +101,9 @@ def run_dimensions(spark: SparkSession, cfg: Refresh) -> None:
 
     addresses = spark.read.parquet(cfg.table("silver", "addresses"))
     path = cfg.table("silver", "dim_addresses")
-    target = writer.read_versioned(spark, path)
-    order = ["created_date", "_ingested_at"]
-    if target is None:
-        dim = scd.scd2_initial(addresses, CUSTOMER_KEY, cfg.as_of, order)
-    else:
-        dim = scd.scd2_apply(target, addresses, CUSTOMER_KEY, ADDRESS_TRACK, cfg.as_of, order)
     obs = Observation(f"scd2_{_dt.datetime.now().timestamp()}")
-    n = writer.write_version(dim.observe(obs, F.count(F.lit(1)).alias("rows")), path,
-                             partition_by=[SCD2_CURRENT])
+    n = scd2_table.apply(spark, path, addresses, CUSTOMER_KEY, ADDRESS_TRACK, cfg.as_of,
+                         order_by=["created_date", "_ingested_at"], observation=obs)
     rows = int(obs.get.get("rows", 0))
     cfg.metrics.append(dict(run_time=cfg.run_time, layer="silver", table_name="dim_addresses",
                             mode="scd2", status="PASS", rows=rows,
@@ -117,7 +113,7 @@ def run_dimensions(spark: SparkSession, cfg: Refresh) -> None:
 def run_gold(spark: SparkSession, cfg: Refresh) -> None:
     lines = spark.read.parquet(cfg.table("silver", "orders"))
     customers = writer.read_versioned(spark, cfg.table("silver", "dim_customers"))
-    addresses = scd.scd2_current(writer.read_versioned(spark, cfg.table("silver", "dim_addresses")))
+    addresses = scd2_table.read_current(spark, cfg.table("silver", "dim_addresses"))
     _write(cfg, marts.revenue_by_day(lines), "gold", "revenue_by_day")
     _write(cfg, marts.product_performance(lines), "gold", "product_performance")
     _write(cfg, marts.status_funnel(lines), "gold", "order_status_funnel")

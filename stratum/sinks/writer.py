@@ -15,6 +15,7 @@ from __future__ import annotations
 
 import datetime as _dt
 import re
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -158,6 +159,52 @@ def write_table(df: DataFrame, path: str, mode: str = "append",
         raise WriteFailed(record) from e
 
 
+def write_checked(df: DataFrame, rules, table_name: str, path: str, *,
+                  run_time: str | None = None, on_null: str = "drop", report_sink=None,
+                  partition_by: Sequence[str] = (), layer: str = "") -> dict:
+    """Evaluate DQ rules and overwrite ``path`` with the clean rows in ONE pass.
+
+    The rule counts are an ``Observation`` on the write (placed before the
+    drop filter, so every rule sees all rows); the rows go to a hidden staging
+    folder next to the table and are published (renamed into place) only when
+    no ``fail`` rule fired.  On a failure the report rows up to that rule are
+    handed to ``report_sink``, the staging folder is removed and
+    ``DQFailure`` is raised: readers never see the rejected data.
+    """
+    from stratum.operators.quality import (
+        DQFailure, apply_expectations, counts_of, first_failure, report_rows, rows_frame,
+        rule_aggregates)
+
+    spark = df.sparkSession
+    run_time = run_time or _dt.datetime.now().strftime("%Y-%m-%d %H:%M:%S")
+    tag = uuid.uuid4().hex[:12]
+    checks, written = Observation(f"dq_{tag}"), Observation(f"rows_{tag}")
+    observed = df.observe(checks, *rule_aggregates(rules))
+    clean = apply_expectations(observed, rules, on_null).observe(
+        written, F.count(F.lit(1)).alias("rows"))
+    parent, name = path.rstrip("/").rsplit("/", 1)
+    staged = f"{parent}/_staging/{name}-{tag}"
+    w = clean.write.mode("overwrite").option("partitionOverwriteMode", "static")
+    if partition_by:
+        w = w.partitionBy(*partition_by)
+    w.parquet(staged)
+    counts = counts_of(checks.get, rules)
+    rows = report_rows(rules, counts, table_name, run_time)
+    bad = first_failure(rules, counts)
+    if bad is not None:
+        rows = rows[: bad + 1]
+    if report_sink is not None:
+        report_sink(rows_frame(spark, rows))
+    if bad is not None:
+        fs, p = _fs(spark, staged)
+        fs.delete(p, True)
+        raise DQFailure(table_name, rules[bad], counts[rules[bad].name][1], rows)
+    publish(spark, staged, path)
+    n = int(written.get.get("rows", 0))
+    return dict(run_time=run_time, layer=layer, table_name=name, mode="overwrite",
+                status="PASS", rows=n, message=f"Written {n} rows -> {path} (checked)")
+
+
 class WriteFailed(Exception):
     def __init__(self, record: dict):
         super().__init__(record["message"])

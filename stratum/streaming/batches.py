@@ -25,7 +25,7 @@ from stratum.operators.quality import (
     rows_frame,
     rule_aggregates,
 )
-from stratum.operators.scd import latest_per_key, scd1_apply, scd2_history
+from stratum.operators.scd import scd1_apply, scd2_history
 from stratum.sinks.writer import publish, read_versioned, versions, write_version
 
 BatchFn = Callable[[DataFrame, int], None]

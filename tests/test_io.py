@@ -150,3 +150,19 @@ def test_catalog_tables(spark, samples):
     assert spark.table("bronze_t.customers").count() == 17
     with pytest.raises(ValueError):
         writer.write_table(samples["customers_day2"], "bronze_t.customers", "merge", merge_keys=["customer_id"])
+
+
+def test_write_checked_one_pass_and_fail(spark, tmp_dir):
+    from stratum.operators.quality import DQFailure, Rule
+
+    df = spark.createDataFrame([(1, "a"), (2, None), (3, "c")], "id long, s string")
+    reports = []
+    path = os.path.join(tmp_dir, "silver", "t")
+    rec = writer.write_checked(df, [Rule("s_nn", F.col("s").isNotNull(), "drop"),
+                                    Rule("id_pos", "id > 0", "fail")], "t", path,
+                               report_sink=lambda r: reports.append(r.collect()))
+    assert rec["rows"] == 2 and spark.read.parquet(path).count() == 2
+    assert {r.rule_name: r.fail_count for r in reports[0]} == {"s_nn": 1, "id_pos": 0}
+    with pytest.raises(DQFailure):
+        writer.write_checked(df, [Rule("id_small", F.col("id") < 3, "fail")], "t", path)
+    assert spark.read.parquet(path).count() == 2  # the earlier table is untouched
