@@ -21,6 +21,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from stratum.operators import marts
+from stratum.operators.quality import DQFailure
 from stratum.operators.silver import clean_addresses, clean_customers, clean_orders
 from stratum.plans.rules import address_rules, customer_rules, order_rules
 from stratum.schemas import ADDRESSES_RAW, CUSTOMERS_RAW, ORDERS_RAW
@@ -60,8 +61,17 @@ class Refresh:
 
 def _write(cfg: Refresh, df: DataFrame, layer: str, name: str, mode: str = "overwrite",
            **kw) -> None:
-    cfg.metrics.append(writer.write_table(df, cfg.table(layer, name), mode, layer=layer,
-                                          table_name=name, run_time=cfg.run_time, **kw))
+    try:
+        cfg.metrics.append(writer.write_table(df, cfg.table(layer, name), mode, layer=layer,
+                                              table_name=name, run_time=cfg.run_time, **kw))
+    except writer.WriteFailed as e:
+        cfg.metrics.append(e.record)
+        raise
+
+
+def _failed(cfg: Refresh, layer: str, name: str, err: Exception) -> None:
+    cfg.metrics.append(dict(run_time=cfg.run_time, layer=layer, table_name=name, mode="overwrite",
+                            status="FAIL", rows=0, message=str(err)[:500]))
 
 
 def run_bronze(spark: SparkSession, cfg: Refresh) -> None:
@@ -89,9 +99,13 @@ def run_silver(spark: SparkSession, cfg: Refresh) -> None:
         df = df.withColumn("_processed_at", F.current_timestamp())
         # one pass: rule counts observed on the write, published only if no
         # ``fail`` rule fired
-        cfg.metrics.append(writer.write_checked(
-            df, rules, label, cfg.table("silver", name), run_time=cfg.run_time,
-            on_null=cfg.on_null, report_sink=_report_sink(cfg), layer="silver"))
+        try:
+            cfg.metrics.append(writer.write_checked(
+                df, rules, label, cfg.table("silver", name), run_time=cfg.run_time,
+                on_null=cfg.on_null, report_sink=_report_sink(cfg), layer="silver"))
+        except DQFailure as e:
+            _failed(cfg, "silver", name, e)
+            raise
 
 
 def run_dimensions(spark: SparkSession, cfg: Refresh) -> None:

@@ -57,17 +57,21 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared folder named by ``spark.checkpoint.dir``.
 
     On a cluster this setting names a shared, durable folder and is only read.
-    When it is unset (a bare local test session) a private folder is made.
+    When it is unset (a bare local test session) a private folder is made and
+    registered with ``setCheckpointDir`` (the setting itself cannot change at
+    runtime).
     """
+    sc = spark.sparkContext
     base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        base = spark.sparkContext.getCheckpointDir()
-    if not base:
-        base = tempfile.mkdtemp(prefix="stratum-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", base)
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(base)
-    return base.rstrip("/")
+    if base:
+        if sc.getCheckpointDir() is None:
+            sc.setCheckpointDir(base)
+        return base.rstrip("/")
+    current = sc.getCheckpointDir()
+    if current:
+        return current.rstrip("/")
+    sc.setCheckpointDir(tempfile.mkdtemp(prefix="stratum-ckpt-"))
+    return sc.getCheckpointDir().rstrip("/")
 
 
 def work_path(spark: SparkSession, *parts: str, unique: bool = False) -> str:

@@ -48,3 +48,26 @@ def test_two_day_refresh(spark, samples, tmp_dir):
     assert latest[("silver_orders", "valid_order_status")] == (16, 2)
     assert latest[("silver_addresses", "valid_state_format")] == (12, 4)
     assert spark.read.parquet(f"{wh}/_metrics").count() == 2 * len(m2)
+
+
+def test_refresh_stops_on_fail_rule(spark, samples, tmp_dir):
+    import pytest
+    from pyspark.sql import functions as F
+
+    from stratum.operators.quality import DQFailure
+    from stratum.schemas import ORDERS_RAW
+
+    landing, wh = os.path.join(tmp_dir, "landing"), os.path.join(tmp_dir, "wh")
+    _land(samples, landing, 1)
+    item = dict(item_id=1, name="x", category="y", price=1.0, quantity=1)
+    bad = spark.createDataFrame([(None, 1001, "2024-10-01 00:00:00", "PayPal", [item], "Pending")],
+                                ORDERS_RAW)
+    write_landing(bad, f"{landing}/orders/bad", "json", files=1)
+    with pytest.raises(DQFailure):
+        full_refresh(spark, Refresh(landing, wh, as_of="2024-10-01", run_time="r1"))
+    m = spark.read.parquet(f"{wh}/_metrics")
+    failed = m.filter(F.col("status") == "FAIL").collect()
+    assert [(r.layer, r.table_name) for r in failed] == [("silver", "orders")]
+    assert not os.path.exists(f"{wh}/silver/orders")  # nothing published
+    rep = spark.read.parquet(f"{wh}/gold/dq_report").collect()
+    assert [r.rule_name for r in rep] == ["order_id_not_null"]
