@@ -168,12 +168,12 @@ def stream_scd2(spark: SparkSession, base: str) -> DataFrame:
     return hist.drop("ts")
 
 
-# ---------------------------------------------------------------- pipeline
-def pipeline_customer_summary(spark: SparkSession, base: str) -> DataFrame:
+# ------------------------------------------------------------ full refresh
+def refresh_customer_summary(spark: SparkSession, base: str) -> DataFrame:
     """Full refresh (landing -> bronze -> silver -> dims -> gold) over the
     derived landing files; returns the stored gold customer summary."""
     from stratum.operators.marts import SUMMARY_COLS
-    from stratum.plans.pipeline import Refresh, full_refresh
+    from stratum.plans.refresh import Refresh, full_refresh
 
     cfg = Refresh(landing="", warehouse=work_path(spark, "warehouse", unique=True),
                   as_of=L.AS_OF, run_time=L.RUN_TIME,
@@ -198,7 +198,7 @@ def queries() -> dict:
         "stream_dq_report": stream_dq_report,
         "stream_scd1": stream_scd1,
         "stream_scd2": stream_scd2,
-        "pipeline_customer_summary": pipeline_customer_summary,
+        "refresh_customer_summary": refresh_customer_summary,
     }
 
 
@@ -225,5 +225,5 @@ select 'silver_addresses', 'overwrite', 'PASS', count(*) from customer""",
   select *, row_number() over (partition by user_id order by ts desc, event_id desc) as rn
   from events) where rn = 1""",
         "stream_scd2": core["scd2_history"],
-        "pipeline_customer_summary": core["gold_customer_summary"],
+        "refresh_customer_summary": core["gold_customer_summary"],
     }

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import os
 
-from stratum.plans.pipeline import Refresh, full_refresh
+from stratum.plans.refresh import Refresh, full_refresh
 from stratum.sinks import writer
 from stratum.sources.landing import write_landing
 
