@@ -20,7 +20,7 @@ from stratum.sources import derive
 AS_OF = "2025-01-15"
 RUN_TIME = "2025-01-15 00:00:00"
 # Effective dates of the two event snapshots (first half, second half).
-EFFECTIVE_FIRST = "2024-01-16"
+EFFECTIVE_FIRST = "2024-01-02"
 EFFECTIVE_SECOND = "2024-01-31"
 
 CUSTOMER_KEY = ["customer_id"]

@@ -37,7 +37,7 @@ CUSTOMER_CREATED = "2024-10-01"
 BIRTH_BASE = "1959-01-01"
 BIRTH_SPAN_DAYS = 18000
 # Split of the event stream into the first snapshot and the later changes.
-EVENT_SPLIT = "2024-01-16 00:00:00"
+EVENT_SPLIT = "2024-01-02 00:00:00"
 
 
 def _mapping(col: Column, mapping: dict, default=None) -> Column:
