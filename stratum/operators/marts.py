@@ -84,9 +84,10 @@ def status_funnel(lines: DataFrame) -> DataFrame:
     """
     grouped = lines.groupBy("order_status").agg(F.count_distinct("order_id").alias("order_count"))
     total = grouped.select(F.sum("order_count")).scalar()
-    return grouped.select(
+    # bind the scalar once; the percentage expression refers to it repeatedly
+    return grouped.withColumn("_total", total).select(
         "order_status", "order_count",
-        percent_1dp(F.col("order_count"), total).alias("pct_of_total"),
+        percent_1dp(F.col("order_count"), F.col("_total")).alias("pct_of_total"),
     )
 
 
