@@ -119,3 +119,24 @@ def test_dq_empty_frame(spark):
 def test_rule_rejects_unknown_action():
     with pytest.raises(ValueError):
         Rule("x", "true", "explode")
+
+
+def test_money_matches_decimal_half_up(spark):
+    from decimal import ROUND_HALF_UP, Decimal
+
+    from hypothesis import given, settings
+    from hypothesis import strategies as st
+
+    pairs = st.lists(st.tuples(st.integers(-10**15, 10**15), st.integers(1, 10**6)),
+                     min_size=1, max_size=200)
+
+    @settings(max_examples=5, deadline=None)
+    @given(pairs)
+    def check(rows):
+        df = spark.createDataFrame(rows, "n long, d long")
+        got = [r.q for r in df.select(div_half_up("n", "d").alias("q")).collect()]
+        want = [int((Decimal(n) / Decimal(d)).quantize(Decimal(1), rounding=ROUND_HALF_UP))
+                for n, d in rows]
+        assert got == want
+
+    check()
