@@ -114,3 +114,14 @@ def test_dimensions_and_customer_summary(samples):
     r1001 = summary.filter("customer_id = 1001").first()
     assert r1001.city == "Shelleyland" and r1001.state == "RHODE ISLAND"
     assert r1001.days_since_last_order == (dt.date(2025, 1, 15) - dt.date(2024, 10, 28)).days
+
+
+def test_marts_from_order_totals_equal_marts_from_lines(samples):
+    lines = _clean_lines(samples)
+    orders = marts.order_totals(lines)
+    assert orders.count() == 14
+    for mart in (marts.revenue_by_day, marts.status_funnel, marts.payment_mix,
+                 marts.customer_summary):
+        a = sorted(tuple(r) for r in mart(lines).collect())
+        b = sorted(tuple(r) for r in mart(orders).collect())
+        assert a == b, mart.__name__
