@@ -22,7 +22,7 @@ from stratum.sinks import writer
 from stratum.sources import derive
 from stratum.sources.landing import landing_copy, read_landing, with_lineage
 from stratum.streaming import batches
-from stratum.streaming.ingest import run_available_now, stream_landing
+from stratum.streaming.ingest import ingest_entities, run_available_now, stream_landing
 
 LANDING_FILES = 8
 # Landing files of the order stream, and files per micro-batch: a batch
@@ -119,6 +119,24 @@ def stream_ingest(spark: SparkSession, base: str) -> DataFrame:
     return spark.read.parquet(f"{root}/data").select(*EVENTS.fieldNames())
 
 
+def stream_bronze_counts(spark: SparkSession, base: str) -> DataFrame:
+    """The three landing entities streamed into bronze tables; rows per table."""
+    root = work_path(spark, "stream_bronze", unique=True)
+    tables = ingest_entities(spark, {
+        "orders_raw": (_orders_json(spark, base), "json", ORDERS_RAW),
+        "customers_raw": (_customers_json(spark, base), "json", CUSTOMERS_RAW),
+        "addresses_raw": (_addresses_csv(spark, base), "csv", ADDRESSES_RAW),
+    }, f"{root}/bronze", f"{root}/_checkpoints", max_files_per_trigger=ORDER_FILES_PER_BATCH)
+    counts = [spark.read.parquet(p).agg(F.count(F.lit(1)).alias("n_rows"),
+                                        F.count("_source_file").alias("n_tagged"))
+              .select(F.lit(name).alias("table_name"), "n_rows", "n_tagged")
+              for name, p in tables.items()]
+    out = counts[0]
+    for c in counts[1:]:
+        out = out.unionByName(c)
+    return out
+
+
 def _orders_dq_stream(spark: SparkSession, base: str) -> str:
     src = stream_landing(spark, _orders_json(spark, base), "json", ORDERS_RAW,
                          max_files_per_trigger=ORDER_FILES_PER_BATCH)
@@ -194,6 +212,7 @@ def queries() -> dict:
         "write_metrics": write_metrics,
         "write_merge": write_merge,
         "stream_ingest": stream_ingest,
+        "stream_bronze_counts": stream_bronze_counts,
         "stream_dq": stream_dq,
         "stream_dq_report": stream_dq_report,
         "stream_scd1": stream_scd1,
@@ -219,6 +238,10 @@ union all
 select 'silver_addresses', 'overwrite', 'PASS', count(*) from customer""",
         "write_merge": core["scd1_upsert"],
         "stream_ingest": "select event_id, ts, user_id, event_type, value, props from events",
+        "stream_bronze_counts": """select 'orders_raw' as table_name, count(*) as n_rows,
+  count(*) as n_tagged from orders
+union all select 'customers_raw', count(*), count(*) from customer
+union all select 'addresses_raw', count(*), count(*) from customer""",
         "stream_dq": core["dq_clean"],
         "stream_dq_report": O.dq_orders_totals_sql(),
         "stream_scd1": """select user_id, event_id, event_type, value from (

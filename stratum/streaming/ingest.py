@@ -47,3 +47,24 @@ def run_available_now(stream: DataFrame, checkpoint: str, sink_path: str | None
             q.stop()
     if q.exception() is not None:
         raise RuntimeError(f"stream failed: {q.exception()}")
+
+
+def ingest_entities(spark: SparkSession, sources: dict[str, tuple[str, str, T.StructType]],
+                    bronze_root: str, checkpoint_root: str,
+                    max_files_per_trigger: int | None = None) -> dict[str, str]:
+    """Incremental bronze ingestion of several landing entities.
+
+    ``sources`` maps a table name to (landing folder, format, schema).  Each
+    entity runs its own availableNow stream (lineage columns added) into
+    ``<bronze_root>/<name>`` with its own checkpoint; a rerun ingests only
+    files that arrived since the previous run.  Returns name -> table path.
+    """
+    from stratum.sources.landing import with_lineage
+
+    out = {}
+    for name, (folder, fmt, schema) in sources.items():
+        stream = stream_landing(spark, folder, fmt, schema, max_files_per_trigger)
+        path = f"{bronze_root.rstrip('/')}/{name}"
+        run_available_now(with_lineage(stream), f"{checkpoint_root.rstrip('/')}/{name}", path)
+        out[name] = path
+    return out
