@@ -172,23 +172,30 @@ def write_checked(df: DataFrame, rules, table_name: str, path: str, *,
     ``DQFailure`` is raised: readers never see the rejected data.
     """
     from stratum.operators.quality import (
-        DQFailure, apply_expectations, counts_of, first_failure, report_rows, rows_frame,
-        rule_aggregates)
+        DQFailure, apply_expectations, counts_of, expect_all, first_failure, report_rows,
+        rows_frame, rule_aggregates)
 
     spark = df.sparkSession
     run_time = run_time or _dt.datetime.now().strftime("%Y-%m-%d %H:%M:%S")
     tag = uuid.uuid4().hex[:12]
     checks, written = Observation(f"dq_{tag}"), Observation(f"rows_{tag}")
-    observed = df.observe(checks, *rule_aggregates(rules))
-    clean = apply_expectations(observed, rules, on_null).observe(
-        written, F.count(F.lit(1)).alias("rows"))
+    if on_null == "reference":
+        # This policy filters a rule only when it has true failures, so the
+        # counts must be known before the filter: one aggregate job first.
+        known = counts_of(expect_all(df, rules).first(), rules)
+        failing = {name for name, (_, f, _) in known.items() if f > 0}
+        clean = apply_expectations(df, rules, on_null, failing=failing)
+    else:
+        known = None
+        clean = apply_expectations(df.observe(checks, *rule_aggregates(rules)), rules, on_null)
+    clean = clean.observe(written, F.count(F.lit(1)).alias("rows"))
     parent, name = path.rstrip("/").rsplit("/", 1)
     staged = f"{parent}/_staging/{name}-{tag}"
     w = clean.write.mode("overwrite").option("partitionOverwriteMode", "static")
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.parquet(staged)
-    counts = counts_of(checks.get, rules)
+    counts = known if known is not None else counts_of(checks.get, rules)
     rows = report_rows(rules, counts, table_name, run_time)
     bad = first_failure(rules, counts)
     if bad is not None:

@@ -20,6 +20,7 @@ from stratum.operators.quality import (
     Rule,
     apply_expectations,
     counts_of,
+    expect_all,
     first_failure,
     report_rows,
     rows_frame,
@@ -51,10 +52,17 @@ def dq_sink(rules: Sequence[Rule], table_name: str, clean_path: str, report_path
         spark = batch.sparkSession
         df = transform(batch) if transform else batch
         obs = Observation(f"dq_{table_name}_{batch_id}_{uuid.uuid4().hex[:8]}")
-        observed = df.observe(obs, *rule_aggregates(rules))
         staged = f"{clean_path.rstrip('/')}/_staging/batch_id={batch_id}"
-        apply_expectations(observed, rules, on_null).write.mode("overwrite").parquet(staged)
-        counts = counts_of(obs.get, rules)
+        if on_null == "reference":
+            # filters depend on the counts: one aggregate job first
+            counts = counts_of(expect_all(df, rules).first(), rules)
+            failing = {n for n, (_, f, _) in counts.items() if f > 0}
+            apply_expectations(df, rules, on_null, failing=failing) \
+                .write.mode("overwrite").parquet(staged)
+        else:
+            observed = df.observe(obs, *rule_aggregates(rules))
+            apply_expectations(observed, rules, on_null).write.mode("overwrite").parquet(staged)
+            counts = counts_of(obs.get, rules)
         stamp = run_time or _dt.datetime.now().strftime("%Y-%m-%d %H:%M:%S")
         rows = report_rows(rules, counts, table_name, stamp)
         bad = first_failure(rules, counts)

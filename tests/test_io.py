@@ -198,3 +198,16 @@ def test_bronze_stream_ingest_day_counts(spark, samples, tmp_dir):
     assert counts() == {"orders_raw": 16, "customers_raw": 17, "addresses_raw": 16}
     src = spark.read.parquet(f"{bronze}/addresses_raw").filter("customer_id = 1006").collect()
     assert sorted(r.postcode for r in src) == ["02638", "06133"]  # text postcodes survive
+
+
+def test_write_checked_reference_null_policy(spark, tmp_dir):
+    from stratum.operators.quality import Rule
+
+    df = spark.createDataFrame([(1,), (None,), (5,)], "id long")
+    p1, p2 = os.path.join(tmp_dir, "a", "t"), os.path.join(tmp_dir, "b", "t")
+    # a true failure exists: NULL-condition rows go too
+    writer.write_checked(df, [Rule("small", F.col("id") < 3, "drop")], "t", p1, on_null="reference")
+    assert sorted(r.id for r in spark.read.parquet(p1).collect()) == [1]
+    # no true failure: nothing is dropped, not even the NULL-condition row
+    writer.write_checked(df, [Rule("pos", F.col("id") > 0, "drop")], "t", p2, on_null="reference")
+    assert spark.read.parquet(p2).count() == 3
