@@ -8,6 +8,7 @@ changes types between runs (a postcode ``06133`` would become 6133).
 from __future__ import annotations
 
 import hashlib
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -25,7 +26,7 @@ CSV_READ_OPTIONS = {"header": "true", "mode": "PERMISSIVE"}
 TEXT_TIME_OPTIONS = {"timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS",
                      "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"}
 # Bumped when the layout of landing copies changes (old copies are ignored).
-LANDING_LAYOUT = "v3"
+LANDING_LAYOUT = "v4"
 
 
 def read_landing(spark: SparkSession, path: str, fmt: str,
@@ -84,6 +85,15 @@ def landing_copy(spark: SparkSession, base: str, entity: str, df: DataFrame, fmt
     """
     key = hashlib.sha1(base.rstrip("/").encode()).hexdigest()[:12]
     path = work_path(spark, "landing", LANDING_LAYOUT, key, f"{entity}.{fmt}")
-    if not table_exists(spark, f"{path}/_SUCCESS"):
-        write_landing(df, path, fmt, files)
+    if table_exists(spark, f"{path}/_SUCCESS"):
+        return path
+    # Write aside, then move into place unless a concurrent writer won: a
+    # reader never sees a half-written copy, and two writers never share files.
+    tmp = f"{path}.tmp-{uuid.uuid4().hex[:12]}"
+    write_landing(df, tmp, fmt, files)
+    jvm = spark.sparkContext._jvm
+    dst = jvm.org.apache.hadoop.fs.Path(path)
+    fs = dst.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(dst):
+        fs.rename(jvm.org.apache.hadoop.fs.Path(tmp), dst)
     return path
