@@ -99,7 +99,8 @@ def first_failure(rules: Sequence[Rule], counts: dict) -> int | None:
     return None
 
 
-def _rate(p: Column, f: Column) -> Column:
+def pass_rate_expr(p: Column, f: Column) -> Column:
+    """``round(pass / (pass + fail) * 100, 1)`` half-up; 100.0 when both are 0."""
     return F.when((p + f) == 0, F.lit(100.0)).otherwise(percent_1dp(p, p + f))
 
 
@@ -119,7 +120,7 @@ def dq_report(df: DataFrame, rules: Sequence[Rule], table_name: str,
             p.cast("bigint").alias("pass_count"),
             f.cast("bigint").alias("fail_count"),
             n.cast("bigint").alias("null_count"),
-            _rate(p, f).alias("pass_rate"),
+            pass_rate_expr(p, f).alias("pass_rate"),
         ))
     return counts.select(F.inline(F.array(*rows)))
 

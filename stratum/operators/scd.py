@@ -44,12 +44,16 @@ def latest_per_key(df: DataFrame, keys: Sequence[str], order_by: Sequence[str |
     Ties on ``order_by`` are broken by the remaining columns, so the result is
     deterministic.  Rows whose key is null form their own group (like
     ``groupBy``).  ``latest=False`` picks the smallest tuple instead.
+
+    Spark plans ``max_by`` over a struct as a sort-based aggregate (there is no
+    fixed-width hash buffer for a struct); it is still partial, so each map
+    task sends at most one row per key to the shuffle.
     """
     keys = list(keys)
     rest = [c for c in df.columns if c not in keys]
     if not rest:
         return df.select(*keys).distinct()
-    order = F.struct(*_cols(order_by), *[F.col(c) for c in rest]) if order_by else F.struct(*[F.col(c) for c in rest])
+    order = F.struct(*_cols(order_by), *[F.col(c) for c in rest])
     value = F.struct(*[F.col(c) for c in rest])
     pick = F.max_by if latest else F.min_by
     return df.groupBy(*keys).agg(pick(value, order).alias("__row")).select(*keys, "__row.*")
@@ -107,13 +111,13 @@ def scd2_classify(target: DataFrame, source: DataFrame, keys: Sequence[str],
     klass = (
         F.when(F.col("__t").isNull(), F.lit(NEW))
         .when(F.col("__s").isNull(), F.lit(MISSING))
-        .when(_changed_flat(track, flat_t, flat_s, null_safe), F.lit(CHANGED))
+        .when(_changed(track, flat_t, flat_s, null_safe), F.lit(CHANGED))
         .otherwise(F.lit(UNCHANGED))
     )
     return j.select(*keys, klass.alias(CLASS_COL), "t", "s")
 
 
-def _changed_flat(track, flat_t, flat_s, null_safe) -> Column:
+def _changed(track, flat_t, flat_s, null_safe) -> Column:
     cond = None
     for c in track:
         t, s = flat_t[c], flat_s[c]
