@@ -30,6 +30,7 @@ LANDING_FILES = 8
 # should hold at least as many files as there are cores to fill.
 ORDER_STREAM_FILES = 32
 ORDER_FILES_PER_BATCH = 16
+EVENT_FILES = 32
 EVENT_FILES_PER_BATCH = 8
 
 
@@ -50,8 +51,10 @@ def _orders_json(spark, base) -> str:
 
 def _events_json(spark, base) -> str:
     ev = derive.events(spark, base)
-    # One file per day of events: the stream sees the days as separate files.
-    return landing_copy(spark, base, "events", ev.repartition(F.to_date("ts")), "json")
+    # Files cut by time range (sampled bounds): balanced even when one day
+    # holds most events, and in time order, so the stream sees time slices.
+    files = ev.repartitionByRange(EVENT_FILES, "ts", "event_id")
+    return landing_copy(spark, base, "events", files, "json")
 
 
 # ------------------------------------------------------------- batch scans

@@ -26,7 +26,7 @@ CSV_READ_OPTIONS = {"header": "true", "mode": "PERMISSIVE"}
 TEXT_TIME_OPTIONS = {"timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS",
                      "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"}
 # Bumped when the layout of landing copies changes (old copies are ignored).
-LANDING_LAYOUT = "v4"
+LANDING_LAYOUT = "v5"
 
 
 def read_landing(spark: SparkSession, path: str, fmt: str,
