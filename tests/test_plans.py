@@ -111,3 +111,18 @@ def test_filters_and_columns_reach_the_scan(spark):
     # below the explode
     scan = [line for line in p.splitlines() if "FileScan parquet" in line][0]
     assert "customer_id" not in scan and "order_timestamp" not in scan
+
+
+def test_scd2_history_intervals_are_contiguous(spark):
+    ev = _events(spark).withColumn("day", F.to_date("ts"))
+    hist = scd.scd2_history(ev, ["user_id"], ["event_type"], "day", ["ts", "event_id"]).collect()
+    by_key = {}
+    for r in hist:
+        by_key.setdefault(r.user_id, []).append(r)
+    for rows in by_key.values():
+        rows.sort(key=lambda r: r.effective_start)
+        assert sum(r.is_current for r in rows) == 1 and rows[-1].is_current
+        assert rows[-1].effective_end is None
+        for a, b in zip(rows, rows[1:]):
+            assert a.effective_end == b.effective_start  # [start, end) intervals meet
+            assert a.effective_start < a.effective_end
