@@ -19,6 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stratum.functions.money import percent_1dp
+from stratum.schemas import DQ_REPORT
 
 ACTIONS = ("warn", "drop", "fail")
 ON_NULL = ("drop", "keep", "reference")
@@ -157,7 +158,7 @@ def apply_expectations(df: DataFrame, rules: Sequence[Rule], on_null: str = "dro
 
 def report_rows(rules: Sequence[Rule], counts: dict, table_name: str, run_time: str) -> list[dict]:
     out = []
-    for i, r in enumerate(rules):
+    for r in rules:
         p, f, n = counts[r.name]
         rate = 100.0 if p + f == 0 else (2000 * p + (p + f)) // (2 * (p + f)) / 10.0
         out.append(dict(run_time=run_time, table_name=table_name, rule_name=r.name,
@@ -204,7 +205,5 @@ def run_quality_checks(df: DataFrame, rules: Sequence[Rule], table_name: str,
 
 def rows_frame(spark, rows: list[dict]) -> DataFrame:
     """Report rows (one per rule, a handful) as a DataFrame."""
-    from stratum.schemas import DQ_REPORT
-
     ordered = [tuple(r[f.name] for f in DQ_REPORT.fields) for r in rows]
     return spark.createDataFrame(ordered, DQ_REPORT)
