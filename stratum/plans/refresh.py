@@ -152,3 +152,33 @@ def full_refresh(spark: SparkSession, cfg: Refresh) -> DataFrame:
     finally:
         writer.append_metrics(spark, cfg.metrics, f"{cfg.warehouse.rstrip('/')}/_metrics")
     return writer.metrics_frame(spark, cfg.metrics)
+
+
+def main(argv: list[str] | None = None) -> int:
+    """``spark-submit stratum/plans/refresh.py --landing L --warehouse W [...]``.
+
+    The session comes from the submitting environment (cluster master,
+    ``spark.checkpoint.dir``, ...); nothing is configured here.
+    """
+    import argparse
+
+    ap = argparse.ArgumentParser(description="Full refresh: landing -> bronze -> silver -> gold")
+    ap.add_argument("--landing", required=True)
+    ap.add_argument("--warehouse", required=True)
+    ap.add_argument("--as-of", default=None, help="effective date (default: today)")
+    ap.add_argument("--on-null", default="drop", choices=["drop", "keep", "reference"])
+    args = ap.parse_args(argv)
+    spark = SparkSession.builder.appName("stratum-refresh").getOrCreate()
+    cfg = Refresh(args.landing, args.warehouse, as_of=args.as_of, on_null=args.on_null)
+    try:
+        metrics = full_refresh(spark, cfg)
+    finally:
+        for m in cfg.metrics:
+            print(f"{m['status']:4s} {m['layer']:6s} {m['table_name']:28s} {m['rows']:>12} rows")
+    return 0 if all(r.status == "PASS" for r in metrics.collect()) else 1
+
+
+if __name__ == "__main__":
+    import sys
+
+    sys.exit(main())

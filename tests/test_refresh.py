@@ -71,3 +71,13 @@ def test_refresh_stops_on_fail_rule(spark, samples, tmp_dir):
     assert not os.path.exists(f"{wh}/silver/orders")  # nothing published
     rep = spark.read.parquet(f"{wh}/gold/dq_report").collect()
     assert [r.rule_name for r in rep] == ["order_id_not_null"]
+
+
+def test_command_line_entry(spark, samples, tmp_dir, capsys):
+    from stratum.plans.refresh import main
+
+    landing, wh = os.path.join(tmp_dir, "landing"), os.path.join(tmp_dir, "wh")
+    _land(samples, landing, 1)
+    assert main(["--landing", landing, "--warehouse", wh, "--as-of", "2024-10-01"]) == 0
+    out = capsys.readouterr().out
+    assert "PASS gold" in out and "customer_order_summary" in out
