@@ -139,3 +139,21 @@ def test_scd2_table_matches_full_rewrite_and_appends_history(spark, tmp_path):
     h3 = spark.read.parquet(str(tmp_path / "dim" / "history" / "apply=000003"))
     assert sorted(r.k for r in h3.collect()) == [1, 4]
     assert scd2_table.read_current(spark, path).count() == 4
+
+
+@pytest.mark.parametrize("seed", [1, 2, 3])
+def test_scd2_history_equals_sequential_apply_random(spark, seed):
+    import random
+
+    rnd = random.Random(seed)
+    days = [dt.date(2024, 1, d) for d in range(1, 6)]
+    rows = [(rnd.randint(1, 6), rnd.choice(["a", "b", None]), str(i), rnd.choice(days))
+            for i in range(40)]
+    df = spark.createDataFrame(rows, "k long, a string, b string, day date")
+    hist = scd.scd2_history(df, KEY, TRACK, "day", ["b"])
+    dim = None
+    for d in sorted({r[3] for r in rows}):
+        snap = df.filter(F.col("day") == d).drop("day")
+        dim = scd.scd2_initial(snap, KEY, d, ["b"]) if dim is None else \
+            scd.scd2_apply(dim, snap, KEY, TRACK, d, ["b"])
+    assert _dim(hist.select(*dim.columns)) == _dim(dim)
