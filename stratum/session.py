@@ -31,9 +31,25 @@ RECOMMENDED_CONF: dict[str, str] = {
     "spark.sql.ansi.enabled": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.sql.files.maxPartitionBytes": str(128 * 1024 * 1024),
+    # AQE coalesces shuffle partitions towards this size.
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(128 * 1024 * 1024),
 }
 
 
+def cluster_conf(input_bytes: int, bytes_per_partition: int = 256 * 1024 * 1024,
+                 min_partitions: int = 200, max_partitions: int = 100_000) -> dict[str, str]:
+    """Settings for a cluster job reading about ``input_bytes`` of parquet.
+
+    The initial shuffle partition count gives every reducer roughly
+    ``bytes_per_partition`` of (compressed) input, so a partition fits in
+    executor memory with room for decompression and sort buffers; AQE then
+    coalesces small partitions and splits skewed ones.  Example: 100 TB ->
+    100,000 partitions (the cap); 1 TB -> 4,096.
+    """
+    parts = max(min_partitions, min(max_partitions, -(-input_bytes // bytes_per_partition)))
+    return {**RECOMMENDED_CONF, "spark.sql.shuffle.partitions": str(parts)}
+
+
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
                   app: str = "stratum", extra: dict[str, str] | None = None) -> SparkSession:
     """A local-mode session for tests and benchmarks (UI off, no server)."""

@@ -140,3 +140,12 @@ def test_money_matches_decimal_half_up(spark):
         assert got == want
 
     check()
+
+
+def test_cluster_conf_sizes_shuffle_partitions():
+    from stratum.session import cluster_conf
+
+    assert cluster_conf(2**40)["spark.sql.shuffle.partitions"] == "4096"
+    assert cluster_conf(100 * 2**40)["spark.sql.shuffle.partitions"] == "100000"
+    assert cluster_conf(10**6)["spark.sql.shuffle.partitions"] == "200"
+    assert cluster_conf(2**40)["spark.sql.adaptive.enabled"] == "true"
