@@ -22,7 +22,12 @@ from pyspark.sql import functions as F
 
 from stratum.operators import marts
 from stratum.operators.quality import DQFailure
-from stratum.operators.silver import clean_addresses, clean_customers, clean_orders
+from stratum.operators.silver import (
+    clean_addresses,
+    clean_customers,
+    clean_orders,
+    stamp_processed,
+)
 from stratum.plans.rules import address_rules, customer_rules, order_rules
 from stratum.schemas import ADDRESSES_RAW, CUSTOMERS_RAW, ORDERS_RAW
 from stratum.sinks import scd2_table, writer
@@ -96,7 +101,7 @@ def run_silver(spark: SparkSession, cfg: Refresh) -> None:
         ("addresses", clean_addresses(read("addresses")), address_rules(), "silver_addresses"),
     ]
     for name, df, rules, label in steps:
-        df = df.withColumn("_processed_at", F.current_timestamp())
+        df = stamp_processed(df)
         # one pass: rule counts observed on the write, published only if no
         # ``fail`` rule fired
         try:

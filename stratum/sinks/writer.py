@@ -24,7 +24,6 @@ from pyspark.sql import functions as F
 from stratum.operators.scd import scd1_apply
 from stratum.schemas import SCD2_CURRENT, WRITE_METRICS
 from stratum.sources.catalog import ensure_namespaces, is_table_name
-from stratum.sources.tables import table_exists
 
 MODES = ("append", "overwrite", "merge")
 _VERSION = re.compile(r"^v(\d{6})$")
@@ -227,7 +226,3 @@ def metrics_frame(spark: SparkSession, records: list[dict]) -> DataFrame:
 def append_metrics(spark: SparkSession, records: list[dict], path: str) -> None:
     if records:
         metrics_frame(spark, records).write.mode("append").parquet(path)
-
-
-def exists(spark: SparkSession, path: str) -> bool:
-    return table_exists(spark, path)
