@@ -96,16 +96,30 @@ def scd2_classify(target: DataFrame, source: DataFrame, keys: Sequence[str],
     """Full-outer join of current rows and latest source rows, classified.
 
     Output: keys, ``_change`` in (new, changed, unchanged, missing), and
-    structs ``t`` (current target row) and ``s`` (source row).
+    structs ``t`` (current target row) and ``s`` (source row).  Keys are
+    compared null-safe.
     """
     keys = list(keys)
     current = target.filter(F.col(SCD2_CURRENT))
     src = latest_per_key(source, keys, order_by)
     t_cols = [c for c in current.columns if c not in keys]
     s_cols = [c for c in src.columns if c not in keys]
-    t = current.select(*keys, F.struct(*t_cols).alias("t"), F.lit(True).alias("__t"))
-    s = src.select(*keys, F.struct(*s_cols).alias("s"), F.lit(True).alias("__s"))
-    j = t.join(s, keys, "full_outer")
+    tk = [f"__tk{i}" for i in range(len(keys))]
+    sk = [f"__sk{i}" for i in range(len(keys))]
+    t = current.select(*[F.col(k).alias(a) for k, a in zip(keys, tk)],
+                       F.struct(*t_cols).alias("t"), F.lit(True).alias("__t"))
+    s = src.select(*[F.col(k).alias(a) for k, a in zip(keys, sk)],
+                   F.struct(*s_cols).alias("s"), F.lit(True).alias("__s"))
+    # Null-safe key equality: a null key is one key (as in ``latest_per_key``)
+    # instead of a fresh insert on every apply.  Spark plans ``<=>`` keys as an
+    # ordinary sort-merge equi-join.
+    cond = None
+    for a, b in zip(tk, sk):
+        eq = F.col(a).eqNullSafe(F.col(b))
+        cond = eq if cond is None else cond & eq
+    j = t.join(s, cond, "full_outer").select(
+        *[F.coalesce(F.col(a), F.col(b)).alias(k) for k, a, b in zip(keys, tk, sk)],
+        "t", "s", "__t", "__s")
     flat_t = {c: F.col(f"t.{c}") for c in t_cols}
     flat_s = {c: F.col(f"s.{c}") for c in s_cols}
     klass = (

@@ -157,3 +157,14 @@ def test_scd2_history_equals_sequential_apply_random(spark, seed):
         dim = scd.scd2_initial(snap, KEY, d, ["b"]) if dim is None else \
             scd.scd2_apply(dim, snap, KEY, TRACK, d, ["b"])
     assert _dim(hist.select(*dim.columns)) == _dim(dim)
+
+
+def test_scd2_null_key_is_one_key(spark):
+    base = scd.scd2_initial(_src(spark, [(None, "x", "p", 1), (1, "y", "q", 1)]), KEY, "2024-01-01")
+    src = _src(spark, [(None, "x", "p", 2), (1, "y", "q", 2)])
+    out = scd.scd2_apply(base, src, KEY, TRACK, "2024-02-01", ["seq"])
+    out = scd.scd2_apply(out, src, KEY, TRACK, "2024-03-01", ["seq"])
+    assert out.count() == 2 and out.filter("k is null and is_current").count() == 1
+    changed = scd.scd2_apply(out, _src(spark, [(None, "x2", "p", 3)]), KEY, TRACK, "2024-04-01", ["seq"])
+    assert changed.filter("k is null").count() == 2
+    assert changed.filter("k is null and is_current").first().a == "x2"
