@@ -15,7 +15,7 @@ from stratum.operators.quality import pass_rate_expr
 from stratum.operators.silver import clean_orders
 from stratum.plans import layers as L
 from stratum.plans import oracle as O
-from stratum.plans.catalog import SILVER_LINE_COLS
+from stratum.plans.registry import SILVER_LINE_COLS
 from stratum.plans.rules import order_rules
 from stratum.schemas import ADDRESSES_RAW, CUSTOMERS_RAW, EVENTS, ORDERS_RAW
 from stratum.session import work_path
