@@ -248,3 +248,16 @@ def test_scd2_table_retry_of_an_apply(spark, samples, tmp_dir):
     scd2_table.apply(spark, path, a2, ["customer_id"], track, "2025-01-14", version=2)  # retry
     assert sorted(map(str, scd2_table.read_dimension(spark, path).collect())) == once
     assert len(once) == 16
+
+
+def test_write_checked_empty_input(spark, tmp_dir):
+    from stratum.operators.quality import Rule
+
+    df = spark.createDataFrame([], "id long")
+    reports = []
+    rec = writer.write_checked(df, [Rule("pos", "id > 0", "fail")], "t",
+                               os.path.join(tmp_dir, "s", "t"),
+                               report_sink=lambda r: reports.append(r.collect()))
+    assert rec["rows"] == 0
+    r = reports[0][0]
+    assert (r.pass_count, r.fail_count, r.pass_rate) == (0, 0, 100.0)
