@@ -15,6 +15,7 @@ observed on the write itself; the records are appended to ``_metrics``.
 from __future__ import annotations
 
 import datetime as _dt
+import time as _time
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -121,11 +122,13 @@ def run_dimensions(spark: SparkSession, cfg: Refresh) -> None:
     addresses = spark.read.parquet(cfg.table("silver", "addresses"))
     path = cfg.table("silver", "dim_addresses")
     obs = Observation(f"scd2_{_dt.datetime.now().timestamp()}")
+    t0 = _time.perf_counter()
     n = scd2_table.apply(spark, path, addresses, CUSTOMER_KEY, ADDRESS_TRACK, cfg.as_of,
                          order_by=["created_date", "_ingested_at"], observation=obs)
     rows = int(obs.get.get("rows", 0))
     cfg.metrics.append(dict(run_time=cfg.run_time, layer="silver", table_name="dim_addresses",
                             mode="scd2", status="PASS", rows=rows,
+                            elapsed_s=round(_time.perf_counter() - t0, 3),
                             message=f"Written {rows} rows -> {path} version {n}"))
 
 
@@ -179,7 +182,8 @@ def main(argv: list[str] | None = None) -> int:
         metrics = full_refresh(spark, cfg)
     finally:
         for m in cfg.metrics:
-            print(f"{m['status']:4s} {m['layer']:6s} {m['table_name']:28s} {m['rows']:>12} rows")
+            print(f"{m['status']:4s} {m['layer']:6s} {m['table_name']:28s} {m['rows']:>12} rows "
+                  f"{m.get('elapsed_s') or 0:>8.1f} s")
     return 0 if all(r.status == "PASS" for r in metrics.collect()) else 1
 
 

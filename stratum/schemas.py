@@ -71,6 +71,7 @@ WRITE_METRICS = T.StructType([
     T.StructField("mode", T.StringType()),
     T.StructField("status", T.StringType()),
     T.StructField("rows", T.LongType()),
+    T.StructField("elapsed_s", T.DoubleType()),
     T.StructField("message", T.StringType()),
 ])
 

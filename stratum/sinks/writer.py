@@ -15,6 +15,7 @@ from __future__ import annotations
 
 import datetime as _dt
 import re
+import time
 import uuid
 from collections.abc import Sequence
 
@@ -127,8 +128,9 @@ def write_table(df: DataFrame, path: str, mode: str = "append",
         raise ValueError("merge needs merge_keys")
     spark = df.sparkSession
     name = table_name or path.rstrip("/").split("/")[-1]
-    obs = Observation(f"write_{abs(hash((path, _dt.datetime.now().isoformat())))}")
+    obs = Observation(f"write_{uuid.uuid4().hex[:12]}")
     run_time = run_time or _dt.datetime.now().strftime("%Y-%m-%d %H:%M:%S")
+    t0 = time.perf_counter()
     try:
         if is_table_name(path):
             if mode == "merge":
@@ -149,12 +151,14 @@ def write_table(df: DataFrame, path: str, mode: str = "append",
             w.parquet(path)
         rows = int(obs.get.get("rows", 0))
         return dict(run_time=run_time, layer=layer, table_name=name, mode=mode,
-                    status="PASS", rows=rows, message=f"Written {rows} rows -> {path} (mode={mode})")
+                    status="PASS", rows=rows, elapsed_s=round(time.perf_counter() - t0, 3),
+                    message=f"Written {rows} rows -> {path} (mode={mode})")
     except ValueError:
         raise
     except Exception as e:  # record, then re-raise
         record = dict(run_time=run_time, layer=layer, table_name=name, mode=mode,
-                      status="FAIL", rows=0, message=str(e)[:500])
+                      status="FAIL", rows=0, elapsed_s=round(time.perf_counter() - t0, 3),
+                      message=str(e)[:500])
         raise WriteFailed(record) from e
 
 
@@ -177,6 +181,7 @@ def write_checked(df: DataFrame, rules, table_name: str, path: str, *,
     spark = df.sparkSession
     run_time = run_time or _dt.datetime.now().strftime("%Y-%m-%d %H:%M:%S")
     tag = uuid.uuid4().hex[:12]
+    t0 = time.perf_counter()
     checks, written = Observation(f"dq_{tag}"), Observation(f"rows_{tag}")
     if on_null == "reference":
         # This policy filters a rule only when it has true failures, so the
@@ -208,7 +213,8 @@ def write_checked(df: DataFrame, rules, table_name: str, path: str, *,
     publish(spark, staged, path)
     n = int(written.get.get("rows", 0))
     return dict(run_time=run_time, layer=layer, table_name=name, mode="overwrite",
-                status="PASS", rows=n, message=f"Written {n} rows -> {path} (checked)")
+                status="PASS", rows=n, elapsed_s=round(time.perf_counter() - t0, 3),
+                message=f"Written {n} rows -> {path} (checked)")
 
 
 class WriteFailed(Exception):
@@ -219,7 +225,7 @@ class WriteFailed(Exception):
 
 def metrics_frame(spark: SparkSession, records: list[dict]) -> DataFrame:
     """Write-metrics records (one per table write) as a DataFrame."""
-    rows = [tuple(r[f.name] for f in WRITE_METRICS.fields) for r in records]
+    rows = [tuple(r.get(f.name) for f in WRITE_METRICS.fields) for r in records]
     return spark.createDataFrame(rows, WRITE_METRICS)
 
 
