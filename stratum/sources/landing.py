@@ -31,10 +31,22 @@ LANDING_LAYOUT = "v5"
 
 def read_landing(spark: SparkSession, path: str, fmt: str,
                  schema: T.StructType | None = None, infer: bool = False,
-                 multiline: bool = False, recursive: bool = True) -> DataFrame:
+                 multiline: bool = False, recursive: bool = True,
+                 rescue_col: str | None = None) -> DataFrame:
     """Batch scan of a landing folder: every file in it, at any depth (one
-    sub-folder per delivery is common)."""
+    sub-folder per delivery is common).
+
+    ``rescue_col`` keeps the raw text of a malformed record in that column
+    (null for good records) instead of silently turning it into a row of
+    nulls; a DQ rule such as ``Rule("parsed", "_rescued is null", "drop")``
+    can then warn, drop or fail on it.  Spark refuses raw-file queries that
+    read only that column, so evaluate such a rule on the written bronze table
+    (or together with data columns).
+    """
     reader = spark.read.format(fmt).option("recursiveFileLookup", str(recursive).lower())
+    if schema is not None and rescue_col:
+        schema = T.StructType([*schema.fields, T.StructField(rescue_col, T.StringType())])
+        reader = reader.option("columnNameOfCorruptRecord", rescue_col)
     if schema is not None:
         reader = reader.schema(schema)
     elif infer:

@@ -261,3 +261,22 @@ def test_write_checked_empty_input(spark, tmp_dir):
     assert rec["rows"] == 0
     r = reports[0][0]
     assert (r.pass_count, r.fail_count, r.pass_rate) == (0, 0, 100.0)
+
+
+def test_landing_rescues_malformed_records(spark, tmp_dir):
+    from stratum.operators.quality import Rule, dq_report
+
+    land = os.path.join(tmp_dir, "landing")
+    os.makedirs(land)
+    with open(os.path.join(land, "part-0.json"), "w") as f:
+        f.write('{"customer_id": 1, "customer_name": "A"}\n{"customer_id": oops\n'
+                '{"customer_id": 3, "customer_name": "C"}\n')
+    df = read_landing(spark, land, "json", CUSTOMERS_RAW, rescue_col="_rescued")
+    rows = sorted(df.collect(), key=lambda r: str(r.customer_id))
+    bad = [r for r in rows if r._rescued is not None]
+    assert len(rows) == 3 and len(bad) == 1 and "oops" in bad[0]._rescued
+    bronze = os.path.join(tmp_dir, "bronze")
+    df.write.parquet(bronze)  # rules run on the written bronze table
+    rep = dq_report(spark.read.parquet(bronze), [Rule("parsed", "_rescued is null", "warn")],
+                    "bronze").first()
+    assert (rep.pass_count, rep.fail_count) == (2, 1)
