@@ -168,3 +168,18 @@ def test_scd2_null_key_is_one_key(spark):
     changed = scd.scd2_apply(out, _src(spark, [(None, "x2", "p", 3)]), KEY, TRACK, "2024-04-01", ["seq"])
     assert changed.filter("k is null").count() == 2
     assert changed.filter("k is null and is_current").first().a == "x2"
+
+
+def test_latest_per_key_null_ordering_matches_sql(spark):
+    """A null in the ordering column ranks lowest, as ``ORDER BY ts DESC`` does
+    in the SQL oracle (nulls last)."""
+    import duckdb
+
+    rows = [(1, None, 5), (1, dt.datetime(2024, 1, 2), 1), (2, None, 3), (2, None, 4),
+            (3, dt.datetime(2024, 1, 1), 7), (3, dt.datetime(2024, 1, 1), 8)]
+    df = spark.createDataFrame(rows, "k long, ts timestamp_ntz, id long")
+    got = sorted((r.k, r.id) for r in scd.latest_per_key(df, ["k"], ["ts", "id"]).collect())
+    pdf = df.toPandas()  # noqa: F841  (read by duckdb below)
+    want = duckdb.sql("""select k, id from (select *, row_number() over (partition by k
+                         order by ts desc, id desc) rn from pdf) where rn = 1 order by k""").fetchall()
+    assert got == sorted(want) == [(1, 1), (2, 4), (3, 8)]
