@@ -32,8 +32,13 @@ def stream_landing(spark: SparkSession, path: str, fmt: str, schema: T.StructTyp
 def run_available_now(stream: DataFrame, checkpoint: str, sink_path: str | None = None,
                       fmt: str = "parquet",
                       foreach_batch: Callable[[DataFrame, int], None] | None = None,
-                      timeout_s: float | None = None) -> None:
-    """Process everything available, then stop (append output mode)."""
+                      timeout_s: float | None = None) -> int:
+    """Process everything available, then stop (append output mode).
+
+    Returns the number of input rows of this run, summed over the progress
+    reports Spark retains (``spark.sql.streaming.numRecentProgressUpdates``,
+    100 by default).
+    """
     w = stream.writeStream.option("checkpointLocation", checkpoint).outputMode("append")
     if foreach_batch is not None:
         w = w.foreachBatch(foreach_batch)
@@ -47,11 +52,14 @@ def run_available_now(stream: DataFrame, checkpoint: str, sink_path: str | None
             q.stop()
     if q.exception() is not None:
         raise RuntimeError(f"stream failed: {q.exception()}")
+    # rows read by this run (from the retained progress reports)
+    return sum(int(p.get("numInputRows", 0)) for p in q.recentProgress)
 
 
 def ingest_entities(spark: SparkSession, sources: dict[str, tuple[str, str, T.StructType]],
                     bronze_root: str, checkpoint_root: str,
-                    max_files_per_trigger: int | None = None) -> dict[str, str]:
+                    max_files_per_trigger: int | None = None,
+                    rows_out: dict[str, int] | None = None) -> dict[str, str]:
     """Incremental bronze ingestion of several landing entities.
 
     ``sources`` maps a table name to (landing folder, format, schema).  Each
@@ -65,6 +73,9 @@ def ingest_entities(spark: SparkSession, sources: dict[str, tuple[str, str, T.St
     for name, (folder, fmt, schema) in sources.items():
         stream = stream_landing(spark, folder, fmt, schema, max_files_per_trigger)
         path = f"{bronze_root.rstrip('/')}/{name}"
-        run_available_now(with_lineage(stream), f"{checkpoint_root.rstrip('/')}/{name}", path)
+        rows = run_available_now(with_lineage(stream), f"{checkpoint_root.rstrip('/')}/{name}",
+                                 path)
         out[name] = path
+        if rows_out is not None:
+            rows_out[name] = rows
     return out
