@@ -280,3 +280,30 @@ def test_landing_rescues_malformed_records(spark, tmp_dir):
     rep = dq_report(spark.read.parquet(bronze), [Rule("parsed", "_rescued is null", "warn")],
                     "bronze").first()
     assert (rep.pass_count, rep.fail_count) == (2, 1)
+
+
+def test_stream_dq_k_batches_equal_one_batch(spark, samples, tmp_dir):
+    from stratum.operators.quality import dq_report
+    from stratum.operators.silver import clean_orders
+    from stratum.plans.rules import order_rules
+    from stratum.schemas import ORDERS_RAW
+
+    land = os.path.join(tmp_dir, "landing")
+    write_landing(samples["orders"], os.path.join(land, "orders"), "json", files=4)
+    outs = {}
+    for k in (1, None):  # one file per micro-batch, then everything in one batch
+        root = os.path.join(tmp_dir, f"run-{k}")
+        src = stream_landing(spark, os.path.join(land, "orders"), "json", ORDERS_RAW, k)
+        run_available_now(src, f"{root}/ck", foreach_batch=batches.dq_sink(
+            order_rules(), "silver_orders", f"{root}/clean", f"{root}/report",
+            transform=clean_orders, run_time="r"))
+        clean = sorted((r.order_id, r.item_id) for r in spark.read.parquet(f"{root}/clean").collect())
+        rep = spark.read.parquet(f"{root}/report").groupBy("rule_name").agg(
+            F.sum("pass_count").alias("p"), F.sum("fail_count").alias("f"))
+        outs[k] = (clean, sorted(tuple(r) for r in rep.collect()),
+                   spark.read.parquet(f"{root}/report").select("batch_id").distinct().count())
+    assert outs[1][0] == outs[None][0] and outs[1][1] == outs[None][1]
+    assert outs[1][2] == 4 and outs[None][2] == 1
+    batch = {r.rule_name: (r.pass_count, r.fail_count) for r in
+             dq_report(clean_orders(samples["orders"]), order_rules(), "t").collect()}
+    assert {n: (p, f) for n, p, f in outs[1][1]} == batch
