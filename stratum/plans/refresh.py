@@ -33,7 +33,8 @@ from stratum.plans.rules import address_rules, customer_rules, order_rules
 from stratum.schemas import ADDRESSES_RAW, CUSTOMERS_RAW, ORDERS_RAW
 from stratum.sinks import scd2_table, writer
 from stratum.sources.landing import read_landing, with_lineage
-from stratum.streaming.ingest import ingest_entities
+from stratum.streaming import batches
+from stratum.streaming.ingest import ingest_entities, run_available_now
 
 CUSTOMER_KEY = ["customer_id"]
 ADDRESS_TRACK = ["address_line_1", "city", "state", "postcode"]
@@ -58,6 +59,10 @@ class Refresh:
     # Bronze by availableNow streams: each run appends only files that arrived
     # since the previous run (instead of re-reading every landing file).
     incremental_bronze: bool = False
+    # Silver by availableNow streams over the bronze tables (needs
+    # incremental_bronze): only new bronze rows are cleaned and checked; each
+    # micro-batch is written (or rejected by a ``fail`` rule) on its own.
+    incremental_silver: bool = False
     metrics: list[dict] = field(default_factory=list)
 
     def __post_init__(self):
@@ -112,16 +117,56 @@ def _report_sink(cfg: Refresh):
     return sink
 
 
+def _silver_transforms(cfg: Refresh):
+    return {
+        "orders": (lambda df: stamp_processed(clean_orders(df)), order_rules(), "silver_orders"),
+        "customers": (lambda df: stamp_processed(clean_customers(df, cfg.as_of)),
+                      customer_rules(cfg.as_of), "silver_customers"),
+        "addresses": (lambda df: stamp_processed(clean_addresses(df)), address_rules(),
+                      "silver_addresses"),
+    }
+
+
+def run_silver_incremental(spark: SparkSession, cfg: Refresh) -> None:
+    """Silver as availableNow streams over the bronze tables.
+
+    Each table gets one folder per micro-batch (``batch_id=n``); the per-batch
+    DQ reports go to ``gold/dq_report_batches/<table>/``.  A replayed batch
+    rewrites only its own folders.
+    """
+    if not cfg.incremental_bronze:
+        raise ValueError("incremental_silver needs incremental_bronze")
+    for name, (transform, rules, label) in _silver_transforms(cfg).items():
+        bronze = cfg.table("bronze", name)
+        src = spark.readStream.schema(spark.read.parquet(bronze).schema).parquet(bronze)
+        sink = batches.dq_sink(rules, label, cfg.table("silver", name),
+                               cfg.table("gold", f"dq_report_batches/{name}"),
+                               transform=transform, run_time=cfg.run_time, on_null=cfg.on_null)
+        t0 = _time.perf_counter()
+        try:
+            n = run_available_now(src, f"{cfg.warehouse.rstrip('/')}/_checkpoints/silver/{name}",
+                                  foreach_batch=sink)
+        except Exception as e:
+            _failed(cfg, "silver", name, e)
+            raise
+        cfg.metrics.append(dict(
+            run_time=cfg.run_time, layer="silver", table_name=name, mode="append",
+            status="PASS", rows=n, elapsed_s=round(_time.perf_counter() - t0, 3),
+            message=f"Checked and appended {n} new bronze rows -> {cfg.table('silver', name)}"))
+
+
+def read_silver(spark: SparkSession, cfg: Refresh, name: str) -> DataFrame:
+    """A silver table, whole (batch folders of the incremental mode included)."""
+    df = spark.read.parquet(cfg.table("silver", name))
+    return df.drop("batch_id") if "batch_id" in df.columns else df
+
+
 def run_silver(spark: SparkSession, cfg: Refresh) -> None:
-    read = lambda n: spark.read.parquet(cfg.table("bronze", n))
-    steps = [
-        ("orders", clean_orders(read("orders")), order_rules(), "silver_orders"),
-        ("customers", clean_customers(read("customers"), cfg.as_of),
-         customer_rules(cfg.as_of), "silver_customers"),
-        ("addresses", clean_addresses(read("addresses")), address_rules(), "silver_addresses"),
-    ]
-    for name, df, rules, label in steps:
-        df = stamp_processed(df)
+    if cfg.incremental_silver:
+        run_silver_incremental(spark, cfg)
+        return
+    for name, (transform, rules, label) in _silver_transforms(cfg).items():
+        df = transform(spark.read.parquet(cfg.table("bronze", name)))
         # one pass: rule counts observed on the write, published only if no
         # ``fail`` rule fired
         try:
@@ -134,11 +179,11 @@ def run_silver(spark: SparkSession, cfg: Refresh) -> None:
 
 
 def run_dimensions(spark: SparkSession, cfg: Refresh) -> None:
-    customers = spark.read.parquet(cfg.table("silver", "customers"))
+    customers = read_silver(spark, cfg, "customers")
     _write(cfg, customers, "silver", "dim_customers", "merge", merge_keys=CUSTOMER_KEY,
            order_by=["created_date", "_ingested_at"])
 
-    addresses = spark.read.parquet(cfg.table("silver", "addresses"))
+    addresses = read_silver(spark, cfg, "addresses")
     path = cfg.table("silver", "dim_addresses")
     obs = Observation(f"scd2_{_dt.datetime.now().timestamp()}")
     t0 = _time.perf_counter()
@@ -152,7 +197,7 @@ def run_dimensions(spark: SparkSession, cfg: Refresh) -> None:
 
 
 def run_gold(spark: SparkSession, cfg: Refresh) -> None:
-    lines = spark.read.parquet(cfg.table("silver", "orders"))
+    lines = read_silver(spark, cfg, "orders")
     customers = writer.read_versioned(spark, cfg.table("silver", "dim_customers"))
     addresses = scd2_table.read_current(spark, cfg.table("silver", "dim_addresses"))
     # Order-level totals: the lines are scanned and shuffled once for the four
@@ -196,10 +241,13 @@ def main(argv: list[str] | None = None) -> int:
     ap.add_argument("--on-null", default="drop", choices=["drop", "keep", "reference"])
     ap.add_argument("--incremental-bronze", action="store_true",
                     help="append only new landing files to bronze (availableNow streams)")
+    ap.add_argument("--incremental-silver", action="store_true",
+                    help="clean and check only new bronze rows (needs --incremental-bronze)")
     args = ap.parse_args(argv)
     spark = SparkSession.builder.appName("stratum-refresh").getOrCreate()
     cfg = Refresh(args.landing, args.warehouse, as_of=args.as_of, on_null=args.on_null,
-                  incremental_bronze=args.incremental_bronze)
+                  incremental_bronze=args.incremental_bronze,
+                  incremental_silver=args.incremental_silver)
     try:
         metrics = full_refresh(spark, cfg)
     finally:

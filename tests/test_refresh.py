@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import os
 
+from pyspark.sql import functions as F
+
 from stratum.plans.refresh import Refresh, full_refresh
 from stratum.sinks import writer
 from stratum.sources.landing import write_landing
@@ -101,3 +103,26 @@ def test_incremental_bronze_refresh_matches_full_reload(spark, samples, tmp_dir)
     dim = scd2_table.read_dimension(spark, f"{wh}/silver/dim_addresses")
     assert dim.count() == 16 and dim.filter("is_current").count() == 13
     assert spark.read.parquet(f"{wh}/gold/customer_order_summary").count() == 11
+
+
+def test_incremental_silver_refresh_matches_full_reload(spark, samples, tmp_dir):
+    landing, wh = os.path.join(tmp_dir, "landing"), os.path.join(tmp_dir, "wh")
+    kw = dict(incremental_bronze=True, incremental_silver=True)
+    _land(samples, landing, 1)
+    full_refresh(spark, Refresh(landing, wh, as_of="2024-10-01", run_time="r1", **kw))
+    _land(samples, landing, 2)
+    m2 = {(r.layer, r.table_name): r.rows for r in full_refresh(
+        spark, Refresh(landing, wh, as_of="2025-01-14", run_time="r2", **kw)).collect()}
+    assert m2[("bronze", "orders")] == 4 and m2[("silver", "orders")] == 4  # new rows only
+    lines = spark.read.parquet(f"{wh}/silver/orders")
+    assert lines.count() == 16  # 18 lines, 2 dropped by the status rule
+    assert spark.read.parquet(f"{wh}/gold/customer_order_summary").count() == 11
+    rev = spark.read.parquet(f"{wh}/gold/revenue_by_day")
+    assert round(sum(r.total_revenue for r in rev.collect()), 2) == 9869.0
+    from stratum.sinks import scd2_table
+
+    dim = scd2_table.read_dimension(spark, f"{wh}/silver/dim_addresses")
+    assert dim.count() == 16 and dim.filter("is_current").count() == 13
+    rep = spark.read.parquet(f"{wh}/gold/dq_report_batches/orders")
+    sums = rep.groupBy("rule_name").agg(F.sum("fail_count").alias("f")).collect()
+    assert {r.rule_name: r.f for r in sums}["valid_order_status"] == 2
