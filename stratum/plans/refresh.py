@@ -254,7 +254,7 @@ def main(argv: list[str] | None = None) -> int:
         for m in cfg.metrics:
             print(f"{m['status']:4s} {m['layer']:6s} {m['table_name']:28s} {m['rows']:>12} rows "
                   f"{m.get('elapsed_s') or 0:>8.1f} s")
-    return 0 if all(r.status == "PASS" for r in metrics.collect()) else 1
+    return 0 if all(r.status != "FAIL" for r in metrics.collect()) else 1
 
 
 if __name__ == "__main__":

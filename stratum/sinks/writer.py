@@ -212,9 +212,13 @@ def write_checked(df: DataFrame, rules, table_name: str, path: str, *,
         raise DQFailure(table_name, rules[bad], counts[rules[bad].name][1], rows)
     publish(spark, staged, path)
     n = int(written.get.get("rows", 0))
+    # WARN when a warn / drop rule found failing rows (as the original run log did)
+    flagged = [r.name for r in rules if r.action != "fail" and counts[r.name][1] > 0]
+    note = f"; rules with failures: {', '.join(flagged)}" if flagged else ""
     return dict(run_time=run_time, layer=layer, table_name=name, mode="overwrite",
-                status="PASS", rows=n, elapsed_s=round(time.perf_counter() - t0, 3),
-                message=f"Written {n} rows -> {path} (checked)")
+                status="WARN" if flagged else "PASS", rows=n,
+                elapsed_s=round(time.perf_counter() - t0, 3),
+                message=f"Written {n} rows -> {path} (checked{note})")
 
 
 class WriteFailed(Exception):

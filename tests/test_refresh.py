@@ -126,3 +126,15 @@ def test_incremental_silver_refresh_matches_full_reload(spark, samples, tmp_dir)
     rep = spark.read.parquet(f"{wh}/gold/dq_report_batches/orders")
     sums = rep.groupBy("rule_name").agg(F.sum("fail_count").alias("f")).collect()
     assert {r.rule_name: r.f for r in sums}["valid_order_status"] == 2
+
+
+def test_refresh_marks_tables_with_rule_failures_as_warn(spark, samples, tmp_dir):
+    landing, wh = os.path.join(tmp_dir, "landing"), os.path.join(tmp_dir, "wh")
+    _land(samples, landing, 1)
+    _land(samples, landing, 2)
+    m = {(r.layer, r.table_name): (r.status, r.message) for r in full_refresh(
+        spark, Refresh(landing, wh, as_of="2025-01-14", run_time="r")).collect()}
+    status, msg = m[("silver", "orders")]
+    assert status == "WARN" and "valid_order_status" in msg and "known_payment_method" in msg
+    assert m[("silver", "addresses")][0] == "WARN"  # two-word and missing states
+    assert m[("bronze", "orders")][0] == "PASS"
