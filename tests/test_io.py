@@ -307,3 +307,13 @@ def test_stream_dq_k_batches_equal_one_batch(spark, samples, tmp_dir):
     batch = {r.rule_name: (r.pass_count, r.fail_count) for r in
              dq_report(clean_orders(samples["orders"]), order_rules(), "t").collect()}
     assert {n: (p, f) for n, p, f in outs[1][1]} == batch
+
+
+def test_partitioned_plain_write(spark, samples, tmp_dir):
+    path = os.path.join(tmp_dir, "by_date")
+    rec = writer.write_table(samples["customers_day1"].unionByName(samples["customers_day2"]),
+                             path, "overwrite", partition_by=["created_date"])
+    assert rec["rows"] == 17
+    assert sorted(os.path.basename(p) for p in os.listdir(path) if p.startswith("created_date=")) == \
+        ["created_date=2024-10-01", "created_date=2025-01-14"]
+    assert spark.read.parquet(path).filter("created_date = '2025-01-14'").count() == 7

@@ -183,3 +183,9 @@ def test_latest_per_key_null_ordering_matches_sql(spark):
     want = duckdb.sql("""select k, id from (select *, row_number() over (partition by k
                          order by ts desc, id desc) rn from pdf) where rn = 1 order by k""").fetchall()
     assert got == sorted(want) == [(1, 1), (2, 4), (3, 8)]
+
+
+def test_earliest_per_key(spark):
+    df = _src(spark, [(1, "x", "p", 3), (1, "y", "q", 1), (2, "w", "w", 5)])
+    got = sorted((r.k, r.a) for r in scd.latest_per_key(df, KEY, ["seq"], latest=False).collect())
+    assert got == [(1, "y"), (2, "w")]
