@@ -96,7 +96,7 @@ def run_bronze(spark: SparkSession, cfg: Refresh) -> None:
         rows: dict[str, int] = {}
         t0 = _time.perf_counter()
         ingest_entities(
-            spark, {name: (f"{folders[name].rstrip('/')}/*", fmt, schema)
+            spark, {name: (folders[name], fmt, schema)
                     for name, (fmt, schema) in ENTITIES.items()},
             cfg.table("bronze", ""), f"{cfg.warehouse.rstrip('/')}/_checkpoints/bronze",
             rows_out=rows)

@@ -18,8 +18,10 @@ from stratum.sources.landing import CSV_READ_OPTIONS, TEXT_TIME_OPTIONS
 
 
 def stream_landing(spark: SparkSession, path: str, fmt: str, schema: T.StructType,
-                   max_files_per_trigger: int | None = None) -> DataFrame:
-    reader = spark.readStream.format(fmt).schema(schema)
+                   max_files_per_trigger: int | None = None, recursive: bool = True) -> DataFrame:
+    """File stream over a landing folder; files at any depth (like ``read_landing``)."""
+    reader = (spark.readStream.format(fmt).schema(schema)
+              .option("recursiveFileLookup", str(recursive).lower()))
     if fmt in ("json", "csv"):
         reader = reader.options(**TEXT_TIME_OPTIONS)
     if fmt == "csv":
