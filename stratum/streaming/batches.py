@@ -82,6 +82,22 @@ def read_batches(spark, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
+def _before(spark, path: str, batch_id: int) -> DataFrame | None:
+    """The version batch ``batch_id`` builds on: the newest one at or below it.
+
+    A version above ``batch_id + 1`` means the folder belongs to another run
+    of the stream (a new checkpoint over an old table): refuse rather than
+    hide newer data behind an older version number.
+    """
+    vs = versions(spark, path)
+    if any(v > batch_id + 1 for v in vs):
+        raise RuntimeError(
+            f"{path} holds versions newer than batch {batch_id}; a restarted stream with a new "
+            "checkpoint needs a new table folder")
+    earlier = [v for v in vs if v <= batch_id]
+    return read_versioned(spark, path, earlier[-1]) if earlier else None
+
+
 def scd1_sink(path: str, keys: Sequence[str], order_by: Sequence[str | Column],
               columns: Sequence[str] | None = None) -> BatchFn:
     """Type-1 dimension kept as table versions, one per batch.
@@ -94,8 +110,7 @@ def scd1_sink(path: str, keys: Sequence[str], order_by: Sequence[str | Column],
     def run(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         src = batch.select(*columns) if columns else batch
-        earlier = [v for v in versions(spark, path) if v <= batch_id]
-        target = read_versioned(spark, path, earlier[-1]) if earlier else None
+        target = _before(spark, path, batch_id)
         out = scd1_apply(target, src, keys, order_by=order_by, compete=True)
         write_version(out, path, batch_id + 1)
 
@@ -117,8 +132,7 @@ def snapshot_sink(path: str, keys: Sequence[str], snapshot_col: str,
         src = batch.select(*columns) if columns else batch
         if snapshot_expr is not None:
             src = src.withColumn(snapshot_col, snapshot_expr)
-        earlier = [v for v in versions(spark, path) if v <= batch_id]
-        target = read_versioned(spark, path, earlier[-1]) if earlier else None
+        target = _before(spark, path, batch_id)
         out = scd1_apply(target, src, [*keys, snapshot_col], order_by=order_by, compete=True)
         write_version(out, path, batch_id + 1)
 

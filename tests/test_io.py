@@ -317,3 +317,12 @@ def test_partitioned_plain_write(spark, samples, tmp_dir):
     assert sorted(os.path.basename(p) for p in os.listdir(path) if p.startswith("created_date=")) == \
         ["created_date=2024-10-01", "created_date=2025-01-14"]
     assert spark.read.parquet(path).filter("created_date = '2025-01-14'").count() == 7
+
+
+def test_scd1_sink_refuses_a_foreign_table_folder(spark, samples, tmp_dir):
+    dim = os.path.join(tmp_dir, "dim")
+    sink = batches.scd1_sink(dim, ["customer_id"], ["created_date"])
+    for b in range(3):
+        sink(samples["customers_day1"], b)
+    with pytest.raises(RuntimeError):
+        sink(samples["customers_day2"], 0)  # a new stream (batch 0) over the old folder
