@@ -27,7 +27,7 @@ from stratum.operators.quality import (
     rule_aggregates,
 )
 from stratum.operators.scd import scd1_apply, scd2_history
-from stratum.sinks.writer import publish, read_versioned, versions, write_version
+from stratum.sinks.writer import _fs, publish, read_versioned, versions, write_version
 
 BatchFn = Callable[[DataFrame, int], None]
 
@@ -50,6 +50,7 @@ def dq_sink(rules: Sequence[Rule], table_name: str, clean_path: str, report_path
 
     def run(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
+        _check_no_later_batches(spark, clean_path, batch_id)
         df = transform(batch) if transform else batch
         obs = Observation(f"dq_{table_name}_{batch_id}_{uuid.uuid4().hex[:8]}")
         staged = f"{clean_path.rstrip('/')}/_staging/batch_id={batch_id}"
@@ -77,6 +78,20 @@ def dq_sink(rules: Sequence[Rule], table_name: str, clean_path: str, report_path
     return run
 
 
+def _check_no_later_batches(spark, path: str, batch_id: int) -> None:
+    """Folders of later batches mean the output belongs to another run of the
+    stream (a new checkpoint over an old folder): refuse to mix them."""
+    fs, p = _fs(spark, path)
+    if not fs.exists(p):
+        return
+    for st in fs.listStatus(p):
+        name = st.getPath().getName()
+        if name.startswith("batch_id=") and int(name.split("=", 1)[1]) > batch_id:
+            raise RuntimeError(
+                f"{path} holds output of batch {name.split('=', 1)[1]} > {batch_id}; a restarted "
+                "stream with a new checkpoint needs a new output folder")
+
+
 def read_batches(spark, path: str) -> DataFrame:
     """All batch folders of a ``dq_sink`` output (``batch_id`` column added)."""
     return spark.read.parquet(path)

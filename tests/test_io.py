@@ -326,3 +326,15 @@ def test_scd1_sink_refuses_a_foreign_table_folder(spark, samples, tmp_dir):
         sink(samples["customers_day1"], b)
     with pytest.raises(RuntimeError):
         sink(samples["customers_day2"], 0)  # a new stream (batch 0) over the old folder
+
+
+def test_dq_sink_refuses_a_foreign_output_folder(spark, samples, tmp_dir):
+    from stratum.operators.quality import Rule
+
+    clean, report = os.path.join(tmp_dir, "clean"), os.path.join(tmp_dir, "report")
+    sink = batches.dq_sink([Rule("ok", "true")], "c", clean, report)
+    sink(samples["customers_day1"], 0)
+    sink(samples["customers_day1"], 1)
+    sink(samples["customers_day1"], 1)  # a replay of the last batch is fine
+    with pytest.raises(RuntimeError):
+        sink(samples["customers_day2"], 0)
