@@ -1,11 +1,14 @@
 """Full refresh of the layered tables from a landing folder.
 
 landing (JSON orders / customers, CSV addresses)
-  -> bronze (all landing files + lineage columns, overwrite)
-  -> silver (cleaned; rules evaluated in one aggregate each; report appended)
+  -> bronze (all landing files + lineage columns, overwrite; or, with
+     ``incremental_bronze``, only new files appended by availableNow streams)
+  -> silver (cleaned; the rules and the write share one pass, published only
+     if no ``fail`` rule fired; report appended; or, with
+     ``incremental_silver``, only new bronze rows, one folder per micro-batch)
   -> dimensions (type-1 customers merged into a versioned table; type-2
      addresses applied to current rows + append-only history)
-  -> gold (five marts, overwrite)
+  -> gold (order totals once, then five marts, overwrite)
 
 Every step is a Spark job over whole tables; the functions only call each
 other in order (there is no scheduler).  Each write returns a metrics record
