@@ -233,6 +233,23 @@ def metrics_frame(spark: SparkSession, records: list[dict]) -> DataFrame:
     return spark.createDataFrame(rows, WRITE_METRICS)
 
 
+STATUSES = ("PASS", "WARN", "FAIL")
+
+
+def summarize_metrics(metrics: DataFrame, raise_on_failure: bool = False) -> dict[str, int]:
+    """Tables per status (PASS / WARN / FAIL) of a metrics frame or table.
+
+    An aggregate: at most one row per status reaches the driver.  With
+    ``raise_on_failure`` a run with any FAIL raises, as the original run log's
+    summary did.
+    """
+    rows = metrics.groupBy("status").agg(F.count(F.lit(1)).alias("n")).collect()
+    counts = {s: 0 for s in STATUSES} | {r.status: int(r.n) for r in rows}
+    if raise_on_failure and counts.get("FAIL", 0):
+        raise RuntimeError(f"{counts['FAIL']} table write(s) failed: {counts}")
+    return counts
+
+
 def append_metrics(spark: SparkSession, records: list[dict], path: str) -> None:
     if records:
         metrics_frame(spark, records).write.mode("append").parquet(path)

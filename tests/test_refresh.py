@@ -138,3 +138,16 @@ def test_refresh_marks_tables_with_rule_failures_as_warn(spark, samples, tmp_dir
     assert status == "WARN" and "valid_order_status" in msg and "known_payment_method" in msg
     assert m[("silver", "addresses")][0] == "WARN"  # two-word and missing states
     assert m[("bronze", "orders")][0] == "PASS"
+
+
+def test_metrics_summary(spark, samples, tmp_dir):
+    import pytest
+
+    from stratum.sinks.writer import metrics_frame, summarize_metrics
+
+    recs = [dict(run_time="r", layer="silver", table_name="a", mode="overwrite", status=s,
+                 rows=1, message="") for s in ("PASS", "PASS", "WARN")]
+    assert summarize_metrics(metrics_frame(spark, recs)) == {"PASS": 2, "WARN": 1, "FAIL": 0}
+    recs.append(dict(recs[0], status="FAIL"))
+    with pytest.raises(RuntimeError):
+        summarize_metrics(metrics_frame(spark, recs), raise_on_failure=True)
