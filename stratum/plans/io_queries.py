@@ -11,7 +11,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stratum.operators.quality import pass_rate_expr
 from stratum.operators.silver import clean_orders
 from stratum.plans import layers as L
 from stratum.plans import oracle as O
@@ -167,12 +166,7 @@ def stream_dq(spark: SparkSession, base: str) -> DataFrame:
 def stream_dq_report(spark: SparkSession, base: str) -> DataFrame:
     """Per-batch reports summed per rule (counts are additive over batches)."""
     root = _orders_dq_stream(spark, base)
-    rep = batches.read_batches(spark, f"{root}/report")
-
-    agg = rep.groupBy("table_name", "rule_name", "action").agg(
-        F.sum("pass_count").alias("pass_count"), F.sum("fail_count").alias("fail_count"),
-        F.sum("null_count").alias("null_count"))
-    return agg.withColumn("pass_rate", pass_rate_expr(F.col("pass_count"), F.col("fail_count")))
+    return batches.sum_batch_reports(batches.read_batches(spark, f"{root}/report"))
 
 
 def stream_scd1(spark: SparkSession, base: str) -> DataFrame:

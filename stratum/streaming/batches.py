@@ -22,6 +22,7 @@ from stratum.operators.quality import (
     counts_of,
     expect_all,
     first_failure,
+    pass_rate_expr,
     report_rows,
     rows_frame,
     rule_aggregates,
@@ -92,6 +93,15 @@ def _check_no_later_batches(spark, path: str, batch_id: int) -> None:
                 "stream with a new checkpoint needs a new output folder")
 
 
+def sum_batch_reports(reports: DataFrame) -> DataFrame:
+    """Per-batch DQ reports summed per rule: counts add up over batches, so
+    the result equals the report of one pass over all the rows."""
+    agg = reports.groupBy("table_name", "rule_name", "action").agg(
+        F.sum("pass_count").alias("pass_count"), F.sum("fail_count").alias("fail_count"),
+        F.sum("null_count").alias("null_count"))
+    return agg.withColumn("pass_rate", pass_rate_expr(F.col("pass_count"), F.col("fail_count")))
+
+
 def read_batches(spark, path: str) -> DataFrame:
     """All batch folders of a ``dq_sink`` output (``batch_id`` column added)."""
     return spark.read.parquet(path)
