@@ -22,7 +22,6 @@ import time as _time
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, Observation, SparkSession
-from pyspark.sql import functions as F
 
 from stratum.operators import marts
 from stratum.operators.quality import DQFailure
