@@ -256,6 +256,8 @@ def main(argv: list[str] | None = None) -> int:
         for m in cfg.metrics:
             print(f"{m['status']:4s} {m['layer']:6s} {m['table_name']:28s} {m['rows']:>12} rows "
                   f"{m.get('elapsed_s') or 0:>8.1f} s")
+        n = {st: sum(m["status"] == st for m in cfg.metrics) for st in writer.STATUSES}
+        print(f"SUMMARY {n['PASS']} passed, {n['WARN']} warned, {n['FAIL']} failed")
     return 0 if all(r.status != "FAIL" for r in metrics.collect()) else 1
 
 

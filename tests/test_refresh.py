@@ -83,6 +83,7 @@ def test_command_line_entry(spark, samples, tmp_dir, capsys):
     assert main(["--landing", landing, "--warehouse", wh, "--as-of", "2024-10-01"]) == 0
     out = capsys.readouterr().out
     assert "PASS gold" in out and "customer_order_summary" in out
+    assert "SUMMARY" in out and "0 failed" in out
 
 
 def test_incremental_bronze_refresh_matches_full_reload(spark, samples, tmp_dir):
