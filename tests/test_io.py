@@ -338,3 +338,16 @@ def test_dq_sink_refuses_a_foreign_output_folder(spark, samples, tmp_dir):
     sink(samples["customers_day1"], 1)  # a replay of the last batch is fine
     with pytest.raises(RuntimeError):
         sink(samples["customers_day2"], 0)
+
+
+def test_multiline_json_and_table_names(spark, tmp_dir):
+    from stratum.sources.catalog import is_table_name
+
+    land = os.path.join(tmp_dir, "ml")
+    os.makedirs(land)
+    with open(os.path.join(land, "a.json"), "w") as f:
+        f.write('[{"customer_id": 1,\n  "customer_name": "A"},\n {"customer_id": 2}]\n')
+    df = read_landing(spark, land, "json", CUSTOMERS_RAW, multiline=True)
+    assert sorted(r.customer_id for r in df.collect()) == [1, 2]
+    assert is_table_name("bronze.orders") and is_table_name("orders")
+    assert not is_table_name("/wh/bronze/orders") and not is_table_name("s3://b/wh")

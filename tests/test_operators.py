@@ -149,3 +149,14 @@ def test_cluster_conf_sizes_shuffle_partitions():
     assert cluster_conf(100 * 2**40)["spark.sql.shuffle.partitions"] == "100000"
     assert cluster_conf(10**6)["spark.sql.shuffle.partitions"] == "200"
     assert cluster_conf(2**40)["spark.sql.adaptive.enabled"] == "true"
+
+
+def test_explode_array_generic_fields_and_casts(spark):
+    from stratum.operators.flatten import explode_array
+
+    df = spark.createDataFrame([(1, [{"a": "5", "b": "x"}, {"a": "7", "b": "y"}])],
+                               "id long, xs array<struct<a:string,b:string>>")
+    out = explode_array(df, "xs", {"a": "x_a", "b": "x_b"}, casts={"x_a": "int"})
+    assert out.columns == ["id", "x_a", "x_b"]
+    assert dict(out.dtypes)["x_a"] == "int"
+    assert sorted((r.x_a, r.x_b) for r in out.collect()) == [(5, "x"), (7, "y")]
