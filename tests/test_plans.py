@@ -127,3 +127,33 @@ def test_scd2_history_intervals_are_contiguous(spark):
         for a, b in zip(rows, rows[1:]):
             assert a.effective_end == b.effective_start  # [start, end) intervals meet
             assert a.effective_start < a.effective_end
+
+
+def test_marts_under_a_hot_group_brute_force(spark):
+    import random
+
+    rnd = random.Random(7)
+    rows = []
+    for i in range(3000):
+        hot = i % 3 == 0
+        order = i // 2
+        rows.append((order, 0 if hot else rnd.randint(1, 50), "PayPal" if hot else
+                     rnd.choice(["Card", "Bank"]), dt.date(2024, 1, 1 + order % 28),
+                     "Pending", rnd.randint(1, 9), float(rnd.randint(100, 99999)) / 100))
+    lines = spark.createDataFrame(rows, "order_id long, customer_id long, payment_method string, "
+                                        "order_date date, order_status string, "
+                                        "item_quantity int, item_price double")
+    lines = lines.withColumns({"order_month": F.month("order_date"),
+                               "order_year": F.year("order_date")})
+    pdf = lines.toPandas()
+    pdf["cents"] = (pdf.item_price * 100).round().astype("int64") * pdf.item_quantity
+    got = {r.payment_method: (r.order_count, r.total_revenue)
+           for r in marts.payment_mix(lines).collect()}
+    want = {k: (g.order_id.nunique(), g.cents.sum() / 100.0)
+            for k, g in pdf.groupby("payment_method")}
+    assert got == want
+    got = {r.customer_id: (r.total_orders, r.lifetime_value)
+           for r in marts.customer_summary(lines).collect()}
+    want = {int(k): (g.order_id.nunique(), g.cents.sum() / 100.0)
+            for k, g in pdf.groupby("customer_id")}
+    assert got == want
