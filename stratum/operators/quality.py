@@ -109,6 +109,8 @@ def dq_report(df: DataFrame, rules: Sequence[Rule], table_name: str,
               run_time: str | None = None) -> DataFrame:
     """The report as a lazy DataFrame: one row per rule, in rule order."""
     run_time = run_time or _now()
+    if not rules:
+        return df.sparkSession.createDataFrame([], DQ_REPORT)
     counts = expect_all(df, rules)
     rows = []
     for i, r in enumerate(rules):

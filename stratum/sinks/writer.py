@@ -189,6 +189,8 @@ def write_checked(df: DataFrame, rules, table_name: str, path: str, *,
         known = counts_of(expect_all(df, rules).first(), rules)
         failing = {name for name, (_, f, _) in known.items() if f > 0}
         clean = apply_expectations(df, rules, on_null, failing=failing)
+    elif not rules:
+        known, clean = {}, df
     else:
         known = None
         clean = apply_expectations(df.observe(checks, *rule_aggregates(rules)), rules, on_null)

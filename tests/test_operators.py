@@ -160,3 +160,14 @@ def test_explode_array_generic_fields_and_casts(spark):
     assert out.columns == ["id", "x_a", "x_b"]
     assert dict(out.dtypes)["x_a"] == "int"
     assert sorted((r.x_a, r.x_b) for r in out.collect()) == [(5, "x"), (7, "y")]
+
+
+def test_no_rules(spark, tmp_path):
+    from stratum.sinks import writer
+
+    df = spark.createDataFrame([(1,), (2,)], "id long")
+    assert dq_report(df, [], "t").count() == 0
+    res = run_quality_checks(df, [], "t")
+    assert res.clean.count() == 2 and res.report.count() == 0
+    rec = writer.write_checked(df, [], "t", str(tmp_path / "s" / "t"))
+    assert rec["rows"] == 2 and rec["status"] == "PASS"
