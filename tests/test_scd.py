@@ -189,3 +189,12 @@ def test_earliest_per_key(spark):
     df = _src(spark, [(1, "x", "p", 3), (1, "y", "q", 1), (2, "w", "w", 5)])
     got = sorted((r.k, r.a) for r in scd.latest_per_key(df, KEY, ["seq"], latest=False).collect())
     assert got == [(1, "y"), (2, "w")]
+
+
+def test_scd2_apply_with_a_new_source_column(spark):
+    base = scd.scd2_initial(_src(spark, [(1, "x", "p", 1), (2, "y", "q", 1)]), KEY, "2024-01-01")
+    src = spark.createDataFrame([(1, "x2", "p", 2, "new"), (2, "y", "q", 2, "n2")],
+                                "k long, a string, b string, seq long, extra string")
+    out = scd.scd2_apply(base, src, KEY, TRACK, "2024-02-01", ["seq"])
+    rows = {(r.k, r.is_current): r.extra for r in out.collect()}
+    assert rows == {(1, False): None, (1, True): "new", (2, True): None}
