@@ -198,3 +198,15 @@ def test_scd2_apply_with_a_new_source_column(spark):
     out = scd.scd2_apply(base, src, KEY, TRACK, "2024-02-01", ["seq"])
     rows = {(r.k, r.is_current): r.extra for r in out.collect()}
     assert rows == {(1, False): None, (1, True): "new", (2, True): None}
+
+
+def test_scd2_table_empty_first_snapshot(spark, tmp_path):
+    from stratum.sinks import scd2_table
+
+    path = str(tmp_path / "dim")
+    empty = _src(spark, [])
+    assert scd2_table.apply(spark, path, empty, KEY, TRACK, "2024-01-01", ["seq"]) == 1
+    assert scd2_table.read_dimension(spark, path).count() == 0
+    scd2_table.apply(spark, path, _src(spark, [(1, "x", "p", 1)]), KEY, TRACK, "2024-01-02", ["seq"])
+    dim = scd2_table.read_dimension(spark, path).collect()
+    assert [(r.k, r.is_current, str(r.effective_start)) for r in dim] == [(1, True, "2024-01-02")]
