@@ -210,3 +210,13 @@ def test_scd2_table_empty_first_snapshot(spark, tmp_path):
     scd2_table.apply(spark, path, _src(spark, [(1, "x", "p", 1)]), KEY, TRACK, "2024-01-02", ["seq"])
     dim = scd2_table.read_dimension(spark, path).collect()
     assert [(r.k, r.is_current, str(r.effective_start)) for r in dim] == [(1, True, "2024-01-02")]
+
+
+def test_scd2_same_day_rerun_never_two_current_rows(spark):
+    day = "2024-01-01"
+    base = scd.scd2_initial(_src(spark, [(1, "x", "p", 1)]), KEY, day)
+    out = scd.scd2_apply(base, _src(spark, [(1, "y", "p", 2)]), KEY, TRACK, day, ["seq"])
+    rows = sorted((r.a, str(r.effective_start), str(r.effective_end), r.is_current)
+                  for r in out.collect())
+    # the first version gets a zero-length interval [day, day); one current row remains
+    assert rows == [("x", day, day, False), ("y", day, "None", True)]
