@@ -17,3 +17,33 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     path = work_path(spark, "llm", name, unique=True)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+_shipped: set[str] = set()
+
+
+def ship_package(spark) -> None:
+    """Hand this package to the executors, once per application.
+
+    Tasks import the package by name; on a cluster the executors may not have it
+    installed.  Spark's own file distribution carries the (small) zip.
+    """
+    import os
+    import tempfile
+    import zipfile
+
+    import stratum
+
+    sc = spark.sparkContext
+    if sc.applicationId in _shipped:
+        return
+    root = os.path.dirname(os.path.abspath(stratum.__file__))
+    target = os.path.join(tempfile.mkdtemp(prefix="stratum-py-"), "stratum_package.zip")
+    with zipfile.ZipFile(target, "w") as z:
+        for folder, _, names in os.walk(root):
+            for name in sorted(names):
+                if name.endswith(".py"):
+                    full = os.path.join(folder, name)
+                    z.write(full, os.path.relpath(full, os.path.dirname(root)))
+    sc.addPyFile(target)
+    _shipped.add(sc.applicationId)
