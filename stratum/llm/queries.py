@@ -16,6 +16,12 @@ from stratum.sources.tables import read_table
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from stratum.llm.pii import pii_report
+
+    return pii_report(read_table(spark, sf_dir, "documents", ["doc_id", "text"]))
+
+
 def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     from stratum.llm.bpe import bpe_tokens, standard_ranks
 
@@ -53,6 +59,7 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Query]:
     return {
+        "op1_pii": op1_pii,
         "op2_byte_bpe": op2_byte_bpe,
         "op3_url_filter": op3_url_filter,
         "op6_toxicity": op6_toxicity,
