@@ -9,6 +9,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from stratum.llm.frames import ship_package
 from stratum.sources.tables import read_table
@@ -39,6 +40,21 @@ def op3_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
                       standard_globs()).select("page_id", "host", "path", "rule", "verdict")
 
 
+def op4_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from stratum.llm.topk import top_k, weights
+
+    ship_package(spark)
+    vectors = weights(read_table(spark, sf_dir, "embeddings", ["vec_id", "embedding"]))
+    return top_k(vectors, F.col("vec_id") % 20 == 0)
+
+
+def op5_hilbert_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from stratum.llm.hilbert import hilbert_shards
+
+    return hilbert_shards(read_table(spark, sf_dir, "documents",
+                                     ["doc_id", "text", "lang", "source"]))
+
+
 def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     from stratum.llm.toxicity import fit_toxicity, score_toxicity
 
@@ -62,6 +78,8 @@ def queries() -> dict[str, Query]:
         "op1_pii": op1_pii,
         "op2_byte_bpe": op2_byte_bpe,
         "op3_url_filter": op3_url_filter,
+        "op4_exact_topk": op4_exact_topk,
+        "op5_hilbert_shards": op5_hilbert_shards,
         "op6_toxicity": op6_toxicity,
         "op10_quality": op10_quality,
     }

@@ -27,4 +27,20 @@ FROM parts p LEFT JOIN (SELECT DISTINCT page_id, host, path, rule, verdict FROM
   ON f.page_id IS NOT DISTINCT FROM p.page_id AND f.host = p.host AND f.path = p.path
 """
 
-SQL = {"op3_url_filter": OP3}
+OP4 = r"""
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(64 * x::DOUBLE)::BIGINT) AS w
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (
+  SELECT q.vec_id AS query_id, d.vec_id,
+    coalesce(list_sum(list_transform(list_zip(q.w, d.w), lambda z: z[1] * z[2])), 0)::BIGINT AS score
+  FROM v q JOIN v d ON q.vec_id % 20 = 0 AND d.vec_id <> q.vec_id),
+r AS (
+  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s)
+SELECT query_id, rank::INTEGER AS rank, vec_id, score FROM r WHERE rank <= 20
+"""
+
+SQL = {"op4_exact_topk": OP4,
+       "op3_url_filter": OP3}
