@@ -64,6 +64,14 @@ def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_toxicity(docs, model)
 
 
+def op8_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from stratum.llm.winnow import contamination
+
+    ship_package(spark)
+    return contamination(read_table(spark, sf_dir, "documents", ["doc_id", "text"]),
+                         read_table(spark, sf_dir, "benchmark", ["item_id", "text"]))
+
+
 def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     from stratum.llm.quality import fit_quality, score_quality
 
@@ -81,6 +89,7 @@ def queries() -> dict[str, Query]:
         "op4_exact_topk": op4_exact_topk,
         "op5_hilbert_shards": op5_hilbert_shards,
         "op6_toxicity": op6_toxicity,
+        "op8_winnowing": op8_winnowing,
         "op10_quality": op10_quality,
     }
 
