@@ -47,3 +47,22 @@ def ship_package(spark) -> None:
                     z.write(full, os.path.relpath(full, os.path.dirname(root)))
     sc.addPyFile(target)
     _shipped.add(sc.applicationId)
+
+
+def may_contain(rows: DataFrame, key: str, wanted: DataFrame, bits: int = 1 << 23) -> DataFrame:
+    """The rows whose key may be in ``wanted`` (one column of keys).
+
+    A bitmap of ``bits`` bits over key hashes, built by a bit_or aggregate, is
+    broadcast: its size is fixed (16 bytes for each 64 bits, 2 MB by default), whatever
+    the number of keys.  Rows with other keys never leave their scan; a few may stay
+    by chance, so the caller joins exactly afterwards.
+    """
+    from pyspark.sql import functions as F
+
+    slot = lambda c: F.pmod(F.xxhash64(F.col(c)), F.lit(bits))
+    keys = wanted.select(F.col(wanted.columns[0]).alias("_k")).select(slot("_k").alias("_s"))
+    words = keys.groupBy(F.floor(F.col("_s") / 64).cast("int").alias("_w")).agg(
+        F.bit_or(F.expr("shiftleft(1L, cast(_s % 64 AS int))")).alias("_b"))
+    marked = rows.withColumn("_s", slot(key)).withColumn("_w", F.floor(F.col("_s") / 64).cast("int"))
+    met = marked.join(F.broadcast(words), "_w")
+    return met.filter(F.expr("(shiftright(_b, cast(_s % 64 AS int)) & 1L) = 1L")).select(*rows.columns)

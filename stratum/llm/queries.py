@@ -64,6 +64,13 @@ def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_toxicity(docs, model)
 
 
+def op7_bbit_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from stratum.llm.minhash import near_duplicates
+
+    ship_package(spark)
+    return near_duplicates(read_table(spark, sf_dir, "documents", ["doc_id", "text"]))
+
+
 def op8_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
     from stratum.llm.winnow import contamination
 
@@ -89,6 +96,7 @@ def queries() -> dict[str, Query]:
         "op4_exact_topk": op4_exact_topk,
         "op5_hilbert_shards": op5_hilbert_shards,
         "op6_toxicity": op6_toxicity,
+        "op7_bbit_minhash": op7_bbit_minhash,
         "op8_winnowing": op8_winnowing,
         "op10_quality": op10_quality,
     }

@@ -74,6 +74,33 @@ SELECT d.doc_id, len(d.w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hi
 FROM words d LEFT JOIN hit USING (doc_id) LEFT JOIN items USING (doc_id)
 """.replace("\\\\", "\\")
 
+# Exact similarity over an inverted index of shingles, then the closure of the links.
+OP7 = r"""
+WITH RECURSIVE words AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w
+  FROM documents),
+sets AS (
+  SELECT DISTINCT doc_id, array_to_string(w[i:i + 4], ' ') AS s
+  FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS i
+        FROM words WHERE len(w) > 0)),
+sizes AS (SELECT doc_id, count(*) AS n FROM sets GROUP BY doc_id),
+common AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c
+  FROM sets a JOIN sets b ON a.s = b.s AND a.doc_id <> b.doc_id GROUP BY ALL),
+links AS (
+  SELECT a, b FROM common JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b
+  WHERE 100 * c >= 85 * (x.n + y.n - c)),
+reach(a, b) AS (
+  SELECT a, b FROM links UNION SELECT r.a, l.b FROM reach r JOIN links l ON r.b = l.a),
+comp AS (SELECT a AS doc_id, min(b) AS least FROM reach GROUP BY a)
+SELECT w.doc_id, coalesce(s.n, 0)::BIGINT AS n_shingles,
+  least(coalesce(c.least, w.doc_id), w.doc_id) AS component_id,
+  least(coalesce(c.least, w.doc_id), w.doc_id) = w.doc_id AS kept
+FROM words w LEFT JOIN sizes s USING (doc_id) LEFT JOIN comp c USING (doc_id)
+"""
+
 SQL = {"op4_exact_topk": OP4,
+       "op7_bbit_minhash": OP7,
        "op8_winnowing": OP8,
        "op3_url_filter": OP3}
