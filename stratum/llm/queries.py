@@ -79,6 +79,13 @@ def op8_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
                          read_table(spark, sf_dir, "benchmark", ["item_id", "text"]))
 
 
+def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from stratum.llm.suffix_dedup import remove_repeats
+
+    ship_package(spark)
+    return remove_repeats(read_table(spark, sf_dir, "documents", ["doc_id", "text"]))
+
+
 def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     from stratum.llm.quality import fit_quality, score_quality
 
@@ -98,6 +105,7 @@ def queries() -> dict[str, Query]:
         "op6_toxicity": op6_toxicity,
         "op7_bbit_minhash": op7_bbit_minhash,
         "op8_winnowing": op8_winnowing,
+        "op9_suffix_dedup": op9_suffix_dedup,
         "op10_quality": op10_quality,
     }
 
