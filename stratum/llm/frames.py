@@ -49,13 +49,15 @@ def ship_package(spark) -> None:
     _shipped.add(sc.applicationId)
 
 
-def may_contain(rows: DataFrame, key: str, wanted: DataFrame, bits: int = 1 << 23) -> DataFrame:
+def may_contain(rows: DataFrame, key: str, wanted: DataFrame, bits: int = 1 << 23,
+                mark: str | None = None) -> DataFrame:
     """The rows whose key may be in ``wanted`` (one column of keys).
 
     A bitmap of ``bits`` bits over key hashes, built by a bit_or aggregate, is
     broadcast: its size is fixed (16 bytes for each 64 bits, 2 MB by default), whatever
     the number of keys.  Rows with other keys never leave their scan; a few may stay
-    by chance, so the caller joins exactly afterwards.
+    by chance, so the caller joins exactly afterwards.  With ``mark`` all rows stay and
+    that boolean column tells them apart.
     """
     from pyspark.sql import functions as F
 
@@ -64,5 +66,28 @@ def may_contain(rows: DataFrame, key: str, wanted: DataFrame, bits: int = 1 << 2
     words = keys.groupBy(F.floor(F.col("_s") / 64).cast("int").alias("_w")).agg(
         F.bit_or(F.expr("shiftleft(1L, cast(_s % 64 AS int))")).alias("_b"))
     marked = rows.withColumn("_s", slot(key)).withColumn("_w", F.floor(F.col("_s") / 64).cast("int"))
-    met = marked.join(F.broadcast(words), "_w")
-    return met.filter(F.expr("(shiftright(_b, cast(_s % 64 AS int)) & 1L) = 1L")).select(*rows.columns)
+    hit = F.expr("(shiftright(_b, cast(_s % 64 AS int)) & 1L) = 1L")
+    if mark:
+        met = marked.join(F.broadcast(words), "_w", "left")
+        return met.select(*rows.columns, F.coalesce(hit, F.lit(False)).alias(mark))
+    return marked.join(F.broadcast(words), "_w").filter(hit).select(*rows.columns)
+
+
+def without_keys(rows: DataFrame, drop: DataFrame) -> DataFrame:
+    """Rows whose key columns (those of ``drop``, compared null-safe) are not in ``drop``.
+
+    Only rows that the bitmap of the last key column lets through are shuffled; all
+    others stay in their scan.
+    """
+    from pyspark.sql import functions as F
+
+    names = drop.columns
+    last = names[-1]
+    marked = may_contain(rows, last, drop.select(last), mark="_may")
+    keys = drop.distinct().select(*[F.col(c).alias(f"_drop_{c}") for c in names])
+    condition = None
+    for c in names:
+        same = F.col(c).eqNullSafe(F.col(f"_drop_{c}"))
+        condition = same if condition is None else condition & same
+    exact = marked.filter("_may").join(keys, condition, "left_anti")
+    return marked.filter("NOT _may").unionByName(exact).select(*rows.columns)

@@ -45,11 +45,11 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from stratum.llm.components import connected
-from stratum.llm.frames import may_contain, stored
+from stratum.llm.frames import may_contain, stored, without_keys
 
 SHINGLE = 5
 PERMUTATIONS = 128
@@ -326,3 +326,22 @@ def near_duplicates(docs: DataFrame, percent: int = 85, id_col: str = "doc_id",
     component = F.coalesce("component", "id")
     return out.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"),
                       component.alias("component_id"), F.col("id").eqNullSafe(component).alias("kept"))
+
+
+def drop_near_duplicates(docs: DataFrame, percent: int = 85, id_col: str = "doc_id",
+                         text_col: str = "text") -> DataFrame:
+    """One document of each class, with all its columns.
+
+    Of rows that share an id the one with the smallest text stays.  Rows with a null id
+    stay.  Only rows that go or whose id repeats are shuffled.
+    """
+    decided = near_duplicates(docs, percent, id_col, text_col)
+    gone = stored(decided.filter("NOT kept").select(F.col(id_col).alias("_id")).distinct(), "gone")
+    repeated = docs.filter(F.col(id_col).isNotNull()).groupBy(id_col).agg(
+        F.count(F.lit(1)).alias("n")).filter("n > 1").select(F.col(id_col).alias("_id"))
+    left = without_keys(docs.withColumn("_id", F.col(id_col)), gone)
+    marked = may_contain(left, "_id", stored(repeated, "repeated"), mark="_twice")
+    one = F.row_number().over(Window.partitionBy("_id").orderBy(F.xxhash64(text_col), text_col))
+    loose = F.col("_id").isNull() | ~F.col("_twice")
+    single = marked.filter(~loose).withColumn("_one", one).filter("_one = 1").drop("_one")
+    return marked.filter(loose).unionByName(single).select(*docs.columns)

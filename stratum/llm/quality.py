@@ -82,7 +82,8 @@ class Model:
 
 
 def train(bags: list[tuple[np.ndarray, np.ndarray]], y: np.ndarray, dim: int = 8,
-          epochs: int = 12, rate: float = 2.0, batch: int = 64, seed: int = 7) -> Model:
+          epochs: int = 12, rate: float = 2.0, batch: int = 64, least_steps: int = 500,
+          seed: int = 7) -> Model:
     """``bags``: (distinct buckets, counts) of each document."""
     rng = np.random.RandomState(seed)
     share = (y.sum() + 1.0) / (len(y) + 2.0)
@@ -93,7 +94,9 @@ def train(bags: list[tuple[np.ndarray, np.ndarray]], y: np.ndarray, dim: int = 8
     bias = np.log(np.array([1 - share, share])).astype(np.float32)
     size = np.array([len(i) for i, _ in bags])
     weight = [(c / c.sum()).astype(np.float32) for _, c in bags]
-    steps, done = epochs * (-(-len(y) // batch)), 0
+    per_epoch = -(-len(y) // batch)
+    epochs = max(epochs, -(-least_steps // per_epoch))  # small samples are passed more often
+    steps, done = epochs * per_epoch, 0
     for _ in range(epochs):
         order = rng.permutation(len(y))
         for at in range(0, len(y), batch):
@@ -164,24 +167,41 @@ def fit_quality(docs: DataFrame, labels: DataFrame, sample: int = 3000, id_col:
     return model
 
 
+def _scores(m: Model, column: pa.Array) -> np.ndarray:
+    from stratum.llm.textops import blocks, flat
+
+    data, off = flat(column)
+    total, count = np.zeros(len(off) - 1), np.zeros(len(off) - 1)
+    for i, j in blocks(off):
+        for f, doc in feature_runs(data[off[i]:off[j]], off[i:j + 1] - off[i]):
+            total[i:j] += np.bincount(doc, weights=m.bucket[f], minlength=j - i)
+            count[i:j] += np.bincount(doc, minlength=j - i)
+    return m.score(total, count)
+
+
+def keep_quality(docs: DataFrame, model: Model, threshold: float = 0.7,
+                 text_col: str = "text") -> DataFrame:
+    """The rows that the classifier accepts, with all their columns (one narrow pass)."""
+    shared = docs.sparkSession.sparkContext.broadcast((model.bucket, model.bias))
+    at = docs.columns.index(text_col)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        m = Model(*shared.value)
+        for b in batches:
+            yield b.filter(pa.array(_scores(m, b.column(at)) >= threshold))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def score_quality(docs: DataFrame, model: Model, threshold: float = 0.7, id_col: str = "doc_id",
                   text_col: str = "text", modulus: int = 4, remainder: int = 2) -> DataFrame:
     """(id, held_out, score, predicted) of every document."""
     shared = docs.sparkSession.sparkContext.broadcast((model.bucket, model.bias))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from stratum.llm.textops import blocks, flat
-
         m = Model(*shared.value)
         for b in batches:
-            data, off = flat(b.column("text"))
-            total, count = np.zeros(len(off) - 1), np.zeros(len(off) - 1)
-            for i, j in blocks(off):
-                n = j - i
-                for f, doc in feature_runs(data[off[i]:off[j]], off[i:j + 1] - off[i]):
-                    total[i:j] += np.bincount(doc, weights=m.bucket[f], minlength=n)
-                    count[i:j] += np.bincount(doc, minlength=n)
-            s = m.score(total, count)
+            s = _scores(m, b.column("text"))
             yield pa.RecordBatch.from_arrays(
                 [b.column("id"), b.column("held_out"), pa.array(s),
                  pa.array((s >= threshold).astype(np.int32))],

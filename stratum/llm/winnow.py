@@ -42,7 +42,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from stratum.llm.frames import stored
+from stratum.llm.frames import stored, without_keys
 
 WINDOW = 13
 K = 7
@@ -227,8 +227,11 @@ def _common(around_a: Column, around_b: Column, k: int, side: int) -> tuple[Colu
 
 def contamination(docs: DataFrame, items: DataFrame, window: int = WINDOW, k: int = K,
                   id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id",
-                  item_text_col: str = "text") -> DataFrame:
-    """One row per document: n_words, n_hit, n_items, items_sha256, contaminated."""
+                  item_text_col: str = "text", with_key: bool = False) -> DataFrame:
+    """One row per document: n_words, n_hit, n_items, items_sha256, contaminated.
+
+    ``with_key`` adds text_hash, which tells documents with one id apart.
+    """
     prints = stored(item_prints(items, window, k, item_col, item_text_col), "items")
     short = [r["size"] for r in prints.filter(F.col("size") < window).select("size").distinct().collect()]
     table = stored(document_prints(docs, _bitmap(prints, FILTER_BITS), sorted(short), window, k,
@@ -265,4 +268,15 @@ def contamination(docs: DataFrame, items: DataFrame, window: int = WINDOW, k: in
     return out.select(id_col, F.col("n_words").cast("long"), n_hit.alias("n_hit"),
                       F.size(names).cast("long").alias("n_items"),
                       F.sha2(F.array_join(names, ","), 256).alias("items_sha256"),
-                      ((n_hit > 0) & (n_hit * 20 >= F.col("n_words"))).alias("contaminated"))
+                      ((n_hit > 0) & (n_hit * 20 >= F.col("n_words"))).alias("contaminated"),
+                      *(["text_hash"] if with_key else []))
+
+
+def decontaminate(docs: DataFrame, items: DataFrame, id_col: str = "doc_id",
+                  text_col: str = "text") -> DataFrame:
+    """The documents that are not contaminated, with all their columns."""
+    bad = stored(contamination(docs, items, id_col=id_col, text_col=text_col, with_key=True).filter(
+        "contaminated").select(F.col(id_col).alias("_id"), F.col("text_hash").alias("_th")), "contaminated")
+    keyed = docs.withColumn("_id", F.col(id_col)).withColumn(
+        "_th", F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))))
+    return without_keys(keyed, bad).select(*docs.columns)
