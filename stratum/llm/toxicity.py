@@ -76,19 +76,20 @@ def _once(rows: list[np.ndarray]) -> list[np.ndarray]:
 def train(positive: list[np.ndarray], unlabelled: list[np.ndarray], prior: float,
           epochs: int = 400, batch: int = 6000, rate: float = 0.1, decay: float = 1e-5,
           least_z: float = 4.0, seed: int = 11) -> Model:
-    """Rows are arrays of distinct buckets; equal rows (copies) count once.
+    """Rows are arrays of distinct buckets.
 
     Buckets whose shares in the two samples differ by fewer than ``least_z`` standard
-    errors are left out: single rare words cannot be told from chance.
+    errors are left out: single rare words cannot be told from chance.  For these
+    shares equal rows (copies) count once.
     """
-    positive, unlabelled = _once(positive), _once(unlabelled)
     prior = float(min(max(prior, 1e-3), 0.95))
     weight = np.zeros(1 << BUCKET_BITS)
     if not positive or not unlabelled:
         return Model(weight, float(np.log(prior / (1 - prior))))
-    n_pos, n_unl = len(positive), len(unlabelled)
-    in_pos = np.bincount(np.concatenate(positive), minlength=1 << BUCKET_BITS)
-    in_unl = np.bincount(np.concatenate(unlabelled), minlength=1 << BUCKET_BITS)
+    once_pos, once_unl = _once(positive), _once(unlabelled)
+    n_pos, n_unl = len(once_pos), len(once_unl)
+    in_pos = np.bincount(np.concatenate(once_pos), minlength=1 << BUCKET_BITS)
+    in_unl = np.bincount(np.concatenate(once_unl), minlength=1 << BUCKET_BITS)
     pooled = (in_pos + in_unl + 1) / (n_pos + n_unl + 2)
     z = (in_pos / n_pos - in_unl / n_unl) / np.sqrt(
         pooled * (1 - pooled) * (1 / n_pos + 1 / n_unl))
