@@ -62,7 +62,7 @@ SPAN = 400
 K = 100
 GROUP_ROWS = 4096
 BATCH_ROWS = 8192
-SCAN_BYTES = 1 << 22
+SCAN_BYTES = 1 << 20
 
 _ANCHORS = "array<struct<h:long,c:long,at:long,lo:int,hi:int>>"
 
