@@ -34,14 +34,14 @@ BLOCK = 256
 CONTEXT = 40
 THRESHOLD = 0.6
 
-_SPAN = "array<struct<s:int,e:int,t:string,c:string>>"
+_SPAN = "array<struct<s:int,e:int,t:string,c:string,f:string>>"
 
 
 @dataclass(frozen=True)
 class Kind:
     name: str
     regex: str
-    check: str  # SQL condition on the match x.t; failing matches are dropped
+    check: str  # SQL condition on the match x.t (text before: x.c, character after: x.f)
     base: float
     checked: float  # added when the check holds
     near: str  # context words
@@ -72,6 +72,9 @@ _MOD97 = ("aggregate(split(concat(substring({v}, 5), substring({v}, 1, 4)), ''),
           "CASE WHEN c = '' THEN a WHEN c BETWEEN '0' AND '9' THEN (a * 10 + cast(c AS int)) % 97 "
           "ELSE (a * 100 + ascii(c) - 55) % 97 END) = 1")
 
+# The characters next to the match are of other classes.
+_APART = "NOT right(x.c, 1) RLIKE '[{left}]' AND NOT x.f RLIKE '[{right}]'"
+
 # The four base kinds, in the contract's order.
 BASE_KINDS = [
     Kind("email",
@@ -90,22 +93,32 @@ BASE_KINDS = [
 # What the method adds: kinds that need a checksum, a context word or both.
 ADDED_KINDS = [
     Kind("iban",
-         r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])",
-         f"length({_IBAN}) BETWEEN 15 AND 34 AND {_MOD97.format(v=_IBAN)}", 0.2, 0.5,
+         r"[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?",
+         f"length({_IBAN}) BETWEEN 15 AND 34 AND {_MOD97.format(v=_IBAN)} AND "
+         + _APART.format(left="A-Za-z0-9", right="A-Za-z0-9"), 0.2, 0.5,
          "iban|account|bank|konto|compte|cuenta", 0.2,
          "t RLIKE '[A-Z]{2}[0-9]{2} ?[A-Z0-9]{4}'"),
     Kind("short_card", _CARD_REGEX, _card(13, 15), 0.1, 0.2,
          "card|visa|amex|credit|karte|carte|tarjeta", 0.4,
          "t RLIKE '([0-9][ \\\\-]?+){12}[0-9]'"),
-    Kind("national_id", r"(?<![0-9\-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9\-])",
-         "NOT x.t RLIKE '^(000|666|9)|-00-|-0000$'", 0.2, 0.1, "ssn|social security", 0.4,
+    Kind("national_id", r"[0-9]{3}-[0-9]{2}-[0-9]{4}",
+         "NOT x.t RLIKE '^(000|666|9)|-00-|-0000$' AND "
+         + _APART.format(left="0-9\\\\-", right="0-9\\\\-"), 0.2, 0.1, "ssn|social security", 0.4,
          "t RLIKE '[0-9]-[0-9]{2}-[0-9]{4}'"),
-    Kind("local_phone", r"(?<![0-9+().\-])\(?[0-9]{3}\)?[ .\-][0-9]{3}[ .\-][0-9]{4}(?![0-9])",
-         "true", 0.2, 0.0, "tel|phone|call|mobile|fax", 0.5,
+    Kind("local_phone", r"\(?[0-9]{3}\)?[ .\-][0-9]{3}[ .\-][0-9]{4}",
+         _APART.format(left="0-9+().\\\\-", right="0-9"), 0.2, 0.0, "tel|phone|call|mobile|fax", 0.5,
          "t RLIKE '[0-9]{3}[ .\\\\-][0-9]{4}'"),
 ]
 
 
+def _beside(gaps: str, hits: str) -> str:
+    """SQL: each match with its length, the gap before it, and what stands next to it."""
+    n = f"size({hits})"
+    return (f"zip_with(zip_with(slice({gaps}, 1, {n}), slice({gaps}, 2, {n}), (y, w) -> "
+            f"named_struct('y', y, 'w', w)), {hits}, (p, z) -> named_struct('g', length(p.y), "
+            f"'h', length(z), 't', z, 'c', right(p.y, {CONTEXT}), 'f', left(p.w, 1), 'y', p.y))")
+
+
 def _spans(df: DataFrame, kinds: list[Kind]) -> DataFrame:
     """Adds {kind}_x: kept spans (s, e, t, score) of every kind; ``t`` is the text."""
     keep = df.columns
@@ -117,9 +130,7 @@ def _spans(df: DataFrame, kinds: list[Kind]) -> DataFrame:
         F.when(F.size(f"{k.name}_h") > 0, F.split("t", k.regex, -1))
         .otherwise(F.array().cast("array<string>")).alias(f"{k.name}_g") for k in kinds])
     df = df.select(*keep, *[F.expr(
-        f"zip_with(slice(`{k.name}_g`, 1, size(`{k.name}_h`)), `{k.name}_h`, (y, z) -> "
-        f"named_struct('g', length(y), 'h', length(z), 't', z, 'c', right(y, {CONTEXT})))"
-        ).alias(f"{k.name}_p") for k in kinds])
+        _beside(f"`{k.name}_g`", f"`{k.name}_h`")).alias(f"{k.name}_p") for k in kinds])
     df = df.select(*keep, *[F.expr(
         f"CASE WHEN size(`{k.name}_p`) = 0 THEN array(`{k.name}_p`) ELSE transform(sequence("
         f"0, cast((size(`{k.name}_p`) - 1) div {BLOCK} AS int)), "
@@ -134,7 +145,7 @@ def _spans(df: DataFrame, kinds: list[Kind]) -> DataFrame:
         f"flatten(zip_with(`{k.name}_b`, `{k.name}_o`, (b, o) -> aggregate(b, "
         f"named_struct('p', o, 'r', cast(array() AS {_SPAN})), (a, y) -> named_struct("
         "'p', a.p + y.g + y.h, 'r', concat(a.r, array(named_struct('s', a.p + y.g, "
-        "'e', a.p + y.g + y.h, 't', y.t, 'c', y.c)))), a -> a.r)))").alias(f"{k.name}_l")
+        "'e', a.p + y.g + y.h, 't', y.t, 'c', y.c, 'f', y.f)))), a -> a.r)))").alias(f"{k.name}_l")
         for k in kinds])
     return df.select(*keep, *[F.expr(
         f"filter(transform(filter(`{k.name}_l`, x -> {k.check}), x -> named_struct("
@@ -203,8 +214,7 @@ def redact_pii(docs: DataFrame, text_col: str = "text") -> DataFrame:
             F.array().cast("array<string>")).alias("g"))
         keep = (f"{k.check} AND {k.base + k.checked:.1f}D + CASE WHEN lower(x.c) RLIKE "
                 f"{_quoted(k.near)} THEN {k.nearby:.1f}D ELSE 0D END >= {THRESHOLD}D")
-        pieces = (f"flatten(transform(zip_with(slice(g, 1, size(h)), h, (y, z) -> named_struct("
-                  f"'g', y, 't', z, 'c', right(y, {CONTEXT}))), x -> array(x.g, "
+        pieces = (f"flatten(transform({_beside('g', 'h')}, x -> array(x.y, "
                   f"CASE WHEN {keep} THEN '<{k.name.upper()}>' ELSE x.t END)))")
         out = out.select("row", F.expr(
             f"CASE WHEN size(h) = 0 THEN t ELSE concat(array_join({pieces}, ''), "

@@ -100,7 +100,73 @@ SELECT w.doc_id, coalesce(s.n, 0)::BIGINT AS n_shingles,
 FROM words w LEFT JOIN sizes s USING (doc_id) LEFT JOIN comp c USING (doc_id)
 """
 
-SQL = {"op4_exact_topk": OP4,
+# Personal data: matches and the gaps between them give the positions; each kind has a
+# check, the added kinds also look at the neighbours of the match and at context words.
+_LUHN = """(list_sum(list_transform(range(1, length(d) + 1), lambda i:
+    CASE WHEN (length(d) - i) % 2 = 0 THEN d[i]::INT
+         WHEN d[i]::INT > 4 THEN 2 * d[i]::INT - 9 ELSE 2 * d[i]::INT END)) % 10 = 0)"""
+_PII_KINDS = [  # kind, pattern, condition on t (match), d (its digits), c (before), f (after)
+    ("email", "[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\\.[A-Za-z0-9-]+)+", "true"),
+    ("ip", "[0-9]+(\\.[0-9]+)(\\.[0-9]+)(\\.[0-9]+)",
+     "len(list_filter(string_split(t, '.'), lambda p: length(ltrim(p, '0')) > 3 "
+     "OR coalesce(try_cast(left(ltrim(p, '0'), 3) AS INT), 0) > 255)) = 0"),
+    ("card", "[0-9]([ -]?[0-9])+", f"CASE WHEN length(d) BETWEEN 16 AND 19 THEN {_LUHN} ELSE false END"),
+    ("phone", "\\+[0-9][ ().0-9-]+[0-9]", "length(d) BETWEEN 8 AND 15"),
+    ("iban", "[A-Z]{2}[0-9]{2}( ?[A-Z0-9]{4}){2,7}( ?[A-Z0-9]{1,3})?",
+     """length(replace(t, ' ', '')) BETWEEN 15 AND 34 AND list_reduce(list_concat([0], list_transform(
+        string_split(substring(replace(t, ' ', ''), 5) || left(replace(t, ' ', ''), 4), ''), lambda z:
+        CASE WHEN z BETWEEN '0' AND '9' THEN ascii(z) - 48 ELSE ascii(z) - 55 END)),
+        lambda a, v: (a * CASE WHEN v < 10 THEN 10 ELSE 100 END + v) % 97) = 1
+        AND NOT regexp_matches(right(c, 1), '[A-Za-z0-9]') AND NOT regexp_matches(f, '[A-Za-z0-9]')"""),
+    ("short_card", "[0-9]([ -]?[0-9])+",
+     f"CASE WHEN length(d) BETWEEN 13 AND 15 THEN {_LUHN} ELSE false END "
+     "AND regexp_matches(lower(c), 'card|visa|amex|credit|karte|carte|tarjeta')"),
+    ("national_id", "[0-9]{3}-[0-9]{2}-[0-9]{4}",
+     "NOT regexp_matches(t, '^(000|666|9)|-00-|-0000$') AND NOT regexp_matches(right(c, 1), '[0-9-]') "
+     "AND NOT regexp_matches(f, '[0-9-]') AND regexp_matches(lower(c), 'ssn|social security')"),
+    ("local_phone", "\\(?[0-9]{3}\\)?[ .-][0-9]{3}[ .-][0-9]{4}",
+     "NOT regexp_matches(right(c, 1), '[0-9+().-]') AND NOT regexp_matches(f, '[0-9]') "
+     "AND regexp_matches(lower(c), 'tel|phone|call|mobile|fax')"),
+]
+
+
+def _pii() -> str:
+    kinds = " UNION ALL ".join(
+        f"SELECT r, {n} AS k, '{name}' AS kind, h, g FROM (SELECT r, "
+        f"regexp_extract_all(x, '{rx}') AS h, string_split_regex(x, '{rx}') AS g FROM docs)"
+        for n, (name, rx, _) in enumerate(_PII_KINDS))
+    checks = " ".join(f"WHEN {n} THEN {check}" for n, (_, _, check) in enumerate(_PII_KINDS))
+    return f"""
+WITH docs AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS x FROM documents),
+found AS ({kinds}),
+each AS (
+  SELECT r, k, kind, i, h[i] AS t, regexp_replace(h[i], '[^0-9]', '', 'g') AS d,
+    right(g[i], 40) AS c, left(g[i + 1], 1) AS f, length(g[i]) AS gl, length(h[i]) AS hl
+  FROM (SELECT *, unnest(range(1, len(h) + 1)) AS i FROM found WHERE len(h) > 0)),
+placed AS (
+  SELECT *, sum(gl + hl) OVER (PARTITION BY r, k ORDER BY i) AS e FROM each),
+spans AS (
+  SELECT r, k, kind, e - hl AS s, e FROM placed WHERE CASE k {checks} END),
+kept AS (
+  SELECT * FROM spans a WHERE k < 4 OR NOT EXISTS (
+    SELECT 1 FROM spans b WHERE b.r = a.r AND b.k < 4 AND b.s < a.e AND a.s < b.e)),
+listed AS (
+  SELECT r, count(*) FILTER (k = 0) AS n_email, count(*) FILTER (k = 1) AS n_ip,
+    count(*) FILTER (k = 2) AS n_card, count(*) FILTER (k = 3) AS n_phone,
+    string_agg(kind || ':' || s || ':' || e, ',' ORDER BY k, s) FILTER (k < 4) AS base,
+    string_agg(kind || ':' || s || ':' || e, ',' ORDER BY k, s) AS spans,
+    count(*) FILTER (k >= 4) AS n_added
+  FROM kept GROUP BY r)
+SELECT doc_id, coalesce(n_email, 0)::BIGINT AS n_email, coalesce(n_ip, 0)::BIGINT AS n_ip,
+  coalesce(n_card, 0)::BIGINT AS n_card, coalesce(n_phone, 0)::BIGINT AS n_phone,
+  sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans,
+  coalesce(n_added, 0)::BIGINT AS n_added
+FROM docs LEFT JOIN listed USING (r)
+"""
+
+
+SQL = {"op1_pii": _pii(),
+       "op4_exact_topk": OP4,
        "op7_bbit_minhash": OP7,
        "op8_winnowing": OP8,
        "op3_url_filter": OP3}
