@@ -29,8 +29,8 @@ Shuffles: only (id, size, checksum, cell, bucket, salt) is shuffled, never a tex
 text is read once and the small table of these columns is stored in the shared
 folder between the count and the numbering.
 
-Defined results: a null text counts as empty (size 1, checksum 0); null metadata is
-its own value; rows that agree in every ordering column (repeated rows) take
+Defined results: a null text counts as empty (size 1, checksum 0), null metadata as
+the empty string; null ids come first within equal checksums; rows that agree in every ordering column (repeated rows) take
 successive places, equal up to their order.
 """
 
@@ -101,15 +101,19 @@ def _octant(p: Column, b: Column, dims: int) -> Column:
     return out
 
 
+def checksum(c: Column) -> Column:
+    """crc32 of a value written as text; null counts as empty."""
+    return F.crc32(F.coalesce(c.cast("string"), F.lit("")).cast("binary"))
+
+
 def hashed(c: Column, bits: int = BITS) -> Column:
-    """A category as a coordinate; null is its own value."""
-    return F.pmod(F.xxhash64(F.coalesce(c.cast("string"), F.lit("\0null"))), F.lit(1 << bits)).cast("int")
+    """A category as a coordinate; null counts as the empty string."""
+    return F.pmod(checksum(c), F.lit(1 << bits)).cast("int")
 
 
 def magnitude(c: Column, bits: int = BITS) -> Column:
     """A positive size as a coordinate: powers of two, the last one open."""
-    power = F.floor(F.log2(F.greatest(c, F.lit(1)).cast("double")))
-    return F.least(power, F.lit((1 << bits) - 1)).cast("int")
+    return F.least(F.length(F.bin(c)) - 1, F.lit((1 << bits) - 1)).cast("int")
 
 
 def hilbert_shards(docs: DataFrame, shards: int = 16, id_col: str = "doc_id",
@@ -119,12 +123,12 @@ def hilbert_shards(docs: DataFrame, shards: int = 16, id_col: str = "doc_id",
     text = F.coalesce(F.col(text_col), F.lit(""))
     meta = docs.select(
         F.col(id_col).alias("id"), (F.octet_length(text) + 1).cast("long").alias("size"),
-        F.crc32(text.cast("binary")).alias("crc"),
+        checksum(F.col(text_col)).alias("crc"),
         *[F.col(c).alias(f"c{i}") for i, c in enumerate(categories)])
     point = [hashed(F.col(f"c{i}")) for i in range(len(categories))] + [magnitude(F.col("size"))]
     meta = meta.select("id", "size", "crc", hilbert_index(point).alias("curve"))
     group = (F.pmod("crc", F.lit(BUCKETS)) * SALTS
-             + F.pmod(F.xxhash64("id"), F.lit(SALTS))).cast("int")
+             + F.pmod(checksum(F.col("id")), F.lit(SALTS))).cast("int")
     meta = stored(meta.withColumn("grp", group), "hilbert")
 
     counts = meta.groupBy("curve", "grp").agg(F.count(F.lit(1)).alias("n"))

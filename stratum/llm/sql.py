@@ -165,8 +165,50 @@ FROM docs LEFT JOIN listed USING (r)
 """
 
 
+def _crc32(x: str) -> str:
+    """crc32 of the UTF-8 bytes of a string, byte by byte with the table of its polynomial."""
+    table = []
+    for n in range(256):
+        for _ in range(8):
+            n = (n >> 1) ^ (0xEDB88320 if n & 1 else 0)
+        table.append(n)
+    return (f"xor(4294967295::BIGINT, list_reduce(list_concat([4294967295::BIGINT], list_transform("
+            f"regexp_extract_all(hex(encode({x})), '..'), lambda b: ('0x' || b)::BIGINT)), "
+            f"lambda a, b: xor(a >> 8, list_extract({table}, (xor(a, b) & 255) + 1))))")
+
+
+def _hilbert(bits: int = 4, buckets: int = 16, salts: int = 64, shards: int = 16) -> str:
+    from stratum.llm.hilbert import curve_tables
+
+    digit, follow = curve_tables(3)
+    steps, last = "", "point"
+    for b in reversed(range(bits)):
+        octant = f"(((x0 >> {b}) & 1) * 4 + ((x1 >> {b}) & 1) * 2 + ((x2 >> {b}) & 1))"
+        steps += f""",
+step{b} AS (SELECT * EXCLUDE (s, h), {follow}[s * 8 + {octant} + 1] AS s,
+  h * 8 + {digit}[s * 8 + {octant} + 1] AS h FROM {last})"""
+        last = f"step{b}"
+    return f"""
+WITH meta AS (
+  SELECT doc_id, strlen(coalesce(text, '')) + 1 AS size, {_crc32("coalesce(text, '')")} AS crc,
+    {_crc32("coalesce(lang, '')")} % {1 << bits} AS x0, {_crc32("coalesce(source, '')")} % {1 << bits} AS x1,
+    {_crc32("coalesce(doc_id::VARCHAR, '')")} % {salts} AS salt
+  FROM documents),
+point AS (
+  SELECT *, least(length(bin(size)) - 1, {(1 << bits) - 1}) AS x2, 0 AS s, 0::BIGINT AS h FROM meta){steps},
+placed AS (
+  SELECT *, row_number() OVER (ORDER BY h, crc % {buckets} * {salts} + salt, crc, doc_id NULLS FIRST, size) - 1 AS p,
+    count(*) OVER () AS n FROM {last}),
+cut AS (SELECT *, p * {shards} // n AS shard FROM placed)
+SELECT doc_id, size::BIGINT AS size, crc::BIGINT AS text_crc32, 'rows' AS law, shard::INTEGER AS shard,
+  (p - (shard * n + {shards - 1}) // {shards})::BIGINT AS slot, NULL::INTEGER AS grown_shard, h::BIGINT AS curve
+FROM cut
+"""
+
+
 SQL = {"op1_pii": _pii(),
        "op4_exact_topk": OP4,
        "op7_bbit_minhash": OP7,
+       "op5_hilbert_shards": _hilbert(),
        "op8_winnowing": OP8,
        "op3_url_filter": OP3}
