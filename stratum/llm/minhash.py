@@ -18,11 +18,12 @@ From candidates to components, without all pairs of any group:
    smallest document.  The pairs are linear in the bucket sizes; a tight group of any
    size becomes one component here.  (The bucket's smallest document comes from an
    aggregate and a join, which adaptive execution splits on a hot bucket.)
-3. Rest: buckets that still hold two or more components.  Their members are
-   compared across components only, by signature first, then (those with a
-   plausible partner) on full sets.  Buckets are cut into parts of PART members, a task
-   sees one pair of parts, keeps its own union-find and emits a spanning forest:
-   fewer links than members.
+3. Rest: buckets that still hold two or more components beside the document that the
+   star round compared with all; of several buckets with the same members one is
+   taken.  Members are compared across components only, by signature first, then
+   (those with a plausible partner) on full sets.  Buckets are cut into parts of PART
+   members; a group is one pair of parts.  Groups stream through the tasks in order;
+   a union-find emits a spanning forest, fewer links than members.
 4. Components over both kinds of links (``components.connected``).
 
 Links inside a component that is already connected are not looked for; no component
@@ -43,7 +44,6 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -188,56 +188,128 @@ def _close(na: str, nb: str, percent: int) -> Column:
     return F.expr(f"100 * least({na}, {nb}) >= {percent} * greatest({na}, {nb})")
 
 
-def link_parts(pdf: pd.DataFrame, percent: int, least: float, use_sets: bool) -> list[tuple[int, int]]:
-    """Links between different components of the members in one pair of parts.
+SMALL = 24  # members; groups up to this size are compared together, by size
 
-    Members carry (rep, comp, n, sig[, s], half); pairs are taken between the halves,
-    or within when there is one half.  A local union-find skips what is connected.
-    """
-    rep, comp = pdf["rep"].to_numpy(np.int64), pdf["comp"].to_numpy(np.int64)
-    n = pdf["n"].to_numpy(np.int64)
-    sig = np.array(pdf["sig"].tolist(), dtype=np.int64).view(np.uint64)
-    half = pdf["half"].to_numpy()
-    both = half.min() != half.max()
-    left = np.flatnonzero(half == half.min())
-    right = np.flatnonzero(half == half.max())
+
+def _agreement(sig: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Collision-corrected similarity of rows a and b of the packed signatures."""
     low = np.uint64(sum(1 << (B * i) for i in range(64 // B)))
+    x = sig[a] ^ sig[b]
+    folded = x.copy()
+    for s in range(1, B):
+        folded |= x >> np.uint64(s)
     c = 2.0 ** -B
-    sets = [frozenset(x.tolist()) for x in pdf["s"]] if use_sets else None
-    parent: dict[int, int] = {}
-
-    def root(x: int) -> int:
-        while parent.setdefault(x, x) != x:
-            parent[x] = parent[parent[x]]
-            x = parent[x]
-        return x
-
-    out = []
-    for at, i in enumerate(left):
-        others = right if both else left[at + 1:]
-        others = others[comp[others] != comp[i]]
-        others = others[100 * np.minimum(n[others], n[i]) >= percent * np.maximum(n[others], n[i])]
-        if not len(others):
-            continue
-        x = sig[others] ^ sig[i]
-        folded = x.copy()
-        for s in range(1, B):
-            folded |= x >> np.uint64(s)
-        differ = np.bitwise_count(folded & low).sum(axis=1)
-        estimate = ((1 - differ / PERMUTATIONS) - c) / (1 - c)
-        near = np.flatnonzero(estimate >= least)
-        for j in others[near[np.argsort(-estimate[near], kind="stable")]].tolist():
-            if not use_sets:
-                out.append((int(i), j))  # member numbers: plausible partners
+    return ((1 - np.bitwise_count(folded & low).sum(axis=-1) / PERMUTATIONS) - c) / (1 - c)
+
+
+def plausible_pairs(start: np.ndarray, half: np.ndarray, comp: np.ndarray, n: np.ndarray,
+                    sig: np.ndarray, percent: int, least: float) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Pairs of members of one group, from different components, that may be similar.
+
+    ``start`` bounds the groups.  Within a group pairs are taken between the halves, or
+    among all members when there is one half.  Yields arrays of at most some million pairs.
+    """
+    def picked(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        ok = (comp[a] != comp[b]) & (100 * np.minimum(n[a], n[b]) >= percent * np.maximum(n[a], n[b]))
+        a, b = a[ok], b[ok]
+        ok = _agreement(sig, a, b) >= least
+        return a[ok], b[ok]
+
+    size = np.diff(start)
+    first = start[:-1]
+    split = np.maximum.reduceat(half, first) != np.minimum.reduceat(half, first)
+    for m in np.unique(size[(size <= SMALL) & (size > 1) & ~split]).tolist():
+        groups = first[(size == m) & ~split]
+        i, j = np.triu_indices(m, 1)
+        step = max(1, (1 << 20) // len(i))
+        for at in range(0, len(groups), step):
+            g = groups[at:at + step, None]
+            yield picked((g + i).ravel(), (g + j).ravel())
+    for g in np.flatnonzero((size > SMALL) | split):
+        rows = np.arange(start[g], start[g + 1])
+        lower = half[rows] == half[rows].min()
+        left, right = rows[lower], rows[~lower]
+        if not len(right):
+            for k in range(len(left) - 1):
+                yield picked(np.full(len(left) - k - 1, left[k]), left[k + 1:])
+        else:
+            for x in left:
+                yield picked(np.full(len(right), x), right)
+
+
+def _groupwise(rows: DataFrame, percent: int, least: float, use_sets: bool) -> DataFrame:
+    """Works through groups (key, pair) that arrive complete and in order.
+
+    Without sets: (key, rep) of members with a plausible partner.  With sets: confirmed
+    links (a, b); a union-find over the components of the batch skips pairs that are
+    connected already, so a group yields fewer links than members.
+    """
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
+        for batch in batches:
+            if not batch.num_rows:
                 continue
-            a, b = root(int(comp[i])), root(int(comp[j]))
-            if a == b:
+            held.append(batch)
+            if sum(x.nbytes for x in held) < 1 << 24:
                 continue
-            common = len(sets[i] & sets[j])
-            if 100 * common >= percent * (len(sets[i]) + len(sets[j]) - common):
-                parent[max(a, b)] = min(a, b)
-                out.append((int(rep[i]), int(rep[j])))
-    return out
+            table = pa.Table.from_batches(held).combine_chunks()
+            key, pair = table["key"].to_numpy(), table["pair"].to_numpy()
+            last = np.flatnonzero((key != key[-1]) | (pair != pair[-1]))
+            cut = int(last[-1]) + 1 if len(last) else 0
+            if cut:
+                yield solve(table.slice(0, cut))
+            held = table.slice(cut).to_batches()
+        if held:
+            yield solve(pa.Table.from_batches(held).combine_chunks())
+
+    def solve(table: pa.Table) -> pa.RecordBatch:
+        key, pair, rep, comp, n, half = (table[c].to_numpy().astype(np.int64) for c in
+                                         ("key", "pair", "rep", "comp", "n", "half"))
+        new = np.ones(len(key), dtype=bool)
+        new[1:] = (key[1:] != key[:-1]) | (pair[1:] != pair[:-1])
+        start = np.append(np.flatnonzero(new), len(key))
+        lists = lambda c: table[c].combine_chunks() if isinstance(table[c], pa.ChunkedArray) else table[c]
+        sig = lists("sig")
+        if isinstance(sig, pa.ChunkedArray):
+            sig = sig.chunk(0)
+        sig = sig.flatten().to_numpy(zero_copy_only=False).view(np.uint64).reshape(-1, WORDS64)
+        found = plausible_pairs(start, half, comp, n, sig, percent, least)
+        if not use_sets:
+            hit = np.zeros(len(key), dtype=bool)
+            for a, b in found:
+                hit[a] = hit[b] = True
+            return pa.RecordBatch.from_arrays([pa.array(key[hit]), pa.array(rep[hit])], names=["key", "rep"])
+        sets = lists("s")
+        if isinstance(sets, pa.ChunkedArray):
+            sets = sets.chunk(0)
+        off = sets.offsets.to_numpy().astype(np.int64)
+        values = sets.values.to_numpy(zero_copy_only=False).view(np.uint64)
+        parent: dict[int, int] = {}
+
+        def root(x: int) -> int:
+            while parent.setdefault(x, x) != x:
+                parent[x] = parent[parent[x]]
+                x = parent[x]
+            return x
+
+        links = []
+        for a, b in found:
+            for i, j in zip(a.tolist(), b.tolist()):
+                x, y = root(int(comp[i])), root(int(comp[j]))
+                if x == y:
+                    continue
+                s, t = values[off[i]:off[i + 1]], values[off[j]:off[j + 1]]
+                common = np.count_nonzero(t[np.minimum(np.searchsorted(t, s), len(t) - 1)] == s)
+                if 100 * common >= percent * (len(s) + len(t) - common):
+                    parent[max(x, y)] = min(x, y)
+                    links.append((int(rep[i]), int(rep[j])))
+        return pa.RecordBatch.from_arrays(
+            [pa.array([x for x, _ in links], pa.int64()), pa.array([y for _, y in links], pa.int64())],
+            names=["a", "b"])
+
+    columns = ["key", "pair", "rep", "comp", "n", "half", "sig"] + (["s"] if use_sets else [])
+    ordered = rows.select(*columns).repartition("key", "pair").sortWithinPartitions("key", "pair")
+    return ordered.mapInArrow(run, "a long, b long" if use_sets else "key long, rep long")
 
 
 def _member_parts(members: DataFrame, part: int) -> DataFrame:
@@ -295,27 +367,21 @@ def near_duplicates(docs: DataFrame, percent: int = 85, id_col: str = "doc_id",
         F.col("rep").alias("a"), F.col("center").alias("b"))
     first = stored(connected(confirmed.unionByName(tied), "first"), "first")
 
-    # Buckets that still hold several components.
-    comp = shared.join(first.withColumnRenamed("id", "rep"), "rep", "left").select(
+    # Buckets that still hold several components beside their smallest document, whose
+    # pairs the star round has decided; of buckets with the same members one is enough.
+    others = shared.filter("rep <> center").join(
+        first.withColumnRenamed("id", "rep"), "rep", "left").select(
         "key", "rep", F.coalesce("component", "rep").alias("comp"))
-    mixed = comp.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter("lo <> hi")
-    rest = stored(comp.join(mixed.select("key"), "key").join(info, "rep"), "rest")
-
-    def plausible(pdf: pd.DataFrame) -> pd.DataFrame:
-        hit = sorted({m for pair in link_parts(pdf, percent, least, False) for m in pair})
-        return pdf.iloc[hit][["key", "rep"]]
-
-    schema = "key long, rep long"
-    near = _member_parts(rest, PART).groupBy("key", "pair").applyInPandas(plausible, schema)
+    mixed = others.groupBy("key").agg(
+        F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count(F.lit(1)).alias("m"),
+        F.bit_xor(F.xxhash64("rep")).alias("x1"), F.bit_xor(F.xxhash64("rep", F.lit(1))).alias("x2")).filter(
+        "lo <> hi").groupBy("m", "x1", "x2").agg(F.min("key").alias("key"))
+    rest = stored(others.join(mixed.select("key"), "key").join(info, "rep"), "rest")
+    near = _groupwise(_member_parts(rest, PART), percent, least, False)
     near = stored(near.distinct(), "plausible")
     sets = _full_sets(docs, near.select("rep").distinct(), id_col, text_col)
     chosen = rest.join(near, ["key", "rep"]).join(sets.withColumnRenamed("id", "rep"), "rep")
-
-    def confirm(pdf: pd.DataFrame) -> pd.DataFrame:
-        return pd.DataFrame(link_parts(pdf, percent, least, True), columns=["a", "b"], dtype="int64")
-
-    more = _member_parts(stored(chosen, "chosen"), PART).groupBy("key", "pair").applyInPandas(
-        confirm, "a long, b long")
+    more = _groupwise(_member_parts(stored(chosen, "chosen"), PART), percent, least, True)
     links = first.select(F.col("id").alias("a"), F.col("component").alias("b")).unionByName(more)
     final = connected(links, "final")
 
