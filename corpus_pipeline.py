@@ -5,7 +5,7 @@ Parquet and read again as the next stage's ``docs``; a lost executor therefore n
 repeats earlier stages.  All stages but the last return the columns of ``documents``.
 
 1. quality      documents that the classifier scores under 0.7 go
-2. near_dedup   one document of each near-duplicate class stays
+2. near_dedup   one document of each near-duplicate class (0.8 or more) stays
 3. decontaminate documents that hold benchmark passages (contaminated) go
 4. pii          personal data in the texts is replaced by <KIND>; n_chars follows
 5. tokens       byte-level BPE ids of every text, with the digest of their decoding
@@ -30,7 +30,7 @@ def stage_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def stage_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     ship_package(spark)
-    return minhash.drop_near_duplicates(docs)
+    return minhash.drop_near_duplicates(docs, percent=80)
 
 
 def stage_decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
