@@ -9,7 +9,7 @@ agreement counted by ``bit_count`` of the folded xor.  Candidates whose estimate
 MARGIN standard errors below the threshold go; the rest are confirmed on full sets.
 
 With 25 bands of 5 minima a pair of similarity 0.85 is missed by all bands with
-probability 4e-7 (0.9: 2e-10).
+probability 4e-7 (0.8: 5e-5, 0.9: 2e-10).
 
 From candidates to components, without all pairs of any group:
 1. Documents with equal sets (count and two 64-bit sums) form a class: a partial
@@ -326,7 +326,7 @@ def _member_parts(members: DataFrame, part: int) -> DataFrame:
         "half", (F.col("own") > F.col("other")).cast("int")).drop("parts", "own", "other")
 
 
-def near_duplicates(docs: DataFrame, percent: int = 85, id_col: str = "doc_id",
+def near_duplicates(docs: DataFrame, percent: int = 80, id_col: str = "doc_id",
                     text_col: str = "text") -> DataFrame:
     """(id, n_shingles, component_id, kept) of every document.
 
@@ -394,7 +394,7 @@ def near_duplicates(docs: DataFrame, percent: int = 85, id_col: str = "doc_id",
                       component.alias("component_id"), F.col("id").eqNullSafe(component).alias("kept"))
 
 
-def drop_near_duplicates(docs: DataFrame, percent: int = 85, id_col: str = "doc_id",
+def drop_near_duplicates(docs: DataFrame, percent: int = 80, id_col: str = "doc_id",
                          text_col: str = "text") -> DataFrame:
     """One document of each class, with all its columns.
 

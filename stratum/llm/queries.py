@@ -68,7 +68,7 @@ def op7_bbit_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     from stratum.llm.minhash import near_duplicates
 
     ship_package(spark)
-    return near_duplicates(read_table(spark, sf_dir, "documents", ["doc_id", "text"]))
+    return near_duplicates(read_table(spark, sf_dir, "documents", ["doc_id", "text"]), percent=85)
 
 
 def op8_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -72,7 +72,7 @@ def test_classes_equal_brute_force(frame, monkeypatch, part):
     rows += [(None, rows[0][1]), (None, "one"), (5, rows[5][1]), (7, "a second text under one id, quite unlike")]
     rng = random.Random(0)
     rng.shuffle(rows)
-    got = minhash.near_duplicates(frame(rows)).collect()
+    got = minhash.near_duplicates(frame(rows), 85).collect()
     assert sorted(((r.doc_id, r.n_shingles, r.component_id) for r in got), key=str) == brute(rows)
     assert all(r.kept == (r.doc_id == r.component_id) for r in got)
 
@@ -82,7 +82,7 @@ def test_chain_of_links_is_one_component(frame):
     rows = []
     for step in range(12):  # each differs from the one before by a few words
         rows.append((step, " ".join([f"n{i}" for i in range(step * 3)] + base[step * 3:])))
-    got = {r.doc_id: r.component_id for r in minhash.near_duplicates(frame(rows)).collect()}
+    got = {r.doc_id: r.component_id for r in minhash.near_duplicates(frame(rows), 85).collect()}
     assert [(i, got[i]) for i in got] and sorted(got.items()) == sorted((i, c) for i, _, c in brute(rows))
 
 
@@ -141,7 +141,7 @@ def test_bitmap_keeps_all_wanted_rows(lspark):
 def test_one_document_of_each_class_stays(frame):
     rows = numbered(corpus(4)) + [(3, corpus(4)[3]), (None, "one"), (None, "one")]
     src = frame(rows)
-    out = minhash.drop_near_duplicates(src)
+    out = minhash.drop_near_duplicates(src, 85)
     assert out.columns == src.columns
     want = {i for i, _, c in brute(rows) if i is not None and i == c}
     ids = [r.doc_id for r in out.collect()]
