@@ -14,7 +14,7 @@ with lists, O(n log n) also for a piece of a million bytes without a space.
 
 Scale: one narrow pass; no shuffle.  The rank file (0.8 MB, fixed) is read once
 on the driver and broadcast, so executors need no copy of it.  Each Python worker
-remembers at most ``CACHE`` encoded pieces (about 100 MB), then starts anew.
+remembers at most ``CACHE`` encoded pieces (about 40 MB), then starts anew.
 """
 
 from __future__ import annotations
@@ -29,7 +29,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-CACHE_BITS = 22
+from stratum.llm.frames import tidy
+
+CACHE_BITS = 20
 CACHE = 1 << (CACHE_BITS - 1)
 LONG_PIECE = 64  # bytes; longer pieces take the list form
 NONE = np.int64(1) << np.int64(62)  # no pair here
@@ -84,16 +86,24 @@ class PairTable:
     """(left id, right id) -> id of the joined token."""
 
     def __init__(self, ranks: dict[bytes, int]):
-        self.pairs: dict[int, int] = {}
+        pairs: dict[int, int] = {}
         for token, r in ranks.items():
             for i in range(1, len(token)):
                 a, b = ranks.get(token[:i]), ranks.get(token[i:])
                 if a is not None and b is not None:
-                    self.pairs[(a << SHIFT) | b] = r
-        n = len(self.pairs)
+                    pairs[(a << SHIFT) | b] = r
+        n = len(pairs)
         self.table = IntTable(max(4, int(np.ceil(np.log2(4 * max(1, n))))))
-        self.table.put(np.fromiter(self.pairs.keys(), dtype=np.int64, count=n),
-                       np.fromiter(self.pairs.values(), dtype=np.int64, count=n))
+        self.table.put(np.fromiter(pairs.keys(), dtype=np.int64, count=n),
+                       np.fromiter(pairs.values(), dtype=np.int64, count=n))
+        self._pairs: dict[int, int] | None = None
+
+    def pairs(self) -> dict[int, int]:
+        """The same map as a dictionary, made when the first long piece asks for it."""
+        if self._pairs is None:
+            used = np.flatnonzero(self.table.keys != -1)
+            self._pairs = dict(zip(self.table.keys[used].tolist(), self.table.vals[used].tolist()))
+        return self._pairs
 
     def rank(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         return self.table.get((a << SHIFT) | b)
@@ -276,7 +286,7 @@ class Encoder:
     # -- one long piece ----------------------------------------------------
     def encode_long(self, piece: bytes) -> bytes:
         n = len(piece)
-        none, get, mask = int(NONE), self.table.pairs.get, (1 << SHIFT) - 1
+        none, get, mask = int(NONE), self.table.pairs().get, (1 << SHIFT) - 1
         ids = self.byte_id[np.frombuffer(piece, dtype=np.uint8)].tolist()
         leaves = 1 << max(1, (n - 1).bit_length())
         tree = [none] * (2 * leaves)
@@ -438,7 +448,7 @@ def encoder(rank_file: bytes, pattern: str) -> Encoder:
     return _encoders[key]
 
 
-TEXT_BYTES = 4 << 20  # texts encoded together
+TEXT_BYTES = 1 << 20  # texts encoded together
 
 
 def bpe_tokens(docs: DataFrame, rank_path: str, pattern: str, id_col: str = "doc_id",
@@ -486,7 +496,7 @@ def bpe_tokens(docs: DataFrame, rank_path: str, pattern: str, id_col: str = "doc
     kind = docs.schema[id_col].dataType.simpleString()
     text = F.coalesce(F.col(text_col), F.lit(""))
     return docs.select(F.col(id_col).alias("id"), text.alias("t")).mapInArrow(
-        run, f"`{id_col}` {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string"
+        tidy(run), f"`{id_col}` {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string"
              + (", token_ids binary" if keep_ids else ""))
 
 

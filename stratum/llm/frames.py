@@ -19,6 +19,17 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def tidy(run):
+    """A task function that returns freed memory to the system when its partition ends."""
+    def task(batches):
+        from stratum.llm.textops import give_back
+
+        yield from run(batches)
+        give_back()
+
+    return task
+
+
 _shipped: set[str] = set()
 
 

@@ -49,7 +49,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from stratum.llm.components import connected
-from stratum.llm.frames import may_contain, stored, without_keys
+from stratum.llm.frames import may_contain, stored, tidy, without_keys
 
 SHINGLE = 5
 PERMUTATIONS = 128
@@ -140,7 +140,7 @@ def _sketch_rows(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
     return docs.select(F.col(id_col).cast("long").alias("id"),
                        F.coalesce(F.col(text_col), F.lit("")).alias("t")).mapInArrow(
-        run, "id long, n long, g1 long, g2 long, keys array<long>, sig array<long>")
+        tidy(run), "id long, n long, g1 long, g2 long, keys array<long>, sig array<long>")
 
 
 def _full_sets(docs: DataFrame, wanted: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -161,7 +161,7 @@ def _full_sets(docs: DataFrame, wanted: DataFrame, id_col: str, text_col: str) -
     texts = docs.select(F.col(id_col).cast("long").alias("id"),
                         F.coalesce(F.col(text_col), F.lit("")).alias("t"))
     # The bitmap lets a few unwanted ids through; the joins with ``s`` drop them.
-    return may_contain(texts, "id", wanted).mapInArrow(run, "id long, s array<long>")
+    return may_contain(texts, "id", wanted).mapInArrow(tidy(run), "id long, s array<long>")
 
 
 def least_estimate(threshold: float, margin: float = MARGIN) -> float:
@@ -250,7 +250,7 @@ def _groupwise(rows: DataFrame, percent: int, least: float, use_sets: bool) -> D
             if not batch.num_rows:
                 continue
             held.append(batch)
-            if sum(x.nbytes for x in held) < 1 << 24:
+            if sum(x.nbytes for x in held) < 1 << 22:
                 continue
             table = pa.Table.from_batches(held).combine_chunks()
             key, pair = table["key"].to_numpy(), table["pair"].to_numpy()
@@ -309,7 +309,7 @@ def _groupwise(rows: DataFrame, percent: int, least: float, use_sets: bool) -> D
 
     columns = ["key", "pair", "rep", "comp", "n", "half", "sig"] + (["s"] if use_sets else [])
     ordered = rows.select(*columns).repartition("key", "pair").sortWithinPartitions("key", "pair")
-    return ordered.mapInArrow(run, "a long, b long" if use_sets else "key long, rep long")
+    return ordered.mapInArrow(tidy(run), "a long, b long" if use_sets else "key long, rep long")
 
 
 def _member_parts(members: DataFrame, part: int) -> DataFrame:

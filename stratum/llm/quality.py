@@ -33,6 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stratum.llm import sampling
+from stratum.llm.frames import tidy
 
 BUCKET_BITS = 16
 GRAMS = (3, 4)
@@ -155,7 +156,7 @@ def fit_quality(docs: DataFrame, labels: DataFrame, sample: int = 3000, id_col:
         chosen = part if chosen is None else chosen.unionByName(part)
     share = known.agg(F.avg("y")).first()[0]
     rows = sampling.texts_of(docs, chosen, id_col, text_col).select("y", "text").mapInArrow(
-        _bags, "y int, buckets binary, counts binary").toArrow()
+        tidy(_bags), "y int, buckets binary, counts binary").toArrow()
     got = sorted(zip(rows["y"].to_pylist(), rows["buckets"].to_pylist(), rows["counts"].to_pylist()))
     bags = [(np.frombuffer(i, np.int32), np.frombuffer(c, np.int32)) for _, i, c in got]
     y = np.array([g[0] for g in got], dtype=np.int64)
@@ -190,7 +191,7 @@ def keep_quality(docs: DataFrame, model: Model, threshold: float = 0.7,
         for b in batches:
             yield b.filter(pa.array(_scores(m, b.column(at)) >= threshold))
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.mapInArrow(tidy(run), docs.schema)
 
 
 def score_quality(docs: DataFrame, model: Model, threshold: float = 0.7, id_col: str = "doc_id",
@@ -211,4 +212,4 @@ def score_quality(docs: DataFrame, model: Model, threshold: float = 0.7, id_col:
     return docs.select(F.col(id_col).alias("id"),
                        sampling.held_out(id_col, modulus, remainder).alias("held_out"),
                        F.coalesce(F.col(text_col), F.lit("")).alias("text")).mapInArrow(
-        run, f"`{id_col}` {kind}, held_out boolean, score double, predicted int")
+        tidy(run), f"`{id_col}` {kind}, held_out boolean, score double, predicted int")

@@ -56,13 +56,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stratum.llm.frames import may_contain, stored
+from stratum.llm.frames import may_contain, stored, tidy
 
 SPAN = 400
 K = 100
 GROUP_ROWS = 4096
 BATCH_ROWS = 8192
-SCAN_BYTES = 1 << 20
+SCAN_BYTES = 1 << 19
 
 _ANCHORS = "array<struct<h:long,c:long,at:long,lo:int,hi:int>>"
 
@@ -132,7 +132,7 @@ def _scan(docs: DataFrame, span: int, k: int, id_col: str, text_col: str) -> Dat
 
     kind = docs.schema[id_col].dataType.simpleString()
     return _texts(docs, id_col, text_col).mapInArrow(
-        run, f"id {kind}, th long, n_bytes long, sha string, anchors {_ANCHORS}")
+        tidy(run), f"id {kind}, th long, n_bytes long, sha string, anchors {_ANCHORS}")
 
 
 def _texts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -247,7 +247,7 @@ def _induced(rows: DataFrame, span: int, kind: str) -> DataFrame:
 
     # The queue: tuples in group order, spilled and merged by Spark's sort.
     queue = rows.repartition("h").sortWithinPartitions("h")
-    return queue.mapInArrow(run, f"id {kind}, th long, s1 long, s2 long")
+    return queue.mapInArrow(tidy(run), f"id {kind}, th long, s1 long, s2 long")
 
 
 def _halved(rows: DataFrame, span: int) -> tuple[DataFrame, DataFrame]:
@@ -381,7 +381,7 @@ def remove_repeats(docs: DataFrame, span: int = SPAN, k: int = K, id_col: str =
         ["_id", "_th"])
     met = per_doc.join(texts, F.col("id").eqNullSafe(F.col("_id")) & (F.col("th") == F.col("_th")))
     done = met.select("id", "th", "t", "ranges").mapInArrow(
-        cut, f"_id {kind}, _th long, n_removed long, n_spans long, cut_sha string"
+        tidy(cut), f"_id {kind}, _th long, n_removed long, n_spans long, cut_sha string"
              + (", kept binary" if keep_text else ""))
     base = table.select("id", "th", "n_bytes", "sha")
     out = base.join(done, F.col("id").eqNullSafe(F.col("_id")) & (F.col("th") == F.col("_th")), "left")

@@ -12,12 +12,13 @@ temporary arrays, about 40 bytes per text byte, stay bounded.
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 
-BLOCK_BYTES = 1 << 20
+BLOCK_BYTES = 1 << 19
 
 U = np.uint64
 _BASE = 0x9E3779B97F4A7C15 | 1  # odd, hence invertible modulo 2**64
@@ -108,6 +109,14 @@ def blocks(offsets: np.ndarray, limit: int = BLOCK_BYTES) -> Iterator[tuple[int,
         i = j
 
 
+def give_back() -> None:
+    """Return freed memory to the system: workers are reused, their peaks would add up."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc only
+    if trim is not None:
+        trim(0)
+
+
 class Words:
     """Words of a run of documents.
 

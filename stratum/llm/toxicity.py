@@ -34,6 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stratum.llm import sampling
+from stratum.llm.frames import tidy
 
 BUCKET_BITS = 18
 
@@ -162,7 +163,7 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, positives: int = 3000,
     collected: dict[int, list[np.ndarray]] = {1: [], 0: []}
     for chosen in (good, other):
         rows = sampling.texts_of(docs, chosen, id_col, text_col).select("y", "text").mapInArrow(
-            _word_rows, "y int, buckets binary").toArrow()
+            tidy(_word_rows), "y int, buckets binary").toArrow()
         for y, raw in sorted(zip(rows["y"].to_pylist(), rows["buckets"].to_pylist())):
             collected[y].append(np.frombuffer(raw, np.int32).astype(np.int64))
     return train(collected[1], collected[0], prior if prior is not None else 0.1)
@@ -193,4 +194,4 @@ def score_toxicity(docs: DataFrame, model: Model, threshold: float = 0.5, id_col
     return docs.select(F.col(id_col).alias("id"),
                        sampling.held_out(id_col, modulus, remainder).alias("held_out"),
                        F.coalesce(F.col(text_col), F.lit("")).alias("text")).mapInArrow(
-        run, f"`{id_col}` {kind}, held_out boolean, score double, predicted int")
+        tidy(run), f"`{id_col}` {kind}, held_out boolean, score double, predicted int")

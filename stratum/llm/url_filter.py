@@ -37,6 +37,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from stratum.llm.frames import tidy
+
 LONG_URL = 2048
 
 
@@ -171,7 +173,7 @@ def judge_urls(pages: DataFrame, globs: Sequence[Glob], id_col: str = "page_id",
     url = pages.select(F.col(id_col).alias("id"), F.col(url_col).alias("u"))
     parts = url.select("id", host_of(F.col("u")).alias("host"), path_of(F.col("u")).alias("path"))
     return parts.withColumn("canonical", F.concat(F.lit("."), "host", "path")).mapInArrow(
-        judge, f"`{id_col}` {kind}, host string, path string, rule string, verdict string, "
+        tidy(judge), f"`{id_col}` {kind}, host string, path string, rule string, verdict string, "
                "glob string")
 
 

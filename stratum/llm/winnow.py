@@ -42,7 +42,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from stratum.llm.frames import stored, without_keys
+from stratum.llm.frames import stored, tidy, without_keys
 
 WINDOW = 13
 K = 7
@@ -155,7 +155,7 @@ def item_prints(items: DataFrame, window: int, k: int, id_col: str, text_col: st
     kind = items.schema[id_col].dataType.simpleString()
     rows = items.filter(F.col(id_col).isNotNull()).select(
         F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("t"))
-    rows = rows.mapInArrow(run, f"item_id {kind}, prints {_PRINTS}")
+    rows = rows.mapInArrow(tidy(run), f"item_id {kind}, prints {_PRINTS}")
     return rows.select("item_id", F.inline("prints"))
 
 
@@ -209,7 +209,7 @@ def document_prints(docs: DataFrame, bitmap: np.ndarray, short: list[int], windo
     text = F.coalesce(F.col(text_col), F.lit(""))
     return docs.select(F.col(id_col).alias("id"), text.alias("t"),
                        F.xxhash64(text).alias("text_hash")).mapInArrow(
-        run, f"`{id_col}` {kind}, text_hash long, n_words long, prints {_PRINTS}")
+        tidy(run), f"`{id_col}` {kind}, text_hash long, n_words long, prints {_PRINTS}")
 
 
 def _common(around_a: Column, around_b: Column, k: int, side: int) -> tuple[Column, Column]:
