@@ -158,23 +158,29 @@ def _quoted(s: str) -> str:
     return "'" + s.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
-def find_pii(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, findings): array of (kind, start, end, value, score), by kind, then start.
-
-    Positions count code points; ``end`` is exclusive.  Base kinds come first.
-    """
-    kinds = BASE_KINDS + ADDED_KINDS
-    df = _spans(docs.select(F.col(id_col).alias("id"),
-                            F.coalesce(F.col(text_col), F.lit("")).alias("t")), kinds)
-    base = F.concat(*[F.col(f"{k.name}_x") for k in BASE_KINDS])
-    df = df.withColumn("base", base)
+def _found(df: DataFrame, kinds: list[Kind]) -> DataFrame:
+    """Adds findings, (kind, start, end, value, score) by kind, then start; ``t`` is the text."""
+    keep = df.columns
+    df = _spans(df, kinds)
+    base = [F.col(f"{k.name}_x") for k in kinds if k in BASE_KINDS]
+    if base:
+        df = df.withColumn("base", F.concat(*base))
     free = "filter(`{n}_x`, x -> NOT exists(base, b -> b.s < x.e AND x.s < b.e))"
     parts = []
     for k in kinds:
-        src = f"`{k.name}_x`" if k in BASE_KINDS else free.format(n=k.name)
+        src = f"`{k.name}_x`" if k in BASE_KINDS or not base else free.format(n=k.name)
         parts.append(F.expr(f"transform({src}, x -> named_struct('kind', '{k.name}', "
                             "'start', x.s, 'end', x.e, 'value', x.t, 'score', x.score))"))
-    return df.select(F.col("id").alias(id_col), F.concat(*parts).alias("findings"))
+    return df.select(*keep, F.concat(*parts).alias("findings"))
+
+
+def find_pii(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(id, findings): array of (kind, start, end, value, score), by kind, then start.
+
+    Positions count code points; ``end`` is exclusive.  Base kinds come first.
+    """
+    df = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("t"))
+    return _found(df, BASE_KINDS + ADDED_KINDS).select(F.col("id").alias(id_col), "findings")
 
 
 def _listed(condition: str) -> Column:
@@ -195,30 +201,54 @@ def pii_report(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
         F.expr(f"cast(size(filter(findings, x -> NOT {is_base})) AS bigint)").alias("n_added"))
 
 
+def _masked(df: DataFrame, kinds: list[Kind]) -> DataFrame:
+    """(row, t) with the union of the spans masked: spans that overlap become one mask,
+    which names the kind of the first.
+
+    Sorted by start, a span opens a mask if the largest end before it (``m``) is not
+    beyond its start; ``m`` is then also where the previous mask ended.  The largest
+    end and the cuts run in blocks like the positions of ``_spans``.
+    """
+    df = _found(df.select("row", "t"), kinds).select("row", "t", F.expr(
+        "sort_array(transform(findings, (x, i) -> named_struct("
+        "'s', x.start, 'i', i, 'e', x.`end`, 'k', x.kind)))").alias("l"))
+    blocks = (f"CASE WHEN size({{0}}) = 0 THEN array({{0}}) ELSE transform(sequence("
+              f"0, cast((size({{0}}) - 1) div {BLOCK} AS int)), "
+              f"i -> slice({{0}}, i * {BLOCK} + 1, {BLOCK})) END")
+    df = df.select("row", "t", "l", F.expr(blocks.format("l")).alias("b"))
+    df = df.select("row", "t", "l", "b", F.expr(
+        "aggregate(b, named_struct('p', 0, 'o', cast(array() AS array<int>)), (a, x) -> named_struct("
+        "'p', greatest(a.p, aggregate(x, 0, (n, y) -> greatest(n, y.e))), "
+        "'o', concat(a.o, array(a.p))), a -> a.o)").alias("o"))
+    df = df.select("row", "t", "l", F.expr(
+        "filter(flatten(zip_with(b, o, (x, o) -> aggregate(x, named_struct('p', o, "
+        "'r', cast(array() AS array<struct<m:int,s:int,k:string>>)), (a, y) -> named_struct("
+        "'p', greatest(a.p, y.e), 'r', concat(a.r, array(named_struct("
+        "'m', a.p, 's', y.s, 'k', y.k)))), a -> a.r))), x -> x.s >= x.m)").alias("u"))
+    df = df.select("row", "t", "l", F.expr(blocks.format("u")).alias("b"))
+    df = df.select("row", "t", "l", F.expr(
+        "CASE WHEN size(l) > 0 THEN transform(b, x -> named_struct('b', x, 'm', x[0].m, 'x', "
+        "substring(t, x[0].m + 1, element_at(x, -1).s - x[0].m))) END").alias("b"))
+    return df.select("row", F.expr(
+        "CASE WHEN size(l) = 0 THEN t ELSE concat(array_join(flatten(transform(b, p -> transform("
+        "p.b, y -> concat(substring(p.x, y.m - p.m + 1, y.s - y.m), '<', upper(y.k), '>')))), ''), "
+        "substring(t, array_max(transform(l, x -> x.e)) + 1)) END").alias("t"))
+
+
 def redact_pii(docs: DataFrame, text_col: str = "text") -> DataFrame:
-    """The table with every kept span replaced by ``<KIND>``, one kind after another.
+    """The table with every span of ``find_pii`` replaced by ``<KIND>``.
 
-    Each kind is cut out of the text that the kinds before it left, so a span that
-    overlaps an earlier one loses at least the common part.  Linear in the text: the
-    pieces between matches and the masks are joined.  Null texts stay null; all other
-    columns are unchanged.
+    No character of a span stays: overlapping spans become one mask.  A mask can cut a
+    longer match that failed its check, and what is left of that may pass, so the kinds
+    are then searched once more in the masked text, one after another.  Null texts stay
+    null; all other columns are unchanged.
     """
     columns = docs.columns
     out = docs.select(F.struct(*[F.col(f"`{c}`") for c in columns]).alias("row"),
                       F.coalesce(F.col(f"`{text_col}`"), F.lit("")).alias("t"))
+    out = _masked(out, BASE_KINDS + ADDED_KINDS)
     for k in BASE_KINDS + ADDED_KINDS:
-        out = out.select("row", "t", F.when(
-            F.expr(k.may), F.regexp_extract_all("t", F.lit(k.regex), F.lit(0))).otherwise(
-            F.array().cast("array<string>")).alias("h"))
-        out = out.select("row", "t", "h", F.when(F.size("h") > 0, F.split("t", k.regex, -1)).otherwise(
-            F.array().cast("array<string>")).alias("g"))
-        keep = (f"{k.check} AND {k.base + k.checked:.1f}D + CASE WHEN lower(x.c) RLIKE "
-                f"{_quoted(k.near)} THEN {k.nearby:.1f}D ELSE 0D END >= {THRESHOLD}D")
-        pieces = (f"flatten(transform({_beside('g', 'h')}, x -> array(x.y, "
-                  f"CASE WHEN {keep} THEN '<{k.name.upper()}>' ELSE x.t END)))")
-        out = out.select("row", F.expr(
-            f"CASE WHEN size(h) = 0 THEN t ELSE concat(array_join({pieces}, ''), "
-            "element_at(g, -1)) END").alias("t"))
+        out = _masked(out, [k])
     return out.select(*[
         F.when(F.col(f"row.`{c}`").isNull(), F.lit(None)).otherwise(F.col("t")).alias(c)
         if c == text_col else F.col(f"row.`{c}`").alias(c) for c in columns])

@@ -109,6 +109,34 @@ def test_redaction_leaves_no_base_span(frame):
     assert got[5].text == "<CARD> x <PHONE>." and got[5].score == "x"
 
 
+def test_no_character_of_a_span_survives_redaction(frame):
+    fixed = ["call +33.1.42.68.53.00", "4111 1111 1111 1111@x.com", "call +1.2.3.4.55.66 é😀 x@y.zz.",
+             "a@b.cc " * 700 + "+33.1.42.68.53.00", "4111111111111111 10.0.0.1", "4111111111111111.1.2.3.4"]
+    rng = random.Random(11)
+    pieces = list("0123456789 -.+@()é😀") + ["user@h.com", "+33.1.42.68.53.00", "1.2.3.4", " ", " call "]
+    texts = fixed + ["".join(rng.choice(pieces + [card(rng, 16)]) for _ in range(rng.randrange(1, 40)))
+                     for _ in range(300)]
+    src = frame(numbered(texts))
+    got, found = by_id(redact_pii(src)), by_id(find_pii(src))
+    shared = 0
+    for i, t in enumerate(texts):
+        marked = list(t)
+        for x in found[i].findings:
+            shared += "\0" in marked[x["start"]:x["end"]]
+            marked[x["start"]:x["end"]] = "\0" * (x["end"] - x["start"])
+        # What stands between the masks comes, in order, from the text outside all spans.
+        outside, at = "".join(marked), 0
+        for piece in re.split("<[A-Z_]+>", got[i].text):
+            assert (at := outside.find(piece, at)) >= 0, (t, got[i].text)
+            at += len(piece)
+        if not found[i].findings:
+            assert got[i].text == t
+    assert shared > 20
+    assert [got[i].text for i in (0, 1)] == ["call <PHONE>", "<CARD>"]
+    assert got[2].text == "call <PHONE> é😀 <EMAIL>." and got[3].text == "<EMAIL> " * 700 + "<PHONE>"
+    assert [got[i].text for i in (4, 5)] == ["<CARD> <IP>", "<CARD>.<IP>"]
+
+
 def test_empty_table(frame):
     assert pii_report(frame([])).count() == 0 and redact_pii(frame([])).count() == 0
 
