@@ -15,7 +15,7 @@ cannot occur.
 
 Score of a span: the kind's base value, plus the value of its checksum or format
 check (a failed check drops the span), plus the value of a context word among the
-CONTEXT characters before it.  Base kinds start at or above the threshold, so they
+CONTEXT characters of the text before it.  Base kinds start at or above the threshold, so they
 are kept whatever the context; the added kinds need a checksum, a context word or
 both.  An added span that overlaps a base span is dropped.
 
@@ -34,14 +34,14 @@ BLOCK = 256
 CONTEXT = 40
 THRESHOLD = 0.6
 
-_SPAN = "array<struct<s:int,e:int,t:string,c:string,f:string>>"
+_SPAN = "array<struct<s:int,e:int,t:string,b:string,f:string,c:string>>"
 
 
 @dataclass(frozen=True)
 class Kind:
     name: str
     regex: str
-    check: str  # SQL condition on the match x.t (text before: x.c, character after: x.f)
+    check: str  # SQL condition on the match x.t (gap's last character: x.b, character after: x.f)
     base: float
     checked: float  # added when the check holds
     near: str  # context words
@@ -73,7 +73,7 @@ _MOD97 = ("aggregate(split(concat(substring({v}, 5), substring({v}, 1, 4)), ''),
           "ELSE (a * 100 + ascii(c) - 55) % 97 END) = 1")
 
 # The characters next to the match are of other classes.
-_APART = "NOT right(x.c, 1) RLIKE '[{left}]' AND NOT x.f RLIKE '[{right}]'"
+_APART = "NOT x.b RLIKE '[{left}]' AND NOT x.f RLIKE '[{right}]'"
 
 # The four base kinds, in the contract's order.
 BASE_KINDS = [
@@ -112,11 +112,12 @@ ADDED_KINDS = [
 
 
 def _beside(gaps: str, hits: str) -> str:
-    """SQL: each match with its length, the gap before it, and what stands next to it."""
+    """SQL: each match with its length, the end of the gap before it, and what stands next to it."""
     n = f"size({hits})"
     return (f"zip_with(zip_with(slice({gaps}, 1, {n}), slice({gaps}, 2, {n}), (y, w) -> "
             f"named_struct('y', y, 'w', w)), {hits}, (p, z) -> named_struct('g', length(p.y), "
-            f"'h', length(z), 't', z, 'c', right(p.y, {CONTEXT}), 'f', left(p.w, 1), 'y', p.y))")
+            f"'h', length(z), 't', z, 'b', right(p.y, 1), 'f', left(p.w, 1), "
+            f"'y', right(p.y, {CONTEXT})))")
 
 
 def _spans(df: DataFrame, kinds: list[Kind]) -> DataFrame:
@@ -136,16 +137,19 @@ def _spans(df: DataFrame, kinds: list[Kind]) -> DataFrame:
         f"0, cast((size(`{k.name}_p`) - 1) div {BLOCK} AS int)), "
         f"i -> slice(`{k.name}_p`, i * {BLOCK} + 1, {BLOCK})) END").alias(f"{k.name}_b")
         for k in kinds])
-    # First place of every block, then the places within each block.
+    # First place of every block and the text before it, then the same within each block.
+    step = (f"'p', {{a}}.p + y.g + y.h, 'c', right(concat({{a}}.c, y.y, y.t), {CONTEXT})")
     df = df.select(*df.columns, *[F.expr(
-        f"aggregate(`{k.name}_b`, named_struct('p', 0, 'o', cast(array() AS array<int>)), "
-        "(a, b) -> named_struct('p', a.p + aggregate(b, 0, (n, y) -> n + y.g + y.h), "
-        "'o', concat(a.o, array(a.p))), a -> a.o)").alias(f"{k.name}_o") for k in kinds])
+        f"aggregate(`{k.name}_b`, named_struct('v', named_struct('p', 0, 'c', ''), "
+        "'o', cast(array() AS array<struct<p:int,c:string>>)), (a, b) -> named_struct("
+        f"'v', aggregate(b, a.v, (n, y) -> named_struct({step.format(a='n')})), "
+        f"'o', concat(a.o, array(a.v))), a -> a.o)").alias(f"{k.name}_o") for k in kinds])
     df = df.select(*keep, *[F.expr(
-        f"flatten(zip_with(`{k.name}_b`, `{k.name}_o`, (b, o) -> aggregate(b, "
-        f"named_struct('p', o, 'r', cast(array() AS {_SPAN})), (a, y) -> named_struct("
-        "'p', a.p + y.g + y.h, 'r', concat(a.r, array(named_struct('s', a.p + y.g, "
-        "'e', a.p + y.g + y.h, 't', y.t, 'c', y.c, 'f', y.f)))), a -> a.r)))").alias(f"{k.name}_l")
+        f"flatten(zip_with(`{k.name}_b`, `{k.name}_o`, (b, o) -> aggregate(b, named_struct("
+        f"'p', o.p, 'c', o.c, 'r', cast(array() AS {_SPAN})), (a, y) -> named_struct("
+        f"{step.format(a='a')}, 'r', concat(a.r, array(named_struct('s', a.p + y.g, "
+        "'e', a.p + y.g + y.h, 't', y.t, 'b', y.b, 'f', y.f, "
+        f"'c', right(concat(a.c, y.y), {CONTEXT}))))), a -> a.r)))").alias(f"{k.name}_l")
         for k in kinds])
     return df.select(*keep, *[F.expr(
         f"filter(transform(filter(`{k.name}_l`, x -> {k.check}), x -> named_struct("

@@ -79,6 +79,27 @@ def test_added_kinds_need_checksum_or_context(frame):
     assert plain[1].findings[0]["score"] > plain[0].findings[0]["score"] >= 0.6
 
 
+def test_context_is_the_text_before_not_the_gap_between_matches(frame):
+    texts = ["call 555-123-4567 or 555-987-6543", "amex card exp 12/27 no 378282246310005",
+             "ssn 123-45-6789, 234-56-7891", "call " + "x" * 36 + " 555-987-6543",
+             "tel 555-123-4567 " + "y" * 30 + " 555-987-6543",
+             "call" + " 555-123-4567" * 600]
+    got = by_id(find_pii(frame(numbered(texts))))
+    values = [[x["value"] for x in got[i].findings] for i in range(5)]
+    assert values == [["555-123-4567", "555-987-6543"], ["378282246310005"],
+                      ["123-45-6789", "234-56-7891"], [], ["555-123-4567"]]
+    # Each of the 600 is judged by its own 40 characters, also across blocks of matches.
+    seen = [m.start() for m in re.finditer("555-123-4567", texts[5])
+            if "call" in texts[5][max(0, m.start() - 40):m.start()]]
+    assert [x["start"] for x in got[5].findings] == seen
+    assert by_id(redact_pii(frame(numbered(texts))))[0].text == "call <LOCAL_PHONE> or <LOCAL_PHONE>"
+
+
+def test_context_reaches_over_blocks(frame):
+    text = "12 / " * 300 + "card 12 / 34 no 378282246310005"
+    assert [x["kind"] for x in by_id(find_pii(frame(numbered([text]))))[0].findings] == ["short_card"]
+
+
 def test_added_span_inside_a_base_span_is_dropped(frame):
     r = by_id(find_pii(frame(numbered(["call +1 555 123 4567 now"]))))[0]
     assert [x["kind"] for x in r.findings] == ["phone"]
