@@ -72,6 +72,30 @@ _MOD97 = ("aggregate(split(concat(substring({v}, 5), substring({v}, 1, 4)), ''),
           "CASE WHEN c = '' THEN a WHEN c BETWEEN '0' AND '9' THEN (a * 10 + cast(c AS int)) % 97 "
           "ELSE (a * 100 + ascii(c) - 55) % 97 END) = 1")
 
+# Lengths of the countries' IBANs: the registry, then the codes in use beside it.
+_IBAN_LENGTHS = {
+    15: "NO", 16: "BE", 18: "DK FI FK FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK",
+    21: "CH HR LI LV", 22: "BG BH CR DE GB GE IE ME RS VA", 23: "AE GI IL IQ OM SO TL",
+    24: "AD CZ ES MD PK RO SA SE SK TN VG", 25: "LY PT ST AO CV GW MZ", 26: "IS TR DZ IR",
+    27: "BI DJ FR GR IT MC MR SM CF CG CM GA GQ KM MG TD",
+    28: "AL AZ BY CY DO GT HN HU LB NI PL SV BF BJ CI MA ML NE SN TG", 29: "BR EG PS QA UA",
+    30: "JO KW MU YE", 31: "MT SC", 32: "LC", 33: "RU"}
+
+
+def _iban(blank: str) -> str:
+    """An IBAN of its country's length that ends with a word."""
+    return "(?:" + "|".join(
+        f"(?:{codes.replace(' ', '|')})[0-9]{{2}}(?:{blank}[A-Z0-9]{{4}}){{{(n - 4) // 4}}}"
+        + (f"{blank}[A-Z0-9]{{{n % 4}}}" if n % 4 else "")
+        for n, codes in _IBAN_LENGTHS.items()) + ")(?![A-Za-z0-9])"
+
+
+# The country's length decides where a match ends; other lengths and codes end with the
+# last word that fits.  No match runs over a blank into the next IBAN.
+_BLANK = f"(?: (?!{_iban(' ?')}))?"
+_IBAN_REGEX = (f"(?<![A-Za-z0-9])(?:{_iban(_BLANK)}|[A-Z]{{2}}[0-9]{{2}}(?:{_BLANK}[A-Z0-9]{{4}}){{2,7}}"
+               f"(?:{_BLANK}[A-Z0-9]{{1,3}})?(?![A-Za-z0-9]))")
+
 # The characters next to the match are of other classes.
 _APART = "NOT x.b RLIKE '[{left}]' AND NOT x.f RLIKE '[{right}]'"
 
@@ -92,8 +116,7 @@ BASE_KINDS = [
 
 # What the method adds: kinds that need a checksum, a context word or both.
 ADDED_KINDS = [
-    Kind("iban",
-         r"[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?",
+    Kind("iban", _IBAN_REGEX,
          f"length({_IBAN}) BETWEEN 15 AND 34 AND {_MOD97.format(v=_IBAN)} AND "
          + _APART.format(left="A-Za-z0-9", right="A-Za-z0-9"), 0.2, 0.5,
          "iban|account|bank|konto|compte|cuenta", 0.2,

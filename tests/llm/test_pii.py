@@ -100,6 +100,39 @@ def test_context_reaches_over_blocks(frame):
     assert [x["kind"] for x in by_id(find_pii(frame(numbered([text]))))[0].findings] == ["short_card"]
 
 
+def iban(code, body):
+    number = "".join(str(int(c, 36)) for c in body + code + "00")
+    return f"{code}{98 - int(number) % 97:02d}{body}"
+
+
+def test_iban_ends_at_its_length_whatever_follows(frame):
+    rng = random.Random(3)
+    own = ["ES91 2100 0418 4502 0005 1332", "ES9121000418450200051332", "BE68 5390 0754 7034"]
+    own += [iban(c, "".join(rng.choice("0123456789") for _ in range(n - 4))) for c, n in [
+        ("NO", 15), ("BE", 16), ("NL", 18), ("AT", 20), ("DE", 22), ("ES", 24), ("SE", 24), ("CZ", 24),
+        ("RO", 24), ("SK", 24), ("PT", 25), ("FR", 27), ("PL", 28), ("HU", 28), ("MT", 31), ("LC", 32)]]
+    own += [" ".join(x[i:i + 4] for i in range(0, len(x), 4)) for x in own[3:]]
+    tails = ["", " Please", " BIC CAIXESBB", " Thanks", " A", " 12", " OK 7", ".", " 2024-01-02", " X1 Y2Z3"]
+    heads = ["", "to ", "REF12 ", "AB12 ", "x: "]
+    texts = [(h, x, t) for x in own for h, t in [("", t) for t in tails] + [(h, " Please") for h in heads]]
+    texts += [("", own[0], " " + own[2] + " " + own[0] + " end")]
+    got, taken = by_id(find_pii(frame(numbered([h + x + t for h, x, t in texts])))), 0
+    for i, (h, x, t) in enumerate(texts):
+        found = [(f["kind"], f["start"], f["value"]) for f in got[i].findings if f["kind"] == "iban"]
+        # Digits that happen to be a card or phone are a base span, which goes first.
+        base = any(f["kind"] in RULES for f in got[i].findings)
+        assert base or found[:1] == [("iban", len(h), x)], (h + x + t, found)
+        taken += base
+    assert taken < len(texts) // 10
+    assert [f["value"] for f in got[len(texts) - 1].findings] == [own[0], own[2], own[0]]
+    wrong = ["ES91 2100 0418 4502 0005 1333 Please", "ES91 2100 0418 4502 0005 1332Please",
+             "xES91 2100 0418 4502 0005 1332", "BE68 5390 0754 70347"]
+    got = by_id(find_pii(frame(numbered(wrong))))
+    assert not any(f["kind"] == "iban" for r in got.values() for f in r.findings)
+    out = by_id(redact_pii(frame(numbered([own[0] + " Please", own[1] + " BIC CAIXESBB"]))))
+    assert [out[i].text for i in (0, 1)] == ["<IBAN> Please", "<IBAN> BIC CAIXESBB"]
+
+
 def test_added_span_inside_a_base_span_is_dropped(frame):
     r = by_id(find_pii(frame(numbered(["call +1 555 123 4567 now"]))))[0]
     assert [x["kind"] for x in r.findings] == ["phone"]
