@@ -95,6 +95,13 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_quality(docs, model)
 
 
+def op11_lloyd_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from stratum.llm.lloyd import compress
+
+    ship_package(spark)
+    return compress(read_table(spark, sf_dir, "embeddings", ["vec_id", "embedding", "label"]))
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_pii": op1_pii,
@@ -107,6 +114,7 @@ def queries() -> dict[str, Query]:
         "op8_winnowing": op8_winnowing,
         "op9_suffix_dedup": op9_suffix_dedup,
         "op10_quality": op10_quality,
+        "op11_lloyd_codes": op11_lloyd_codes,
     }
 
 

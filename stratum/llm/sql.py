@@ -206,9 +206,54 @@ FROM cut
 """
 
 
+def _lloyd(parts: int = 8, entries: int = 16, rounds: int = 6, scale: int = 4096) -> str:
+    """Every round spelled out: the nearest entry of each part, then the floored means."""
+    steps = f"""
+WITH kept AS (
+  SELECT row_number() OVER () AS r, vec_id, label, embedding::DOUBLE[] AS x FROM embeddings
+  WHERE embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda v: v IS NULL OR NOT isfinite(v))) = 0),
+shape AS (SELECT (coalesce(max(len(x)), 0) + {parts - 1}) // {parts} AS dims FROM kept),
+parts AS (
+  SELECT r, vec_id, x, p, list_transform(range(1, dims + 1),
+    lambda i: floor({scale} * coalesce(x[p * dims + i], 0))::BIGINT) AS v
+  FROM kept, shape, range({parts}) t(p)),
+c0 AS (
+  SELECT p, e - 1 AS e, v FROM (
+    SELECT p, v, row_number() OVER (PARTITION BY p ORDER BY vec_id NULLS LAST, x) AS e FROM parts)
+  WHERE e <= {entries})"""
+    for k in range(rounds + 1):
+        steps += f""",
+a{k} AS MATERIALIZED (
+  SELECT r, p, v, m % {entries} AS e, m // {entries} AS d FROM (
+    SELECT r, p, any_value(x.v) AS v, min({entries} * coalesce(list_sum(list_transform(
+      list_zip(x.v, c.v), lambda z: (z[1] - z[2]) * (z[1] - z[2]))), 0)::BIGINT + c.e) AS m
+    FROM parts x JOIN c{k} c USING (p) GROUP BY r, p))"""
+        if k < rounds:
+            steps += f""",
+m{k} AS (
+  SELECT p, e, list((s - ((s % n) + n) % n) // n ORDER BY i) AS v FROM (
+    SELECT p, e, i, sum(v[i])::BIGINT AS s, count(*)::BIGINT AS n
+    FROM (SELECT p, e, v, unnest(range(1, len(v) + 1)) AS i FROM a{k}) GROUP BY p, e, i)
+  GROUP BY p, e),
+c{k + 1} AS MATERIALIZED (
+  SELECT c.p, c.e, coalesce(m.v, c.v) AS v FROM c{k} c LEFT JOIN m{k} m ON m.p = c.p AND m.e = c.e)"""
+    return steps + f""",
+books AS (
+  SELECT sha256(coalesce(string_agg(array_to_string(v, ','), ',' ORDER BY p, e), '')) AS sha FROM c{rounds}),
+coded AS (
+  SELECT r, string_agg(printf('%02x', e), '' ORDER BY p) AS code, sum(d)::BIGINT AS error
+  FROM a{rounds} GROUP BY r)
+SELECT vec_id, code, error, (sum(error) OVER (PARTITION BY label))::BIGINT AS label_error,
+  sha AS codebooks_sha256
+FROM kept JOIN coded USING (r), books
+"""
+
+
 SQL = {"op1_pii": _pii(),
        "op4_exact_topk": OP4,
        "op7_bbit_minhash": OP7,
        "op5_hilbert_shards": _hilbert(),
        "op8_winnowing": OP8,
-       "op3_url_filter": OP3}
+       "op3_url_filter": OP3,
+       "op11_lloyd_codes": _lloyd()}
