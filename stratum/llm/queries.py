@@ -102,6 +102,21 @@ def op11_lloyd_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return compress(read_table(spark, sf_dir, "embeddings", ["vec_id", "embedding", "label"]))
 
 
+def op12_edit_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from stratum.llm.edit_embedding import edited_fingerprints
+
+    ship_package(spark)
+    return edited_fingerprints(read_table(spark, sf_dir, "documents", ["doc_id", "text"]))
+
+
+def op13_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from stratum.llm.resample import resample
+
+    ship_package(spark)
+    return resample(read_table(spark, sf_dir, "documents", ["doc_id", "text"]),
+                    read_table(spark, sf_dir, "benchmark", ["text"]))
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_pii": op1_pii,
@@ -115,6 +130,8 @@ def queries() -> dict[str, Query]:
         "op9_suffix_dedup": op9_suffix_dedup,
         "op10_quality": op10_quality,
         "op11_lloyd_codes": op11_lloyd_codes,
+        "op12_edit_fingerprints": op12_edit_fingerprints,
+        "op13_importance_resampling": op13_importance_resampling,
     }
 
 

@@ -250,10 +250,46 @@ FROM kept JOIN coded USING (r), books
 """
 
 
+def _resample(percent: int = 5, least_words: int = 20, buckets: int = 10000, seed: int = 42) -> str:
+    """Runs of one to three words spelled out; each distinct run is hashed once."""
+    words = """regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"""
+    runs = """list_concat(w, list_transform(range(1, len(w)), lambda i: array_to_string(w[i:i + 1], ' ')),
+    list_transform(range(1, len(w) - 1), lambda i: array_to_string(w[i:i + 2], ' ')))"""
+    return f"""
+WITH docs AS (SELECT row_number() OVER () AS r, doc_id, {words} AS w FROM documents),
+items AS (SELECT {words} AS w FROM benchmark),
+f AS MATERIALIZED (SELECT r, unnest({runs}) AS f FROM docs),
+g AS MATERIALIZED (SELECT unnest({runs}) AS f FROM items),
+crcs AS MATERIALIZED (
+  SELECT f, {_crc32("f")} % {buckets} AS b FROM (SELECT f FROM f UNION SELECT f FROM g)),
+s AS (SELECT b, count(*) AS s FROM f JOIN crcs USING (f) GROUP BY b),
+t AS (SELECT b, count(*) AS t FROM g JOIN crcs USING (f) GROUP BY b),
+gains AS (
+  SELECT b, floor(1000 * ln((coalesce(t, 0) + 1)::DOUBLE * ((SELECT count(*) FROM f) + {buckets})
+      / ((coalesce(s, 0) + 1)::DOUBLE * ((SELECT count(*) FROM g) + {buckets}))))::BIGINT AS gain
+  FROM s FULL JOIN t USING (b)),
+weights AS (
+  SELECT r, count(*)::BIGINT AS n_features, sum(gain)::BIGINT AS weight
+  FROM f JOIN crcs USING (f) JOIN gains USING (b) GROUP BY r),
+scores AS (
+  SELECT r, doc_id, len(w) AS n_words, coalesce(n_features, 0) AS n_features, coalesce(weight, 0) AS weight,
+    coalesce(weight, 0) + floor(-1000 * ln(-ln((('0x' || left(sha256('{seed}:' || coalesce(doc_id::VARCHAR, '')), 8))::BIGINT
+      + 0.5::DOUBLE) / 4294967296::DOUBLE)))::BIGINT AS score
+  FROM docs LEFT JOIN weights USING (r)),
+placed AS (
+  SELECT r, row_number() OVER (ORDER BY score DESC, doc_id NULLS LAST) AS rank, count(*) OVER () AS n
+  FROM scores WHERE n_words >= {least_words})
+SELECT doc_id, n_features, weight, score, CASE WHEN rank <= {percent} * n // 100 THEN rank END AS rank
+FROM scores LEFT JOIN placed USING (r)
+"""
+
+
 SQL = {"op1_pii": _pii(),
        "op4_exact_topk": OP4,
        "op7_bbit_minhash": OP7,
        "op5_hilbert_shards": _hilbert(),
        "op8_winnowing": OP8,
        "op3_url_filter": OP3,
-       "op11_lloyd_codes": _lloyd()}
+       "op11_lloyd_codes": _lloyd(),
+       "op13_importance_resampling": _resample()}

@@ -1,0 +1,105 @@
+import hashlib
+import math
+import random
+import re
+import zlib
+
+import numpy as np
+from pyspark.sql import functions as F
+
+from stratum.llm import resample
+
+WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
+LOWER = {c: c + 32 for c in range(65, 91)}
+
+
+def features(text):
+    w = WORD.findall((text or "").translate(LOWER))
+    return w, [" ".join(w[i:i + k]) for k in (1, 2, 3) for i in range(len(w) - k + 1)]
+
+
+def brute(rows, target, percent=5, least_words=20, buckets=10000):
+    """{(id, n_features, weight, score, rank)} as a sorted list, in plain Python."""
+    bucket = lambda f: zlib.crc32(f.encode()) % buckets
+    s, t = [0] * buckets, [0] * buckets
+    for texts, count in (([x for _, x in rows], s), (target, t)):
+        for x in texts:
+            for f in features(x)[1]:
+                count[bucket(f)] += 1
+    gain = [math.floor(1000 * math.log((b + 1.0) * (sum(s) + buckets) / ((a + 1.0) * (sum(t) + buckets))))
+            for a, b in zip(s, t)]
+    out, fit = [], []
+    for i, x in rows:
+        w, fs = features(x)
+        weight = sum(gain[bucket(f)] for f in fs)
+        h = int(hashlib.sha256(f"42:{'' if i is None else i}".encode()).hexdigest()[:8], 16)
+        score = weight + math.floor(-1000 * math.log(-math.log((h + 0.5) / 4294967296)))
+        out.append([i, len(fs), weight, score, None])
+        if len(w) >= least_words:
+            fit.append(out[-1])
+    fit.sort(key=lambda r: (-r[3], r[0] is None, r[0] or 0, r[2]))
+    for n, r in enumerate(fit[:percent * len(fit) // 100]):
+        r[4] = n + 1
+    return sorted(map(tuple, out), key=str)
+
+
+def texts(rng, n):
+    vocabulary = ["Straße", "the", "of", "x" * 70, "naïve", "日本", "A1", "b", "cat", "Dog", "q" * 64, "é"]
+    seps = [" ", "  ", "\n", "-", ", ", "/"]
+    for _ in range(n):
+        yield "".join(rng.choice(vocabulary) + rng.choice(seps) for _ in range(rng.choice((0, 3, 19, 20, 25, 60))))
+
+
+def result(df):
+    return sorted((tuple(r[c] for c in ("doc_id", "n_features", "weight", "score", "rank"))
+                   for r in df.collect()), key=str)
+
+
+def test_equals_brute_force(lspark, frame):
+    rng = random.Random(3)
+    rows = list(enumerate(texts(rng, 300)))
+    rows += [(1000, None), (1001, ""), (1002, "  - "), (1003, "word " * 30000), (None, "a b c " * 9)]
+    target = list(texts(rng, 6)) + [None]
+    bench = lspark.createDataFrame([(i, x) for i, x in enumerate(target)], "item_id long, text string")
+    got = resample.resample(frame(rows), bench, percent=30)
+    assert got.columns == ["doc_id", "n_features", "weight", "score", "rank"]
+    assert result(got) == brute(rows, target, percent=30)
+
+
+def test_ties_repeated_rows_and_exact_number(lspark, frame):
+    same = "one two three four five " * 5
+    rows = [(7, same)] * 40 + [(8, same)] * 5 + [(9, "other words here " * 10)]
+    bench = lspark.createDataFrame([(1, "one two")], "item_id long, text string")
+    for percent in (5, 50, 95, 100):
+        assert result(resample.resample(frame(rows), bench, percent=percent)) == brute(
+            rows, ["one two"], percent=percent)
+
+
+def test_empty_tables(lspark, frame):
+    docs = frame([(1, "a " * 25)])
+    bench = lspark.createDataFrame([(1, "a b")], "item_id long, text string")
+    assert resample.resample(docs.limit(0), bench).count() == 0
+    assert result(resample.resample(docs, bench.limit(0), percent=100)) == brute([(1, "a " * 25)], [], 100)
+
+
+def test_first_rows_draws_exactly_k_whatever_the_ties(lspark):
+    rng = random.Random(1)
+    rows = [(rng.choice((-5, 0, 0, 7, 1 << 40)), rng.choice((1, 2)), i) for i in range(200)]
+    df = lspark.createDataFrame(rows, "a long, b long, c long").cache()
+    order = [F.col("a"), F.col("b"), F.col("c")]
+    for k in (0, 1, 57, 100, 200):
+        got = {tuple(r) for r in df.filter(resample.first_rows(df, order, k)).collect()}
+        assert got == set(sorted(rows)[:k])
+    got = resample.ranked(df, order).collect()
+    assert [tuple(r[c] for c in "abc") for r in sorted(got, key=lambda r: r["rank"])] == sorted(rows)
+    assert sorted(r["rank"] for r in got) == list(range(1, 201))
+
+
+def test_crc_of_joined_words_equals_zlib():
+    rng = random.Random(2)
+    parts = [bytes(rng.randrange(256) for _ in range(rng.choice((1, 3, 8, 200, 5000)))) for _ in range(50)]
+    left = np.array([zlib.crc32(p) for p in parts], dtype=np.uint32)
+    right = np.roll(left, -1)
+    sizes = np.array([len(p) for p in parts[1:] + parts[:1]])
+    got = resample._joined(left, right, sizes)
+    assert got.tolist() == [zlib.crc32(a + b) for a, b in zip(parts, parts[1:] + parts[:1])]
