@@ -8,9 +8,12 @@ another run's files.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from stratum.operators import mart_state
 from stratum.operators.silver import clean_orders
 from stratum.plans import layers as L
 from stratum.plans import oracle as O
@@ -20,7 +23,7 @@ from stratum.schemas import ADDRESSES_RAW, CUSTOMERS_RAW, EVENTS, ORDERS_RAW
 from stratum.session import work_path
 from stratum.sinks import writer
 from stratum.sources import derive
-from stratum.sources.landing import landing_copy, read_landing, with_lineage
+from stratum.sources.landing import landing_copy, read_landing, with_lineage, write_landing
 from stratum.streaming import batches
 from stratum.streaming.ingest import ingest_entities, run_available_now, stream_landing
 
@@ -31,6 +34,8 @@ ORDER_STREAM_FILES = 32
 ORDER_FILES_PER_BATCH = 16
 EVENT_FILES = 32
 EVENT_FILES_PER_BATCH = 8
+# Buckets of the streamed dimensions: a bucket should hold some hundred MB of them.
+STREAM_BUCKETS = 16
 
 
 def _customers_json(spark, base) -> str:
@@ -178,7 +183,8 @@ def stream_scd1(spark: SparkSession, base: str) -> DataFrame:
     src = stream_landing(spark, _events_json(spark, base), "json", EVENTS,
                          max_files_per_trigger=EVENT_FILES_PER_BATCH)
     root = work_path(spark, "stream_scd1", unique=True)
-    sink = batches.scd1_sink(f"{root}/dim", L.USER_KEY, L.EVENT_ORDER, L.PROFILE_COLS)
+    sink = batches.scd1_sink(f"{root}/dim", L.USER_KEY, L.EVENT_ORDER, L.PROFILE_COLS,
+                             n_buckets=STREAM_BUCKETS)
     run_available_now(src, f"{root}/_checkpoint", foreach_batch=sink)
     return writer.read_versioned(spark, f"{root}/dim").drop("ts")
 
@@ -187,12 +193,43 @@ def stream_scd2(spark: SparkSession, base: str) -> DataFrame:
     src = stream_landing(spark, _events_json(spark, base), "json", EVENTS,
                          max_files_per_trigger=EVENT_FILES_PER_BATCH)
     root = work_path(spark, "stream_scd2", unique=True)
-    sink = batches.snapshot_sink(f"{root}/snapshots", L.USER_KEY, "snapshot_date", L.EVENT_ORDER,
-                                 L.PROFILE_COLS, F.to_date("ts"))
+    sink = batches.scd2_sink(f"{root}/dim", L.USER_KEY, L.USER_TRACK, "snapshot_date", L.EVENT_ORDER,
+                             L.PROFILE_COLS, F.to_date("ts"), n_buckets=STREAM_BUCKETS)
+    run_available_now(src, f"{root}/_checkpoint", foreach_batch=sink)
+    return batches.read_scd2(spark, f"{root}/dim").drop("ts")
+
+
+def stream_scd2_late(spark: SparkSession, base: str) -> DataFrame:
+    """The same dimension from events that arrive in an arbitrary order: batches mix
+    old and new days, so later batches split and re-close stored intervals."""
+    ev = derive.events(spark, base)
+    mixed = landing_copy(spark, base, "events_mixed",
+                         ev.repartition(EVENT_FILES, F.xxhash64("event_id")), "json")
+    src = stream_landing(spark, mixed, "json", EVENTS, max_files_per_trigger=EVENT_FILES_PER_BATCH)
+    root = work_path(spark, "stream_scd2_late", unique=True)
+    sink = batches.scd2_sink(f"{root}/dim", L.USER_KEY, L.USER_TRACK, "snapshot_date", L.EVENT_ORDER,
+                             L.PROFILE_COLS, F.to_date("ts"), n_buckets=STREAM_BUCKETS)
     run_available_now(src, f"{root}/_checkpoint", foreach_batch=sink)
-    hist = batches.history_from_snapshots(spark, f"{root}/snapshots", L.USER_KEY, L.USER_TRACK,
-                                          "snapshot_date", L.EVENT_ORDER)
-    return hist.drop("ts")
+    return batches.read_scd2(spark, f"{root}/dim").drop("ts")
+
+
+def write_merge_named(spark: SparkSession, base: str) -> DataFrame:
+    """Two merges into a catalog name; the name is read back as a table."""
+    first, second = L.user_profiles(spark, base)
+    name = f"stratum_merge.users_{uuid.uuid4().hex[:8]}"
+    for half in (first, second):
+        writer.write_table(half, name, "merge", merge_keys=L.USER_KEY, order_by=L.EVENT_ORDER)
+    return spark.table(name).drop("ts")
+
+
+def write_widen(spark: SparkSession, base: str) -> DataFrame:
+    """Appends whose columns have other types (int, then bigint and double): read as one."""
+    first, second = derive.event_halves(spark, base)
+    path = work_path(spark, "widen", unique=True)
+    first.select("event_id", F.col("user_id").cast("int").alias("user_id"),
+                 F.floor("value").cast("int").alias("value")).write.mode("append").parquet(path)
+    second.select("event_id", "user_id", "value", "event_type").write.mode("append").parquet(path)
+    return writer.read_evolving(spark, path).select("event_id", "user_id", "value", "event_type")
 
 
 # ------------------------------------------------------------ full refresh
@@ -226,6 +263,52 @@ def refresh_incremental_summary(spark: SparkSession, base: str) -> DataFrame:
     return spark.read.parquet(cfg.table("gold", "customer_order_summary")).select(*SUMMARY_COLS)
 
 
+# ------------------------------------------------- marts kept as mergeable states
+def _mart_from_batches(mart, finish):
+    """The silver lines in three batches (an order may be in several), merged into a state."""
+    def query(spark: SparkSession, base: str) -> DataFrame:
+        root = work_path(spark, "mart_state", unique=True)
+        lines = L.silver_orders_clean(spark, base)
+        part = F.pmod(F.xxhash64("order_id", "item_id", "item_price"), F.lit(3))
+        for n in range(3):
+            mart_state.add_batch(root, mart, lines.filter(part == n), n, n_buckets=STREAM_BUCKETS)
+        return finish(mart_state.read_state(spark, root, mart))
+
+    return query
+
+
+def refresh_marts_summary(spark: SparkSession, base: str) -> DataFrame:
+    """Two deliveries, a refresh after each: dimensions and marts take the second one only."""
+    from stratum.operators.marts import SUMMARY_COLS
+    from stratum.plans.refresh import Refresh, full_refresh
+
+    root = work_path(spark, "deliveries", unique=True)
+    orders = derive.bronze_orders_table(spark, base)
+    second = F.pmod(F.xxhash64("order_id", F.size("items")), F.lit(4)) == 0
+    late = F.col("customer_id") % 3 == 0
+    deliveries = [(~second, ~late), (second, late)]
+    wh = work_path(spark, "warehouse", unique=True)
+    for day, (of_orders, of_customers) in enumerate(deliveries):
+        write_landing(orders.filter(of_orders), f"{root}/orders/day{day}", "json", ORDER_FILES_PER_BATCH)
+        write_landing(derive.bronze_customers(spark, base).filter(of_customers),
+                      f"{root}/customers/day{day}", "json", LANDING_FILES)
+        write_landing(derive.bronze_addresses(spark, base).filter(of_customers),
+                      f"{root}/addresses/day{day}", "csv", LANDING_FILES)
+        cfg = Refresh(landing=root, warehouse=wh, as_of=L.AS_OF, run_time=L.RUN_TIME,
+                      incremental_bronze=True, incremental_silver=True, incremental_gold=True,
+                      buckets=STREAM_BUCKETS)
+        full_refresh(spark, cfg)
+    return spark.read.parquet(cfg.table("gold", "customer_order_summary")).select(*SUMMARY_COLS)
+
+
+MART_QUERIES = {
+    "mart_revenue_by_day": _mart_from_batches(mart_state.REVENUE, mart_state.revenue_by_day),
+    "mart_product_performance": _mart_from_batches(mart_state.PRODUCTS, mart_state.product_performance),
+    "mart_status_funnel": _mart_from_batches(mart_state.STATUS, mart_state.status_funnel),
+    "mart_payment_mix": _mart_from_batches(mart_state.PAYMENT, mart_state.payment_mix),
+}
+
+
 def queries() -> dict:
     return {
         "bronze_json": bronze_json,
@@ -236,14 +319,19 @@ def queries() -> dict:
         "write_evolve": write_evolve,
         "write_metrics": write_metrics,
         "write_merge": write_merge,
+        "write_merge_named": write_merge_named,
+        "write_widen": write_widen,
         "stream_ingest": stream_ingest,
         "stream_bronze_counts": stream_bronze_counts,
         "stream_dq": stream_dq,
         "stream_dq_report": stream_dq_report,
         "stream_scd1": stream_scd1,
         "stream_scd2": stream_scd2,
+        "stream_scd2_late": stream_scd2_late,
         "refresh_customer_summary": refresh_customer_summary,
         "refresh_incremental_summary": refresh_incremental_summary,
+        **MART_QUERIES,
+        "refresh_marts_summary": refresh_marts_summary,
     }
 
 
@@ -264,6 +352,11 @@ def oracle_sql() -> dict:
 union all
 select 'silver_addresses', 'overwrite', 'PASS', count(*) from customer""",
         "write_merge": core["scd1_upsert"],
+        "write_merge_named": core["scd1_upsert"],
+        "write_widen": f"""select event_id, user_id, floor(value) as value, null as event_type
+  from events where ts < timestamp '{split}'
+union all by name
+select event_id, user_id, value, event_type from events where ts >= timestamp '{split}'""",
         "stream_ingest": "select event_id, ts, user_id, event_type, value, props from events",
         "stream_bronze_counts": """select 'orders_raw' as table_name, count(*) as n_keys,
   cast(0 as bigint) as n_untagged from orders
@@ -275,6 +368,12 @@ union all select 'addresses_raw', count(*), cast(0 as bigint) from customer""",
   select *, row_number() over (partition by user_id order by ts desc, event_id desc) as rn
   from events) where rn = 1""",
         "stream_scd2": core["scd2_history"],
+        "stream_scd2_late": core["scd2_history"],
         "refresh_customer_summary": core["gold_customer_summary"],
         "refresh_incremental_summary": core["gold_customer_summary"],
+        "mart_revenue_by_day": core["gold_revenue_by_day"],
+        "mart_product_performance": core["gold_product_performance"],
+        "mart_status_funnel": core["gold_status_funnel"],
+        "mart_payment_mix": core["gold_payment_mix"],
+        "refresh_marts_summary": core["gold_customer_summary"],
     }

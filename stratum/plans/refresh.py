@@ -10,6 +10,10 @@ landing (JSON orders / customers, CSV addresses)
      addresses applied to current rows + append-only history)
   -> gold (order totals once, then five marts, overwrite)
 
+With ``incremental_gold`` the dimensions and marts read new silver batches only: type-1
+customers and type-2 addresses are key-bucketed tables updated for the keys of the
+batches, the marts are mergeable states (``operators.mart_state``).
+
 Every step is a Spark job over whole tables; the functions only call each
 other in order (there is no scheduler).  Each write returns a metrics record
 observed on the write itself; the records are appended to ``_metrics``.
@@ -22,8 +26,9 @@ import time as _time
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
-from stratum.operators import marts
+from stratum.operators import mart_state, marts, scd
 from stratum.operators.quality import DQFailure
 from stratum.operators.silver import (
     clean_addresses,
@@ -33,7 +38,7 @@ from stratum.operators.silver import (
 )
 from stratum.plans.rules import address_rules, customer_rules, order_rules
 from stratum.schemas import ADDRESSES_RAW, CUSTOMERS_RAW, ORDERS_RAW
-from stratum.sinks import scd2_table, writer
+from stratum.sinks import bucketed, scd2_table, writer
 from stratum.sources.landing import read_landing, with_lineage
 from stratum.streaming import batches
 from stratum.streaming.ingest import ingest_entities, run_available_now
@@ -65,6 +70,9 @@ class Refresh:
     # incremental_bronze): only new bronze rows are cleaned and checked; each
     # micro-batch is written (or rejected by a ``fail`` rule) on its own.
     incremental_silver: bool = False
+    # Dimensions and marts from new silver batches only (needs incremental_silver).
+    incremental_gold: bool = False
+    buckets: int = bucketed.BUCKETS   # of the incremental dimensions and states
     metrics: list[dict] = field(default_factory=list)
 
     def __post_init__(self):
@@ -180,7 +188,93 @@ def run_silver(spark: SparkSession, cfg: Refresh) -> None:
             raise
 
 
+def silver_after(spark: SparkSession, cfg: Refresh, name: str,
+                 done: int | None) -> tuple[DataFrame | None, int]:
+    """(rows of the silver batches after ``done``, the newest batch); None without new ones.
+
+    Only the folders of the new batches are read.
+    """
+    path = cfg.table("silver", name)
+    fs, p = writer._fs(spark, path)
+    found = [st.getPath().getName() for st in fs.listStatus(p)] if fs.exists(p) else []
+    ids = sorted(int(n.split("=", 1)[1]) for n in found if n.startswith("batch_id="))
+    new = [i for i in ids if done is None or i > done]
+    if not new:
+        return None, ids[-1] if ids else -1
+    rows = spark.read.option("basePath", path).parquet(*[batches.batch_folder(path, i) for i in new])
+    return rows.drop("batch_id"), ids[-1]
+
+
+def _tag(spark: SparkSession, path: str) -> int | None:
+    m = bucketed.manifest(spark, path)
+    return None if m is None else m["tag"]
+
+
+def run_dimensions_incremental(spark: SparkSession, cfg: Refresh) -> None:
+    """Dimensions from the silver batches they have not seen.
+
+    The latest address row per key is kept beside the type-2 dimension, so a row that is
+    older than the known one changes nothing; intervals are derived for the keys of the
+    new batches alone.
+    """
+    if not cfg.incremental_silver:
+        raise ValueError("incremental_gold needs incremental_silver")
+    order = ["created_date", "_ingested_at"]
+
+    def record(name: str, mode: str, rows: int, t0: float, note: str) -> None:
+        cfg.metrics.append(dict(run_time=cfg.run_time, layer="silver", table_name=name, mode=mode,
+                                status="PASS", rows=rows, elapsed_s=round(_time.perf_counter() - t0, 3),
+                                message=note))
+
+    t0, path = _time.perf_counter(), cfg.table("silver", "dim_customers")
+    new, newest = silver_after(spark, cfg, "customers", _tag(spark, path))
+    rows = 0
+    if new is not None:
+        obs = Observation(f"dim_{_dt.datetime.now().timestamp()}")
+        bucketed.upsert(path, new.observe(obs, F.count(F.lit(1)).alias("rows")), CUSTOMER_KEY, order,
+                        compete=True, tag=newest, n_buckets=cfg.buckets)
+        rows = int(obs.get.get("rows", 0))
+    record("dim_customers", "merge", rows, t0, f"Merged {rows} new rows -> {path}")
+
+    t0, path = _time.perf_counter(), cfg.table("silver", "dim_addresses")
+    latest = cfg.table("silver", "latest_addresses")
+    new, newest = silver_after(spark, cfg, "addresses", _tag(spark, path))
+    rows = 0
+    if new is not None:
+        bucketed.upsert(latest, new, CUSTOMER_KEY, order, compete=True, tag=newest, n_buckets=cfg.buckets)
+        keys = new.select(*CUSTOMER_KEY)
+        now = bucketed.read_keys(spark, latest, keys)
+        held = bucketed.read_keys(spark, path, keys)
+        out = (scd.scd2_initial(now, CUSTOMER_KEY, cfg.as_of, order) if held is None else
+               scd.scd2_apply(held, now, CUSTOMER_KEY, ADDRESS_TRACK, cfg.as_of, order))
+        out = writer.staged(out, "dim-addresses")
+        rows = out.count()
+        bucketed.replace(path, out, CUSTOMER_KEY, tag=newest, n_buckets=cfg.buckets)
+    record("dim_addresses", "scd2", rows, t0, f"Replaced {rows} rows of the keys met -> {path}")
+
+
+def run_gold_incremental(spark: SparkSession, cfg: Refresh) -> None:
+    """Every mart's state takes the silver batches it has not seen; gold is read off the states."""
+    root = cfg.table("gold", "_state")
+    for mart in mart_state.MARTS:
+        new, newest = silver_after(spark, cfg, "orders", mart_state.last_batch(spark, root, mart))
+        if new is not None:
+            mart_state.add_batch(root, mart, new, newest, cfg.buckets)
+    state = lambda mart: mart_state.read_state(spark, root, mart)
+    customers = bucketed.read(spark, cfg.table("silver", "dim_customers"))
+    addresses = scd.scd2_current(bucketed.read(spark, cfg.table("silver", "dim_addresses")))
+    for mart, out in (
+            (mart_state.REVENUE, mart_state.revenue_by_day), (mart_state.PRODUCTS, mart_state.product_performance),
+            (mart_state.STATUS, mart_state.status_funnel), (mart_state.PAYMENT, mart_state.payment_mix),
+            (mart_state.CUSTOMERS, lambda s: mart_state.customer_summary(s, customers, addresses, cfg.as_of))):
+        if state(mart) is not None:
+            _write(cfg, out(state(mart)), "gold", mart.name)
+
+
 def run_dimensions(spark: SparkSession, cfg: Refresh) -> None:
+    if cfg.incremental_gold:
+        run_dimensions_incremental(spark, cfg)
+        return
     customers = read_silver(spark, cfg, "customers")
     _write(cfg, customers, "silver", "dim_customers", "merge", merge_keys=CUSTOMER_KEY,
            order_by=["created_date", "_ingested_at"])
@@ -199,6 +293,9 @@ def run_dimensions(spark: SparkSession, cfg: Refresh) -> None:
 
 
 def run_gold(spark: SparkSession, cfg: Refresh) -> None:
+    if cfg.incremental_gold:
+        run_gold_incremental(spark, cfg)
+        return
     lines = read_silver(spark, cfg, "orders")
     customers = writer.read_versioned(spark, cfg.table("silver", "dim_customers"))
     addresses = scd2_table.read_current(spark, cfg.table("silver", "dim_addresses"))
@@ -245,11 +342,15 @@ def main(argv: list[str] | None = None) -> int:
                     help="append only new landing files to bronze (availableNow streams)")
     ap.add_argument("--incremental-silver", action="store_true",
                     help="clean and check only new bronze rows (needs --incremental-bronze)")
+    ap.add_argument("--incremental-gold", action="store_true",
+                    help="update dimensions and marts from new silver batches only "
+                         "(needs --incremental-silver)")
     args = ap.parse_args(argv)
     spark = SparkSession.builder.appName("stratum-refresh").getOrCreate()
     cfg = Refresh(args.landing, args.warehouse, as_of=args.as_of, on_null=args.on_null,
                   incremental_bronze=args.incremental_bronze,
-                  incremental_silver=args.incremental_silver)
+                  incremental_silver=args.incremental_silver,
+                  incremental_gold=args.incremental_gold)
     try:
         metrics = full_refresh(spark, cfg)
     finally:

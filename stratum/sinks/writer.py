@@ -2,10 +2,10 @@
 per-write metrics.
 
 Tables are parquet folders.  Without a transactional table format there is no
-in-place MERGE and a job may not overwrite the folder it reads, so a table that
-is rewritten (dimensions) is stored as numbered versions ``v000001, ...``:
-each write produces the next version from a pinned earlier one, readers pin
-the newest complete version (``_SUCCESS`` present).
+in-place MERGE: a merged table is a key-bucketed table (``sinks.bucketed``) whose
+manifests name the writes of each version, so a merge writes what changed.  A
+table that is rewritten whole is stored as numbered versions ``v000001, ...``;
+readers pin the newest complete one (``_SUCCESS`` present).
 
 Row counts come from an ``Observation`` attached to the write itself: no
 second job counts the rows.
@@ -19,12 +19,14 @@ import time
 import uuid
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from stratum.operators.scd import scd1_apply
 from stratum.schemas import SCD2_CURRENT, WRITE_METRICS
+from stratum.session import work_path
+from stratum.sinks import bucketed
 from stratum.sources.catalog import ensure_namespaces, is_table_name
+from stratum.sources.evolution import common_schema, conform, read_mixed
 
 MODES = ("append", "overwrite", "merge")
 _VERSION = re.compile(r"^v(\d{6})$")
@@ -37,10 +39,12 @@ def _fs(spark: SparkSession, path: str):
 
 
 def versions(spark: SparkSession, path: str) -> list[int]:
-    """Complete versions of a versioned table, ascending."""
+    """Complete versions of a versioned or bucketed table, ascending."""
     fs, p = _fs(spark, path)
     if not fs.exists(p):
         return []
+    if bucketed.is_bucketed(spark, path):
+        return bucketed.versions(spark, path)
     out = []
     for st in fs.listStatus(p):
         m = _VERSION.match(st.getPath().getName())
@@ -69,6 +73,8 @@ def version_path(path: str, n: int) -> str:
 
 
 def read_versioned(spark: SparkSession, path: str, version: int | None = None) -> DataFrame | None:
+    if bucketed.is_bucketed(spark, path):
+        return bucketed.read(spark, path, version)
     vs = versions(spark, path)
     if not vs:
         return None
@@ -99,13 +105,15 @@ def write_version(df: DataFrame, path: str, n: int | None = None,
 
 
 def evolve(old: DataFrame, new: DataFrame) -> DataFrame:
-    """Union by name; a column missing on one side is null there."""
-    return old.unionByName(new, allowMissingColumns=True)
+    """Union by name; a column missing on one side is null there, a column of two types
+    has their common type (``sources.evolution``)."""
+    schema = common_schema(old.schema, new.schema)
+    return conform(old, schema).unionByName(conform(new, schema))
 
 
 def read_evolving(spark: SparkSession, path: str) -> DataFrame:
-    """Parquet folder whose files may have different column sets."""
-    return spark.read.option("mergeSchema", "true").parquet(path)
+    """Parquet folder whose files may have different column sets and column types."""
+    return read_mixed(spark, path)
 
 
 def write_table(df: DataFrame, path: str, mode: str = "append",
@@ -116,16 +124,21 @@ def write_table(df: DataFrame, path: str, mode: str = "append",
 
     * ``append`` / ``overwrite``: plain parquet writes; appended files may add
       columns (read back with ``read_evolving``).
-    * ``merge``: type-1 upsert on ``merge_keys`` into a versioned table; a
-      missing table is created.
-    ``path`` may also be a catalog name ``schema.table`` (append / overwrite,
-    stored as a parquet table; the schema is created when missing).
-    Unknown modes, and ``merge`` without keys, raise ``ValueError``.
+    * ``merge``: type-1 upsert on ``merge_keys`` into a key-bucketed table
+      (``sinks.bucketed``); a missing table is created, a folder of numbered
+      versions becomes the first version of one.
+    ``path`` may also be a catalog name ``schema.table``: append / overwrite store
+    a parquet table, merge a view over a bucketed store (``merge_named``); the
+    schema is created when missing.
+    Unknown modes, ``merge`` without keys, and ``merge`` with ``partition_by``
+    (a merged table is laid out by its keys) raise ``ValueError``.
     """
     if mode not in MODES:
         raise ValueError(f"unknown write mode {mode!r}; use one of {MODES}")
     if mode == "merge" and not merge_keys:
         raise ValueError("merge needs merge_keys")
+    if mode == "merge" and partition_by:
+        raise ValueError("a merged table is laid out by its keys; partition_by does not apply")
     spark = df.sparkSession
     name = table_name or path.rstrip("/").split("/")[-1]
     obs = Observation(f"write_{uuid.uuid4().hex[:12]}")
@@ -133,17 +146,21 @@ def write_table(df: DataFrame, path: str, mode: str = "append",
     t0 = time.perf_counter()
     try:
         if is_table_name(path):
-            if mode == "merge":
-                raise ValueError("merge writes need a folder path (versioned table)")
             if "." in path:
                 ensure_namespaces(spark, [path.rsplit(".", 1)[0]])
-            (df.observe(obs, F.count(F.lit(1)).alias("rows")).write.mode(mode)
-             .format("parquet").partitionBy(*partition_by).saveAsTable(path))
+            counted = df.observe(obs, F.count(F.lit(1)).alias("rows"))
+            if mode == "merge":
+                merge_named(counted, path, merge_keys, order_by)
+            else:
+                if merged_store(spark, path):
+                    raise ValueError(f"{path} is a merged table; use mode 'merge'")
+                (counted.write.mode(mode).format("parquet").partitionBy(*partition_by)
+                 .saveAsTable(path))
         elif mode == "merge":
-            target = read_versioned(spark, path)
-            merged = scd1_apply(target, df.observe(obs, F.count(F.lit(1)).alias("rows")),
-                                merge_keys, order_by=order_by)
-            write_version(merged, path, partition_by=partition_by)
+            if not bucketed.is_bucketed(spark, path) and versions(spark, path):
+                bucketed.replace(path, read_versioned(spark, path), merge_keys)
+            bucketed.upsert(path, df.observe(obs, F.count(F.lit(1)).alias("rows")), merge_keys,
+                            order_by)
         else:
             w = df.observe(obs, F.count(F.lit(1)).alias("rows")).write.mode(mode)
             if partition_by:
@@ -162,6 +179,52 @@ def write_table(df: DataFrame, path: str, mode: str = "append",
         raise WriteFailed(record) from e
 
 
+def staged(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written once below the shared work folder and read back: later steps that
+    use it several times, or after an executor is lost, read files."""
+    path = work_path(df.sparkSession, "staged", name, unique=True)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+STORE_PROPERTY = "stratum.store"
+
+
+def merged_store(spark: SparkSession, name: str) -> str | None:
+    """The bucketed store behind a merged catalog name; None for any other name."""
+    if not spark.catalog.tableExists(name) or spark.catalog.getTable(name).tableType != "VIEW":
+        return None
+    rows = spark.sql(f"SHOW TBLPROPERTIES {name}").filter(F.col("key") == STORE_PROPERTY).collect()
+    return rows[0]["value"] if rows else None
+
+
+def merge_named(source: DataFrame, name: str, keys: Sequence[str],
+                order_by: Sequence[str | Column] = ()) -> int:
+    """Type-1 merge into a catalog name; returns the version of its store.
+
+    The rows live in a bucketed store below the schema's location; the name is a view
+    over the newest version's files, replaced by one catalog statement per merge, so
+    readers of the name see one whole version.  Touched buckets are rewritten
+    (``compact_at=0``): the view is a plain union of scans.  A parquet table of that
+    name becomes the first version and is dropped once the store holds its rows.
+    """
+    spark = source.sparkSession
+    store = merged_store(spark, name)
+    plain = store is None and spark.catalog.tableExists(name)
+    if store is None:
+        schema, _, table = name.rpartition(".")
+        root = spark.catalog.getDatabase(schema or spark.catalog.currentDatabase()).locationUri
+        store = f"{root.rstrip('/')}/_merged/{table}-{uuid.uuid4().hex[:8]}"
+    if plain:
+        bucketed.replace(store, spark.table(name), keys)
+    version = bucketed.upsert(store, source, keys, order_by, compact_at=0.0)
+    if plain:
+        spark.sql(f"DROP TABLE {name}")
+    text = bucketed.select_text(store, bucketed.manifest(spark, store))
+    spark.sql(f"CREATE OR REPLACE VIEW {name} TBLPROPERTIES ('{STORE_PROPERTY}' = '{store}') AS {text}")
+    return version
+
+
 def write_checked(df: DataFrame, rules, table_name: str, path: str, *,
                   run_time: str | None = None, on_null: str = "drop", report_sink=None,
                   partition_by: Sequence[str] = (), layer: str = "") -> dict:

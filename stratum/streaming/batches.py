@@ -12,6 +12,7 @@ import datetime as _dt
 import uuid
 from collections.abc import Callable, Sequence
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
@@ -27,8 +28,9 @@ from stratum.operators.quality import (
     rows_frame,
     rule_aggregates,
 )
-from stratum.operators.scd import scd1_apply, scd2_history
-from stratum.sinks.writer import _fs, publish, read_versioned, versions, write_version
+from stratum.operators.scd import scd2_history
+from stratum.sinks import bucketed
+from stratum.sinks.writer import _fs, publish
 
 BatchFn = Callable[[DataFrame, int], None]
 
@@ -110,66 +112,77 @@ def read_batches(spark, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
-def _before(spark, path: str, batch_id: int) -> DataFrame | None:
-    """The version batch ``batch_id`` builds on: the newest one at or below it.
-
-    A version above ``batch_id + 1`` means the folder belongs to another run
-    of the stream (a new checkpoint over an old table): refuse rather than
-    hide newer data behind an older version number.
-    """
-    vs = versions(spark, path)
-    if any(v > batch_id + 1 for v in vs):
+def _no_later_version(spark, path: str, batch_id: int) -> None:
+    """A version made by a later batch belongs to another run of the stream (a new
+    checkpoint over an old table): refuse rather than mix them."""
+    m = bucketed.manifest(spark, path)
+    if m is not None and m["tag"] is not None and m["tag"] > batch_id:
         raise RuntimeError(
-            f"{path} holds versions newer than batch {batch_id}; a restarted stream with a new "
+            f"{path} holds output of batch {m['tag']} > {batch_id}; a restarted stream with a new "
             "checkpoint needs a new table folder")
-    earlier = [v for v in vs if v <= batch_id]
-    return read_versioned(spark, path, earlier[-1]) if earlier else None
 
 
 def scd1_sink(path: str, keys: Sequence[str], order_by: Sequence[str | Column],
-              columns: Sequence[str] | None = None) -> BatchFn:
-    """Type-1 dimension kept as table versions, one per batch.
+              columns: Sequence[str] | None = None, n_buckets: int = bucketed.BUCKETS) -> BatchFn:
+    """Type-1 dimension in a key-bucketed table, upserted once per batch.
 
-    Batch ``b`` reads the newest version at or below ``b`` and writes version
-    ``b + 1``; ``compete=True`` makes the result independent of batch order
-    (an older row arriving late never overwrites a newer one).
+    A batch writes its own winning rows only.  Stored rows compete on ``order_by``, so the
+    result does not depend on the order of arrival, and a batch that is replayed finds
+    its rows stored and changes nothing.
     """
 
     def run(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
         src = batch.select(*columns) if columns else batch
-        target = _before(spark, path, batch_id)
-        out = scd1_apply(target, src, keys, order_by=order_by, compete=True)
-        write_version(out, path, batch_id + 1)
+        _no_later_version(batch.sparkSession, path, batch_id)
+        bucketed.upsert(path, src, keys, order_by=order_by, compete=True, tag=batch_id,
+                        n_buckets=n_buckets)
 
     return run
 
 
-def snapshot_sink(path: str, keys: Sequence[str], snapshot_col: str,
-                  order_by: Sequence[str | Column], columns: Sequence[str] | None = None,
-                  snapshot_expr: Column | None = None) -> BatchFn:
-    """Latest row per (key, snapshot) kept as table versions (for SCD2).
+def scd2_paths(path: str) -> tuple[str, str]:
+    """(snapshots, dimension) below the folder of an ``scd2_sink``."""
+    return f"{path.rstrip('/')}/snapshots", f"{path.rstrip('/')}/dimension"
+
+
+def scd2_sink(path: str, keys: Sequence[str], track: Sequence[str], snapshot_col: str,
+              order_by: Sequence[str | Column], columns: Sequence[str] | None = None,
+              snapshot_expr: Column | None = None, n_buckets: int = bucketed.BUCKETS) -> BatchFn:
+    """Type-2 dimension on a stream, late rows included.
 
-    The history is derived from the snapshot table with ``scd2_history``
-    whenever it is needed; out-of-order batches only update their own
-    snapshots.
+    Two key-bucketed tables: the latest row per (key, snapshot), and the intervals.  A batch
+
+    1. merges its rows into the snapshots (stored rows compete on ``order_by``),
+    2. reads the snapshots of the keys it holds (their buckets only),
+    3. derives these keys' intervals anew and replaces them.
+
+    A late row thereby splits the interval it falls into, re-closes the one before, or
+    joins two that it shows to be one; keys outside the batch are neither derived nor
+    written.  Any order of arrival ends in the intervals of ``scd2_history`` over all rows.
+    Both steps can be repeated: a replayed batch changes nothing.
     """
+    snapshots, dimension = scd2_paths(path)
 
     def run(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         src = batch.select(*columns) if columns else batch
         if snapshot_expr is not None:
             src = src.withColumn(snapshot_col, snapshot_expr)
-        target = _before(spark, path, batch_id)
-        out = scd1_apply(target, src, [*keys, snapshot_col], order_by=order_by, compete=True)
-        write_version(out, path, batch_id + 1)
+        _no_later_version(spark, dimension, batch_id)
+        src = src.persist(StorageLevel.DISK_ONLY)  # read for the merge and for its keys
+        try:
+            bucketed.upsert(snapshots, src, [*keys, snapshot_col], order_by=order_by, compete=True,
+                            bucket_by=list(keys), tag=batch_id, n_buckets=n_buckets)
+            mine = bucketed.read_keys(spark, snapshots, src.select(*keys))
+            if mine is not None:
+                bucketed.replace(dimension, scd2_history(mine, keys, track, snapshot_col, order_by),
+                                 keys, tag=batch_id, n_buckets=n_buckets)
+        finally:
+            src.unpersist()
 
     return run
 
 
-def history_from_snapshots(spark, path: str, keys: Sequence[str], track: Sequence[str],
-                           snapshot_col: str, order_by: Sequence[str | Column]) -> DataFrame:
-    snaps = read_versioned(spark, path)
-    return scd2_history(snaps, keys, track, snapshot_col, order_by)
-
-
+def read_scd2(spark, path: str) -> DataFrame | None:
+    """The dimension (all intervals) that an ``scd2_sink`` keeps."""
+    return bucketed.read(spark, scd2_paths(path)[1])

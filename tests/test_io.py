@@ -149,7 +149,7 @@ def test_catalog_tables(spark, samples):
     writer.write_table(samples["customers_day2"], "bronze_t.customers", "append")
     assert spark.table("bronze_t.customers").count() == 17
     with pytest.raises(ValueError):
-        writer.write_table(samples["customers_day2"], "bronze_t.customers", "merge", merge_keys=["customer_id"])
+        writer.write_table(samples["customers_day2"], "bronze_t.customers", "merge")
 
 
 def test_write_checked_one_pass_and_fail(spark, tmp_dir):
