@@ -32,7 +32,7 @@ the document of a border goes to the range before it as well: one shuffle of the
 read in order by streaming tasks that hold two documents at a time.
 
 Defined results: a null text is empty; two empty texts are alike (1), an empty and a
-non-empty one are not (0).  Repeated ids follow each other in the order of their texts,
+non-empty one are not (0).  Repeated ids follow each other by the xxhash64 of their texts,
 null ids come last.  A single document is its own next one.  Other columns are not
 looked at.  An empty table gives no rows.
 """
@@ -48,6 +48,7 @@ from operator import getitem, itemgetter
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -208,7 +209,7 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
 
 def _with_successors(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(range, id, text, extra): ranges in id order; ``extra`` rows are the first document of
+    """(range, id, packed, tie, extra): ranges in id order, texts compressed for the shuffle; ``extra`` rows are the first document of
     the range after (after the last: of the first one), one distinct text each."""
     spark = docs.sparkSession
     ids = docs.select(F.col(id_col).cast("long").alias("id"))
@@ -237,13 +238,17 @@ def _with_successors(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
             rows = np.concatenate([np.arange(len(at)), again])
             where = np.concatenate([at, np.where(at[again] == 0, last, at[again] - 1)])
             extra = np.arange(len(rows)) >= len(at)
+            press = zstandard.ZstdCompressor(level=1)
+            packed = pa.array([press.compress(t.encode()) for t in b.column("text").to_pylist()], pa.binary())
+            take = pa.array(rows)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(where, pa.int32()), i.take(pa.array(rows)), b.column("text").take(pa.array(rows)),
-                 pa.array(extra)], names=["range", "id", "text", "extra"])
+                [pa.array(where, pa.int32()), i.take(take), packed.take(take), b.column("tie").take(take),
+                 pa.array(extra)], names=["range", "id", "packed", "tie", "extra"])
 
-    rows = docs.select(F.col(id_col).cast("long").alias("id"),
-                       F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    return rows.mapInArrow(tidy(run), "range int, id long, text string, extra boolean")
+    text = F.coalesce(F.col(text_col), F.lit(""))
+    rows = docs.select(F.col(id_col).cast("long").alias("id"), text.alias("text"),
+                       F.xxhash64(text).alias("tie"))
+    return rows.mapInArrow(tidy(run), "range int, id long, packed binary, tie long, extra boolean")
 
 
 def edited_fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -294,13 +299,15 @@ def edited_fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str =
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def rows():
-            over = None  # an extra row already seen: further ones of the range are other texts
+            over = None  # an extra row already seen: further ones of the range are later texts
+            unpack = zstandard.ZstdDecompressor()
             for b in batches:
-                for r in zip(*(b.column(c).to_pylist() for c in ("range", "id", "text", "extra"))):
-                    if r[3] and over == r[0]:
+                for where, i, packed, extra in zip(*(b.column(c).to_pylist() for c in (
+                        "range", "id", "packed", "extra"))):
+                    if extra and over == where:
                         continue
-                    over = r[0] if r[3] else None
-                    yield r
+                    over = where if extra else None
+                    yield where, i, unpack.decompress(packed).decode(), extra
 
         held = []
         for r in results(rows()):
@@ -313,7 +320,7 @@ def edited_fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str =
 
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     dealt = _with_successors(docs, id_col, text_col).repartition(parts, "range").sortWithinPartitions(
-        "range", "extra", F.col("id").asc_nulls_last(), "text")
+        "range", "extra", F.col("id").asc_nulls_last(), "tie")
     out = dealt.mapInArrow(tidy(run), "id long, n_chars long, edited_sha256 string, fingerprint string, "
                            "edited_fingerprint string, near_edited double, near_next double, "
                            "bands_edited int, bands_next int")

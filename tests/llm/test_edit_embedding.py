@@ -3,6 +3,7 @@ import random
 
 import numpy as np
 import pytest
+import xxhash
 
 from stratum.llm import edit_embedding as ee
 from tests.llm.conftest import by_id
@@ -30,7 +31,9 @@ def slow_bits(text, walk):
 
 
 def brute(rows):
-    order = sorted(rows, key=lambda r: (r[0] is None, r[0] or 0, r[1] or ""))
+    tie = lambda t: xxhash.xxh64_intdigest((t or "").encode(), 42)
+    signed = lambda h: h - (1 << 64) if h >> 63 else h
+    order = sorted(rows, key=lambda r: (r[0] is None, r[0] or 0, signed(tie(r[1]))))
     out = []
     for (i, t), (_, nxt) in zip(order, order[1:] + order[:1]):
         t, nxt = t or "", nxt or ""
