@@ -39,7 +39,6 @@ looked at.  An empty table gives no rows.
 
 from __future__ import annotations
 
-import copy
 import hashlib
 import math
 from collections.abc import Iterator
@@ -58,10 +57,14 @@ WALKS = 2
 PERIOD = 1024      # the move functions repeat after so many steps
 CLASSES = 256      # and depend on a character through its class
 SHELL_BITS = 128
-CHUNK = 1 << 16    # characters walked at once
+CHUNK = 1 << 16    # characters of a very long text walked at once
+LONG_TEXT = 1 << 18
+RUN_CHARS = 1 << 21  # characters of the texts that are walked together
+TOGETHER = 64      # fewer texts than this are walked one by one
 _SEED = 20240911
 
 _moves: dict[int, list] = {}
+_flat: dict[int, np.ndarray] = {}
 _steps: dict[int, np.ndarray] = {}
 
 
@@ -127,15 +130,141 @@ class Walker:
                                   + U(self.walk << 40)) & U(1)).astype(np.uint8))
             self.state, self.steps = int(seen[-1]), end
 
-    def fork(self) -> "Walker":
-        other = copy.copy(self)
-        other.bits = list(self.bits)
-        return other
-
     def read(self) -> np.ndarray:
         return np.concatenate(self.bits) if self.bits else np.zeros(0, np.uint8)
 
 
+def _next_states(walk: int) -> np.ndarray:
+    if walk not in _flat:
+        rows = _table(walk)
+        _flat[walk] = np.array([[r[c][CLASSES] for c in range(CLASSES)] for r in rows], dtype=np.int16).ravel()
+    return _flat[walk]
+
+
+def _lockstep(classes: np.ndarray, starts: np.ndarray, sizes: np.ndarray, walk: int,
+              states: np.ndarray) -> np.ndarray:
+    """The state after every character, for many texts one character at a time together."""
+    nxt = _next_states(walk)
+    order = np.argsort(-sizes, kind="stable")
+    at, state = starts[order], states[order].astype(np.int32)
+    longest = int(sizes.max(initial=0))
+    live = np.searchsorted(-sizes[order], -np.arange(longest), side="left")  # texts of more than p characters
+    seen = np.empty(len(classes), dtype=np.int16)
+    p = 0
+    while p < longest and live[p] >= TOGETHER:
+        spot = at[:live[p]] + p
+        state = nxt[(state[:live[p]] << 8) | classes[spot]].astype(np.int32)
+        seen[spot] = state
+        p += 1
+    if p < longest:  # the few longest ones, each by itself
+        rows = _table(walk)
+        for j in range(int(live[p])):
+            lo, hi = int(at[j]) + p, int(at[j] + sizes[order[j]])
+            one = accumulate(classes[lo:hi].tobytes(), getitem, initial=rows[int(state[j])])
+            seen[lo:hi] = np.fromiter(map(itemgetter(CLASSES), one), dtype=np.int16, count=hi - lo + 1)[1:]
+    return seen
+
+
+class _Walked:
+    """One walk over a run of texts, possibly continued from given states and steps."""
+
+    def __init__(self, chars: np.ndarray, starts: np.ndarray, sizes: np.ndarray, walk: int,
+                 states: np.ndarray | None = None, steps: np.ndarray | None = None):
+        from stratum.llm.textops import U, mix
+
+        n = len(sizes)
+        self.starts, self.sizes = starts, sizes
+        self.first_state = np.zeros(n, np.int64) if states is None else states
+        self.first_step = np.zeros(n, np.int64) if steps is None else steps
+        self.seen = _lockstep(np.frombuffer(_classes(chars), np.uint8), starts, sizes, walk, self.first_state)
+        before = np.empty(len(chars), dtype=np.int64)
+        before[1:] = self.seen[:-1]
+        full = sizes > 0
+        before[starts[full]] = self.first_state[full]
+        # Steps spent on each character: 1 to PERIOD; the clock runs on over all texts.
+        self.clock = np.concatenate([[0], np.cumsum(((self.seen - before - 1) & (PERIOD - 1)) + 1)])
+        self.end = self.first_step + self.clock[starts + sizes] - self.clock[starts]
+        table = sampled_steps(walk, int(self.end.max(initial=0)))
+        lo, hi = np.searchsorted(table, self.first_step), np.searchsorted(table, self.end)
+        count = hi - lo
+        self.cut = np.concatenate([[0], np.cumsum(count)])
+        text = np.repeat(np.arange(n), count)
+        t = table[np.arange(len(text)) - self.cut[text] + lo[text]]
+        spot = np.searchsorted(self.clock[1:], t - self.first_step[text] + self.clock[starts[text]], side="right")
+        self.bits = (mix(t.astype(U) * U(0x9E3779B97F4A7C15) + chars[spot].astype(U) + U(walk << 40))
+                     & U(1)).astype(np.uint8)
+        self.table = table
+
+    def of(self, i: int) -> np.ndarray:
+        return self.bits[self.cut[i]:self.cut[i + 1]]
+
+    def at(self, inside: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(state, step) of every text after its first ``inside`` characters."""
+        state = self.first_state.copy()
+        some = inside > 0
+        state[some] = self.seen[(self.starts + inside - 1)[some]]
+        return state, self.first_step + self.clock[self.starts + inside] - self.clock[self.starts]
+
+
+def prints_of(texts: list[np.ndarray]) -> list["Print"]:
+    """Fingerprints of texts (character codes), walked together; very long ones by themselves."""
+    return _prints_and_walks(texts)[0]
+
+
+def _prints_and_walks(texts: list[np.ndarray]):
+    short = [i for i, t in enumerate(texts) if len(t) <= LONG_TEXT]
+    out: list = [None] * len(texts)
+    for i, t in enumerate(texts):
+        if len(t) > LONG_TEXT:
+            walkers = [Walker(w) for w in range(WALKS)]
+            for w in walkers:
+                w.feed(t)
+            out[i] = _finish(len(t), walkers)
+    sizes = np.array([len(texts[i]) for i in short], dtype=np.int64)
+    starts = np.cumsum(sizes) - sizes
+    chars = np.concatenate([texts[i] for i in short]) if short else np.zeros(0, np.uint32)
+    walks = [_Walked(chars, starts, sizes, w) for w in range(WALKS)]
+    for k, i in enumerate(short):
+        out[i] = Print(len(texts[i]), [(int(w.end[k]), w.of(k)) for w in walks])
+    return out, {i: k for k, i in enumerate(short)}, walks
+
+
+def edited_prints(texts: list[np.ndarray]) -> list[tuple["Print", "Print"]]:
+    """(fingerprint, fingerprint of the edited text) of every text but the last; the edited
+    text goes on, in its second half, with the beginning of the text after it.
+
+    The walk over the first half is not repeated: the edited text's goes on from there.
+    """
+    prints, place, walks = _prints_and_walks(texts)
+    half = [len(t) // 2 for t in texts]
+    new = [texts[i + 1][:half[i]] for i in range(len(texts) - 1)]
+    out: list = [None] * len(new)
+    short = [i for i in range(len(new)) if i in place and len(new[i]) <= LONG_TEXT]
+    for i in set(range(len(new))) - set(short):
+        walkers = [Walker(w) for w in range(WALKS)]
+        for w in walkers:
+            w.feed(texts[i][:len(texts[i]) - half[i]])
+            w.feed(new[i])
+        out[i] = (prints[i], _finish(len(texts[i]) - half[i] + len(new[i]), walkers))
+    middle = np.zeros(len(place), dtype=np.int64)
+    for i, k in place.items():
+        middle[k] = len(texts[i]) - half[i]
+    sizes = np.array([len(new[i]) for i in short], dtype=np.int64)
+    chars = np.concatenate([new[i] for i in short]) if short else np.zeros(0, np.uint32)
+    rows = np.array([place[i] for i in short], dtype=np.int64)
+    found: list[list] = [[] for _ in short]
+    for w, walk in enumerate(walks):
+        state, step = walk.at(middle)
+        more = _Walked(chars, np.cumsum(sizes) - sizes, sizes, w, state[rows], step[rows])
+        kept = np.searchsorted(walk.table, step[rows])  # sampled steps of the first half
+        for k in range(len(short)):
+            own = walk.of(int(rows[k]))[:kept[k]]
+            found[k].append((int(more.end[k]), np.concatenate([own, more.of(k)])))
+    for k, i in enumerate(short):
+        out[i] = (prints[i], Print(len(texts[i]) - half[i] + len(new[i]), found[k]))
+    return out
+
+
 class Print:
     """Fingerprint: characters, and (steps, bits) of every walk."""
 
@@ -193,12 +322,42 @@ def likeness(a: Print, b: Print) -> float:
     return min(1.0, max(0.0, total / len(a.walks)))
 
 
+def _runs(texts: Iterator[np.ndarray]) -> Iterator[list[np.ndarray]]:
+    """Consecutive texts of about RUN_CHARS characters together."""
+    held, size = [], 0
+    for t in texts:
+        held.append(t)
+        size += len(t)
+        if size >= RUN_CHARS:
+            yield held
+            held, size = [], 0
+    if held:
+        yield held
+
+
+def _runs_with_successor(rows: Iterator[tuple]) -> Iterator[list[tuple]]:
+    """Consecutive rows; the last of each run (of two or more) is the first of the next."""
+    held, size = [], 0
+    for r in rows:
+        held.append(r)
+        size += len(r[2])
+        if size >= RUN_CHARS and len(held) > 1:
+            yield held
+            held, size = [r], len(r[2])
+    if len(held) > 1:
+        yield held
+    elif held and not held[0][3]:
+        raise RuntimeError(f"range {held[0][0]} lacks its successor")
+
+
 # --------------------------------------------------------------------- per-text results
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, n_chars, fingerprint) of every row: one narrow pass."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            prints = [fingerprint(t) for t in b.column("text").to_pylist()]
+            prints = []
+            for run in _runs(codes(t or "") for t in b.column("text").to_pylist()):
+                prints += prints_of(run)
             yield pa.RecordBatch.from_arrays(
                 [b.column("id"), pa.array([p.chars for p in prints], pa.int64()),
                  pa.array([str(p) for p in prints], pa.string())], names=[id_col, "n_chars", "fingerprint"])
@@ -260,37 +419,27 @@ def edited_fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     ``edit_classes`` (16 bits, 16 bands a shell) both texts share.
     """
     def results(rows: Iterator[tuple]) -> Iterator[tuple]:
-        """rows in order: (range, id, text, extra)."""
-        held = None  # (id, chars, walkers at the middle, fingerprint)
-        for where, i, text, extra in rows:
-            if held is not None and held[0] != where:
-                raise RuntimeError(f"range {held[0]} lacks its successor")
-            chars = codes(text)
-            middle = len(chars) - len(chars) // 2
-            walkers = [Walker(w) for w in range(WALKS)]
-            for w in walkers:
-                w.feed(chars[:middle])
-            forks = [w.fork() for w in walkers]
-            for w in walkers:
-                w.feed(chars[middle:])
-            mine = _finish(len(chars), walkers)
-            if held is not None:
-                _, own, old, half, print_ = held
-                new = chars[:len(old) // 2]
-                kept = old[:len(old) - len(old) // 2]
-                for w in half:
-                    w.feed(new)
-                edited = _finish(len(kept) + len(new), half)
-                sha = hashlib.sha256(kept.tobytes().decode("utf-32-le", "surrogatepass").encode(
+        """rows in order: (range, id, text, extra); a row's successor is the row after it."""
+        for run in _runs_with_successor(rows):
+            texts = [codes(r[2]) for r in run]
+            made = edited_prints(texts)
+            last = prints_of(texts[-1:])[0]
+            bands = [set(band_keys(p, 16, 16)) for p in (*(mine for mine, _ in made), last)]
+            for n, (mine, edited) in enumerate(made):
+                where, i, _, extra = run[n]
+                if extra:
+                    continue
+                if run[n + 1][0] != where:
+                    raise RuntimeError(f"range {where} lacks its successor")
+                after = made[n + 1][0] if n + 1 < len(made) else last
+                half = len(texts[n]) // 2
+                sha = hashlib.sha256(texts[n][:len(texts[n]) - half].tobytes().decode(
+                    "utf-32-le", "surrogatepass").encode("utf-8", "surrogatepass"))
+                sha.update(texts[n + 1][:half].tobytes().decode("utf-32-le", "surrogatepass").encode(
                     "utf-8", "surrogatepass"))
-                sha.update(new.tobytes().decode("utf-32-le", "surrogatepass").encode("utf-8", "surrogatepass"))
-                here = set(band_keys(print_, 16, 16))
-                yield (own, len(old), sha.hexdigest(), str(print_), str(edited), likeness(print_, edited),
-                       likeness(print_, mine), len(here & set(band_keys(edited, 16, 16))),
-                       len(here & set(band_keys(mine, 16, 16))))
-            held = None if extra else (where, i, chars, forks, mine)
-        if held is not None:
-            raise RuntimeError(f"range {held[0]} lacks its successor")
+                yield (i, len(texts[n]), sha.hexdigest(), str(mine), str(edited), likeness(mine, edited),
+                       likeness(mine, after), len(bands[n].intersection(band_keys(edited, 16, 16))),
+                       len(bands[n] & bands[n + 1]))
 
     kinds = [("id", pa.int64()), ("n_chars", pa.int64()), ("edited_sha256", pa.string()),
              ("fingerprint", pa.string()), ("edited_fingerprint", pa.string()),

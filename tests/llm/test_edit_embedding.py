@@ -78,6 +78,20 @@ def test_edits_of_any_kind_stay_near_and_other_texts_do_not():
     assert ee.likeness(ee.fingerprint(""), ee.fingerprint("abc")) == 0.0
 
 
+@pytest.mark.parametrize("together", [1, 48, 1000])
+def test_texts_walked_together_equal_texts_walked_alone(monkeypatch, together):
+    monkeypatch.setattr(ee, "TOGETHER", together)
+    monkeypatch.setattr(ee, "LONG_TEXT", 4000)
+    rng = random.Random(together)
+    texts = [ee.codes(prose(rng, rng.choice((0, 1, 2, 30, 300, 3000, 9000)))) for _ in range(120)]
+    text = [t.tobytes().decode("utf-32-le") for t in texts]
+    assert [str(p) for p in ee.prints_of(texts)] == [str(ee.fingerprint(t)) for t in text]
+    for i, (mine, edited) in enumerate(ee.edited_prints(texts)):
+        h = len(text[i]) // 2
+        assert str(mine) == str(ee.fingerprint(text[i]))
+        assert str(edited) == str(ee.fingerprint(text[i][:len(text[i]) - h] + text[i + 1][:h]))
+
+
 def test_query_columns_equal_brute_force(lspark, frame):
     rng = random.Random(2)
     rows = [(i * 3, prose(rng, rng.choice((0, 1, 7, 40, 900)))) for i in range(80)]
