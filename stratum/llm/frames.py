@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 
 from stratum.session import work_path
 
@@ -60,6 +61,34 @@ def ship_package(spark) -> None:
     _shipped.add(sc.applicationId)
 
 
+def free_names(df: DataFrame, *names: str) -> list[str]:
+    """``names``, lengthened until no column of ``df`` has them (case does not count)."""
+    taken = {c.lower() for c in df.columns}
+    out = []
+    for n in names:
+        while n.lower() in taken:
+            n += "_"
+        taken.add(n.lower())
+        out.append(n)
+    return out
+
+
+def quoted(name: str) -> str:
+    """A column name as SQL text: dots and backticks are part of it."""
+    return "`" + name.replace("`", "``") + "`"
+
+
+def carried(df: DataFrame, row: str = "row", **more: Column) -> DataFrame:
+    """All columns of ``df`` in one struct, beside the columns ``more``: names of a caller's
+    table cannot meet those of an operator.  ``released`` is the way back."""
+    return df.select(F.struct(*[F.col(quoted(c)) for c in df.columns]).alias(row),
+                     *[c.alias(n) for n, c in more.items()])
+
+
+def released(df: DataFrame, columns: list[str], row: str = "row") -> DataFrame:
+    return df.select(*[F.col(f"{row}.{quoted(c)}").alias(c) for c in columns])
+
+
 def may_contain(rows: DataFrame, key: str, wanted: DataFrame, bits: int = 1 << 23,
                 mark: str | None = None) -> DataFrame:
     """The rows whose key may be in ``wanted`` (one column of keys).
@@ -70,18 +99,18 @@ def may_contain(rows: DataFrame, key: str, wanted: DataFrame, bits: int = 1 << 2
     by chance, so the caller joins exactly afterwards.  With ``mark`` all rows stay and
     that boolean column tells them apart.
     """
-    from pyspark.sql import functions as F
-
-    slot = lambda c: F.pmod(F.xxhash64(F.col(c)), F.lit(bits))
-    keys = wanted.select(F.col(wanted.columns[0]).alias("_k")).select(slot("_k").alias("_s"))
-    words = keys.groupBy(F.floor(F.col("_s") / 64).cast("int").alias("_w")).agg(
-        F.bit_or(F.expr("shiftleft(1L, cast(_s % 64 AS int))")).alias("_b"))
-    marked = rows.withColumn("_s", slot(key)).withColumn("_w", F.floor(F.col("_s") / 64).cast("int"))
-    hit = F.expr("(shiftright(_b, cast(_s % 64 AS int)) & 1L) = 1L")
+    s, w, b = free_names(rows, "_s", "_w", "_b")
+    slot = lambda c: F.pmod(F.xxhash64(F.col(quoted(c))), F.lit(bits))
+    word = F.floor(F.col(s) / 64).cast("int").alias(w)
+    keys = wanted.select(slot(wanted.columns[0]).alias(s))
+    words = keys.groupBy(word).agg(F.bit_or(F.expr(f"shiftleft(1L, cast({s} % 64 AS int))")).alias(b))
+    marked = rows.withColumn(s, slot(key)).withColumn(w, word)
+    hit = F.expr(f"(shiftright({b}, cast({s} % 64 AS int)) & 1L) = 1L")
+    columns = [F.col(quoted(c)) for c in rows.columns]
     if mark:
-        met = marked.join(F.broadcast(words), "_w", "left")
-        return met.select(*rows.columns, F.coalesce(hit, F.lit(False)).alias(mark))
-    return marked.join(F.broadcast(words), "_w").filter(hit).select(*rows.columns)
+        met = marked.join(F.broadcast(words), w, "left")
+        return met.select(*columns, F.coalesce(hit, F.lit(False)).alias(mark))
+    return marked.join(F.broadcast(words), w).filter(hit).select(*columns)
 
 
 def without_keys(rows: DataFrame, drop: DataFrame) -> DataFrame:
@@ -90,15 +119,13 @@ def without_keys(rows: DataFrame, drop: DataFrame) -> DataFrame:
     Only rows that the bitmap of the last key column lets through are shuffled; all
     others stay in their scan.
     """
-    from pyspark.sql import functions as F
-
     names = drop.columns
-    last = names[-1]
-    marked = may_contain(rows, last, drop.select(last), mark="_may")
-    keys = drop.distinct().select(*[F.col(c).alias(f"_drop_{c}") for c in names])
-    condition = None
-    for c in names:
-        same = F.col(c).eqNullSafe(F.col(f"_drop_{c}"))
-        condition = same if condition is None else condition & same
-    exact = marked.filter("_may").join(keys, condition, "left_anti")
-    return marked.filter("NOT _may").unionByName(exact).select(*rows.columns)
+    [may] = free_names(rows, "_may")
+    dropped = dict(zip(names, free_names(rows, *[f"_drop_{c}" for c in names])))
+    marked = may_contain(rows, names[-1], drop.select(names[-1]), mark=may)
+    keys = drop.distinct().select(*[F.col(quoted(c)).alias(d) for c, d in dropped.items()])
+    condition = F.lit(True)
+    for c, d in dropped.items():
+        condition = condition & F.col(quoted(c)).eqNullSafe(F.col(quoted(d)))
+    exact = marked.filter(F.col(may)).join(keys, condition, "left_anti")
+    return marked.filter(~F.col(may)).unionByName(exact).drop(may)

@@ -49,7 +49,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from stratum.llm.components import connected
-from stratum.llm.frames import may_contain, stored, tidy, without_keys
+from stratum.llm.frames import carried, may_contain, quoted, released, stored, tidy, without_keys
 
 SHINGLE = 5
 PERMUTATIONS = 128
@@ -394,20 +394,40 @@ def near_duplicates(docs: DataFrame, percent: int = 80, id_col: str = "doc_id",
                       component.alias("component_id"), F.col("id").eqNullSafe(component).alias("kept"))
 
 
+def _numbered(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """(row, text, key): all columns in ``row``; ``key`` tells documents apart.
+
+    The key is the id.  Rows whose id is null or occurs more than once are told apart by
+    their texts: equal (id, text) are one document, and each gets a number beyond the
+    greatest id.
+    """
+    rows = carried(docs, id=F.col(quoted(id_col)).cast("long"), text=F.col(quoted(text_col)),
+                   th=F.xxhash64(F.coalesce(F.col(quoted(text_col)), F.lit(""))))
+    odd = rows.groupBy("id").agg(F.count(F.lit(1)).alias("n")).filter("id IS NULL OR n > 1").select("id")
+    marked = may_contain(rows, "id", stored(odd, "repeated"), mark="odd")
+    numbers = stored(marked.filter("odd").select("id", "th").distinct().withColumn(
+        "number", F.monotonically_increasing_id()), "numbers").select(
+        F.col("id").alias("own"), F.col("th").alias("own_th"), "number")
+    top = rows.agg(F.max("id")).first()[0] or 0
+    same = F.col("id").eqNullSafe(F.col("own")) & (F.col("th") == F.col("own_th"))
+    again = marked.filter("odd").join(numbers, same).select(
+        "row", "text", (F.col("number") + F.lit(top + 1)).alias("key"), F.lit(True).alias("odd"))
+    return marked.filter("NOT odd").select("row", "text", F.col("id").alias("key"), "odd").unionByName(again)
+
+
 def drop_near_duplicates(docs: DataFrame, percent: int = 80, id_col: str = "doc_id",
                          text_col: str = "text") -> DataFrame:
-    """One document of each class, with all its columns.
+    """One document of each class, with all its columns: the one of least id.
 
-    Of rows that share an id the one with the smallest text stays.  Rows with a null id
-    stay.  Only rows that go or whose id repeats are shuffled.
+    Rows that share an id (or have none) are documents of their own where their texts
+    differ, and one document where they agree; documents with a unique id go before
+    them.  Only rows that go, or whose id repeats, are shuffled.
     """
-    decided = near_duplicates(docs, percent, id_col, text_col)
-    gone = stored(decided.filter("NOT kept").select(F.col(id_col).alias("_id")).distinct(), "gone")
-    repeated = docs.filter(F.col(id_col).isNotNull()).groupBy(id_col).agg(
-        F.count(F.lit(1)).alias("n")).filter("n > 1").select(F.col(id_col).alias("_id"))
-    left = without_keys(docs.withColumn("_id", F.col(id_col)), gone)
-    marked = may_contain(left, "_id", stored(repeated, "repeated"), mark="_twice")
-    one = F.row_number().over(Window.partitionBy("_id").orderBy(F.xxhash64(text_col), text_col))
-    loose = F.col("_id").isNull() | ~F.col("_twice")
-    single = marked.filter(~loose).withColumn("_one", one).filter("_one = 1").drop("_one")
-    return marked.filter(loose).unionByName(single).select(*docs.columns)
+    rows = _numbered(docs, id_col, text_col)
+    decided = near_duplicates(rows.select(F.col("key").alias("id"), "text"), percent, "id", "text")
+    gone = stored(decided.filter("NOT kept").select(F.col("id").alias("key")).distinct(), "gone")
+    left = without_keys(rows, gone)
+    one = F.row_number().over(Window.partitionBy("key").orderBy(F.xxhash64("row")))
+    single = left.filter("odd").withColumn("n", one).filter("n = 1")
+    kept = left.filter("NOT odd").select("row").unionByName(single.select("row"))
+    return released(kept, docs.columns)

@@ -30,6 +30,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from stratum.llm.frames import carried, quoted
+
 BLOCK = 256
 CONTEXT = 40
 THRESHOLD = 0.6
@@ -271,11 +273,10 @@ def redact_pii(docs: DataFrame, text_col: str = "text") -> DataFrame:
     null; all other columns are unchanged.
     """
     columns = docs.columns
-    out = docs.select(F.struct(*[F.col(f"`{c}`") for c in columns]).alias("row"),
-                      F.coalesce(F.col(f"`{text_col}`"), F.lit("")).alias("t"))
+    out = carried(docs, t=F.coalesce(F.col(quoted(text_col)), F.lit("")))
     out = _masked(out, BASE_KINDS + ADDED_KINDS)
     for k in BASE_KINDS + ADDED_KINDS:
         out = _masked(out, [k])
     return out.select(*[
-        F.when(F.col(f"row.`{c}`").isNull(), F.lit(None)).otherwise(F.col("t")).alias(c)
-        if c == text_col else F.col(f"row.`{c}`").alias(c) for c in columns])
+        F.when(F.col(f"row.{quoted(c)}").isNull(), F.lit(None)).otherwise(F.col("t")).alias(c)
+        if c == text_col else F.col(f"row.{quoted(c)}").alias(c) for c in columns])

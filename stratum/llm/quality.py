@@ -31,9 +31,10 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from stratum.llm import sampling
-from stratum.llm.frames import tidy
+from stratum.llm.frames import carried, quoted, released, tidy
 
 BUCKET_BITS = 16
 GRAMS = (3, 4)
@@ -184,14 +185,15 @@ def keep_quality(docs: DataFrame, model: Model, threshold: float = 0.7,
                  text_col: str = "text") -> DataFrame:
     """The rows that the classifier accepts, with all their columns (one narrow pass)."""
     shared = docs.sparkSession.sparkContext.broadcast((model.bucket, model.bias))
-    at = docs.columns.index(text_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = Model(*shared.value)
         for b in batches:
-            yield b.filter(pa.array(_scores(m, b.column(at)) >= threshold))
+            yield b.select(["row"]).filter(pa.array(_scores(m, b.column("t")) >= threshold))
 
-    return docs.mapInArrow(tidy(run), docs.schema)
+    rows = carried(docs, t=F.coalesce(F.col(quoted(text_col)), F.lit("")))
+    kept = rows.mapInArrow(tidy(run), T.StructType([rows.schema["row"]]))
+    return released(kept, docs.columns)
 
 
 def score_quality(docs: DataFrame, model: Model, threshold: float = 0.7, id_col: str = "doc_id",

@@ -3,6 +3,7 @@ import os
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline as C
 from stratum.llm import bpe, quality
@@ -89,3 +90,43 @@ def test_run_gives_the_rows_of_the_last_stage(lspark, kept):
     out = C.run(lspark, SF).collect()
     assert sorted((r.doc_id, r.ids_sha256) for r in out) == sorted(
         (r.doc_id, r.ids_sha256) for r in kept["tokens"][1])
+
+
+HELPERS = ["_s", "_w", "_b", "_may", "_twice", "_one", "_id", "_th", "row", "key", "odd", "number", "id", "th", "n",
+           "text_hash", "_drop_key", "_drop_id", "own", "own_th", "kept", "component", "Weird.name", "a`b"]
+
+
+def test_stages_carry_columns_of_any_name(lspark):
+    """Columns whose names the stages use themselves come back unchanged."""
+    base = read_table(lspark, SF, "documents").limit(60)
+    docs = base.select("*", *[F.concat(F.lit(f"{h}-"), F.col("doc_id")).alias(h) for h in HELPERS])
+    docs = lspark.createDataFrame(docs.collect(), docs.schema)
+    for name, stage in C.STAGES[:-1]:
+        out = stage(lspark, docs, SF)
+        assert out.columns == docs.columns, name
+        before = {r.doc_id: r for r in docs.collect()}
+        rows = out.collect()
+        assert rows and all(r[h] == before[r.doc_id][h] for r in rows for h in HELPERS), name
+    assert C.STAGES[-1][1](lspark, docs, SF).count() == 60
+
+
+def test_repeated_and_missing_ids(lspark):
+    """Rows of one id are told apart by their texts; equal (id, text) rows are one document."""
+    words = lambda k: " ".join(f"w{k}x{i}" for i in range(80))
+    rows = [(1, words(1)), (1, words(2)), (1, words(2)), (None, words(3)), (None, words(3)), (None, words(4)),
+            (2, words(5)), (3, words(5) + " end"), (4, words(4)), (5, None), (5, ""), (None, None)]
+    docs = lspark.createDataFrame([(i, t, "en", "s", len(t or "")) for i, t in rows],
+                                  "doc_id long, text string, lang string, source string, n_chars long")
+    stages = dict(C.STAGES)
+    out = sorted(((r.doc_id, r.text) for r in stages["near_dedup"](lspark, docs, SF).collect()), key=str)
+    # the two empty texts of id 5 have one text hash: one document; so have equal rows
+    want = [(1, words(1)), (1, words(2)), (2, words(5)), (4, words(4)), (None, words(3)), (None, None)]
+    assert [o for o in out if o[0] != 5] == sorted(want, key=str) and sum(o[0] == 5 for o in out) == 1
+    clean = stages["decontaminate"](lspark, docs, SF)
+    assert sorted(map(str, clean.collect())) == sorted(map(str, docs.collect()))
+
+
+@pytest.mark.parametrize("name", ["near_dedup", "decontaminate", "pii", "tokens"])
+def test_stages_of_empty_tables(lspark, name):
+    docs = read_table(lspark, SF, "documents").limit(0)
+    assert dict(C.STAGES)[name](lspark, lspark.createDataFrame([], docs.schema), SF).count() == 0
