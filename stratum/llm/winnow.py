@@ -21,16 +21,17 @@ Spark plan.
    those kept fingerprints whose bit is set (false hits fall out in step 3), again
    with the words around.  This table is stored once.
 3. Fingerprints join on their hash; the extension is an expression on the two word
-   lists.  Intervals are made distinct, then merged per document with a window; the
-   distinct items per document are listed and hashed.  A passage that a third of all
-   documents share gives one row per occurrence, joined against the items that hold
-   it (a small broadcast or a sort-merge join that adaptive execution splits).
+   lists.  Items that hold the same words around a fingerprint are one passage class,
+   so an occurrence is one row however many items hold the passage.  Intervals are made
+   distinct, then merged per document with a window; the names of a document's distinct
+   classes are put together at the end, listed and hashed.
 
 Words are compared by 64-bit hashes of their bytes.  Texts are never shuffled.
 
 Defined results: null and empty texts have no words; documents are told apart by id
 and text hash, so repeated ids with different texts are judged apart and repeated
-rows get the same values; a null item_id takes no part.  Other columns are ignored.
+rows get the same values; an item without an id hits as any other and is only not
+listed or counted among the items.  Other columns are ignored.
 """
 
 from __future__ import annotations
@@ -42,7 +43,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from stratum.llm.frames import stored, tidy, without_keys
+from stratum.llm.frames import carried, quoted, released, stored, tidy, without_keys
 
 WINDOW = 13
 K = 7
@@ -153,7 +154,7 @@ def item_prints(items: DataFrame, window: int, k: int, id_col: str, text_col: st
                     names=["item_id", "prints"])
 
     kind = items.schema[id_col].dataType.simpleString()
-    rows = items.filter(F.col(id_col).isNotNull()).select(
+    rows = items.select(
         F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("t"))
     rows = rows.mapInArrow(tidy(run), f"item_id {kind}, prints {_PRINTS}")
     return rows.select("item_id", F.inline("prints"))
@@ -232,7 +233,10 @@ def contamination(docs: DataFrame, items: DataFrame, window: int = WINDOW, k: in
 
     ``with_key`` adds text_hash, which tells documents with one id apart.
     """
-    prints = stored(item_prints(items, window, k, item_col, item_text_col), "items")
+    # A passage class: items that have a fingerprint with the same words around it.
+    prints = stored(item_prints(items, window, k, item_col, item_text_col).groupBy("h", "size", "around").agg(
+        F.array_sort(F.collect_set(F.col("item_id").cast("string"))).alias("names")).withColumn(
+        "passage", F.monotonically_increasing_id()), "items")
     short = [r["size"] for r in prints.filter(F.col("size") < window).select("size").distinct().collect()]
     table = stored(document_prints(docs, _bitmap(prints, FILTER_BITS), sorted(short), window, k,
                                    id_col, text_col), "winnowed")
@@ -241,13 +245,13 @@ def contamination(docs: DataFrame, items: DataFrame, window: int = WINDOW, k: in
         "around", "doc_around")
     side = window - k
     left, right = _common(F.col("doc_around"), F.col("around"), k, side)
-    met = anchors.join(prints.select("item_id", "h", "size", "around"), ["h", "size"])
+    met = anchors.join(prints.select("passage", "h", "size", "around"), ["h", "size"])
     whole = F.col("size") < window
     met = met.withColumn("left", F.when(whole, 0).otherwise(left)).withColumn(
         "right", F.when(whole, 0).otherwise(right))
     same_anchor = whole | F.expr(f"slice(doc_around, {side + 1}, {k}) = slice(around, {side + 1}, {k})")
     met = met.filter(same_anchor).select(
-        *key, "item_id", (F.col("at") - F.col("left")).alias("start"),
+        *key, "passage", (F.col("at") - F.col("left")).alias("start"),
         F.when(whole, F.col("at") + F.col("size")).otherwise(
             F.col("at") + k + F.col("right")).alias("end"), whole.alias("whole"))
     met = stored(met.filter(F.col("whole") | (F.col("end") - F.col("start") >= window)).drop("whole"),
@@ -258,8 +262,8 @@ def contamination(docs: DataFrame, items: DataFrame, window: int = WINDOW, k: in
     spans = met.select(*key, "start", "end").distinct().withColumn("before", before)
     fresh = F.greatest(F.lit(0), F.col("end") - F.greatest("start", F.coalesce("before", F.lit(0))))
     hit = spans.groupBy(*key).agg(F.sum(fresh).alias("n_hit"))
-    listed = met.select(*key, F.col("item_id").cast("string").alias("item")).distinct().groupBy(
-        *key).agg(F.sort_array(F.collect_list("item")).alias("items"))
+    listed = met.select(*key, "passage").distinct().join(prints.select("passage", "names"), "passage").groupBy(
+        *key).agg(F.array_sort(F.array_distinct(F.flatten(F.collect_list("names")))).alias("items"))
     found = hit.join(listed, [hit[c].eqNullSafe(listed[c]) for c in key]).select(
         *[hit[c].alias(f"_{c}") for c in key], "n_hit", "items")
     out = table.join(found, [table[c].eqNullSafe(found[f"_{c}"]) for c in key], "left")
@@ -275,8 +279,8 @@ def contamination(docs: DataFrame, items: DataFrame, window: int = WINDOW, k: in
 def decontaminate(docs: DataFrame, items: DataFrame, id_col: str = "doc_id",
                   text_col: str = "text") -> DataFrame:
     """The documents that are not contaminated, with all their columns."""
-    bad = stored(contamination(docs, items, id_col=id_col, text_col=text_col, with_key=True).filter(
-        "contaminated").select(F.col(id_col).alias("_id"), F.col("text_hash").alias("_th")), "contaminated")
-    keyed = docs.withColumn("_id", F.col(id_col)).withColumn(
-        "_th", F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))))
-    return without_keys(keyed, bad).select(*docs.columns)
+    rows = carried(docs, id=F.col(quoted(id_col)), text=F.col(quoted(text_col)),
+                   text_hash=F.xxhash64(F.coalesce(F.col(quoted(text_col)), F.lit(""))))
+    bad = stored(contamination(rows.select("id", "text"), items, id_col="id", with_key=True).filter(
+        "contaminated").select("id", "text_hash"), "contaminated")
+    return released(without_keys(rows, bad), docs.columns)

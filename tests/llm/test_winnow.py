@@ -16,7 +16,7 @@ def brute(docs, items, window=13):
     grams = {}
     for i, t in items:
         w = words(t)
-        if i is None or not w:
+        if not w:
             continue
         size = min(len(w), window)
         for p in range(len(w) - size + 1):
@@ -31,6 +31,7 @@ def brute(docs, items, window=13):
                 if g in grams:
                     hit |= set(range(p, p + size))
                     found |= grams[g]
+        found.discard(None)  # items without an id hit, but have no name
         names = ",".join(sorted(str(x) for x in found))
         out.append((d, len(w), len(hit), len(found), hashlib.sha256(names.encode()).hexdigest(),
                     bool(hit) and 20 * len(hit) >= len(w)))
