@@ -18,8 +18,9 @@ and queries.  Every cell returns at most k rows per query; a last window over
 (query) keeps the best k.  This compares a stated query set with all rows in
 blocks: a document is sent once per query group, a query once per slice.
 
-Exactness: scores are computed in float64 where every partial sum is below 2**53,
-else with 64-bit integers; weights must fit in 31 bits (an error under ANSI casts otherwise).
+Exactness: scores are computed in float64 where every partial sum is below 2**53, in
+64-bit integers below 2**63, else in Python integers (only cells that hold such weights).
+A weight beyond +-LARGEST counts as that, a score beyond 64 bits as the end of the range.
 
 Defined results: vectors that are null, or hold null or non-finite components, take
 no part; a term that a vector lacks (unequal lengths) weighs 0; an empty vector
@@ -42,6 +43,7 @@ from stratum.llm.frames import stored
 BLOCK_ROWS = 256
 RANGE_ROWS = 1 << 14
 QUERY_ROWS = 1024
+LARGEST = 9.2e18
 
 
 def weights(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding",
@@ -51,7 +53,8 @@ def weights(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embed
     usable = x.isNotNull() & ~F.exists(x, lambda v: v.isNull() | F.isnan(v)
                                        | (F.abs(v) == float("inf")))
     rows = vectors.filter(F.col(id_col).isNotNull() & usable)
-    return rows.select(F.col(id_col), F.transform(x, lambda v: F.floor(v * scale).cast("int")).alias("w"))
+    held = lambda v: F.least(F.greatest(v * scale, F.lit(-LARGEST)), F.lit(LARGEST))
+    return rows.select(F.col(id_col), F.transform(x, lambda v: F.floor(held(v)).cast("long")).alias("w"))
 
 
 def _signature(w: Column) -> Column:
@@ -69,16 +72,19 @@ def _matrix(lists, dims: int) -> np.ndarray:
     return out
 
 
-_PACKED = "part long, n int, dims int, ids binary, weights binary"
+_PACKED = "part long, n int, dims int, width int, ids binary, weights binary"
+_WIDTHS = {4: np.int32, 8: np.int64}
 
 
 def _packed(pdf: pd.DataFrame) -> pd.DataFrame:
     """Rows (part, id, w) as one row: a forward index."""
     dims = max((len(v) for v in pdf["w"]), default=0)
+    m = _matrix(pdf["w"].tolist(), dims)
+    width = 4 if np.abs(m).max(initial=0) < 1 << 31 else 8
     return pd.DataFrame({
-        "part": [int(pdf["part"].iloc[0])], "n": [len(pdf)], "dims": [dims],
+        "part": [int(pdf["part"].iloc[0])], "n": [len(pdf)], "dims": [dims], "width": [width],
         "ids": [pdf["id"].to_numpy(np.int64).tobytes()],
-        "weights": [_matrix(pdf["w"].tolist(), dims).astype(np.int32).tobytes()]})
+        "weights": [m.astype(_WIDTHS[width]).tobytes()]})
 
 
 def _blocks(rows: DataFrame, block_rows: int) -> DataFrame:
@@ -98,8 +104,8 @@ def _blocks(rows: DataFrame, block_rows: int) -> DataFrame:
 
 
 def _unpack(pdf: pd.DataFrame) -> list[tuple[np.ndarray, np.ndarray]]:
-    return [(np.frombuffer(r.ids, np.int64), np.frombuffer(r.weights, np.int32).reshape(r.n, r.dims))
-            for r in pdf.itertuples()]
+    return [(np.frombuffer(r.ids, np.int64),
+             np.frombuffer(r.weights, _WIDTHS[r.width]).reshape(r.n, r.dims)) for r in pdf.itertuples()]
 
 
 def _wide(m: np.ndarray, dims: int, dtype) -> np.ndarray:
@@ -108,6 +114,13 @@ def _wide(m: np.ndarray, dims: int, dtype) -> np.ndarray:
     return out
 
 
+def _in_range(scores: np.ndarray) -> np.ndarray:
+    """Python integers held within 64 bits (the least is kept free); others as they are."""
+    if scores.dtype != object:
+        return scores
+    return np.clip(scores, -(1 << 63) + 1, (1 << 63) - 1).astype(np.int64)
+
+
 def search_cell(queries: list[tuple[np.ndarray, np.ndarray]],
                 blocks: list[tuple[np.ndarray, np.ndarray]], k: int) -> pd.DataFrame:
     """Best ``k`` documents of the blocks for every query; ties to the smaller id."""
@@ -117,12 +130,12 @@ def search_cell(queries: list[tuple[np.ndarray, np.ndarray]],
     top = np.array([[m.max(axis=0, initial=0), m.min(axis=0, initial=0)]
                     for m in (_wide(b, dims, np.int64) for _, b in blocks)])
     largest = float(np.abs(q).max(initial=0)) * float(np.abs(top).max(initial=0)) * dims
-    kind = np.float64 if largest < 2.0 ** 53 else np.int64
+    kind = np.float64 if largest < 2.0 ** 53 else np.int64 if largest < 2.0 ** 62 else object
     q = q.astype(kind)
     docs = [(ids, _wide(m, dims, kind)) for ids, m in blocks]
     high = np.array([m.max(axis=0) for _, m in docs]).T
     low = np.array([m.min(axis=0) for _, m in docs]).T
-    bound = np.maximum(q, 0) @ high + np.minimum(q, 0) @ low  # (queries, blocks)
+    bound = _in_range(np.maximum(q, 0) @ high + np.minimum(q, 0) @ low)  # (queries, blocks)
     order = np.argsort(-bound, axis=1, kind="stable")
     n = len(q)
     none = np.iinfo(np.int64).min
@@ -138,7 +151,7 @@ def search_cell(queries: list[tuple[np.ndarray, np.ndarray]],
         for block in np.unique(b):
             rows = live[b == block]
             ids, m = docs[block]
-            s = (q[rows] @ m.T).astype(np.int64)
+            s = _in_range(q[rows] @ m.T).astype(np.int64)
             usable = (ids[None, :] != qid[rows][:, None]) & (s >= score[rows, -1][:, None])
             r, c = np.nonzero(usable)
             if not len(r):
@@ -193,10 +206,8 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 20, id_col: str = "vec_
             return pd.DataFrame({c: np.zeros(0, np.int64) for c in ("query_id", "vec_id", "score")})
         return search_cell(_unpack(query_pdf), _unpack(doc_rows), k)
 
-    left = left.select(F.col("slice").cast("long"), F.col("grp").cast("long"), "n", "dims", "ids",
-                       "weights")
-    right = right.select(F.col("slice").cast("long"), F.col("grp").cast("long"), "n", "dims",
-                         "ids", "weights")
+    columns = [F.col("slice").cast("long"), F.col("grp").cast("long"), "n", "dims", "width", "ids", "weights"]
+    left, right = left.select(*columns), right.select(*columns)
     best = left.groupBy("slice", "grp").cogroup(right.groupBy("slice", "grp")).applyInPandas(
         work, "query_id long, vec_id long, score long")
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy(

@@ -64,3 +64,23 @@ def test_pruning_skips_blocks_without_changing_results():
     q = [(np.array([5000, 5001]), rng.randint(1, 9, (2, 8)).astype(np.int32))]
     got = search_cell(q, blocks, 10)
     assert set(got["vec_id"]) <= set(range(150, 200))
+
+
+def test_components_of_any_finite_size(lspark):
+    rng = random.Random(7)
+    rows = [(i, [rng.uniform(-1, 1) for _ in range(4)]) for i in range(60)]
+    rows[20] = (20, [1e9, 0.25, -1e9, 0.0])
+    rows[33] = (33, [3e12, -2e12, 0.5, 1.0])
+    rows[40] = (40, [-1e300, 1e300, 0.0, 0.0])
+    rows[41] = (41, [0.0, 1e200, 1.0, 1.0])
+    hold = lambda v: max(-9.2e18, min(9.2e18, 64 * v))
+    w = {i: [math.floor(hold(x)) for x in v] for i, v in rows}
+    ends = lambda s: max(-(1 << 63) + 1, min((1 << 63) - 1, s))
+    want = []
+    for q in range(0, 60, 20):
+        scored = sorted((-ends(sum(a * b for a, b in zip(w[q], w[i]))), i) for i in w if i != q)[:5]
+        want += [(q, n + 1, i, -s) for n, (s, i) in enumerate(scored)]
+    df = lspark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    for sizes in ({}, dict(range_rows=20, query_rows=2, block_rows=6)):
+        got = top_k(weights(df), F.col("vec_id") % 20 == 0, k=5, **sizes).collect()
+        assert sorted((r.query_id, r["rank"], r.vec_id, r.score) for r in got) == want
