@@ -63,6 +63,7 @@ K = 100
 GROUP_ROWS = 4096
 BATCH_ROWS = 8192
 SCAN_BYTES = 1 << 19
+HOT_CLASSES = 4096
 
 _ANCHORS = "array<struct<h:long,c:long,at:long,lo:int,hi:int>>"
 
@@ -108,7 +109,7 @@ def _in_halves(data: np.ndarray, offsets: np.ndarray, span: int, k: int) -> dict
 
 
 def _scan(docs: DataFrame, span: int, k: int, id_col: str, text_col: str) -> DataFrame:
-    """(id, th, n_bytes, sha, anchors) of every document."""
+    """(id, th, anchors) of every document."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from stratum.llm.textops import blocks, flat
 
@@ -123,16 +124,14 @@ def _scan(docs: DataFrame, span: int, k: int, id_col: str, text_col: str) -> Dat
                     [pa.array(a[x][o].astype(t)) for x, t in
                      (("h", np.int64), ("c", np.int64), ("at", np.int64), ("lo", np.int32), ("hi", np.int32))],
                     names=["h", "c", "at", "lo", "hi"])
-                sha = [hashlib.sha256(part[p:q]).hexdigest() for p, q in zip(bounds[:-1], bounds[1:])]
                 yield pa.RecordBatch.from_arrays(
                     [b.column("id").slice(i, j - i), b.column("th").slice(i, j - i),
-                     pa.array(np.diff(bounds)), pa.array(sha, pa.string()),
                      pa.ListArray.from_arrays(pa.array(cut), rows)],
-                    names=["id", "th", "n_bytes", "sha", "anchors"])
+                    names=["id", "th", "anchors"])
 
     kind = docs.schema[id_col].dataType.simpleString()
     return _texts(docs, id_col, text_col).mapInArrow(
-        tidy(run), f"id {kind}, th long, n_bytes long, sha string, anchors {_ANCHORS}")
+        tidy(run), f"id {kind}, th long, anchors {_ANCHORS}")
 
 
 def _texts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -297,10 +296,18 @@ def repeated_ranges(table: DataFrame, docs: DataFrame, span: int = SPAN, k: int
     classes = stored(classes, "classes")
     groups = classes.groupBy("h").agg(F.count(F.lit(1)).alias("size"), F.min("n").alias("least"))
     groups = stored(groups, "groups")
-    # Copies: every start of a class with a count of two or more.
-    many = classes.filter("n > 1").select("h", "lo", "hi", "c")
-    copies = may_contain(tuples, "h", many.select("h"), bits=1 << 24).join(
-        many, ["h", "lo", "hi", "c"]).select(
+    # Copies: every start of a class with a count of two or more.  Classes with more than
+    # 1/HOT_CLASSES of the tuples number fewer than HOT_CLASSES and are broadcast, so the
+    # tuples of a passage that very many documents share do not meet in one task.
+    key = ["h", "lo", "hi", "c"]
+    total = classes.agg(F.sum("n")).first()[0] or 0
+    hot = F.col("n") * HOT_CLASSES > total
+    many = classes.filter("n > 1").select(*key, hot.alias("hot"))
+    probe = may_contain(tuples, "h", many.select("h"), bits=1 << 24).join(
+        F.broadcast(many.filter("hot")), key, "left")
+    met = probe.filter("hot").drop("hot").unionByName(
+        probe.filter("hot IS NULL").drop("hot").join(many.filter("NOT hot").select(*key), key))
+    copies = met.select(
         "id", "th", (F.col("at") - F.col("hi")).alias("s1"), (F.col("at") - F.col("lo")).alias("s2"))
     found = [copies]
 
@@ -338,11 +345,12 @@ def repeated_ranges(table: DataFrame, docs: DataFrame, span: int = SPAN, k: int
 
 
 def remove_repeats(docs: DataFrame, span: int = SPAN, k: int = K, id_col: str = "doc_id",
-                   text_col: str = "text", group_rows: int = GROUP_ROWS, keep_text: bool = False
-                   ) -> DataFrame:
-    """(id, n_bytes, n_removed, n_spans, kept_sha256[, kept]) of every document.
+                   text_col: str = "text", group_rows: int = GROUP_ROWS) -> DataFrame:
+    """(id, n_bytes, n_removed, n_spans, kept_sha256, kept_text) of every document.
 
-    ``kept`` holds the remaining bytes (binary) of documents that lose some, else null.
+    The digest is that of the remaining bytes; ``kept_text`` is their text, without
+    characters that lost a part of their bytes.  Documents that lose nothing are answered
+    by their own scan.
     """
     table = stored(_scan(docs, span, k, id_col, text_col), "anchors")
     ranges = repeated_ranges(table, docs, span, k, id_col, text_col, group_rows)
@@ -358,34 +366,31 @@ def remove_repeats(docs: DataFrame, span: int = SPAN, k: int = K, id_col: str =
             for i, ranges in enumerate(b.column("ranges")):
                 text = data[off[i]:off[i + 1]]
                 delta = np.zeros(len(text) + 1, dtype=np.int32)
-                for r in ranges.as_py():
+                for r in ranges.as_py() or []:
                     delta[r["s1"]] += 1
                     delta[r["s2"] + span] -= 1
                 gone = np.cumsum(delta[:-1]) > 0
                 rest = text[~gone].tobytes()
                 removed.append(int(gone.sum()))
-                spans.append(int(gone[0]) + int((gone[1:] & ~gone[:-1]).sum()))
+                spans.append(int(gone[:1].sum()) + int((gone[1:] & ~gone[:-1]).sum()))
                 sha.append(hashlib.sha256(rest).hexdigest())
-                kept.append(rest)
-            cols = [b.column("id"), b.column("th"), pa.array(removed, pa.int64()),
-                    pa.array(spans, pa.int64()), pa.array(sha, pa.string())]
-            names = ["_id", "_th", "n_removed", "n_spans", "cut_sha"]
-            if keep_text:
-                cols.append(pa.array(kept, pa.binary()))
-                names.append("kept")
-            yield pa.RecordBatch.from_arrays(cols, names=names)
+                kept.append(rest.decode("utf-8", "ignore"))
+            yield pa.RecordBatch.from_arrays(
+                [b.column("id"), pa.array(np.diff(off), pa.int64()), pa.array(removed, pa.int64()),
+                 pa.array(spans, pa.int64()), pa.array(sha, pa.string()), pa.array(kept, pa.string())],
+                names=[id_col, "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept_text"])
 
     kind = table.schema["id"].dataType.simpleString()
-    texts = may_contain(_texts(docs, id_col, text_col), "th", per_doc.select("th"))
-    texts = texts.select(F.col("id").alias("_id"), F.col("th").alias("_th"), "t").dropDuplicates(
-        ["_id", "_th"])
-    met = per_doc.join(texts, F.col("id").eqNullSafe(F.col("_id")) & (F.col("th") == F.col("_th")))
-    done = met.select("id", "th", "t", "ranges").mapInArrow(
-        tidy(cut), f"_id {kind}, _th long, n_removed long, n_spans long, cut_sha string"
-             + (", kept binary" if keep_text else ""))
-    base = table.select("id", "th", "n_bytes", "sha")
-    out = base.join(done, F.col("id").eqNullSafe(F.col("_id")) & (F.col("th") == F.col("_th")), "left")
-    zero = lambda c: F.coalesce(c, F.lit(0)).cast("long").alias(c)
-    return out.select(F.col("id").alias(id_col), "n_bytes", zero("n_removed"), zero("n_spans"),
-                      F.coalesce("cut_sha", "sha").alias("kept_sha256"),
-                      *(["kept"] if keep_text else []))
+    marked = may_contain(_texts(docs, id_col, text_col), "th", per_doc.select("th"), mark="met")
+    none = F.lit(0).cast("long")
+    whole = marked.filter("NOT met").select(
+        F.col("id").alias(id_col), F.octet_length("t").cast("long").alias("n_bytes"), none.alias("n_removed"),
+        none.alias("n_spans"), F.sha2(F.col("t").cast("binary"), 256).alias("kept_sha256"),
+        F.col("t").alias("kept_text"))
+    known = per_doc.select(F.col("id").alias("known_id"), F.col("th").alias("known_th"), "ranges")
+    met = marked.filter("met").join(known, F.col("id").eqNullSafe(F.col("known_id"))
+                                    & (F.col("th") == F.col("known_th")), "left")
+    done = met.select("id", "t", "ranges").mapInArrow(
+        tidy(cut), f"`{id_col}` {kind}, n_bytes long, n_removed long, n_spans long, kept_sha256 string, "
+                   "kept_text string")
+    return whole.unionByName(done)

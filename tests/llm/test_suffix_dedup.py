@@ -51,13 +51,26 @@ def test_equals_brute_force(frame, span, k, group):
 def test_repeated_rows_null_ids_and_kept_bytes(frame):
     long = "".join(chr(97 + (i * i) % 26) + str(i) for i in range(300))
     rows = [(1, long), (1, long), (None, "solo " + long[:450]), (None, None), (2, "unlike " * 3)]
-    got = remove_repeats(frame(rows), keep_text=True).collect()
+    got = remove_repeats(frame(rows)).collect()
     want = brute([t for _, t in rows], 400)
     assert sorted((r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in got) == sorted(want)
     assert len(got) == len(rows)
-    for r in got:
-        if r.kept is not None:
-            assert hashlib.sha256(bytes(r.kept)).hexdigest() == r.kept_sha256
+    assert "unlike " * 3 in [r.kept_text for r in got]
+    for r in got:  # no character was cut here
+        assert hashlib.sha256(r.kept_text.encode()).hexdigest() == r.kept_sha256
+
+
+def test_texts_of_over_16_mib(frame):
+    """Longer texts are scanned in halves that overlap by a window."""
+    rng = random.Random(9)
+    core = "".join(rng.choice("abcdefgh ") for _ in range(900))
+    filler = rng.randbytes(9 << 20).hex()  # no window of it repeats
+    far = filler[:(1 << 24) - 450] + core + filler[(1 << 24) - 450:] + core[:400] + "|end"
+    rows = [(1, far), (2, "x" + core + "y"), (3, "nothing shared " * 5)]
+    got = {r.doc_id: r for r in remove_repeats(frame(rows)).collect()}
+    assert got[1].n_bytes == len(far) and got[1].n_removed == 900 + 400 and got[1].n_spans == 2
+    assert got[1].kept_text == filler + "|end"
+    assert (got[2].n_removed, got[2].kept_text) == (900, "xy") and got[3].n_removed == 0
 
 
 def test_induced_order_equals_sorting_each_start():
