@@ -6,17 +6,21 @@ without negatives (the class-prior-corrected estimator):
 
     R(g) = p R_P+(g) + max(0, R_U-(g) - p R_P-(g))
 
-When a mini-batch makes the second part negative, the step goes against its
-gradient instead, which keeps the estimate from running below zero (overfitting).
-The classifier is linear with the logistic loss over hashed distinct lower-case
-words (a single word marks a long document as well as a short one), trained with
-numpy and an L2 term on the words whose shares among positives and unlabelled
-texts differ significantly.  The prior is the share of confirmed toxic documents
-among the labelled ones of the training folds.
-
-Scale: the samples are bounded (``positives``, ``unlabelled``: documented
-parameters); scoring is one narrow pass without a shuffle, and the model is
-``2**BUCKET_BITS`` floats.
+The maximum keeps the estimate of the negatives' risk from running below zero, which is
+how a classifier that sees no negatives overfits; its corner is rounded, so that a
+quasi-Newton descent finds the least risk.  The classifier is linear with the logistic
+loss over hashed distinct lower-case words (a single word marks a long document as well as
+a short one), with an L2 term, on the words whose shares among positives and unlabelled
+texts differ significantly.  The prior is the share of confirmed toxic documents among
+the labelled ones of the training folds.
+
+Scale.  Confirmed positives are a bounded sample of labelled rows (``positives``).  The
+unlabelled side is all rows of the training folds, in two narrow passes and one small
+aggregate per step: word shares over all distinct texts (one count per bucket), then every
+text reduced to the significant words it holds, equal reductions counted together, then
+for each step of a quasi-Newton descent the sums of risk and gradient over these rows.
+Sums are added as integers (2**-20 steps), so their order does not matter.  The driver
+holds one number per bucket; scoring is one narrow pass with ``2**BUCKET_BITS`` floats.
 
 Defined results: null and empty texts have no words, their score comes from the
 bias.  Labels, lang, source and doc_id are never features.  Repeated rows give
@@ -34,9 +38,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stratum.llm import sampling
-from stratum.llm.frames import tidy
+from stratum.llm.frames import may_contain, stored, tidy
 
 BUCKET_BITS = 18
+DECAY = 1e-4      # of the L2 term
+SMOOTH = 0.005    # width of the corner of max(0, negative part)
+UNIT = 1 << 20    # sums over all rows are added as integers of 1 / UNIT
 
 
 @dataclass
@@ -69,73 +76,122 @@ class _Bags:
         pos = np.repeat(self.at[rows] - stop + size, size) + np.arange(stop[-1] if len(stop) else 0)
         return self.idx[pos], np.repeat(np.arange(len(rows)), size)
 
+    def sums(self, w: np.ndarray, count: np.ndarray, of) -> tuple[np.ndarray, np.ndarray]:
+        """(score of every row, gradient of sum(count * f) for f' = ``of(score)``)."""
+        idx, row = self.take(np.arange(len(self.size)))
+        z = np.bincount(row, weights=w[idx], minlength=len(self.size)) + w[-1]
+        d = count * of(z)
+        g = np.bincount(idx, weights=d[row], minlength=len(w)).astype(float)
+        g[-1] += d.sum()
+        return z, g
+
+
+def _sigmoid(z: np.ndarray) -> np.ndarray:
+    return 1.0 / (1.0 + np.exp(-np.clip(z, -40, 40)))
+
 
 def _once(rows: list[np.ndarray]) -> list[np.ndarray]:
     return [np.frombuffer(r, dtype=np.int64) for r in sorted({r.tobytes() for r in rows})]
 
 
-def train(positive: list[np.ndarray], unlabelled: list[np.ndarray], prior: float,
-          epochs: int = 400, batch: int = 6000, rate: float = 0.1, decay: float = 1e-5,
-          least_z: float = 4.0, seed: int = 11) -> Model:
-    """Rows are arrays of distinct buckets.
+def significant(in_pos: np.ndarray, n_pos: int, in_unl: np.ndarray, n_unl: int,
+                least_z: float = 4.0) -> np.ndarray:
+    """Buckets whose shares in both samples differ by ``least_z`` standard errors or more:
+    single rare words cannot be told from chance."""
+    pooled = (in_pos + in_unl + 1) / (n_pos + n_unl + 2)
+    z = (in_pos / n_pos - in_unl / n_unl) / np.sqrt(pooled * (1 - pooled) * (1 / n_pos + 1 / n_unl))
+    return np.flatnonzero(np.abs(z) >= least_z)
+
+
+def minimise(positive: _Bags, unlabelled_risk, n: int, prior: float, steps: int = 40,
+             decay: float = DECAY) -> np.ndarray:
+    """Weights (the bias last) of least risk, by limited-memory quasi-Newton steps.
 
-    Buckets whose shares in the two samples differ by fewer than ``least_z`` standard
-    errors are left out: single rare words cannot be told from chance.  For these
-    shares equal rows (copies) count once.
+    ``unlabelled_risk(w)`` gives the mean of R_U- and its gradient over all unlabelled rows.
     """
-    prior = float(min(max(prior, 1e-3), 0.95))
-    weight = np.zeros(1 << BUCKET_BITS)
-    if not positive or not unlabelled:
-        return Model(weight, float(np.log(prior / (1 - prior))))
-    once_pos, once_unl = _once(positive), _once(unlabelled)
-    n_pos, n_unl = len(once_pos), len(once_unl)
-    in_pos = np.bincount(np.concatenate(once_pos), minlength=1 << BUCKET_BITS)
-    in_unl = np.bincount(np.concatenate(once_unl), minlength=1 << BUCKET_BITS)
-    pooled = (in_pos + in_unl + 1) / (n_pos + n_unl + 2)
-    z = (in_pos / n_pos - in_unl / n_unl) / np.sqrt(
-        pooled * (1 - pooled) * (1 / n_pos + 1 / n_unl))
-    used = np.flatnonzero(np.abs(z) >= least_z)
+    once = np.full(len(positive.size), 1.0 / len(positive.size))
+
+    def risk(w):
+        risk_u, grad_u = unlabelled_risk(w)
+        z, grad_neg = positive.sums(w, once, _sigmoid)
+        _, grad_pos = positive.sums(w, once, lambda z: -_sigmoid(-z))
+        rest = risk_u - prior * np.logaddexp(0, z).mean()
+        # SMOOTH * log(1 + exp(rest / SMOOTH)): max(0, rest) with a rounded corner.
+        value = prior * np.logaddexp(0, -z).mean() + SMOOTH * np.logaddexp(0, rest / SMOOTH)
+        grad = prior * grad_pos + _sigmoid(rest / SMOOTH) * (grad_u - prior * grad_neg)
+        return (value + 0.5 * decay * float((w[:-1] ** 2).sum()), grad + np.append(decay * w[:-1], 0.0))
+
+    w = np.zeros(n)
+    w[-1] = np.log(prior / (1 - prior))
+    value, grad = risk(w)
+    moves: list[tuple[np.ndarray, np.ndarray]] = []
+    used = 1
+    while used < steps:
+        d, alphas = grad.copy(), []
+        for s, y in reversed(moves):
+            alphas.append(float(s @ d) / float(s @ y))
+            d -= alphas[-1] * y
+        if moves:
+            s, y = moves[-1]
+            d *= float(s @ y) / float(y @ y)
+        else:
+            d /= max(1e-12, float(np.abs(grad).max()))
+        for (s, y), alpha in zip(moves, reversed(alphas)):
+            d += s * (alpha - float(y @ d) / float(s @ y))
+        slope, t = float(grad @ d), 1.0
+        if slope <= 1e-12:
+            break
+        better = False
+        while used < steps and not better:
+            new_value, new_grad = risk(w - t * d)
+            used += 1
+            better = new_value <= value - 1e-4 * t * slope
+            t = t if better else 0.4 * t
+        if not better:
+            break
+        s, y = -t * d, new_grad - grad
+        if float(s @ y) > 1e-14:
+            moves = [*moves, (s, y)][-10:]
+        gain, w, value, grad = value - new_value, w + s, new_value, new_grad
+        if gain < 1e-8:
+            break
+    return w
+
+
+def _compact(rows: list[np.ndarray], used: np.ndarray) -> _Bags:
     column = np.full(1 << BUCKET_BITS, -1, dtype=np.int64)
     column[used] = np.arange(len(used))
-    compact = lambda rows: _Bags([c[c >= 0] for c in (column[r] for r in rows)])
-    pos, unl = compact(positive), compact(unlabelled)
-    n = len(used) + 1  # the last one is the bias
-    w, m1, m2 = np.zeros(n), np.zeros(n), np.zeros(n)
-    w[-1] = np.log(prior / (1 - prior))
-    rng = np.random.RandomState(seed)
-    sigmoid = lambda z: 1.0 / (1.0 + np.exp(-np.clip(z, -40, 40)))
-    step = 0
-    for epoch in range(epochs):
-        order = rng.permutation(len(unlabelled))
-        for at in range(0, len(order), batch):
-            u = order[at:at + batch]
-            p = np.arange(len(positive)) if len(positive) <= batch else rng.randint(
-                0, len(positive), size=batch)
-            ui, ur = unl.take(u)
-            pi, pr = pos.take(p)
-            zu = np.bincount(ur, weights=w[ui], minlength=len(u)) + w[-1]
-            zp = np.bincount(pr, weights=w[pi], minlength=len(p)) + w[-1]
-            risk_u, risk_p = np.logaddexp(0, zu).mean(), np.logaddexp(0, zp).mean()
-            gu = sigmoid(zu) / len(u)  # of R_U-
-            gp_neg = prior * sigmoid(zp) / len(p)  # of p R_P-
-            gp_pos = -prior * sigmoid(-zp) / len(p)  # of p R_P+
-            if risk_u - prior * risk_p >= 0:
-                du, dp = gu, gp_pos - gp_neg
-            else:
-                du, dp = -gu, gp_neg
-            grad = (np.bincount(ui, weights=du[ur], minlength=n)
-                    + np.bincount(pi, weights=dp[pr], minlength=n)).astype(float)
-            grad[-1] += du.sum() + dp.sum()
-            grad[:-1] += decay * w[:-1]
-            step += 1
-            m1 += 0.1 * (grad - m1)
-            m2 += 0.001 * (grad * grad - m2)
-            lr = rate * (1 - epoch / epochs)
-            w -= lr * (m1 / (1 - 0.9 ** step)) / (np.sqrt(m2 / (1 - 0.999 ** step)) + 1e-8)
+    return _Bags([c[c >= 0] for c in (column[r] for r in rows)])
+
+
+def _model(w: np.ndarray, used: np.ndarray) -> Model:
+    weight = np.zeros(1 << BUCKET_BITS)
     weight[used] = w[:-1]
     return Model(weight, float(w[-1]))
 
 
+def _held(prior: float | None) -> float:
+    return float(min(max(0.1 if prior is None else prior, 1e-3), 0.95))
+
+
+def train(positive: list[np.ndarray], unlabelled: list[np.ndarray], prior: float) -> Model:
+    """Both sides as arrays of distinct buckets in memory; equal rows count once in the shares."""
+    prior = _held(prior)
+    if not positive or not unlabelled:
+        return Model(np.zeros(1 << BUCKET_BITS), float(np.log(prior / (1 - prior))))
+    count = lambda rows: np.bincount(np.concatenate(rows), minlength=1 << BUCKET_BITS)
+    a, b = _once(positive), _once(unlabelled)
+    used = significant(count(a), len(a), count(b), len(b))
+    rows = _compact(unlabelled, used)
+    share = np.full(len(unlabelled), 1.0 / len(unlabelled))
+
+    def risk(w):
+        z, g = rows.sums(w, share, _sigmoid)
+        return float(np.logaddexp(0, z).mean()), g
+
+    return _model(minimise(_compact(positive, used), risk, len(used) + 1, prior), used)
+
+
 def _word_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     from stratum.llm.textops import blocks, flat
 
@@ -151,22 +207,108 @@ def _word_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 names=["y", "buckets"])
 
 
-def fit_toxicity(docs: DataFrame, labels: DataFrame, positives: int = 3000,
-                 unlabelled: int = 9000, id_col: str = "doc_id", text_col: str = "text",
-                 label_col: str = "toxic", modulus: int = 5, remainder: int = 0) -> Model:
-    """Train on at most ``positives`` + ``unlabelled`` documents of the training folds."""
+def _share_counts(texts: DataFrame) -> tuple[np.ndarray, int]:
+    """(texts that hold each bucket, texts) over the distinct texts of (th, text) rows.
+
+    Only texts that occur more than once leave their scan to be counted once.
+    """
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from stratum.llm.textops import blocks, flat
+
+        total, n = np.zeros(1 << BUCKET_BITS, dtype=np.int64), 0
+        for b in batches:
+            data, off = flat(b.column("text"))
+            n += len(off) - 1
+            for i, j in blocks(off):
+                total += np.bincount(distinct_words(data[off[i]:off[j]], off[i:j + 1] - off[i])[0],
+                                     minlength=len(total))
+        used = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(np.append(used, -1)), pa.array(np.append(total[used], n))],
+                                         names=["bucket", "n"])
+
+    again = stored(texts.groupBy("th").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("th"), "again")
+    marked = may_contain(texts, "th", again, mark="met")
+    once = marked.filter("NOT met").select("text").unionByName(
+        marked.filter("met").groupBy("th").agg(F.first("text").alias("text")).select("text"))
+    rows = once.mapInArrow(tidy(run), "bucket long, n long").groupBy("bucket").agg(F.sum("n").alias("n")).toArrow()
+    bucket, n = rows["bucket"].to_numpy(), rows["n"].to_numpy()
+    out = np.zeros(1 << BUCKET_BITS, dtype=np.int64)
+    out[bucket[bucket >= 0]] = n[bucket >= 0]
+    return out, int(n[bucket < 0].sum())
+
+
+def _reduced(texts: DataFrame, used: np.ndarray) -> DataFrame:
+    """(words, n): the significant words of every text (indexes, binary), equal ones counted."""
+    column = np.full(1 << BUCKET_BITS, -1, dtype=np.int32)
+    column[used] = np.arange(len(used))
+    shared = texts.sparkSession.sparkContext.broadcast(column)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from stratum.llm.textops import blocks, flat
+
+        for b in batches:
+            data, off = flat(b.column("text"))
+            for i, j in blocks(off):
+                f, doc = distinct_words(data[off[i]:off[j]], off[i:j + 1] - off[i])
+                c = shared.value[f]
+                c, doc = c[c >= 0], doc[c >= 0]
+                cut = np.searchsorted(doc, np.arange(j - i + 1))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([np.sort(c[p:q]).tobytes() for p, q in zip(cut[:-1], cut[1:])], pa.binary())],
+                    names=["words"])
+
+    return texts.select("text").mapInArrow(tidy(run), "words binary").groupBy("words").agg(
+        F.count(F.lit(1)).alias("n"))
+
+
+def _risk_over(rows: DataFrame, total: int, n: int):
+    """w -> (mean of R_U-, its gradient) over all ``rows``, one aggregate job a call."""
+    def risk(w: np.ndarray) -> tuple[float, np.ndarray]:
+        shared = rows.sparkSession.sparkContext.broadcast(w)
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            grad, value = np.zeros(n), 0.0
+            for b in batches:
+                bags = _Bags([np.frombuffer(x, np.int32).astype(np.int64) for x in b.column("words").to_pylist()])
+                count = b.column("n").to_numpy().astype(float)
+                z, g = bags.sums(shared.value, count, _sigmoid)
+                grad += g
+                value += float((count * np.logaddexp(0, z)).sum())
+            sums = np.rint(np.append(grad, value) * UNIT).astype(np.int64)
+            at = np.flatnonzero(sums)
+            yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(sums[at])], names=["i", "v"])
+
+        got = rows.mapInArrow(tidy(run), "i long, v long").groupBy("i").agg(F.sum("v").alias("v")).toArrow()
+        out = np.zeros(n + 1)
+        out[got["i"].to_numpy()] = got["v"].to_numpy() / (UNIT * total)
+        shared.unpersist()
+        return float(out[-1]), out[:-1]
+
+    return risk
+
+
+def fit_toxicity(docs: DataFrame, labels: DataFrame, positives: int = 3000, id_col: str = "doc_id",
+                 text_col: str = "text", label_col: str = "toxic", modulus: int = 5,
+                 remainder: int = 0) -> Model:
+    """Train on at most ``positives`` confirmed toxic texts and all texts of the training folds."""
     known = sampling.labelled(labels, label_col, id_col, modulus, remainder)
-    prior = known.agg(F.avg("y")).first()[0]
+    prior = _held(known.agg(F.avg("y")).first()[0])
     good = sampling.sample_rows(known.filter(F.col("y") == 1), id_col, positives)
-    ids = docs.select(id_col).filter(~sampling.held_out(id_col, modulus, remainder)).distinct()
-    other = sampling.sample_rows(ids, id_col, unlabelled).withColumn("y", F.lit(0))
-    collected: dict[int, list[np.ndarray]] = {1: [], 0: []}
-    for chosen in (good, other):
-        rows = sampling.texts_of(docs, chosen, id_col, text_col).select("y", "text").mapInArrow(
-            tidy(_word_rows), "y int, buckets binary").toArrow()
-        for y, raw in sorted(zip(rows["y"].to_pylist(), rows["buckets"].to_pylist())):
-            collected[y].append(np.frombuffer(raw, np.int32).astype(np.int64))
-    return train(collected[1], collected[0], prior if prior is not None else 0.1)
+    rows = sampling.texts_of(docs, good, id_col, text_col).select("y", "text").mapInArrow(
+        tidy(_word_rows), "y int, buckets binary").toArrow()
+    positive = [np.frombuffer(raw, np.int32).astype(np.int64) for raw in sorted(rows["buckets"].to_pylist())]
+    text = F.coalesce(F.col(text_col), F.lit(""))
+    texts = docs.filter(~sampling.held_out(id_col, modulus, remainder)).select(
+        F.xxhash64(text).alias("th"), text.alias("text"))
+    in_unl, n_unl = _share_counts(texts) if positive else (None, 0)
+    if not n_unl:
+        return Model(np.zeros(1 << BUCKET_BITS), float(np.log(prior / (1 - prior))))
+    once = _once(positive)
+    used = significant(np.bincount(np.concatenate(once), minlength=1 << BUCKET_BITS), len(once), in_unl, n_unl)
+    reduced = stored(_reduced(texts, used), "unlabelled")
+    total = reduced.agg(F.sum("n")).first()[0]
+    w = minimise(_compact(positive, used), _risk_over(reduced, total, len(used) + 1), len(used) + 1, prior)
+    return _model(w, used)
 
 
 def score_toxicity(docs: DataFrame, model: Model, threshold: float = 0.5, id_col: str = "doc_id",

@@ -108,3 +108,82 @@ def test_positive_unlabelled_risk_beats_treating_unlabelled_as_clean():
     m = toxicity.train(positive, hidden + clean, prior=0.3)
     score = lambda rows: np.array([m.weight[r].sum() + m.bias for r in rows])
     assert (score(hidden) > 0).mean() > 0.85 and (score(clean) < 0).mean() > 0.95
+
+
+# ------------------------------------------------- one document's score, in plain Python
+MASK = (1 << 64) - 1
+
+
+def _mix(x):
+    x ^= x >> 30
+    x = x * 0xBF58476D1CE4E5B9 & MASK
+    x ^= x >> 27
+    x = x * 0x94D049BB133111EB & MASK
+    return x ^ (x >> 31)
+
+
+def _hash(word):
+    from stratum.llm.textops import BYTE_CODES
+
+    base = 0x9E3779B97F4A7C15 | 1
+    return _mix(sum(int(BYTE_CODES[b]) * pow(base, i, 1 << 64) for i, b in enumerate(word)) & MASK)
+
+
+def _logistic(z):
+    import math
+
+    return 1 / (1 + math.exp(-z))
+
+
+TEXTS = ["ba mo ri scum", "Ba BA ba scum, ba|mo trash\tTO ri ba ba ba", "", None, "é ba!! 😀 a " + "ru pa " * 40]
+
+
+def test_toxicity_score_of_a_document_by_hand(tables, lspark):
+    import re
+
+    docs, labels, _ = tables
+    model = toxicity.fit_toxicity(docs, labels)
+    rows = lspark.createDataFrame(list(enumerate(TEXTS)), "doc_id long, text string")
+    got = by_id(toxicity.score_toxicity(rows, model))
+    for i, t in enumerate(TEXTS):
+        raw = (t or "").encode()
+        lower = bytes(b + 32 if 65 <= b <= 90 else b for b in raw)
+        buckets = {_hash(w) >> (64 - toxicity.BUCKET_BITS) for w in re.findall(rb"[0-9a-z\x80-\xff]+", lower)}
+        assert got[i].score == pytest.approx(_logistic(sum(model.weight[b] for b in buckets) + model.bias), rel=1e-9)
+
+
+def test_quality_score_of_a_document_by_hand(tables, lspark):
+    import re
+
+    docs, labels, _ = tables
+    model = quality.fit_quality(docs, labels)
+    rows = lspark.createDataFrame(list(enumerate(TEXTS)), "doc_id long, text string")
+    got = by_id(quality.score_quality(rows, model))
+    for i, t in enumerate(TEXTS):
+        raw = (t or "").encode()
+        words = re.findall(rb"[^\x20\x09-\x0d]+", raw)
+        found = [_hash(w) >> (64 - quality.BUCKET_BITS) for w in words]
+        for n, w in enumerate(words):
+            back = [d for d in range(1, quality.BACK + 1) if d <= n and words[n - d] == w]
+            found.append((back[0] if back else 0) + quality.REPEAT_BUCKET)
+        for k in quality.GRAMS:
+            for p in range(len(raw) - k + 1):
+                if all(b not in b" \t\n\r\x0b\x0c" for b in raw[p + 1:p + k - 1]):
+                    key = int.from_bytes(raw[p:p + k], "little") + k & 0xFFFFFFFF
+                    key = key * 0x9E3779B1 & 0xFFFFFFFF
+                    key ^= key >> 15
+                    found.append((key * 0x85EBCA77 & 0xFFFFFFFF) >> (32 - quality.BUCKET_BITS))
+        mean = sum(model.bucket[f] for f in found) / max(1, len(found))
+        assert got[i].score == pytest.approx(_logistic(mean + model.bias), rel=1e-9)
+
+
+def test_every_unlabelled_row_counts(tables, lspark):
+    """A word that positives share with unlabelled rows alone loses its weight, however many
+    rows there are: nothing is sampled on the unlabelled side."""
+    docs, labels, _ = tables
+    few = toxicity.fit_toxicity(docs, labels)
+    more = lspark.range(20000, 32000).selectExpr(
+        "id AS doc_id", "concat('trash ', id, ' ba mo') AS text", "'en' AS lang", "0D AS score", "'x' AS y")
+    many = toxicity.fit_toxicity(docs.unionByName(more), labels)
+    trash = _hash(b"trash") >> (64 - toxicity.BUCKET_BITS)
+    assert few.weight[trash] > 2 and many.weight[trash] < 0.25 * few.weight[trash]
