@@ -32,7 +32,7 @@ from stratum.functions.dates import days_since
 from stratum.functions.money import avg_cents, cents_to_amount, percent_1dp, to_cents
 from stratum.operators.marts import ADDRESS_COLS, CUSTOMER_COLS, _with_cents, segment
 from stratum.sinks import bucketed
-from stratum.sinks.writer import staged
+from stratum.sinks.bucketed import staged
 
 
 @dataclass(frozen=True)

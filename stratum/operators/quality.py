@@ -47,7 +47,7 @@ class DQFailure(Exception):
 
     def __init__(self, table_name: str, rule: Rule, fail_count: int, report_rows: list[dict]):
         super().__init__(
-            f"DQ FAIL on table '{table_name}', rule '{rule.name}': {fail_count} rows violated"
+            f"rule {rule.name!r} stops the load of {table_name}: {fail_count} failing rows"
         )
         self.table_name = table_name
         self.rule = rule

@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stratum.operators import mart_state
+from stratum.operators.asof import asof_join
 from stratum.operators.silver import clean_orders
 from stratum.plans import layers as L
 from stratum.plans import oracle as O
@@ -21,10 +22,11 @@ from stratum.plans.registry import SILVER_LINE_COLS
 from stratum.plans.rules import order_rules
 from stratum.schemas import ADDRESSES_RAW, CUSTOMERS_RAW, EVENTS, ORDERS_RAW
 from stratum.session import work_path
-from stratum.sinks import writer
+from stratum.sinks import quarantine, writer
 from stratum.sources import derive
+from stratum.sources.evolution import read_mixed
 from stratum.sources.landing import landing_copy, read_landing, with_lineage, write_landing
-from stratum.streaming import batches
+from stratum.streaming import batches, dedup, inferred
 from stratum.streaming.ingest import ingest_entities, run_available_now, stream_landing
 
 LANDING_FILES = 8
@@ -35,7 +37,7 @@ ORDER_FILES_PER_BATCH = 16
 EVENT_FILES = 32
 EVENT_FILES_PER_BATCH = 8
 # Buckets of the streamed dimensions: a bucket should hold some hundred MB of them.
-STREAM_BUCKETS = 16
+STREAM_BUCKETS = 4
 
 
 def _customers_json(spark, base) -> str:
@@ -263,6 +265,54 @@ def refresh_incremental_summary(spark: SparkSession, base: str) -> DataFrame:
     return spark.read.parquet(cfg.table("gold", "customer_order_summary")).select(*SUMMARY_COLS)
 
 
+# --------------------------------------------- quarantine, copies, schemas, versions
+def dq_quarantine(spark: SparkSession, base: str) -> DataFrame:
+    """Order lines split by one write: clean and rejected rows counted by failed rules."""
+    root = work_path(spark, "quarantine", unique=True)
+    quarantine.write_quarantined(L.silver_order_lines(spark, base), order_rules(), "silver_orders",
+                                 f"{root}/clean", f"{root}/rejected", run_time=L.RUN_TIME)
+    clean = spark.read.parquet(f"{root}/clean").withColumn("rejected", F.lit(0))
+    bad = quarantine.read_rejected(spark, f"{root}/rejected")
+    both = clean if bad is None else clean.unionByName(bad.drop("run").withColumn("rejected", F.lit(1)))
+    return both.groupBy("rejected", F.array_join(quarantine.FAILED, ",").alias("failed_rules")).agg(
+        F.count(F.lit(1)).alias("n_lines"), F.sum("item_total_cents").cast("long").alias("cents"))
+
+
+def stream_dedup(spark: SparkSession, base: str) -> DataFrame:
+    """Every event file delivered twice; each event is stored once."""
+    files = _events_json(spark, base)
+    root = work_path(spark, "stream_dedup", unique=True)
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    for n in range(2):
+        src, dst = jvm.org.apache.hadoop.fs.Path(files), jvm.org.apache.hadoop.fs.Path(f"{root}/landing/d{n}")
+        jvm.org.apache.hadoop.fs.FileUtil.copy(src.getFileSystem(conf), src, dst.getFileSystem(conf), dst, False, conf)
+    stream = stream_landing(spark, f"{root}/landing", "json", EVENTS, max_files_per_trigger=EVENT_FILES_PER_BATCH)
+    dedup.run_deduplicated(dedup.dedup_deliveries(stream, ["event_id"], "ts", "60 days"), f"{root}/_checkpoint",
+                           f"{root}/data")
+    return spark.read.parquet(f"{root}/data").select(*EVENTS.fieldNames())
+
+
+def stream_inferred(spark: SparkSession, base: str) -> DataFrame:
+    """Two deliveries without a declared schema; the second has another column and a wider type."""
+    first, second = derive.event_halves(spark, base)
+    root = work_path(spark, "stream_inferred", unique=True)
+    whole = first.select("event_id", "user_id", F.floor("value").cast("long").alias("value"))
+    wider = second.select("event_id", "user_id", "value", "event_type")
+    for n, rows in enumerate((whole, wider)):
+        write_landing(rows, f"{root}/landing/d{n}", "json", EVENT_FILES_PER_BATCH)
+        src = inferred.stream_inferred(spark, f"{root}/landing", "json", f"{root}/_schema")
+        run_available_now(src, f"{root}/_checkpoint", f"{root}/data")
+    return read_mixed(spark, f"{root}/data").select("event_id", "user_id", "value", "event_type")
+
+
+def dim_as_of(spark: SparkSession, base: str) -> DataFrame:
+    """Every event with the user's profile version that was valid on the day before."""
+    ev = derive.events(spark, base).select("event_id", "user_id", "ts")
+    return asof_join(ev, L.user_dim_history(spark, base), L.USER_KEY, F.date_sub(F.to_date("ts"), 1),
+                     columns=["event_type", "effective_start"], prefix="dim_", bucket_days=7).drop("ts")
+
+
 # ------------------------------------------------- marts kept as mergeable states
 def _mart_from_batches(mart, finish):
     """The silver lines in three batches (an order may be in several), merged into a state."""
@@ -330,6 +380,10 @@ def queries() -> dict:
         "stream_scd2_late": stream_scd2_late,
         "refresh_customer_summary": refresh_customer_summary,
         "refresh_incremental_summary": refresh_incremental_summary,
+        "dq_quarantine": dq_quarantine,
+        "stream_dedup": stream_dedup,
+        "stream_inferred": stream_inferred,
+        "dim_as_of": dim_as_of,
         **MART_QUERIES,
         "refresh_marts_summary": refresh_marts_summary,
     }
@@ -371,6 +425,17 @@ union all select 'addresses_raw', count(*), cast(0 as bigint) from customer""",
         "stream_scd2_late": core["scd2_history"],
         "refresh_customer_summary": core["gold_customer_summary"],
         "refresh_incremental_summary": core["gold_customer_summary"],
+        "dq_quarantine": O.dq_quarantine_sql(),
+        "stream_dedup": "select event_id, ts, user_id, event_type, value, props from events",
+        "stream_inferred": f"""select event_id, user_id, floor(value) as value, null as event_type
+  from events where ts < timestamp '{split}'
+union all by name
+select event_id, user_id, value, event_type from events where ts >= timestamp '{split}'""",
+        "dim_as_of": f"""select e.event_id, e.user_id, h.event_type as dim_event_type,
+  h.effective_start as dim_effective_start
+from (select *, cast(ts as date) - 1 as day from events) e
+asof left join (select user_id, event_type, effective_start from ({core["scd2_history"]})) h
+  on e.user_id = h.user_id and e.day >= h.effective_start""",
         "mart_revenue_by_day": core["gold_revenue_by_day"],
         "mart_product_performance": core["gold_product_performance"],
         "mart_status_funnel": core["gold_status_funnel"],

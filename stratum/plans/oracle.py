@@ -218,6 +218,16 @@ def dq_orders_totals_sql() -> str:
     return _dq_sql(LINES, "silver", "silver_orders", ORDER_RULES_SQL, with_run_time=False)
 
 
+def dq_quarantine_sql() -> str:
+    """Lines by the rules they did not pass (a NULL condition is not passed), in rule order."""
+    names = ", ".join(f"case when not coalesce({cond}, false) then '{name}' end" for name, _, cond in ORDER_RULES_SQL)
+    drops = " or ".join(f"not coalesce({cond}, false)" for _, action, cond in ORDER_RULES_SQL if action == "drop")
+    return f"""with {LINES}
+select case when {drops} then 1 else 0 end as rejected, concat_ws(',', {names}) as failed_rules,
+  count(*) as n_lines, cast(sum(item_total_cents) as bigint) as cents
+from silver group by 1, 2"""
+
+
 def oracle_sql() -> dict[str, str]:
     q: dict[str, str] = {}
     q["silver_order_lines"] = f"with {LINES}\nselect {SILVER_LINE_COLS} from silver"

@@ -247,7 +247,7 @@ def run_dimensions_incremental(spark: SparkSession, cfg: Refresh) -> None:
         held = bucketed.read_keys(spark, path, keys)
         out = (scd.scd2_initial(now, CUSTOMER_KEY, cfg.as_of, order) if held is None else
                scd.scd2_apply(held, now, CUSTOMER_KEY, ADDRESS_TRACK, cfg.as_of, order))
-        out = writer.staged(out, "dim-addresses")
+        out = bucketed.staged(out, "dim-addresses")
         rows = out.count()
         bucketed.replace(path, out, CUSTOMER_KEY, tag=newest, n_buckets=cfg.buckets)
     record("dim_addresses", "scd2", rows, t0, f"Replaced {rows} rows of the keys met -> {path}")

@@ -37,13 +37,15 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from stratum.operators.scd import latest_per_key
+from stratum.session import work_path
 from stratum.sources.evolution import common_schema, conform
 
 BUCKET = "_bucket"
 BUCKETS = 32          # default; choose it so that a bucket holds some hundred MB
-COMPACT_AT = 0.25     # delta rows of a bucket, as a share of its base rows
+COMPACT_AT = 0.25     # delta bytes of a bucket, as a share of its base bytes
 MAX_WRITES = 24       # live writes; beyond, the oldest deltas' buckets are rewritten too
 _NAME = re.compile(r"^v(\d{6})\.json$")
+_FOLDER = re.compile(rf"/{BUCKET}=(\d+)/part-")
 
 
 def _path(spark: SparkSession, path: str):
@@ -101,6 +103,14 @@ def _publish(spark: SparkSession, path: str, m: dict) -> None:
         raise VersionConflict(f"version {m['version']} of {path} exists")
 
 
+def staged(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written once below the shared work folder and read back: later steps that
+    use it several times, or after an executor is lost, read files."""
+    path = work_path(df.sparkSession, "staged", name, unique=True)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 # ------------------------------------------------------------------------------ reading
 def _schema(m: dict) -> T.StructType:
     return T.StructType.fromJson(m["schema"])
@@ -218,28 +228,39 @@ def _write(df: DataFrame, path: str, kind: str, n_buckets: int) -> dict | None:
     folder = f"{path.rstrip('/')}/data/w={wid}"
     (df.repartition(BUCKET).write.partitionBy(BUCKET).parquet(folder))
     schema = _nullable(df.schema)
-    counts = {r[BUCKET]: r["n"] for r in spark.read.schema(
-        T.StructType([*schema.fields, T.StructField(BUCKET, T.IntegerType())])).parquet(folder).groupBy(
-        BUCKET).agg(F.count(F.lit(1)).alias("n")).collect()}  # at most n_buckets rows
-    if not counts:
+    sizes = _sizes(spark, folder)
+    if not sizes:
         return None
-    return {"id": wid, "kind": kind, "buckets": sorted(counts), "rows": [counts[b] for b in sorted(counts)],
+    return {"id": wid, "kind": kind, "buckets": sorted(sizes), "bytes": [sizes[b] for b in sorted(sizes)],
             "whole": True, "schema": json.loads(schema.json())}
 
 
+def _sizes(spark: SparkSession, folder: str) -> dict[int, int]:
+    """Bytes by bucket of a write: one listing, at most ``n_buckets`` entries."""
+    fs, p = _path(spark, folder)
+    found, out = fs.listFiles(p, True), {}
+    while found.hasNext():
+        st = found.next()
+        bucket = _FOLDER.search(st.getPath().toString())
+        if bucket:
+            b = int(bucket.group(1))
+            out[b] = out.get(b, 0) + st.getLen()
+    return out
+
+
 def _shrunk(w: dict, gone: set[int]) -> dict | None:
     """A write without the buckets that a newer base replaces."""
-    rest = [(b, n) for b, n in zip(w["buckets"], w["rows"]) if b not in gone]
+    rest = [(b, n) for b, n in zip(w["buckets"], w["bytes"]) if b not in gone]
     if len(rest) == len(w["buckets"]):
         return w
-    return {**w, "buckets": [b for b, _ in rest], "rows": [n for _, n in rest], "whole": False} if rest else None
+    return {**w, "buckets": [b for b, _ in rest], "bytes": [n for _, n in rest], "whole": False} if rest else None
 
 
-def _rows_by_bucket(writes: Sequence[dict], kind: str) -> dict[int, int]:
+def _bytes_by_bucket(writes: Sequence[dict], kind: str) -> dict[int, int]:
     out: dict[int, int] = {}
     for w in writes:
         if w["kind"] == kind:
-            for b, n in zip(w["buckets"], w["rows"]):
+            for b, n in zip(w["buckets"], w["bytes"]):
                 out[b] = out.get(b, 0) + n
     return out
 
@@ -264,7 +285,7 @@ def replace(path: str, rows: DataFrame, keys: Sequence[str], bucket_by: Sequence
     n = old["n_buckets"] if old else n_buckets
     schema = common_schema(_schema(old), _nullable(rows.schema)) if old else _nullable(rows.schema)
     writes = list(old["writes"]) if old else []
-    based = set(_rows_by_bucket(writes, "base"))
+    based = set(_bytes_by_bucket(writes, "base"))
     # Rows go in the table's types, so that a key is one value whatever its source.
     fresh = _aligned(rows.withColumn(BUCKET, _bucket_of(by, n)), schema)
     entry = _write(fresh, path, "delta" if writes else "base", n)
@@ -276,12 +297,12 @@ def replace(path: str, rows: DataFrame, keys: Sequence[str], bucket_by: Sequence
          "schema": json.loads(schema.json()), "tag": tag if tag is not None else (old or {}).get("tag"),
          "writes": writes}
     if old is not None:
-        base, delta = _rows_by_bucket(writes, "base"), _rows_by_bucket(writes, "delta")
+        base, delta = _bytes_by_bucket(writes, "base"), _bytes_by_bucket(writes, "delta")
         due = {b for b, k in delta.items() if b not in based or k > compact_at * base.get(b, 0)}
         if len(writes) > MAX_WRITES:
             # The oldest deltas and the smallest bases are joined, so few folders are read.
             deltas = [w for w in writes if w["kind"] == "delta"]
-            bases = sorted((w for w in writes if w["kind"] == "base"), key=lambda w: sum(w["rows"]))
+            bases = sorted((w for w in writes if w["kind"] == "base"), key=lambda w: sum(w["bytes"]))
             for w in [*deltas[:len(deltas) // 2], *bases[:len(bases) // 2]]:
                 due |= set(w["buckets"])
         if due:
@@ -303,6 +324,7 @@ def upsert(path: str, source: DataFrame, keys: Sequence[str], order_by: Sequence
     spark = source.sparkSession
     src = latest_per_key(source, keys, order_by)
     if compete and is_bucketed(spark, path):
+        src = staged(src, "upsert")  # read for its buckets, its keys and its rows
         m = manifest(spark, path)
         held = read_keys(spark, path, src.select(*m["bucket_by"]))
         schema = common_schema(_schema(m), _nullable(src.schema))

@@ -23,7 +23,6 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from stratum.schemas import SCD2_CURRENT, WRITE_METRICS
-from stratum.session import work_path
 from stratum.sinks import bucketed
 from stratum.sources.catalog import ensure_namespaces, is_table_name
 from stratum.sources.evolution import common_schema, conform, read_mixed
@@ -179,14 +178,6 @@ def write_table(df: DataFrame, path: str, mode: str = "append",
         raise WriteFailed(record) from e
 
 
-def staged(df: DataFrame, name: str) -> DataFrame:
-    """``df`` written once below the shared work folder and read back: later steps that
-    use it several times, or after an executor is lost, read files."""
-    path = work_path(df.sparkSession, "staged", name, unique=True)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
 STORE_PROPERTY = "stratum.store"
 
 

@@ -12,7 +12,6 @@ import datetime as _dt
 import uuid
 from collections.abc import Callable, Sequence
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
@@ -28,7 +27,7 @@ from stratum.operators.quality import (
     rows_frame,
     rule_aggregates,
 )
-from stratum.operators.scd import scd2_history
+from stratum.operators.scd import latest_per_key, scd2_history
 from stratum.sinks import bucketed
 from stratum.sinks.writer import _fs, publish
 
@@ -169,16 +168,14 @@ def scd2_sink(path: str, keys: Sequence[str], track: Sequence[str], snapshot_col
         if snapshot_expr is not None:
             src = src.withColumn(snapshot_col, snapshot_expr)
         _no_later_version(spark, dimension, batch_id)
-        src = src.persist(StorageLevel.DISK_ONLY)  # read for the merge and for its keys
-        try:
-            bucketed.upsert(snapshots, src, [*keys, snapshot_col], order_by=order_by, compete=True,
-                            bucket_by=list(keys), tag=batch_id, n_buckets=n_buckets)
-            mine = bucketed.read_keys(spark, snapshots, src.select(*keys))
-            if mine is not None:
-                bucketed.replace(dimension, scd2_history(mine, keys, track, snapshot_col, order_by),
-                                 keys, tag=batch_id, n_buckets=n_buckets)
-        finally:
-            src.unpersist()
+        # One row per (key, snapshot), read for the merge and for its keys.
+        src = bucketed.staged(latest_per_key(src, [*keys, snapshot_col], order_by), "scd2-batch")
+        bucketed.upsert(snapshots, src, [*keys, snapshot_col], order_by=order_by, compete=True,
+                        bucket_by=list(keys), tag=batch_id, n_buckets=n_buckets)
+        mine = bucketed.read_keys(spark, snapshots, src.select(*keys))
+        if mine is not None:
+            bucketed.replace(dimension, scd2_history(mine, keys, track, snapshot_col, order_by),
+                             keys, tag=batch_id, n_buckets=n_buckets)
 
     return run
 

@@ -28,7 +28,7 @@ def test_random_merges_equal_the_plain_upsert_and_versions_stay_readable(spark,
         src = spark.createDataFrame(
             [(rng.choice((None, *range(400))), rng.choice((None, "a", "b")), rng.randrange(99), rng.randrange(50), n)
              for _ in range(size)], SCHEMA)
-        bucketed.upsert(path, src, ["k", "g"], ["ts"], n_buckets=4)
+        bucketed.upsert(path, src, ["k", "g"], ["ts"], n_buckets=4, compact_at=1.0)
         merged = scd1_apply(plain, src, ["k", "g"], ["ts"])
         plain = spark.createDataFrame(merged.collect(), merged.schema)
         cols = plain.columns
@@ -74,14 +74,15 @@ def test_deltas_are_rewritten_when_they_outgrow_their_base(spark, tmp_dir):
     for n in range(1, 8):
         bucketed.upsert(path, make(0, 90, n), ["id"])
         m = bucketed.manifest(spark, path)
-        base = bucketed._rows_by_bucket(m["writes"], "base")
-        delta = bucketed._rows_by_bucket(m["writes"], "delta")
+        base = bucketed._bytes_by_bucket(m["writes"], "base")
+        delta = bucketed._bytes_by_bucket(m["writes"], "delta")
         assert all(delta.get(b, 0) <= bucketed.COMPACT_AT * base[b] for b in base)
     got = bucketed.read(spark, path)
     assert got.count() == 1000 and got.filter("v = 7").count() == 90
     before = {w["id"] for v in bucketed.versions(spark, path)[:-1] for w in bucketed.manifest(spark, path, v)["writes"]}
     now = {w["id"] for w in m["writes"]}
-    assert set(bucketed.vacuum(spark, path, keep=1)) == before - now
+    gone = set(bucketed.vacuum(spark, path, keep=1))  # deltas rewritten at once were never named
+    assert before - now <= gone and not gone & now
     assert bucketed.read(spark, path).count() == 1000 and len(bucketed.versions(spark, path)) == 1
 
 
