@@ -112,41 +112,84 @@ _PII_KINDS = [  # kind, pattern, condition on t (match), d (its digits), c (befo
      "OR coalesce(try_cast(left(ltrim(p, '0'), 3) AS INT), 0) > 255)) = 0"),
     ("card", "[0-9]([ -]?[0-9])+", f"CASE WHEN length(d) BETWEEN 16 AND 19 THEN {_LUHN} ELSE false END"),
     ("phone", "\\+[0-9][ ().0-9-]+[0-9]", "length(d) BETWEEN 8 AND 15"),
-    ("iban", "[A-Z]{2}[0-9]{2}( ?[A-Z0-9]{4}){2,7}( ?[A-Z0-9]{1,3})?",
-     """length(replace(t, ' ', '')) BETWEEN 15 AND 34 AND list_reduce(list_concat([0], list_transform(
-        string_split(substring(replace(t, ' ', ''), 5) || left(replace(t, ' ', ''), 4), ''), lambda z:
-        CASE WHEN z BETWEEN '0' AND '9' THEN ascii(z) - 48 ELSE ascii(z) - 55 END)),
-        lambda a, v: (a * CASE WHEN v < 10 THEN 10 ELSE 100 END + v) % 97) = 1
-        AND NOT regexp_matches(right(c, 1), '[A-Za-z0-9]') AND NOT regexp_matches(f, '[A-Za-z0-9]')"""),
     ("short_card", "[0-9]([ -]?[0-9])+",
      f"CASE WHEN length(d) BETWEEN 13 AND 15 THEN {_LUHN} ELSE false END "
      "AND regexp_matches(lower(c), 'card|visa|amex|credit|karte|carte|tarjeta')"),
     ("national_id", "[0-9]{3}-[0-9]{2}-[0-9]{4}",
-     "NOT regexp_matches(t, '^(000|666|9)|-00-|-0000$') AND NOT regexp_matches(right(c, 1), '[0-9-]') "
+     "NOT regexp_matches(t, '^(000|666|9)|-00-|-0000$') AND NOT regexp_matches(b, '[0-9-]') "
      "AND NOT regexp_matches(f, '[0-9-]') AND regexp_matches(lower(c), 'ssn|social security')"),
     ("local_phone", "\\(?[0-9]{3}\\)?[ .-][0-9]{3}[ .-][0-9]{4}",
-     "NOT regexp_matches(right(c, 1), '[0-9+().-]') AND NOT regexp_matches(f, '[0-9]') "
+     "NOT regexp_matches(b, '[0-9+().-]') AND NOT regexp_matches(f, '[0-9]') "
      "AND regexp_matches(lower(c), 'tel|phone|call|mobile|fax')"),
 ]
 
 
+def _iban_sql() -> str:
+    """IBAN matches (r, s, t): words that begin like one; a match ends at its country's length
+    or, for other lengths and codes, with the last word that fits, and never runs over a blank
+    into a complete IBAN.  The automaton of DuckDB has no lookaround, so the text is cut there."""
+    from stratum.llm.pii import _IBAN_LENGTHS
+
+    exact = "(?:" + "|".join(
+        f"(?:{codes.replace(' ', '|')})[0-9]{{2}}(?: ?[A-Z0-9]{{4}}){{{(n - 4) // 4}}}"
+        + (f" ?[A-Z0-9]{{{n % 4}}}" if n % 4 else "") for n, codes in _IBAN_LENGTHS.items()) + ")"
+    other = "[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?"
+    end = "(?:[^A-Za-z0-9]|$)"
+    return f"""
+iban_word AS (
+  SELECT r, x, w, (sum(length(w)) OVER (PARTITION BY r ORDER BY i) - length(w))::BIGINT AS s FROM (
+    SELECT r, x, unnest(ws) AS w, generate_subscripts(ws, 1) AS i FROM (
+      SELECT r, x, regexp_extract_all(x, '[A-Za-z0-9]+|[^A-Za-z0-9]+') AS ws FROM docs
+      WHERE regexp_matches(x, '[A-Z]{{2}}[0-9]{{2}} ?[A-Z0-9]{{4}}')))),
+iban_start AS (
+  SELECT r, x, s, s > 0 AND substring(x, greatest(s, 1), 1) = ' '
+    AND regexp_matches(substring(x, s + 1, 60), '^{exact}{end}') AS whole
+  FROM iban_word WHERE regexp_matches(w, '^[A-Z]{{2}}[0-9]{{2}}')),
+iban_room AS (
+  SELECT r, s, CASE WHEN n IS NULL THEN substring(x, s + 1, 60)
+                    ELSE substring(x, s + 1, least(60, n - 1 - s)) END AS y
+  FROM (SELECT *, min(CASE WHEN whole THEN s END) OVER (
+          PARTITION BY r ORDER BY s ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING) AS n FROM iban_start)),
+iban_hit AS (
+  SELECT * FROM (SELECT r, s, coalesce(nullif(regexp_extract(y, '^({exact}){end}', 1), ''),
+                                       nullif(regexp_extract(y, '^({other}){end}', 1), '')) AS t FROM iban_room)
+  WHERE t IS NOT NULL),
+iban(r, s, t) AS (
+  SELECT r, s, t FROM (SELECT *, row_number() OVER (PARTITION BY r ORDER BY s) AS n FROM iban_hit) WHERE n = 1
+  UNION ALL
+  SELECT h.r, h.s, h.t FROM iban i JOIN iban_hit h ON h.r = i.r AND h.s >= i.s + length(i.t)
+  WHERE NOT EXISTS (SELECT 1 FROM iban_hit k WHERE k.r = h.r AND k.s >= i.s + length(i.t) AND k.s < h.s))"""
+
+
+_MOD97_SQL = """length(replace(t, ' ', '')) BETWEEN 15 AND 34 AND list_reduce(list_concat([0], list_transform(
+        string_split(substring(replace(t, ' ', ''), 5) || left(replace(t, ' ', ''), 4), ''), lambda z:
+        CASE WHEN z BETWEEN '0' AND '9' THEN ascii(z) - 48 ELSE ascii(z) - 55 END)),
+        lambda a, v: (a * CASE WHEN v < 10 THEN 10 ELSE 100 END + v) % 97) = 1"""
+
+
 def _pii() -> str:
+    numbers = {name: n for n, name in enumerate(
+        ("email", "ip", "card", "phone", "iban", "short_card", "national_id", "local_phone"))}
     kinds = " UNION ALL ".join(
-        f"SELECT r, {n} AS k, '{name}' AS kind, h, g FROM (SELECT r, "
+        f"SELECT r, x, {numbers[name]} AS k, '{name}' AS kind, h, g FROM (SELECT r, x, "
         f"regexp_extract_all(x, '{rx}') AS h, string_split_regex(x, '{rx}') AS g FROM docs)"
-        for n, (name, rx, _) in enumerate(_PII_KINDS))
-    checks = " ".join(f"WHEN {n} THEN {check}" for n, (_, _, check) in enumerate(_PII_KINDS))
+        for name, rx, _ in _PII_KINDS)
+    checks = " ".join(f"WHEN {numbers[name]} THEN {check}" for name, _, check in _PII_KINDS)
     return f"""
-WITH docs AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS x FROM documents),
+WITH RECURSIVE docs AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS x FROM documents),
 found AS ({kinds}),
 each AS (
-  SELECT r, k, kind, i, h[i] AS t, regexp_replace(h[i], '[^0-9]', '', 'g') AS d,
-    right(g[i], 40) AS c, left(g[i + 1], 1) AS f, length(g[i]) AS gl, length(h[i]) AS hl
+  SELECT r, x, k, kind, i, h[i] AS t, regexp_replace(h[i], '[^0-9]', '', 'g') AS d,
+    right(g[i], 1) AS b, left(g[i + 1], 1) AS f, length(g[i]) AS gl, length(h[i]) AS hl
   FROM (SELECT *, unnest(range(1, len(h) + 1)) AS i FROM found WHERE len(h) > 0)),
 placed AS (
   SELECT *, sum(gl + hl) OVER (PARTITION BY r, k ORDER BY i) AS e FROM each),
+near AS (  -- the 40 characters of the text before the match
+  SELECT *, substring(x, greatest(e - hl - 40, 0)::BIGINT + 1, least(e - hl, 40)::BIGINT) AS c FROM placed),{_iban_sql()},
 spans AS (
-  SELECT r, k, kind, e - hl AS s, e FROM placed WHERE CASE k {checks} END),
+  SELECT r, k, kind, e - hl AS s, e FROM near WHERE CASE k {checks} END
+  UNION ALL
+  SELECT r, 4, 'iban', s, s + length(t) FROM iban WHERE {_MOD97_SQL}),
 kept AS (
   SELECT * FROM spans a WHERE k < 4 OR NOT EXISTS (
     SELECT 1 FROM spans b WHERE b.r = a.r AND b.k < 4 AND b.s < a.e AND a.s < b.e)),

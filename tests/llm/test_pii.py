@@ -198,3 +198,34 @@ def test_empty_table(frame):
 def test_no_python_in_the_plan(frame):
     plan = pii_report(frame(numbered(["a"])))._jdf.queryExecution().toString()
     assert not re.search("Python|Arrow|Pandas|Exchange", plan)
+
+
+def test_sql_equals_the_operator_on_added_kinds(lspark):
+    """Context words beyond earlier matches, IBANs beside other words, lists of numbers."""
+    import duckdb
+
+    from stratum.llm.pii import pii_report
+    from stratum.llm.sql import SQL
+
+    texts = [
+        "call 555-123-4567 or 555-987-6543", "ES91 2100 0418 4502 0005 1332 Please", None, "",
+        "amex card exp 12/27 no 378282246310005", "ES9121000418450200051332 BIC CAIXESBB",
+        "BE68 5390 0754 7034 Thanks", "BE68539007547034 ES91 2100 0418 4502 0005 1332 and GB82 WEST 1234 5698 7654 32",
+        "iban GB82 WEST 1234 5698 7654 32, DE89370400440532013000.", "xGB82WEST12345698765432 GB82WEST12345698765432x",
+        "XX12 3456 7890 1234 ABCD 12 tail", "ssn 123-45-6789, 987-65-4321; social security 078-05-1120 000-12-3456",
+        "tel (555) 123-4567 555.123.4567 a@b.co 1.2.3.4 +33 1 42 68 53 00 4111 1111 1111 1111",
+        "é😀 call 555-123-4567 ü 555 987 6543", "GB82 WEST GB82 WEST 1234 5698 7654 32 WEST",
+        "card 30569309025904 and 371449635398431 mobile 555-000-1111 " * 3,
+        "NO93 8601 1117 947 NO9386011117947 MT84 MALT 0110 0001 2345 MTLC AST0 01S end",
+        "word " * 30 + "call 555-123-4567" + " x" * 30 + " 555-987-6543"]
+    rng = random.Random(12)
+    parts = ["call ", "card ", "ssn ", "iban ", "555-123-4567", "378282246310005", "123-45-6789", "BE68 5390 0754 7034",
+             "ES9121000418450200051332", "GB82 WEST 1234 5698 7654 32", " ", ", ", "A1 ", "AB12 ", "x", "12/27 ", "é"]
+    texts += ["".join(rng.choice(parts) for _ in range(rng.randrange(3, 14))) for _ in range(300)]
+    rows = list(enumerate(texts))
+    got = sorted(tuple(r) for r in pii_report(lspark.createDataFrame(rows, "doc_id long, text string")).collect())
+    con = duckdb.connect()
+    con.execute("CREATE TABLE documents (doc_id BIGINT, text VARCHAR)")
+    con.executemany("INSERT INTO documents VALUES (?, ?)", rows)
+    want = sorted(con.execute(SQL["op1_pii"]).fetchall())
+    assert got == want and sum(r[-1] for r in got) > 100
