@@ -29,12 +29,12 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from stratum.llm import sampling
-from stratum.llm.frames import carried, quoted, released, tidy
+from stratum.llm.frames import carried, released, tidy
 
 BUCKET_BITS = 16
 GRAMS = (3, 4)
@@ -186,13 +186,20 @@ def keep_quality(docs: DataFrame, model: Model, threshold: float = 0.7,
     """The rows that the classifier accepts, with all their columns (one narrow pass)."""
     shared = docs.sparkSession.sparkContext.broadcast((model.bucket, model.bias))
 
+    at = docs.columns.index(text_col)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from stratum.llm.textops import blocks, flat
+
         m = Model(*shared.value)
         for b in batches:
-            yield b.select(["row"]).filter(pa.array(_scores(m, b.column("t")) >= threshold))
+            text = pc.struct_field(b.column("row"), [at])
+            # Block by block, so that no second copy of a whole batch is held.
+            for i, j in blocks(flat(text)[1]):
+                yield b.slice(i, j - i).filter(pa.array(_scores(m, text.slice(i, j - i)) >= threshold))
 
-    rows = carried(docs, t=F.coalesce(F.col(quoted(text_col)), F.lit("")))
-    kept = rows.mapInArrow(tidy(run), T.StructType([rows.schema["row"]]))
+    rows = carried(docs)
+    kept = rows.mapInArrow(tidy(run), rows.schema)
     return released(kept, docs.columns)
 
 
