@@ -28,6 +28,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from stratum.functions.dates import age_group, age_years
 from stratum.operators import mart_state, marts, scd
 from stratum.operators.quality import DQFailure
 from stratum.operators.silver import (
@@ -261,7 +262,9 @@ def run_gold_incremental(spark: SparkSession, cfg: Refresh) -> None:
         if new is not None:
             mart_state.add_batch(root, mart, new, newest, cfg.buckets)
     state = lambda mart: mart_state.read_state(spark, root, mart)
-    customers = bucketed.read(spark, cfg.table("silver", "dim_customers"))
+    # A stored age is that of the day its row was loaded; gold shows the age on ``as_of``.
+    customers = bucketed.read(spark, cfg.table("silver", "dim_customers")).withColumn(
+        "age", age_years("date_of_birth", cfg.as_of)).withColumn("age_group", age_group("age"))
     addresses = scd.scd2_current(bucketed.read(spark, cfg.table("silver", "dim_addresses")))
     for mart, out in (
             (mart_state.REVENUE, mart_state.revenue_by_day), (mart_state.PRODUCTS, mart_state.product_performance),
