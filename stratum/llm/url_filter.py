@@ -185,8 +185,8 @@ DOMAIN_RULES = [
     ("block", "net", "/es/"),
     ("block", "net", "/fr/"),
 ]
-# The method's own globs decide URLs without a domain rule: unwanted host labels
-# and tracking or feed segments of the path.
+# The method's own globs decide URLs without a domain rule: unwanted host labels.  They
+# look at the host alone; no path glob is among them.
 METHOD_BLOCK = ["*.adult-*", "*.casino-*", "*.cheap-*", "*.spam-*", "*.ads-*", "*.ad?.*"]
 
 
