@@ -25,7 +25,8 @@ from stratum.session import work_path
 from stratum.sinks import quarantine, writer
 from stratum.sources import derive
 from stratum.sources.evolution import read_mixed
-from stratum.sources.landing import landing_copy, read_landing, with_lineage, write_landing
+from stratum.sources.landing import (
+    landing_copy, read_landing, with_lineage, write_landing, write_landing_split)
 from stratum.streaming import batches, dedup, inferred
 from stratum.streaming.ingest import ingest_entities, run_available_now, stream_landing
 
@@ -52,7 +53,7 @@ def _addresses_csv(spark, base) -> str:
 
 def _orders_json(spark, base) -> str:
     return landing_copy(spark, base, "orders", derive.bronze_orders_table(spark, base), "json",
-                        ORDER_STREAM_FILES)
+                        ORDER_STREAM_FILES, write_landing_split)
 
 
 def _events_json(spark, base) -> str:
@@ -339,7 +340,7 @@ def refresh_marts_summary(spark: SparkSession, base: str) -> DataFrame:
     deliveries = [(~second, ~late), (second, late)]
     wh = work_path(spark, "warehouse", unique=True)
     for day, (of_orders, of_customers) in enumerate(deliveries):
-        write_landing(orders.filter(of_orders), f"{root}/orders/day{day}", "json", ORDER_FILES_PER_BATCH)
+        write_landing_split(orders.filter(of_orders), f"{root}/orders/day{day}", "json", ORDER_FILES_PER_BATCH)
         write_landing(derive.bronze_customers(spark, base).filter(of_customers),
                       f"{root}/customers/day{day}", "json", LANDING_FILES)
         write_landing(derive.bronze_addresses(spark, base).filter(of_customers),

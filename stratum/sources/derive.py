@@ -33,6 +33,8 @@ STATUS_BY_ORDERSTATUS = {"O": "Pending", "P": "Shipped", "F": "Completed"}
 STATUS_OVERRIDES = {("F", "5-LOW"): "Cancelled", ("P", "4-NOT SPECIFIED"): "Unknown"}
 # Expected number of items per nested order record (see ``bronze_orders``).
 ITEMS_PER_RECORD = 16
+# Up to so many records an order, all its lines may meet in one task (``bronze_orders_together``).
+RECORDS_TOGETHER = 64
 CUSTOMER_CREATED = "2024-10-01"
 BIRTH_BASE = "1959-01-01"
 BIRTH_SPAN_DAYS = 18000
@@ -81,6 +83,16 @@ def order_item_lines(spark: SparkSession, base: str) -> DataFrame:
     return li.join(part, li.l_partkey == part.p_partkey, "left")
 
 
+def _item() -> Column:
+    return F.struct(
+        F.col("l_partkey").alias("item_id"),
+        F.col("p_name").alias("name"),
+        F.col("p_type").alias("category"),
+        F.col("p_retailprice").cast("double").alias("price"),
+        F.col("l_quantity").cast("int").alias("quantity"),
+    )
+
+
 def bronze_orders(spark: SparkSession, base: str,
                   items_per_record: int = ITEMS_PER_RECORD) -> DataFrame:
     """Nested orders: order columns + ``items`` array<struct>.
@@ -105,16 +117,9 @@ def bronze_orders(spark: SparkSession, base: str,
         F.xxhash64("l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice"),
         n_chunks,
     )
-    item = F.struct(
-        F.col("l_partkey").alias("item_id"),
-        F.col("p_name").alias("name"),
-        F.col("p_type").alias("category"),
-        F.col("p_retailprice").cast("double").alias("price"),
-        F.col("l_quantity").cast("int").alias("quantity"),
-    )
     items = (
         lines.groupBy("l_orderkey", chunk.alias("chunk"))
-        .agg(F.collect_list(item).alias("items"))
+        .agg(F.collect_list(_item()).alias("items"))
     )
     header = order_header(spark, base)
     cols = ["order_id", "customer_id", "order_timestamp", "payment_method", "items", "order_status"]
@@ -129,6 +134,45 @@ def bronze_orders(spark: SparkSession, base: str,
     return with_items.unionByName(without)
 
 
+def _most_lines(spark: SparkSession, base: str) -> int:
+    """The largest number of lines of any order: one aggregate over lineitem's keys."""
+    per_order = (read_table(spark, base, "lineitem", ["l_orderkey"])
+                 .groupBy("l_orderkey").agg(F.count(F.lit(1)).alias("n_lines")))
+    return per_order.agg(F.max("n_lines")).first()[0] or 0
+
+
+def bronze_orders_together(spark: SparkSession, base: str, records: int) -> DataFrame:
+    """The rows of ``bronze_orders`` where no order has more than ``records`` records.
+
+    The lines of such an order are few, so they are shuffled by order alone, which is also
+    what the join with the headers needs: lines and headers move once.  The lines of an order
+    are cut into its records within the row.  Orders without lines keep an empty array.
+    """
+    chunk = F.pmod(
+        F.xxhash64("l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice"),
+        F.lit(records).cast("bigint"),
+    )
+    # Grouped after the shuffle: before it, a task would sort a whole file split of lines.
+    lines = (order_item_lines(spark, base)
+             .select("l_orderkey", F.struct(chunk.alias("chunk"), _item().alias("item")).alias("line"))
+             .repartition("l_orderkey").groupBy("l_orderkey").agg(F.collect_list("line").alias("lines")))
+    header = order_header(spark, base)
+    orders = header.join(lines, header.order_id == lines.l_orderkey, "left").withColumn(
+        "chunk", F.explode_outer(F.array_distinct(F.col("lines.chunk"))))
+    mine = F.transform(F.filter("lines", lambda x: x["chunk"] == F.col("chunk")), lambda x: x["item"])
+    return orders.select("order_id", "customer_id", "order_timestamp", "payment_method",
+                         F.coalesce(mine, F.array().cast(T.ArrayType(ORDER_ITEM))).alias("items"),
+                         "order_status")
+
+
+def stored_orders(spark: SparkSession, base: str) -> DataFrame:
+    """The rows of ``bronze_orders``, by the plan that fits the largest order."""
+    records = max(1, -(-_most_lines(spark, base) // ITEMS_PER_RECORD))
+    if records <= RECORDS_TOGETHER:
+        return bronze_orders_together(spark, base, records)
+    return bronze_orders(spark, base)
+
+
 def bronze_orders_table(spark: SparkSession, base: str) -> DataFrame:
     """The nested orders stored once per input as a bronze parquet table.
 
@@ -139,7 +183,7 @@ def bronze_orders_table(spark: SparkSession, base: str) -> DataFrame:
     from stratum.schemas import ORDERS_RAW
     from stratum.sources.landing import landing_copy
 
-    path = landing_copy(spark, base, "bronze_orders", bronze_orders(spark, base), "parquet")
+    path = landing_copy(spark, base, "bronze_orders", lambda: stored_orders(spark, base), "parquet")
     return spark.read.schema(ORDERS_RAW).parquet(path)
 
 

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import hashlib
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -26,7 +27,9 @@ CSV_READ_OPTIONS = {"header": "true", "mode": "PERMISSIVE"}
 TEXT_TIME_OPTIONS = {"timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS",
                      "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"}
 # Bumped when the layout of landing copies changes (old copies are ignored).
-LANDING_LAYOUT = "v5"
+LANDING_LAYOUT = "v6"
+# Most rows of one file of ``write_landing_split``.
+FILE_ROWS = 500_000
 
 
 def read_landing(spark: SparkSession, path: str, fmt: str,
@@ -88,12 +91,30 @@ def write_landing(df: DataFrame, path: str, fmt: str, files: int | None = None)
     return path
 
 
-def landing_copy(spark: SparkSession, base: str, entity: str, df: DataFrame, fmt: str,
-                 files: int | None = None) -> str:
+def write_landing_split(df: DataFrame, path: str, fmt: str, files: int) -> str:
+    """Write ``df`` as at least ``files`` landing files (rows permitting) without a shuffle.
+
+    Every task cuts its own rows into files of equal row numbers, at most ``FILE_ROWS``, so
+    the number of files grows with the rows.  The files are compressed: text of this kind
+    shrinks to about a tenth, and a reader takes each file whole.
+    """
+    each = max(1, min(FILE_ROWS, -(-df.count() // files)))
+    w = df.write.mode("overwrite").format(fmt).option("maxRecordsPerFile", each)
+    w = w.options(compression="gzip", **TEXT_TIME_OPTIONS)
+    if fmt == "csv":
+        w = w.options(**CSV_WRITE_OPTIONS)
+    w.save(path)
+    return path
+
+
+def landing_copy(spark: SparkSession, base: str, entity: str,
+                 df: DataFrame | Callable[[], DataFrame], fmt: str, files: int | None = None,
+                 write: Callable[..., str] = write_landing) -> str:
     """A landing folder holding ``df`` in ``fmt``, written once per input.
 
     The folder lives below the shared checkpoint folder and is keyed by the
-    input folder, so repeated queries reuse it.
+    input folder, so repeated queries reuse it.  ``df`` may be a function,
+    called only where the copy is missing.
     """
     key = hashlib.sha1(base.rstrip("/").encode()).hexdigest()[:12]
     path = work_path(spark, "landing", LANDING_LAYOUT, key, f"{entity}.{fmt}")
@@ -102,7 +123,7 @@ def landing_copy(spark: SparkSession, base: str, entity: str, df: DataFrame, fmt
     # Write aside, then move into place unless a concurrent writer won: a
     # reader never sees a half-written copy, and two writers never share files.
     tmp = f"{path}.tmp-{uuid.uuid4().hex[:12]}"
-    write_landing(df, tmp, fmt, files)
+    write(df if isinstance(df, DataFrame) else df(), tmp, fmt, files)
     jvm = spark.sparkContext._jvm
     dst = jvm.org.apache.hadoop.fs.Path(path)
     fs = dst.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
