@@ -30,7 +30,8 @@ from __future__ import annotations
 import json
 import re
 import uuid
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -42,6 +43,7 @@ from stratum.sources.evolution import common_schema, conform
 
 BUCKET = "_bucket"
 BUCKETS = 32          # default; choose it so that a bucket holds some hundred MB
+OPEN_BUCKETS = 8      # up to so many buckets, a task writes to all of them
 COMPACT_AT = 0.25     # delta bytes of a bucket, as a share of its base bytes
 MAX_WRITES = 24       # live writes; beyond, the oldest deltas' buckets are rewritten too
 _NAME = re.compile(r"^v(\d{6})\.json$")
@@ -103,6 +105,22 @@ def _publish(spark: SparkSession, path: str, m: dict) -> None:
         raise VersionConflict(f"version {m['version']} of {path} exists")
 
 
+@contextmanager
+def unsorted_writes(spark: SparkSession, folders: int) -> Iterator[None]:
+    """Writes by partition column keep up to ``folders`` files open in a task instead of
+    sorting its rows by that column first: the sort spills once a task holds many rows."""
+    key = "spark.sql.maxConcurrentOutputFileWriters"
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, str(folders))
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(key)
+        else:
+            spark.conf.set(key, before)
+
+
 def staged(df: DataFrame, name: str) -> DataFrame:
     """``df`` written once below the shared work folder and read back: later steps that
     use it several times, or after an executor is lost, read files."""
@@ -202,11 +220,12 @@ def read_keys(spark: SparkSession, path: str, keys: DataFrame, version: int | No
     m = manifest(spark, path, version)
     if m is None:
         return None
-    wanted = keys.distinct().withColumn(BUCKET, _bucket_of(m["bucket_by"], m["n_buckets"]))
-    touched = [r[BUCKET] for r in wanted.select(BUCKET).distinct().collect()]  # at most n_buckets
+    keyed = keys.withColumn(BUCKET, _bucket_of(m["bucket_by"], m["n_buckets"]))
+    # At most n_buckets numbers; only they are shuffled for it, not the keys.
+    touched = [r[BUCKET] for r in keyed.select(BUCKET).distinct().collect()]
     rows = _resolve(spark, path, m, touched)
     names = keys.columns
-    seen = wanted.select(BUCKET, *[F.col(k).alias(f"__k_{k}") for k in names])
+    seen = keyed.distinct().select(BUCKET, *[F.col(k).alias(f"__k_{k}") for k in names])
     return rows.join(seen, _same(names, rows, seen), "left_semi").drop(BUCKET)
 
 
@@ -226,7 +245,11 @@ def _write(df: DataFrame, path: str, kind: str, n_buckets: int) -> dict | None:
     spark = df.sparkSession
     wid = uuid.uuid4().hex[:12]
     folder = f"{path.rstrip('/')}/data/w={wid}"
-    (df.repartition(BUCKET).write.partitionBy(BUCKET).parquet(folder))
+    # With few buckets every task writes its rows of all of them: rows do not move, and the
+    # write has as many tasks as the rows before it.  Many buckets would make many small files.
+    rows = df if n_buckets <= OPEN_BUCKETS else df.repartition(BUCKET)
+    with unsorted_writes(spark, min(n_buckets, BUCKETS)):
+        rows.write.partitionBy(BUCKET).parquet(folder)
     schema = _nullable(df.schema)
     sizes = _sizes(spark, folder)
     if not sizes:

@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 
 from stratum.operators.quality import (
     DQFailure, Rule, counts_of, first_failure, keep_condition, report_rows, rows_frame, rule_aggregates)
+from stratum.sinks.bucketed import unsorted_writes
 from stratum.sinks.writer import _fs, publish
 
 FAILED = "_failed_rules"
@@ -75,7 +76,8 @@ def write_quarantined(df: DataFrame, rules: Sequence[Rule], table_name: str, pat
         written, F.count(F.lit(1)).alias("rows"), F.count_if(REJECTED).alias("rejected"))
     parent, name = path.rstrip("/").rsplit("/", 1)
     staged = f"{parent}/_staging/{name}-{tag}"
-    rows.write.option("partitionOverwriteMode", "static").partitionBy(REJECTED).parquet(staged)
+    with unsorted_writes(spark, 2):  # clean and rejected files are open side by side
+        rows.write.option("partitionOverwriteMode", "static").partitionBy(REJECTED).parquet(staged)
     counts = counts_of(checks.get, rules) if rules else {}
     report = report_rows(rules, counts, table_name, run_time)
     bad = first_failure(rules, counts)
