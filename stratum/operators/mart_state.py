@@ -7,7 +7,8 @@ For every mart two key-bucketed tables (``sinks.bucketed``) below a state folder
 ``orders``    the distinct order ids of a group, cut into chunks of 32,768 consecutive
               ids.  A chunk is a 4 KB bitmap (``bitmap_construct_agg``) where groups are
               few and dense in ids, or a sorted list of bit positions where groups are many
-              and hold few orders each; a list has 32,768 entries at most.
+              and hold few of the orders each (a day has a dozen orders in a chunk: 4 KB
+              would be a hundred times the list); a list has 32,768 entries at most.
 
 Sums, minima and maxima of a batch add to the stored ones.  Distinct counts do not add,
 sets of ids do: chunks are united (``bitmap_or_agg`` or a distinct of the lists), and the
@@ -39,14 +40,15 @@ from stratum.sinks.bucketed import staged
 class Mart:
     name: str
     keys: tuple[str, ...]
-    dense: bool  # few groups with many orders each: bitmaps; else lists of positions
+    dense: bool   # groups hold a large part of the orders each: bitmaps; else lists of positions
+    spread: bool  # few groups: their chunks are spread over all buckets
 
 
-REVENUE = Mart("revenue_by_day", ("order_date", "order_month", "order_year"), True)
-PRODUCTS = Mart("product_performance", ("item_id", "item_name", "item_category"), False)
-STATUS = Mart("order_status_funnel", ("order_status",), True)
-PAYMENT = Mart("payment_mix", ("payment_method",), True)
-CUSTOMERS = Mart("customer_order_summary", ("customer_id",), False)
+REVENUE = Mart("revenue_by_day", ("order_date", "order_month", "order_year"), False, True)
+PRODUCTS = Mart("product_performance", ("item_id", "item_name", "item_category"), False, False)
+STATUS = Mart("order_status_funnel", ("order_status",), True, True)
+PAYMENT = Mart("payment_mix", ("payment_method",), True, True)
+CUSTOMERS = Mart("customer_order_summary", ("customer_id",), False, False)
 MARTS = (REVENUE, PRODUCTS, STATUS, PAYMENT, CUSTOMERS)
 
 _SUMS = ("sum_cents", "n_priced", "units", "price_cents", "n_prices")
@@ -112,12 +114,14 @@ def add_batch(root: str, mart: Mart, lines: DataFrame, tag: int,
     done = last_batch(spark, root, mart)
     if done is not None and done >= tag:
         return False
-    fresh = staged(distinct_chunks(lines, keys, "order_id", mart.dense), f"chunks-{mart.name}")
+    stored = bucketed.read(spark, orders)  # a table keeps the form it was made in
+    dense = mart.dense if stored is None else dict(stored.dtypes)["ids"] == "binary"
+    fresh = staged(distinct_chunks(lines, keys, "order_id", dense), f"chunks-{mart.name}")
     held = bucketed.read_keys(spark, orders, fresh.select(*keys, CHUNK))
-    # Dense groups are few: their chunks are spread over all buckets.  Sparse ones stay
-    # together, so that a batch reads the buckets of its groups only.
-    by = [*keys, CHUNK] if mart.dense else keys
-    bucketed.replace(orders, fresh if held is None else unite_chunks(fresh.unionByName(held), keys, mart.dense),
+    # The chunks of few groups are spread over all buckets.  Those of many groups stay
+    # together by group, so that a batch reads the buckets of its groups only.
+    by = [*keys, CHUNK] if mart.spread else keys
+    bucketed.replace(orders, fresh if held is None else unite_chunks(fresh.unionByName(held), keys, dense),
                      [*keys, CHUNK], bucket_by=by, tag=tag, n_buckets=n_buckets)
 
     new = staged(batch_measures(lines, keys), f"measures-{mart.name}")
@@ -126,7 +130,7 @@ def add_batch(root: str, mart: Mart, lines: DataFrame, tag: int,
     old = bucketed.read_keys(spark, measures, touched)
     if old is not None:
         parts = parts.unionByName(old.withColumn("n_orders", F.lit(None).cast("long")))
-    if mart.dense:
+    if mart.spread:
         stored = bucketed.read(spark, orders)
     else:
         stored = bucketed.read_keys(spark, orders, touched)
@@ -137,7 +141,7 @@ def add_batch(root: str, mart: Mart, lines: DataFrame, tag: int,
         *[F.sum(c).alias(c) for c in _SUMS], F.min("first_order_date").alias("first_order_date"),
         F.max("last_order_date").alias("last_order_date"),
         F.coalesce(F.max("n_orders"), F.lit(0)).alias("n_orders"))
-    if mart.dense:  # counts of groups outside the batch came along: they are stored already
+    if mart.spread:  # counts of groups outside the batch came along: they are stored already
         merged = merged.filter(F.col("n_priced").isNotNull())
     bucketed.replace(measures, merged, keys, tag=tag, n_buckets=n_buckets)
     return True

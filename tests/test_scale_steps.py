@@ -1,0 +1,112 @@
+"""Steps that must move each row once: nested orders, split landing files, unsorted writes."""
+
+import os
+
+import pytest
+from pyspark.sql import functions as F
+
+from stratum.operators import mart_state
+from stratum.operators.quality import Rule
+from stratum.schemas import CUSTOMERS_RAW
+from stratum.sinks import bucketed, quarantine
+from stratum.sources import derive
+from stratum.sources.landing import read_landing, write_landing_split
+
+ORDERS = "o_orderkey long, o_custkey long, o_orderstatus string, o_orderdate timestamp_ntz, o_orderpriority string"
+LINES = ("l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_quantity double, "
+         "l_extendedprice double")
+
+
+def plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.fixture
+def base(spark, tmp_dir):
+    """Orders with 0 to 40 lines, repeated and null keys, lines without an order or a part."""
+    import datetime as dt
+
+    day = dt.datetime(1995, 3, 1)
+    orders = [(k, k % 5, "OPF"[k % 3], day, "1-URGENT") for k in (1, 2, 3, 4, 4, 5)] + [(None, 1, "O", day, "5-LOW")]
+    lines = [(k, n % 7, n % 3, n, float(n % 4 + 1), float(n)) for k, m in ((1, 40), (2, 3), (4, 17), (9, 2), (None, 4))
+             for n in range(m)] + [(2, 1, 1, 1, 1.0, 1.0)] * 2
+    spark.createDataFrame(orders, ORDERS).write.parquet(f"{tmp_dir}/orders.parquet")
+    spark.createDataFrame(lines, LINES).write.parquet(f"{tmp_dir}/lineitem.parquet")
+    spark.createDataFrame([(p, f"p{p}", f"t{p}", p + 0.5) for p in range(1, 7)],
+                          "p_partkey long, p_name string, p_type string, p_retailprice double") \
+        .write.parquet(f"{tmp_dir}/part.parquet")
+    return tmp_dir
+
+
+def rows_of(df):
+    return sorted((tuple(sorted(map(str, v)) if isinstance(v, list) else v for v in r) for r in df.collect()), key=str)
+
+
+def test_orders_nested_by_order_are_those_nested_by_chunk(spark, base):
+    spread = derive.bronze_orders(spark, base)
+    together = derive.stored_orders(spark, base)
+    assert together.columns == spread.columns and rows_of(together) == rows_of(spread)
+    assert "_groupingexpression" not in plan(together)
+    assert plan(spread).count("hashpartitioning(") > plan(together).count("hashpartitioning(")
+
+
+def test_a_hot_order_is_nested_by_chunk(spark, base, monkeypatch):
+    monkeypatch.setattr(derive, "RECORDS_TOGETHER", 2)  # the largest order has three records
+    assert "_groupingexpression" in plan(derive.stored_orders(spark, base))
+
+
+def test_split_landing_files_hold_every_row(spark, tmp_dir):
+    rows = spark.range(0, 103, 1, 3).select(
+        F.col("id").alias("customer_id"), *[F.lit(None).cast("string").alias(c) if c != "email" else
+                                            F.concat(F.lit("e"), "id").alias(c) for c in CUSTOMERS_RAW.fieldNames()[1:]])
+    path = write_landing_split(rows, f"{tmp_dir}/land", "json", 8)
+    files = [f for f in os.listdir(path) if f.startswith("part-")]
+    assert 8 <= len(files) <= 8 + 3 and all(f.endswith(".json.gz") for f in files)
+    got = read_landing(spark, path, "json", CUSTOMERS_RAW).select("customer_id", "email")
+    assert rows_of(got) == rows_of(rows.select("customer_id", "email"))
+
+
+def test_quarantine_and_buckets_write_without_a_sort(spark, tmp_dir, monkeypatch):
+    held = []
+    real = bucketed.unsorted_writes
+
+    def noted(s, n):
+        held.append(n)
+        return real(s, n)
+
+    monkeypatch.setattr(bucketed, "unsorted_writes", noted)
+    monkeypatch.setattr(quarantine, "unsorted_writes", noted)
+    key = "spark.sql.maxConcurrentOutputFileWriters"
+    before = spark.conf.get(key, None)
+    rows = spark.range(100).withColumn("v", F.col("id") % 7)
+    quarantine.write_quarantined(rows, [Rule("small", "v < 5", "drop")], "t", f"{tmp_dir}/q/clean", f"{tmp_dir}/q/bad")
+    assert held == [2] and spark.read.parquet(f"{tmp_dir}/q/clean").count() == rows.filter("v < 5").count()
+    assert quarantine.read_rejected(spark, f"{tmp_dir}/q/bad").count() == rows.filter("v >= 5").count()
+    bucketed.replace(f"{tmp_dir}/b", rows, ["id"], n_buckets=4)
+    bucketed.replace(f"{tmp_dir}/b", rows.filter("id < 3").withColumn("v", F.lit(9).cast("long")), ["id"])
+    assert held == [2, 4, 4] or held == [2, 4, 4, 4]
+    want = rows.withColumn("v", F.when(F.col("id") < 3, 9).otherwise(F.col("v")).cast("long"))
+    assert rows_of(bucketed.read(spark, f"{tmp_dir}/b")) == rows_of(want)
+    assert spark.conf.get(key, None) == before
+
+
+def test_days_keep_their_orders_as_lists(spark, tmp_dir):
+    lines = spark.range(3000).select(
+        F.col("id").alias("order_id"), F.date_add(F.lit("2024-01-01").cast("date"), (F.col("id") % 300).cast("int"))
+        .alias("order_date"), F.lit(1).alias("order_month"), F.lit(2024).alias("order_year"),
+        F.lit(1.5).alias("item_price"), F.lit(2).alias("item_quantity"))
+    mart_state.add_batch(tmp_dir, mart_state.REVENUE, lines, 0, n_buckets=4)
+    ids = bucketed.read(spark, f"{tmp_dir}/{mart_state.REVENUE.name}/orders")
+    assert ids.agg(F.sum(F.size("ids")), F.max("chunk")).first()[0] == 3000  # no 4 KB bitmap for ten orders
+
+
+def test_a_table_of_bitmaps_keeps_its_form(spark, tmp_dir):
+    import dataclasses
+
+    lines = spark.range(600).select(
+        F.col("id").alias("order_id"), F.lit("2024-01-01").cast("date").alias("order_date"),
+        F.lit(1).alias("order_month"), F.lit(2024).alias("order_year"),
+        F.lit(1.5).alias("item_price"), F.lit(2).alias("item_quantity"))
+    mart_state.add_batch(tmp_dir, dataclasses.replace(mart_state.REVENUE, dense=True), lines.filter("id < 400"), 0)
+    mart_state.add_batch(tmp_dir, mart_state.REVENUE, lines.filter("id >= 300"), 1)
+    assert mart_state.read_state(spark, tmp_dir, mart_state.REVENUE).first()["n_orders"] == 600
