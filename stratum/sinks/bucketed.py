@@ -30,8 +30,9 @@ from __future__ import annotations
 import json
 import re
 import uuid
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
 from contextlib import contextmanager
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -230,10 +231,13 @@ def read_keys(spark: SparkSession, path: str, keys: DataFrame, version: int | No
 
 
 # ------------------------------------------------------------------------------ writing
-def _bucket_of(columns: Sequence[str], n: int) -> Column:
+def key_hash(columns: Sequence[str]) -> Column:
     # Text form: a key that comes as int in one source and as bigint in another is the same.
-    return F.pmod(F.xxhash64(*[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in columns]),
-                  F.lit(n)).cast("int").alias(BUCKET)
+    return F.xxhash64(*[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in columns])
+
+
+def _bucket_of(columns: Sequence[str], n: int) -> Column:
+    return F.pmod(key_hash(columns), F.lit(n)).cast("int").alias(BUCKET)
 
 
 def _nullable(schema: T.StructType) -> T.StructType:
@@ -359,6 +363,56 @@ def upsert(path: str, source: DataFrame, keys: Sequence[str], order_by: Sequence
     return replace(path, src, keys, **options)
 
 
+def live_rows(spark: SparkSession, path: str) -> DataFrame | None:
+    """The rows of all live writes, those that a newer write replaces included: a plain scan."""
+    m = manifest(spark, path)
+    if m is None or not m["writes"]:
+        return None
+    frames = [_aligned(_write_frame(spark, path, w), _schema(m)).drop(BUCKET) for w in m["writes"]]
+    return reduce(DataFrame.unionByName, frames)
+
+
+def merge(path: str, source: DataFrame, keys: Sequence[str], combine: Callable[[DataFrame], DataFrame],
+          bucket_by: Sequence[str] | None = None, n_buckets: int = BUCKETS,
+          compact_at: float = COMPACT_AT, tag: int | None = None) -> int:
+    """Put ``combine(source and the stored rows of its keys)`` in place of these stored rows.
+
+    ``source`` holds a row per key.  ``combine`` maps rows to rows of their keys, and rows of a key that ``source`` does not
+    hold to themselves.  A source of more than ``compact_at`` of the bytes of the buckets it
+    touches is combined with all their rows, and the result becomes their base: every row
+    moves once, where a delta would be compacted at once anyway.  A smaller one is combined
+    with the stored rows of its keys alone and written as a delta.
+    """
+    spark, keys = source.sparkSession, list(keys)
+    old = manifest(spark, path)
+    if old is None:
+        return replace(path, source, keys, bucket_by=bucket_by, n_buckets=n_buckets,
+                       compact_at=compact_at, tag=tag)
+    if old["keys"] != keys:
+        raise ValueError(f"{path} is keyed by {old['keys']}, not {keys}")
+    by, n = old["bucket_by"], old["n_buckets"]
+    schema = common_schema(_schema(old), _nullable(source.schema))
+    folder = work_path(spark, "staged", "merge", unique=True)
+    conform(source, schema).write.parquet(folder)
+    src = spark.read.schema(schema).parquet(folder)
+    touched = sorted(r[BUCKET] for r in src.select(_bucket_of(by, n)).distinct().collect())
+    held = sum(size for w in old["writes"] for b, size in zip(w["buckets"], w["bytes"]) if b in set(touched))
+    fs, p = _path(spark, folder)
+    if not touched or fs.getContentSummary(p).getLength() <= compact_at * held:
+        mine = read_keys(spark, path, src.select(*keys))
+        return replace(path, combine(src.unionByName(conform(mine, schema))), keys,
+                       compact_at=compact_at, tag=tag)
+    stored = conform(_resolve(spark, path, old, touched).drop(BUCKET), schema)
+    rows = combine(src.unionByName(stored)).withColumn(BUCKET, _bucket_of(by, n))
+    base = _write(_aligned(rows, schema), path, "base", n)
+    rest = [s for s in (_shrunk(w, set(touched)) for w in old["writes"]) if s]
+    m = {**old, "version": old["version"] + 1, "schema": json.loads(schema.json()),
+         "tag": tag if tag is not None else old["tag"],
+         "writes": [w for w in rest if w["kind"] == "base"] + [base] + [w for w in rest if w["kind"] == "delta"]}
+    _publish(spark, path, m)
+    return m["version"]
+
+
 def select_text(path: str, m: dict) -> str:
     """SQL of the current rows of a version that has no deltas (``compact_at=0``)."""
     if any(w["kind"] == "delta" for w in m["writes"]):

@@ -107,6 +107,54 @@ def test_two_day_refresh_equals_the_full_one_and_reads_day_two_only(spark, sampl
     assert bucketed.versions(spark, f"{inc}/silver/dim_customers") == seen
 
 
+def test_products_keep_one_row_a_group_and_split_large_ones(spark, tmp_dir):
+    lines = spark.createDataFrame(_lines(random.Random(5), 900), LINE).withColumn(
+        "item_id", F.coalesce(F.when(F.col("item_quantity") > 1, F.col("item_id")), F.xxhash64("item_price", "order_date")))
+    part, done = F.pmod(F.xxhash64(*lines.columns), F.lit(10)), None
+    for tag, batch in enumerate(((part < 3), (part >= 3) & (part < 5), (part >= 5) & (part < 9), part == 9)):
+        batch = lines.filter(batch)
+        assert mart_state.add_batch(tmp_dir, mart_state.PRODUCTS, batch, tag, n_buckets=4, whole=20)
+        assert not mart_state.add_batch(tmp_dir, mart_state.PRODUCTS, batch, tag, n_buckets=4, whole=20)
+        done = batch if done is None else done.unionByName(batch)
+        want = marts.product_performance(done, sort=False)
+        state = mart_state.read_state(spark, tmp_dir, mart_state.PRODUCTS)
+        assert rows_of(mart_state.product_performance(state), want.columns) == rows_of(want)
+    rows = bucketed.read(spark, f"{tmp_dir}/{mart_state.PRODUCTS.name}/groups")
+    keys = list(mart_state.PRODUCTS.keys)
+    assert rows.filter("not split").groupBy(*keys).count().filter("count > 1").isEmpty()
+    assert rows.filter("split and chunk is null and size(ids) > 0").isEmpty()
+    assert rows.filter("not split and n > 40").isEmpty()
+    assert rows.filter("split").select("chunk").distinct().count() > 3
+
+
+def test_a_product_state_of_two_tables_stays_so(spark, tmp_dir, monkeypatch):
+    first, second = (spark.createDataFrame(_lines(random.Random(s), 80), LINE) for s in (1, 2))
+    with monkeypatch.context() as m:
+        m.setattr(mart_state, "_groups", lambda *a: None)  # as states were made before
+        mart_state.add_batch(tmp_dir, mart_state.PRODUCTS, first, 0, n_buckets=2)
+    assert mart_state.last_batch(spark, tmp_dir, mart_state.PRODUCTS) == 0
+    mart_state.add_batch(tmp_dir, mart_state.PRODUCTS, second, 1, n_buckets=2)
+    want = marts.product_performance(first.unionByName(second), sort=False)
+    assert rows_of(mart_state.product_performance(mart_state.read_state(spark, tmp_dir, mart_state.PRODUCTS)),
+                   want.columns) == rows_of(want)
+
+
+def test_products_move_once_a_batch(spark, tmp_dir):
+    """A group's ids are one row, however far apart the ids; a large batch leaves no deltas."""
+    lines = spark.range(6000).select(
+        (F.col("id") * 40_000).alias("order_id"), F.lit(1).alias("customer_id"), F.lit("2024-01-01").cast("date").alias("order_date"),
+        F.lit(1).alias("order_month"), F.lit(2024).alias("order_year"), F.lit("s").alias("order_status"),
+        F.lit("p").alias("payment_method"), (F.col("id") % 300).alias("item_id"), F.lit("n").alias("item_name"),
+        F.lit("c").alias("item_category"), F.lit(1.0).alias("item_price"), F.lit(1).alias("item_quantity"))
+    for tag in range(2):
+        mart_state.add_batch(tmp_dir, mart_state.PRODUCTS, lines.filter(f"id % 2 = {tag}".replace("id", "order_id div 40000")),
+                             tag, n_buckets=4)
+    path = f"{tmp_dir}/{mart_state.PRODUCTS.name}/groups"
+    assert bucketed.read(spark, path).count() == 300
+    assert {w["kind"] for w in bucketed.manifest(spark, path)["writes"]} == {"base"}
+    assert mart_state.read_state(spark, tmp_dir, mart_state.PRODUCTS).agg(F.sum("n_orders")).first()[0] == 6000
+
+
 def test_incremental_gold_needs_incremental_silver(spark, tmp_dir):
     from stratum.plans.refresh import run_dimensions
 
